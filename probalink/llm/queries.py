@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from probalink.llm import bpe, packing, token_counts
+from probalink.llm import ann, bpe, packing, pii, quality_model, quality_rules, simhash, substrings, token_counts, warc
 from probalink.llm.common import table
 
 PATTERN = public_tokenizers.PATTERN
@@ -18,17 +19,62 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.with_bytes(bpe.with_ids(table(spark, sf_dir, "documents"), path, PATTERN), path, PATTERN))
 
 
+def op2_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_model.scored(docs, quality_model.learned(docs, table(spark, sf_dir, "labels")))
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(table(spark, sf_dir, "documents"))
+
+
 def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), PATTERN)
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rated = quality_rules.rated(table(spark, sf_dir, "documents"), ["doc_id"])
+    return rated.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
+
+
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "line", "start", "end", "n_words", F.col("kept_id").alias("kept_doc_id"), "kept_start", "class")
+
+
+#: The second replica of the audit's query: the pages with these remainders have a byte that differs.
+DAMAGED, DAMAGE = 211, 7
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    damaged = pages.withColumn("html", F.when(F.col("page_id") % DAMAGED == DAMAGE, F.concat(F.lit("?"), F.expr("substring(html, 2)"))).otherwise(F.col("html")))
+    return warc.audited(warc.records(pages), warc.records(damaged))
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.components(table(spark, sf_dir, "documents"))
+    return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
+
+
+def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), PATTERN)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_quality_model": op2_quality_model,
+    "op3_pii": op3_pii,
     "op4_pack": op4_pack,
+    "op5_quality_rules": op5_quality_rules,
+    "op6_substrings": op6_substrings,
+    "op7_warc": op7_warc,
+    "op8_simhash": op8_simhash,
+    "op9_ann": op9_ann,
     "op10_token_counts": op10_token_counts,
 }
 SQL: dict[str, str] = {}
