@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any, Protocol
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -131,7 +132,7 @@ def edit_distance(a: str, b: str) -> int:
 
 @dataclass(frozen=True)
 class SimilarityModel:
-    """An offline stand-in for pairs: each field's answer is its similarity, and `same` weighs name, address, website and tax number."""
+    """An offline stand-in for pairs: names by their edit distance, tax numbers by their digits, other fields by equality, and `same` weighs name, address, website and tax number."""
 
     weights: tuple[tuple[str, float], ...] = (("name", 4.0), ("address", 1.0), ("website", 2.0), ("vat_id", 3.0))
 
@@ -141,7 +142,7 @@ class SimilarityModel:
         likeness = {}
         for name, _ in self.weights:
             if name in a and name in b:
-                x, y = a[name].upper(), b[name].upper()
+                x, y = ("".join(filter(str.isdigit, r[name])) if name == "vat_id" else r[name].upper() for r in (a, b))
                 likeness[name] = 1 - edit_distance(x, y) / max(len(x), len(y), 1) if name == "name" else float(x == y)
         total = sum(w for n, w in self.weights if n in likeness)
         for name in questions:
@@ -350,8 +351,6 @@ def flat_json(answer: dict[str, Any]) -> str:
 def register(spark: SparkSession, model: Model, questions: Questions = TICKET_QUESTIONS, in_flight: int = 8) -> None:
     """The SQL surface: `classify(text)` gives JSON (null for null; a failure fails the query), and
     `classify_batch(TABLE(SELECT id, document …) PARTITION BY …)` rows with an error column."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def classify(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         with asyncio.Runner() as runner:
