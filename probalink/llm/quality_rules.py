@@ -25,22 +25,26 @@ WINDOW_WORDS = 5
 
 @dataclass(frozen=True)
 class Rule:
-    """bad and good are conditions on the statistics; where neither holds (or one is null) the rule abstains."""
+    """bad and good are conditions on the statistics; where neither holds (or one is null) the rule abstains.
+
+    accuracy is the share of its votes believed right before any are seen.
+    """
 
     name: str
     bad: str
     good: str
+    accuracy: float = 0.95
 
 
 #: Thresholds are on shares of words or characters, so that a document's length doesn't matter. Every kind of junk is judged by two
 #: rules at least: a rule that nothing corroborates has an accuracy that votes alone can't estimate.
 RULES = (
     Rule("symbols", "n_symbols > 0.2 * n_words", "false"),
-    Rule("letters", "n_others > 0.2 * word_chars", "n_others <= 0.1 * word_chars"),
+    Rule("letters", "n_others > 0.2 * word_chars", "n_others <= 0.1 * word_chars", 0.9),
     Rule("columns", "n_bars > 0.2 * n_words", "false"),
     Rule("capitals", "n_capitals > 0.3 * word_chars", "false"),
     Rule("exclamations", "n_exclamations > 0.2 * n_words", "false"),
-    Rule("repetition", "n_repeat_words > 0.1 * n_words", "n_repeat_words <= 0.02 * n_words"),
+    Rule("repetition", "n_repeat_words > 0.1 * n_words", "false"),
     Rule("doubles", "n_doubles > 0.15 * n_words", "false"),
     Rule("lines", "n_dup_lines > 0.2 * n_lines", "false"),
     Rule("word_length", "word_chars > 12 * n_words OR word_chars < 2 * n_words", "false"),
@@ -123,17 +127,18 @@ class Estimate:
         return 1 / (1 + F.exp(-odds))
 
 
-def estimated(counts: dict[tuple[int, ...], int], rules: int, share: float = 0.8, accuracy: float = 0.9, belief: float = 0.1, rounds: int = 200) -> Estimate:
+def estimated(counts: dict[tuple[int, ...], int], accuracies: tuple[float, ...], share: float = 0.8, belief: float = 0.1, rounds: int = 200) -> Estimate:
     """Expectation maximisation over counts of vote patterns.
 
     A rule's vote is right with its accuracy, whatever the document's class, and abstaining tells nothing. Estimates start from
-    `share` and `accuracy`, and lean on them as on a further `belief` times the votes at hand, so that they come out alike for any
-    number of documents; they stand where there are no votes.
+    `share` and `accuracies`, and lean on them as on a further `belief` times the votes at hand, so that they come out alike for any
+    number of documents; they stand where there are no votes. The share of good documents is kept between one half and nine
+    tenths: where junk is rare, its votes still decide about it.
     """
-    now = Estimate(share, (accuracy,) * rules)
-    total = sum(counts.values())
+    bounded = lambda x, low, high: min(high, max(low, x))
+    now, total, rules = Estimate(share, accuracies), sum(counts.values()), range(len(accuracies))
     for _ in range(rounds if total else 0):
-        good, right, cast = 0.0, [0.0] * rules, [0.0] * rules
+        good, right, cast = 0.0, [0.0 for _ in rules], [0.0 for _ in rules]
         for pattern, n in counts.items():
             p = now.quality(pattern)
             good += n * p
@@ -141,9 +146,9 @@ def estimated(counts: dict[tuple[int, ...], int], rules: int, share: float = 0.8
                 if v:
                     cast[k] += n
                     right[k] += n * (p if v > 0 else 1 - p)
-        bounded = lambda x: min(0.999, max(0.501, x))  # noqa: E731  a rule that is wrong more often than right says nothing
-        accuracies = tuple(bounded((right[k] + belief * cast[k] * accuracy) / ((1 + belief) * cast[k])) if cast[k] else accuracy for k in range(rules))
-        last, now = now, Estimate(min(0.999, max(0.001, (good + belief * total * share) / ((1 + belief) * total))), accuracies)
+        # a rule that is wrong more often than right says nothing
+        own = tuple(bounded((right[k] / cast[k] + belief * accuracies[k]) / (1 + belief), 0.501, 0.999) if cast[k] else accuracies[k] for k in rules)
+        last, now = now, Estimate(bounded((good / total + belief * share) / (1 + belief), 0.5, 0.9), own)
         if abs(last.share - now.share) + sum(abs(a - b) for a, b in zip(last.accuracies, now.accuracies)) < 1e-12:
             break
     return now
@@ -161,7 +166,7 @@ def rated(df: DataFrame, keep: list[str], rules: tuple[Rule, ...] = RULES, least
     names = {n: prefix + n for n in ("votes", "base_failed", "quality", "kept")}
     rows = stored(rows.withColumn(names["votes"], votes(rules, prefix)), "rated")
     counts = {tuple(r[0]): r[1] for r in rows.groupBy(names["votes"]).count().collect()}  # at most 3 ** rules of them
-    quality = estimated(dict(sorted(counts.items())), len(rules)).posterior(F.col(names["votes"]))
+    quality = estimated(dict(sorted(counts.items())), tuple(r.accuracy for r in rules)).posterior(F.col(names["votes"]))
     words, repeated = F.col(prefix + "n_words"), F.col(prefix + "n_repeat_words")
     rows = rows.withColumns({names["base_failed"]: (words < 10) | (100 * repeated > 20 * words), names["quality"]: quality})
     return rows.withColumn(names["kept"], ~F.col(names["base_failed"]) & (F.col(names["quality"]) >= least))
