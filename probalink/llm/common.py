@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,6 +10,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from probalink.sources.storage import stored
+
+__all__ = ["SLICE_BYTES", "SPACE", "in_arrow", "slices", "stored", "table", "text_of"]
+
 #: Bytes of strings that a Python operator handles at once: bounds its memory when texts are long.
 SLICE_BYTES = 2_000_000
 #: The ASCII white space that separates words.
@@ -39,32 +42,6 @@ def slices(batch: pa.RecordBatch, most: int = SLICE_BYTES) -> Iterator[pa.Record
             yield batch.slice(start, end - start)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows of df, written once to the shared checkpoint folder, so that a lost executor never forces a recomputation.
-
-    The folder is the session's ``spark.checkpoint.dir``; where none is set (tests), one in the warehouse is used.
-    """
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or f"{df.sparkSession.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
-    return df.checkpoint()
-
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared checkpoint folder, for a table that is written once and read several times."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
-    return f"{folder}/{name}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as Parquet into the shared folder and reads it back: cheap columnar reuse, and no lineage."""
-    spark = df.sparkSession
-    path = shared_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def in_arrow(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """df.mapInArrow, a slice of bounded size at a time."""
 

@@ -1,43 +1,13 @@
-"""Connected components by alternating large-star and small-star contractions, and groups of bounded size for verification."""
+"""Groups of bounded size for verification; the components of the links are those of the linkage operators."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from probalink.llm.common import stored
+from probalink.operators.graph import connected_components, with_minimum
 
-MOST_ROUNDS = 60
-
-
-def with_minimum(edges: DataFrame) -> DataFrame:
-    """Each edge (u, v) with the smallest v of its u. Aggregated before the join, whose hot keys adaptive execution splits."""
-    return edges.join(edges.groupBy("u").agg(F.min("v").alias("m")), "u")
-
-
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, component) of every node of an edge table: the smallest node that it reaches.
-
-    Edges may be empty, repeated, in either direction or from a node to itself; edges with a null end link nothing. Each round is
-    written to the shared folder; the number of rounds grows with the logarithm of the longest path. Nothing is collected but the
-    count and a checksum of a round's edges. Raises if it doesn't converge.
-    """
-    given = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u IS NOT NULL AND v IS NOT NULL")
-    current = stored(given.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct(), "edges")
-    state = None
-    for _ in range(MOST_ROUNDS):
-        summed = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-        now = current.agg(F.count("*"), summed).first()
-        if now == state or not now[0]:
-            nodes = current.select(F.col("u").alias("node"), F.col("v").alias("component"))
-            return nodes.union(current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
-        state = now
-        both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = with_minimum(both).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
-        down = with_minimum(large)
-        small = down.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(down.select("u", F.col("m").alias("v"))).distinct()
-        current = stored(small, "edges")
-    raise RuntimeError(f"components did not converge in {MOST_ROUNDS} rounds")
+__all__ = ["buckets", "connected_components", "with_minimum"]
 
 
 def buckets(keyed: DataFrame, key: str, member: str, most: int) -> tuple[DataFrame, DataFrame]:

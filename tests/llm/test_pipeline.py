@@ -37,6 +37,7 @@ def test_sql_of_this_subpackage(spark):
         df, other = queries.QUERIES[name](spark, sf), connection.sql(sql)
         columns = sorted(df.columns)
         assert columns == sorted(other.columns)
-        found = [repr([r[c] for c in columns]) for r in df.collect()]
-        expected = [repr([r[other.columns.index(c)] for c in columns]) for r in other.fetchall()]
+        plain = lambda v: round(v, 9) if isinstance(v, float) else v
+        found = [repr([plain(r[c]) for c in columns]) for r in df.collect()]
+        expected = [repr([plain(r[other.columns.index(c)]) for c in columns]) for r in other.fetchall()]
         assert sorted(found) == sorted(expected), name
