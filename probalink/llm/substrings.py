@@ -22,8 +22,9 @@ from probalink.llm.components import buckets, connected_components
 
 SHINGLE = 5
 BANDS, ROWS = 16, 4
-#: Contents of a bucket that are compared in one list; larger buckets are compared block by block.
-MOST = 64
+#: Contents of a bucket that are compared in one list; larger buckets are compared block by block, so that a content of a bucket of n
+#: goes to n / MOST lists.
+MOST = 1024
 
 
 def multipliers(count: int, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -96,24 +97,19 @@ def paragraphs(df: DataFrame, least: int, id_col: str, text_col: str) -> DataFra
 
 
 def similar_links(members: list[str], texts: list[str], similarity: float) -> list[tuple[str, str]]:
-    """Pairs that connect all members whose Jaccard similarity is at least `similarity`."""
+    """Pairs that connect all members whose Jaccard similarity is at least `similarity`. Members that are connected already aren't
+    compared again, so a group of copies takes about as many comparisons as it has members."""
     sets = [set(shingles(t.encode().split())) for t in texts]
-    group = list(range(len(members)))
-
-    def root(k: int) -> int:
-        while group[k] != k:
-            group[k] = group[group[k]]
-            k = group[k]
-        return k
-
-    links = []
-    for i in range(len(members)):
-        for j in range(i):
-            if root(i) != root(j):
-                small, large = sorted((len(sets[i]), len(sets[j])))
-                if small >= similarity * large and len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]):
-                    group[root(i)] = root(j)
-                    links.append((members[i], members[j]))
+    group, links = np.arange(len(members)), []
+    for i, own in enumerate(sets):
+        others = np.flatnonzero(group[:i] != group[i])
+        while len(others):
+            j, others = int(others[0]), others[1:]
+            small, large = sorted((len(own), len(sets[j])))
+            if small >= similarity * large and len(own & sets[j]) >= similarity * len(own | sets[j]):
+                links.append((members[i], members[j]))
+                group[group == group[j]] = group[i]
+                others = others[group[others] != group[i]]
     return links
 
 
