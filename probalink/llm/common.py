@@ -14,7 +14,7 @@ from probalink.sources.storage import stored
 
 __all__ = ["SLICE_BYTES", "SPACE", "in_arrow", "slices", "stored", "table", "text_of"]
 
-#: Bytes of strings that a Python operator handles at once: bounds its memory when texts are long.
+#: Bytes of strings and lists that a Python operator handles at once: bounds its memory when texts are long.
 SLICE_BYTES = 2_000_000
 #: The ASCII white space that separates words.
 SPACE = r"\x20\x09-\x0D"
@@ -30,11 +30,13 @@ def text_of(column: str) -> Column:
 
 
 def slices(batch: pa.RecordBatch, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """A batch in parts of about most bytes of its strings, a row at least."""
+    """A batch in parts of about most bytes of its strings and lists, a row at least."""
     size = np.zeros(batch.num_rows, np.int64)
     for column in batch.columns:
         if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
             size += np.asarray(pc.fill_null(pc.binary_length(column), 0), np.int64)
+        elif pa.types.is_list(column.type):
+            size += 8 * np.asarray(pc.fill_null(pc.list_value_length(column), 0), np.int64)
     part = np.cumsum(size) // most
     starts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for start, end in zip(starts, starts[1:]):
