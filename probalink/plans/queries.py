@@ -87,7 +87,7 @@ def record_keys_l1_l8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return master.select(names).unionByName(incoming.select(names))
 
 
-@query(r"SELECT page_id, nullif(regexp_extract(regexp_extract(lower(url), '^(https?://)?([^@/]*@)?(www\.)?([^/]+)', 4), '[^.]+\.(co\.uk|[^.]+)$'), '') AS domain_root FROM pages")
+@query(f"SELECT page_id, {s.domain_sql('url')} AS domain_root FROM pages")
 def domain_root_l6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.table(spark, sf_dir, "pages").select("page_id", normalize.domain_root(F.col("url")).alias("domain_root"))
 
@@ -248,10 +248,10 @@ def filters_p1_p5_p6_p7_p8_p9_j13(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 @query("""SELECT s_suppkey, s_name, n_name, r_name, c.n AS customers, o.total FROM supplier JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey AND r_name <> 'ASIA'
-LEFT JOIN (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY c_nationkey) c ON c_nationkey = s_nationkey CROSS JOIN (SELECT count(*) AS total FROM orders) o WHERE s_suppkey NOT IN (SELECT l_suppkey FROM lineitem WHERE l_quantity > 49 AND l_suppkey IS NOT NULL)""")
+LEFT JOIN (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY c_nationkey) c ON c_nationkey = s_nationkey CROSS JOIN (SELECT count(*) AS total FROM orders) o WHERE s_suppkey NOT IN (SELECT l_suppkey FROM lineitem WHERE l_quantity > 49 AND l_discount > 0.095 AND l_tax > 0.075 AND l_suppkey IS NOT NULL)""")
 def joins_j4_j5_j7_j12_j14_j15(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = lambda n: s.table(spark, sf_dir, n)
-    large = x("lineitem").where("l_quantity > 49").select("l_suppkey").distinct()
+    large = x("lineitem").where("l_quantity > 49 AND l_discount > 0.095 AND l_tax > 0.075").select("l_suppkey").distinct()
     regions = x("region").where("r_name <> 'ASIA'").select("r_regionkey", "r_name")
     counts = x("customer").groupBy("c_nationkey").agg(F.count("*").alias("customers"))
     rows = x("supplier").join(large, F.col("s_suppkey") == F.col("l_suppkey"), "left_anti").join(x("nation"), F.col("s_nationkey") == F.col("n_nationkey"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from probalink.functions.normalize import LEGAL_WORDS
 from probalink.operators import linkage
 
 
@@ -70,6 +71,13 @@ def keys(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return linkage.with_keys(master(spark, sf_dir), linkage.MASTER), linkage.with_keys(incoming(spark, sf_dir), linkage.INCOMING)
 
 
+def domain_sql(address: str) -> str:
+    """The registered domain, by the host's labels."""
+    host = f"regexp_replace(list_last(string_split(split_part(regexp_replace(lower({address}), '^https?://', ''), '/', 1), '@')), '^www[.]', '')"
+    labels = f"string_split({host}, '.')"
+    return f"CASE WHEN len({labels}) > 1 THEN array_to_string(list_slice({labels}, CASE WHEN {host} LIKE '%.co.uk' THEN -3 ELSE -2 END, -1), '.') END"
+
+
 #: Parts of one WITH clause, in order.
 CTES = {
     "master": """SELECT lpad(CAST(s_suppkey AS VARCHAR), 9, '0') AS company_number, replace(n_name, '_', '') || ' ' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0') || ' Ltd.' AS company_name,
@@ -83,12 +91,11 @@ CTES = {
     "named": """SELECT company_number AS id, company_name AS name, address_line1 AS first_line, address_line1 || ', ' || post_town AS full_address, country, website, vat_id, 1 AS side FROM master
   UNION ALL SELECT incoming_id, record_name, address, address, country, website, vat_id, 0 FROM incoming""",
     "keyed": r"""SELECT *, nullif(split_part(name_norm, ' ', 1), '') AS name_token1 FROM (SELECT *,
-  nullif(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(upper(name), '&', ' AND '), '[.'']', '', 'g'), '[^\p{L}\p{N}]+', ' ', 'g'),
-    '\b(LIMITED|LTD|PLC|LLP|LP|CIC|CO|COMPANY|THE|UK|GMBH|AG|SA|SAS|SARL|SL|SRL|BV|NV)\b', '', 'g'), ' +', ' ', 'g')), '') AS name_norm,
+  nullif(array_to_string(list_filter(string_split(regexp_replace(translate(replace(upper(name), '&', ' AND '), '.''', ''), '[^\p{L}\p{N}]', ' ', 'g'), ' '), lambda w: w NOT IN ('', {legal})), ' '), '') AS name_norm,
   nullif(regexp_extract(upper(first_line), '\b[A-Z]{1,2}[0-9][A-Z0-9]? ?[0-9][A-Z]{2}\b'), '') AS postcode_norm,
   nullif(substr(regexp_replace(upper(first_line), '[^A-Z0-9]', '', 'g'), 1, 12), '') AS address_key,
   nullif(regexp_replace(vat_id, '[^0-9]', '', 'g'), '') AS vat_digits,
-  nullif(regexp_extract(regexp_extract(lower(website), '^(https?://)?([^@/]*@)?(www\.)?([^/]+)', 4), '[^.]+\.(co\.uk|[^.]+)$'), '') AS domain_root FROM named)""",
+  {domain} AS domain_root FROM named)""",
     "k0": "SELECT * FROM keyed WHERE side = 0",
     "k1": "SELECT * FROM keyed WHERE side = 1",
     "blocks": "\n  UNION ".join(
@@ -128,6 +135,9 @@ CTES = {
 }
 
 
+CTES["keyed"] = CTES["keyed"].replace("{legal}", ", ".join(f"'{w}'" for w in LEGAL_WORDS)).replace("{domain}", domain_sql("website"))
+
+
 def with_ctes(last: str, select: str) -> str:
     """select over the parts up to `last`."""
     names = list(CTES)
