@@ -43,12 +43,12 @@ SCORED_SQL = f"SELECT *, {share_sql(f"'{QUESTION}'", 'id_invoice', 'service', 'c
 
 @query(f"SELECT * FROM ({SCORED_SQL}) WHERE p_true >= 0.5")
 def classify_rows_u3_u11_p2_o1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decide.classify_rows(s.invoices(spark, sf_dir), QUESTION, INVOICE_MODEL)
+    return decide.classify_rows(s.invoices(spark, sf_dir), QUESTION, INVOICE_MODEL, instances=spark.sparkContext.defaultParallelism)
 
 
 @query(f"SELECT country, count(*) AS n, avg(p_true) AS mean_p, count(CASE WHEN p_true >= 0.5 THEN 1 END) AS likely FROM ({SCORED_SQL}) GROUP BY country")
 def score_rows_u3_a1_a3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = decide.distinct_scored(s.invoices(spark, sf_dir), QUESTION, INVOICE_MODEL, ("id_invoice", "service", "country", "client"), state=InvoiceKey())
+    scored = decide.distinct_scored(s.invoices(spark, sf_dir), QUESTION, INVOICE_MODEL, ("id_invoice", "service", "country", "client"), state=InvoiceKey(), instances=spark.sparkContext.defaultParallelism)
     return scored.groupBy("country").agg(F.count("*").alias("n"), F.avg("p_true").alias("mean_p"), F.count(F.when(F.col("p_true") >= 0.5, 1)).alias("likely"))
 
 
