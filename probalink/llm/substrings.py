@@ -3,7 +3,8 @@
 A paragraph is a line of a text with `least` words or more. Equal paragraphs (of the same lower-cased words) are one content, and
 contents are compared by MinHash over their five-word shingles: BANDS bands of ROWS rows each, by which a pair of similarity 0.8 shares a
 bucket with probability 0.9998. Contents that collide are verified by their exact Jaccard similarity, and the links' connected components
-are the classes of which all but the first occurrence go.
+are the classes of which all but the first occurrence go. Passages inside lines that differ otherwise, or across lines, are no
+paragraphs; `passages` finds them.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from probalink.llm.common import slices, stored, text_of
 from probalink.llm.components import buckets, connected_components
+from probalink.llm.passages import shared_passages, without
 
 SHINGLE = 5
 BANDS, ROWS = 16, 4
@@ -87,16 +89,16 @@ def paragraphs(df: DataFrame, least: int, id_col: str, text_col: str) -> DataFra
                 keys = bands(own)
                 columns = [batch.column(0).take(pa.array(of)), batch.column(1).take(pa.array(of)), *(pa.array(x, pa.int32()) for x in zip(*places))]
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, BANDS), pa.int32()), pa.array(keys.ravel()))
-                columns += [pa.array([xxhash.xxh3_128_hexdigest(j) for j in joined]), pa.array([j.decode() for j in joined]), lists]
+                columns += [pa.array([xxhash.xxh3_128_digest(j) for j in joined]), pa.array([j.decode() for j in joined]), lists]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     kind = df.schema[id_col].dataType.simpleString()
-    schema = f"`{id_col}` {kind}, __key long, line int, start int, end int, n_words int, content string, words string, bands array<long>"
+    schema = f"`{id_col}` {kind}, __key long, line int, start int, end int, n_words int, content binary, words string, bands array<long>"
     text = text_of(text_col)
     return df.select(F.col(id_col), F.xxhash64(text).alias("__key"), text.alias("__text")).mapInArrow(run, schema)
 
 
-def similar_links(members: list[str], texts: list[str], similarity: float) -> list[tuple[str, str]]:
+def similar_links(members: list[bytes], texts: list[str], similarity: float) -> list[tuple[bytes, bytes]]:
     """Pairs that connect all members whose Jaccard similarity is at least `similarity`. Members that are connected already aren't
     compared again, so a group of copies takes about as many comparisons as it has members."""
     sets = [set(shingles(t.encode().split())) for t in texts]
@@ -135,16 +137,18 @@ def content_links(contents: DataFrame, found: DataFrame, similarity: float) -> D
             for own in batch.column(0):
                 own = sorted((m["content"], m["words"]) for m in own.as_py())
                 links += similar_links([c for c, _ in own], [w for _, w in own], similarity)
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.string()) for k in (0, 1)], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.binary()) for k in (0, 1)], ["a", "b"])
 
-    return rows.select("own").mapInArrow(verify, "a string, b string").distinct()
+    return rows.select("own").mapInArrow(verify, "a binary, b binary").distinct()
 
 
 def repeats(df: DataFrame, least: int = 50, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, line, start, end, n_words, kept_id, kept_start, class, __key) of every paragraph to remove.
+    """(id, line, start, end, n_words, kept_id, kept_start, class, __key) of every paragraph and shared passage to remove.
 
-    Of each class of paragraphs the occurrence of the smallest id, and there the first, stays (ids that are null come last). Null and
-    empty texts have no paragraphs. Rows that repeat an id and a text are one document. An empty table gives an empty result.
+    Of each class of paragraphs the occurrence of the smallest id, and there the first, stays (ids that are null come last). A passage
+    of `least` words or more that an earlier document has too is always found, however it lies in its lines; its line is null, and it
+    may overlap paragraphs. Null and empty texts have no paragraphs. Rows that repeat an id and a text are one document. An empty table
+    gives an empty result.
     """
     found = stored(paragraphs(df, least, id_col, text_col), "paragraphs")
     places = found.select(id_col, "__key", "line", "start", "end", "n_words", "content", F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("__key").alias("key"), "start").alias("place"))
@@ -155,16 +159,17 @@ def repeats(df: DataFrame, least: int = 50, similarity: float = 0.8, id_col: str
     several = classes.groupBy("class").agg(F.min("first").alias("keep"), F.max("last").alias("last")).where("keep != last")
     several = classes.select("content", "class").join(several.select("class", "keep"), "class")
     gone = places.join(several, "content").where("place != keep")
-    return gone.select(id_col, "line", "start", "end", "n_words", F.col("keep.id").alias("kept_id"), F.col("keep.start").alias("kept_start"), "class", "__key").distinct()
+    gone = gone.select(id_col, "line", "start", "end", "n_words", F.col("keep.id").alias("kept_id"), F.col("keep.start").alias("kept_start"), F.lower(F.hex("class")).alias("class"), "__key").distinct()
+    return gone.union(shared_passages(df, least, id_col, text_col))
 
 
 def cleaned(df: DataFrame, least: int = 50, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
-    """df without the paragraphs that `repeats` finds; texts that lose none stay as they are. length_col is set where a text changes."""
-    gone = repeats(df, least, similarity, id_col, text_col).groupBy(F.col(id_col).alias("__id"), F.col("__key").alias("__hash")).agg(F.collect_set("line").alias("__gone"))
+    """df without what `repeats` finds; texts that lose nothing stay as they are. length_col is set where a text changes."""
+    spans = F.collect_set(F.struct("start", "end"))
+    gone = repeats(df, least, similarity, id_col, text_col).groupBy(F.col(id_col).alias("__id"), F.col("__key").alias("__hash")).agg(spans.alias("__gone"))
     key: Column = F.xxhash64(text_of(text_col))
     rows = df.join(gone, df[id_col].eqNullSafe(gone["__id"]) & (key == gone["__hash"]), "left")
-    left = F.array_join(F.filter(F.split(F.col(text_col), "\n", -1), lambda line, i: ~F.array_contains("__gone", i)), "\n")
-    rows = rows.withColumn("__text", F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(left))
+    rows = rows.withColumn("__text", without(F.col(text_col), F.col("__gone.start"), F.col("__gone.end")))
     columns = {n: F.col(n) for n in df.columns} | {text_col: F.col("__text").alias(text_col)}
     if length_col in columns:
         columns[length_col] = F.when(F.col("__gone").isNull(), F.col(length_col)).otherwise(F.length("__text")).cast(df.schema[length_col].dataType).alias(length_col)

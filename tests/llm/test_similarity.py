@@ -102,7 +102,7 @@ def test_op6_repeats(spark, monkeypatch):
     df = clashing(documents(spark, rows))
     for most in (64, 3):
         monkeypatch.setattr(substrings, "MOST", most)
-        found = substrings.repeats(df).collect()
+        found = substrings.repeats(df).where("line IS NOT NULL").collect()
         gone = {(r.doc_id, r.line) for r in found}
         assert {g for g in gone if g[0] < 30} == {(21, 0), (22, 1), (24, 0)} and {r.kept_id for r in found if r.doc_id < 30} == {20}
         copies = {30 + k: set(substrings.shingles(t.encode().split())) for k, t in enumerate(near_copies("n", 20, 100))}
@@ -114,6 +114,51 @@ def test_op6_repeats(spark, monkeypatch):
     assert substrings.repeats(documents(spark, [])).count() == 0
 
 
+def shared_later(texts, least):
+    """The ids whose text has a run of `least` words that a text of a smaller id has too."""
+    seen, out = {}, set()
+    for i, text in sorted(texts.items()):
+        words = text.lower().split()
+        runs = {tuple(words[k : k + least]) for k in range(len(words) - least + 1)}
+        if any(r in seen for r in runs):
+            out.add(i)
+        seen |= dict.fromkeys(runs, i)
+    return out
+
+
+def test_op6_passages_inside_lines(spark):
+    rng = random.Random(7)
+    prose = lambda n: [f"{rng.choice('abcdé')}{rng.randrange(10**6)}" for _ in range(n)]
+    texts, planted = {}, {}
+    for g in range(60):
+        passage = prose(rng.choice((50, 51, 60, 90)))
+        for k in range(rng.randint(2, 4)):
+            words = prose(rng.randrange(80)) + passage + prose(rng.randrange(80))
+            texts[len(texts)] = "".join(w + rng.choice((" ", " ", " ", "\n", "  ")) for w in words)
+            planted.setdefault(g, []).append(len(texts) - 1)
+    short = prose(49)  # just too short
+    for _ in range(6):
+        texts[len(texts)] = " ".join(prose(60) + short + prose(60))
+    rows = [*((1000 + (i or 0), t) for i, t in ODD), *texts.items(), *texts.items()]
+    df = clashing(documents(spark, rows))
+    found = [r for r in substrings.repeats(df).collect() if r.doc_id < 1000]
+    assert {r.doc_id for r in found} == shared_later(texts, 50) == {i for own in planted.values() for i in own[1:]}
+    assert all(r.kept_id < r.doc_id for r in found)
+    for r in found:
+        part = texts[r.doc_id][r.start : r.end]
+        assert len(part.split()) == r.n_words >= 34 and " ".join(part.split()) in " ".join(texts[r.kept_id].split())
+    clean = {r.doc_id: r.text for r in substrings.cleaned(df).collect()}
+    assert not shared_later({i: clean[i] for i in texts}, 50)
+    assert all(clean[i] == texts[i] for i in set(texts) - {r.doc_id for r in found})
+
+
+def test_op6_cut():
+    from probalink.llm.passages import cut
+
+    assert cut("a\nb\nc", [(2, 3)]) == "a\nc" and cut("a\nb\nc", [(4, 5), (2, 3)]) == "a" and cut("a\nb", [(0, 1)]) == "b"
+    assert cut("a b\nc", [(2, 3)]) == "a\nc" and cut("a", [(0, 1)]) == "" and cut("a b c d", [(2, 5), (4, 5)]) == "a d"
+
+
 def test_op7_audit_and_files(spark, tmp_path):
     rows = [(k, f"http://h/{k}", f"<p>é {k}</p>\r\n\r\n" * (k % 5)) for k in range(300)] + [(None, None, None), (None, "u", "x"), (5, "http://h/5", "again"), (6, None, None)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
