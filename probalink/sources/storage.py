@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Has Spark remove a write's shuffle files when it ends: what is read again is the written table.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the session's spark.checkpoint.dir, or in its warehouse where that isn't set (as in tests)."""
@@ -13,8 +18,29 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, path: str) -> DataFrame:
+    """df, written as Parquet to path and read back; the shuffles of the write go when it ends."""
+    spark = df.sparkSession
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.select("*").write.parquet(path)  # a plan made under this setting
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df, written as Parquet to a fresh shared path and read back: computed once, and without lineage to repeat."""
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return written(df, shared_path(df.sparkSession, name))
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Gives a function like `stored`, whose tables are deleted when the block ends: nothing lazy may still read them then."""
+    folder = shared_path(spark, name)
+    try:
+        yield lambda df, own: written(df, f"{folder}/{own}")
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
