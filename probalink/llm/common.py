@@ -10,9 +10,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from probalink.sources.storage import stored
+from probalink.sources.storage import scratch, stored
 
-__all__ = ["SLICE_BYTES", "SPACE", "in_arrow", "slices", "stored", "table", "text_of"]
+__all__ = ["SLICE_BYTES", "SPACE", "in_arrow", "scratch", "slices", "stored", "table", "text_of"]
 
 #: Bytes of strings and lists that a Python operator handles at once: bounds its memory when texts are long.
 SLICE_BYTES = 2_000_000

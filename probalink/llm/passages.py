@@ -2,8 +2,8 @@
 
 A text's words are covered by windows of `size` words. Which windows count depends on their words alone: of any `apart` neighbouring
 windows the one of the smallest hash does. Two documents that share a passage of least = size + apart - 1 words therefore choose an
-equal window in it, wherever it stands and whatever surrounds it. Every window comes with its context, a byte for each of the
-apart - 1 words before and after it. A shared passage of `least` words is an equal window with apart - 1 neighbouring equal bytes (two
+equal window in it, wherever it stands and whatever surrounds it. A window has a context, a byte for each of the apart - 1 words before
+and after it. A shared passage of `least` words is an equal window with apart - 1 neighbouring equal bytes (two
 different words have the same byte once in 255).
 """
 
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from probalink.llm.common import slices, stored, text_of
+from probalink.llm.common import scratch, slices, stored, text_of
 
 #: An odd multiplier of the words' hashes in a window's.
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -44,47 +44,48 @@ def chosen(hashes: np.ndarray, apart: int) -> np.ndarray:
     return np.unique(place)
 
 
-def windows_of(text: str, size: int, apart: int) -> tuple[np.ndarray, ...]:
-    """(first word, start, end, hash, context) of a text's chosen windows; start and end in code points. Bytes of a context that lie
-    outside the text are 0."""
+def windows_of(text: str, size: int, apart: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
+    """(hashes, first words, starts, ends) of a text's chosen windows, starts and ends in code points, and a byte for each of its words
+    between apart - 1 zeros on both sides."""
     data = text.encode()
     words = data.lower().split()
     if len(words) < size + apart - 1:
-        return *(np.zeros(0, np.int64) for _ in range(4)), np.zeros((0, 2 * apart - 2), np.uint8)
+        return *(np.zeros(0, np.int64) for _ in range(4)), b""
     own = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
     total = np.zeros(len(words) - size + 1, np.uint64)
     for k in range(size):
         total = total * FACTOR + own[k : k + len(total)]
     total = (total ^ total >> np.uint64(31)) * FACTOR
     at = chosen(total, apart)
-    around = np.zeros(len(words) + 2 * apart - 2, np.uint8)
-    around[apart - 1 : apart - 1 + len(words)] = own % np.uint64(255) + np.uint64(1)
-    near = np.concatenate((np.arange(apart - 1), np.arange(apart - 1) + apart - 1 + size))
     letters = np.frombuffer(data, np.uint8)
     inside = ~((letters == 32) | ((letters >= 9) & (letters <= 13)))
     edges = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False])).view(np.int8)))
     points = np.concatenate(([0], np.cumsum((letters & 0xC0) != 0x80)))
-    return at, points[edges[::2][at]], points[edges[1::2][at + size - 1]], total[at].view(np.int64), around[at[:, None] + near]
+    pad = bytes(apart - 1)
+    letters_of = (own % np.uint64(255) + np.uint64(1)).astype(np.uint8).tobytes()
+    return total[at].view(np.int64), at, points[edges[::2][at]], points[edges[1::2][at + size - 1]], pad + letters_of + pad
 
 
 def windows(df: DataFrame, least: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, __key, word, start, end, window, context): the chosen windows of every document."""
-    names = [id_col, "__key", "word", "start", "end", "window", "context"]
-    types = [pa.int32(), pa.int32(), pa.int32(), pa.int64()]
+    """(id, __key, windows, words, starts, ends, around): the chosen windows of every document of `least` words or more."""
+    names = [id_col, "__key", "windows", "words", "starts", "ends", "around"]
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int32()]
     size, apart = window_size(least)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole):
                 found = [windows_of(text.as_py(), size, apart) for text in batch.column(2)]
-                of = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
-                columns = [pa.array(np.concatenate([f[k] for f in found]), t) for k, t in enumerate(types)]
-                columns.append(pa.array([row.tobytes() for f in found for row in f[4]], pa.binary()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(of), batch.column(1).take(of), *columns], names)
+                own = [k for k, f in enumerate(found) if len(f[0])]
+                if own:
+                    ends = pa.array(np.cumsum([0, *(len(found[k][0]) for k in own)]), pa.int32())
+                    lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate([found[k][c] for k in own]), t)) for c, t in enumerate(types)]
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(own)), batch.column(1).take(pa.array(own)), *lists, pa.array([found[k][4] for k in own])], names)
 
     kind = df.schema[id_col].dataType.simpleString()
     text = text_of(text_col)
-    return df.select(F.col(id_col), F.xxhash64(text).alias("__key"), text.alias("__text")).mapInArrow(run, f"`{id_col}` {kind}, __key long, word int, start int, end int, window long, context binary")
+    schema = f"`{id_col}` {kind}, __key long, windows array<long>, words array<int>, starts array<int>, ends array<int>, around binary"
+    return df.select(F.col(id_col), F.xxhash64(text).alias("__key"), text.alias("__text")).mapInArrow(run, schema)
 
 
 def shared_passages(df: DataFrame, least: int, id_col: str, text_col: str) -> DataFrame:
@@ -92,31 +93,46 @@ def shared_passages(df: DataFrame, least: int, id_col: str, text_col: str) -> Da
     passages of `least` words that an earlier one has too (of a smaller id; null ids come last). line is null; kept_id and kept_start
     are the earliest place of the first window. Up to apart - 1 words at either end of a passage may lie outside its stretch.
 
-    Windows are counted before anything else is shuffled, so only those that two rows share take part in the joins, and equal windows
-    of equal contexts are one row before passages are compared.
+    A window is compared with the earliest document that has it, and with all whose context is the same: a passage of which the
+    earliest holder of its windows has less than `least` words is missed unless its context is repeated too.
+
+    Windows are counted by their hashes alone; places and contexts follow only of those that two rows share. Equal windows of equal
+    contexts are one row before contexts are compared.
     """
     size, apart = window_size(least)
-    found = stored(windows(df, least, id_col, text_col), "windows")
-    several = found.groupBy("window").agg(F.count("*").alias("__n")).where("__n > 1").select("window")
-    rows = found.join(several, "window").withColumn("place", F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("__key").alias("key")))
-    rows = stored(rows, "shared")
-    contexts = stored(rows.groupBy("window", "context").agg(F.min(F.struct("place", "start")).alias("first"), F.max("place").alias("last")), "contexts")
-    part = F.substring("context", F.col("__at") + 1, F.lit(apart - 1))
-    grams = contexts.withColumn("__at", F.explode(F.sequence(F.lit(0), F.lit(apart - 1)))).withColumn("__part", part)
-    grams = grams.where((F.substring("__part", 1, 1) != F.lit(b"\0")) & (F.substring("__part", -1, 1) != F.lit(b"\0")))
-    firsts = grams.groupBy("window", "__at", "__part").agg(F.min("first").alias("keep"), F.max("last").alias("__last")).where("keep.place != __last")
-    keeps = grams.select("window", "context", "__at", "__part").join(firsts, ["window", "__at", "__part"]).groupBy("window", "context").agg(F.min("keep").alias("keep"))
-    later = rows.join(keeps, ["window", "context"]).where("place != keep.place")
-    document = Window.partitionBy(id_col, "__key").orderBy("word")
-    before = F.lag("word").over(document)
-    later = later.withColumn("__new", (before.isNull() | (F.col("word") > before + size)).cast("int"))
-    later = later.withColumn("__run", F.sum("__new").over(document.rowsBetween(Window.unboundedPreceding, 0)))
-    origin = F.struct("word", F.col("keep.place.id").alias("id"), F.col("keep.start").alias("start"), F.lower(F.lpad(F.hex("window"), 16, "0")).alias("class"))
-    runs = later.groupBy(id_col, "__key", "__run").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), (F.max("word") - F.min("word") + size).cast("int").alias("n_words"), F.min(origin).alias("__origin")
-    )
-    kept = [F.col("__origin.id").alias("kept_id"), F.col("__origin.start").alias("kept_start"), F.col("__origin.class").alias("class")]
-    return runs.select(id_col, F.lit(None).cast("int").alias("line"), "start", "end", "n_words", *kept, "__key")
+    with scratch(df.sparkSession, "passages") as keep:
+        texts = keep(windows(df, least, id_col, text_col), "texts")
+        each = texts.select(id_col, "__key", F.posexplode("windows").alias("__at", "window"))
+        several = each.groupBy("window").agg(F.count("*").alias("__n")).where("__n > 1").select("window")
+        hits = keep(each.join(several, "window", "left_semi").select(F.col(id_col).alias("__id"), F.col("__key").alias("__of"), "__at"), "hits")
+        lists = hits.groupBy("__id", "__of").agg(F.collect_set("__at").alias("__ats"))
+        own = texts.join(lists, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__of"))).withColumn("__at", F.explode("__ats"))
+        value = lambda name: F.get(F.col(name), F.col("__at"))
+        word = value("words")
+        context = F.concat(F.substring("around", word + 1, F.lit(apart - 1)), F.substring("around", word + size + apart, F.lit(apart - 1)))
+        place = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("__key").alias("key"))
+        rows = own.select(id_col, "__key", word.alias("word"), value("starts").alias("start"), value("ends").alias("end"), value("windows").alias("window"), context.alias("context"))
+        rows = keep(rows, "rows").withColumn("place", place)
+        contexts = keep(rows.groupBy("window", "context").agg(F.min(F.struct("place", "start")).alias("first"), F.max("place").alias("last")), "contexts")
+        earliest = contexts.groupBy("window").agg(F.min(F.struct("first", F.col("context").alias("other"))).alias("__e"))
+        part = lambda name, k: F.substring(F.col(name), k + 1, apart - 1)
+        same = F.lit(False)
+        for k in range(apart):  # a passage may begin k words into the context; bytes of words beyond the text are 0
+            whole = (F.substring("context", k + 1, 1) != F.lit(b"\0")) & (F.substring("context", k + apart - 1, 1) != F.lit(b"\0"))
+            same = same | ((part("context", k) == part("__e.other", k)) & whole)
+        keeps = contexts.join(earliest, "window").withColumn("keep", F.when(same, F.col("__e.first")).otherwise(F.col("first")))
+        keeps = keep(keeps.where("keep.place != last").select("window", "context", "keep"), "keeps")
+        later = rows.join(keeps, ["window", "context"]).where("place != keep.place")
+        document = Window.partitionBy(id_col, "__key").orderBy("word")
+        before = F.lag("word").over(document)
+        later = later.withColumn("__new", (before.isNull() | (F.col("word") > before + size)).cast("int"))
+        later = later.withColumn("__run", F.sum("__new").over(document.rowsBetween(Window.unboundedPreceding, 0)))
+        origin = F.struct("word", F.col("keep.place.id").alias("id"), F.col("keep.start").alias("start"), F.lower(F.lpad(F.hex("window"), 16, "0")).alias("class"))
+        runs = later.groupBy(id_col, "__key", "__run").agg(
+            F.min("start").alias("start"), F.max("end").alias("end"), (F.max("word") - F.min("word") + size).cast("int").alias("n_words"), F.min(origin).alias("__origin")
+        )
+        kept = [F.col("__origin.id").alias("kept_id"), F.col("__origin.start").alias("kept_start"), F.col("__origin.class").alias("class")]
+        return stored(runs.select(id_col, F.lit(None).cast("int").alias("line"), "start", "end", "n_words", *kept, "__key"), "runs")
 
 
 def cut(text: str, spans: list[tuple[int, int]]) -> str:

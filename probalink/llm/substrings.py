@@ -146,10 +146,11 @@ def repeats(df: DataFrame, least: int = 50, similarity: float = 0.8, id_col: str
     """(id, line, start, end, n_words, kept_id, kept_start, class, __key) of every paragraph and shared passage to remove.
 
     Of each class of paragraphs the occurrence of the smallest id, and there the first, stays (ids that are null come last). A passage
-    of `least` words or more that an earlier document has too is always found, however it lies in its lines; its line is null, and it
-    may overlap paragraphs. Null and empty texts have no paragraphs. Rows that repeat an id and a text are one document. An empty table
+    of `least` words or more that an earlier document has too is found however it lies in its lines (see `shared_passages`); its line
+    is null, and it may overlap paragraphs. Null and empty texts have no paragraphs. Rows that repeat an id and a text are one document. An empty table
     gives an empty result.
     """
+    passages = shared_passages(df, least, id_col, text_col)
     found = stored(paragraphs(df, least, id_col, text_col), "paragraphs")
     places = found.select(id_col, "__key", "line", "start", "end", "n_words", "content", F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("__key").alias("key"), "start").alias("place"))
     contents = stored(found.groupBy("content").agg(F.min("bands").alias("bands")), "contents")
@@ -160,7 +161,7 @@ def repeats(df: DataFrame, least: int = 50, similarity: float = 0.8, id_col: str
     several = classes.select("content", "class").join(several.select("class", "keep"), "class")
     gone = places.join(several, "content").where("place != keep")
     gone = gone.select(id_col, "line", "start", "end", "n_words", F.col("keep.id").alias("kept_id"), F.col("keep.start").alias("kept_start"), F.lower(F.hex("class")).alias("class"), "__key").distinct()
-    return gone.union(shared_passages(df, least, id_col, text_col))
+    return gone.union(passages)
 
 
 def cleaned(df: DataFrame, least: int = 50, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
