@@ -93,8 +93,8 @@ def shared_passages(df: DataFrame, least: int, id_col: str, text_col: str) -> Da
     passages of `least` words that an earlier one has too (of a smaller id; null ids come last). line is null; kept_id and kept_start
     are the earliest place of the first window. Up to apart - 1 words at either end of a passage may lie outside its stretch.
 
-    A window is compared with the earliest document that has it, and with all whose context is the same: a passage of which the
-    earliest holder of its windows has less than `least` words is missed unless its context is repeated too.
+    A window's contexts are compared with that of its earliest place; those that this leaves unmatched are compared with all others of
+    the window, by each of their parts of apart - 1 words.
 
     Windows are counted by their hashes alone; places and contexts follow only of those that two rows share. Equal windows of equal
     contexts are one row before contexts are compared.
@@ -120,7 +120,19 @@ def shared_passages(df: DataFrame, least: int, id_col: str, text_col: str) -> Da
         for k in range(apart):  # a passage may begin k words into the context; bytes of words beyond the text are 0
             whole = (F.substring("context", k + 1, 1) != F.lit(b"\0")) & (F.substring("context", k + apart - 1, 1) != F.lit(b"\0"))
             same = same | ((part("context", k) == part("__e.other", k)) & whole)
-        keeps = contexts.join(earliest, "window").withColumn("keep", F.when(same, F.col("__e.first")).otherwise(F.col("first")))
+        compared = keep(contexts.join(earliest, "window").withColumn("same", same), "compared")
+        # what the earliest place leaves unmatched is compared with all other contexts of its window, whether those matched or not
+        others = compared.where(F.col("context") != F.col("__e.other"))
+        still = others.groupBy("window").agg(F.count("*").alias("__n"), F.bool_or(~F.col("same")).alias("__any")).where("__n > 1 AND __any")
+        others = others.join(still.select("window"), "window").select("window", "context", "first", "same")
+        grams = others.withColumn("__at", F.explode(F.sequence(F.lit(0), F.lit(apart - 1))))
+        grams = grams.withColumn("__part", F.substring(F.col("context"), F.col("__at") + 1, F.lit(apart - 1)))
+        grams = grams.where((F.substring("__part", 1, 1) != F.lit(b"\0")) & (F.substring("__part", -1, 1) != F.lit(b"\0")))
+        parts = grams.groupBy("window", "__at", "__part").agg(F.min("first").alias("keep"), F.count("*").alias("__n")).where("__n > 1").drop("__n")
+        nearer = grams.where("NOT same").select("window", "context", "__at", "__part").join(parts, ["window", "__at", "__part"])
+        nearer = nearer.groupBy("window", "context").agg(F.min("keep").alias("__nearer"))
+        keeps = compared.join(nearer, ["window", "context"], "left")
+        keeps = keeps.withColumn("keep", F.when(F.col("same"), F.col("__e.first")).otherwise(F.coalesce("__nearer", "first")))
         keeps = keep(keeps.where("keep.place != last").select("window", "context", "keep"), "keeps")
         later = rows.join(keeps, ["window", "context"]).where("place != keep.place")
         document = Window.partitionBy(id_col, "__key").orderBy("word")

@@ -152,6 +152,29 @@ def test_op6_passages_inside_lines(spark):
     assert all(clean[i] == texts[i] for i in set(texts) - {r.doc_id for r in found})
 
 
+def test_op6_earlier_fragments_hide_no_passage(spark):
+    rng = random.Random(8)
+    prose = lambda n: [f"{rng.choice('abcd')}{rng.randrange(10**6)}" for _ in range(n)]
+    texts = {}
+    for _ in range(30):  # a fragment, then two of a longer passage that begins or ends with it
+        passage, short = prose(rng.randrange(50, 66)), rng.randrange(34, 50)
+        fragment = passage[:short] if rng.random() < 0.5 else passage[-short:]
+        for part in (fragment, passage, passage):
+            texts[len(texts)] = " ".join(prose(40) + part + prose(40))
+    hidden = {i for i in texts if i % 3 == 2}
+    passage = prose(55)
+    for words in (prose(40) + passage[:40] + prose(60) + passage + prose(40), prose(40) + passage + prose(40)):  # the window twice in one document
+        texts[len(texts)] = " ".join(words)
+    hidden.add(len(texts) - 1)
+    for _ in range(150):  # the second is matched by the first, the third only by the second
+        left, window, right = prose(16), prose(34), prose(16)
+        for before, after in ((left, prose(16)), (left, right), (prose(16), right)):
+            texts[len(texts)] = " ".join(prose(30) + before + window + after + prose(30))
+        hidden |= {len(texts) - 2, len(texts) - 1}
+    found = substrings.repeats(documents(spark, list(texts.items()))).collect()
+    assert {r.doc_id for r in found} == shared_later(texts, 50) == hidden
+
+
 def test_op6_cut():
     from probalink.llm.passages import cut
 
