@@ -2,9 +2,9 @@
 
 A text's words are covered by windows of `size` words. Which windows count depends on their words alone: of any `apart` neighbouring
 windows the one of the smallest hash does. Two documents that share a passage of least = size + apart - 1 words therefore choose an
-equal window in it, wherever it stands and whatever surrounds it. A window has a context, a byte for each of the apart - 1 words before
-and after it. A shared passage of `least` words is an equal window with apart - 1 neighbouring equal bytes (two
-different words have the same byte once in 255).
+equal window in it, wherever it stands and whatever surrounds it. A window has a context, WIDTH bytes for each of the apart - 1 words
+before and after it. A shared passage of `least` words is an equal window with apart - 1 neighbouring words of equal bytes (two
+different words have the same bytes once in 65,535), and it reaches as far as the bytes of the two contexts are equal.
 """
 
 from __future__ import annotations
@@ -23,6 +23,9 @@ from probalink.llm.common import scratch, slices, stored, text_of
 
 #: An odd multiplier of the words' hashes in a window's.
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
+#: Bytes of a context's word; those of words beyond the text are 0.
+WIDTH = 2
+NONE = bytes(WIDTH)
 EDGES = " \t\n\x0b\f\r"
 
 
@@ -44,32 +47,36 @@ def chosen(hashes: np.ndarray, apart: int) -> np.ndarray:
     return np.unique(place)
 
 
-def windows_of(text: str, size: int, apart: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
-    """(hashes, first words, starts, ends) of a text's chosen windows, starts and ends in code points, and a byte for each of its words
-    between apart - 1 zeros on both sides."""
-    data = text.encode()
-    words = data.lower().split()
+def windows_of(text: str, size: int, apart: int) -> tuple[np.ndarray, np.ndarray, bytes]:
+    """(hashes, first words) of a text's chosen windows, and WIDTH bytes for each of its words between apart - 1 empty ones on both
+    sides."""
+    words = text.encode().lower().split()
     if len(words) < size + apart - 1:
-        return *(np.zeros(0, np.int64) for _ in range(4)), b""
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), b""
     own = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
     total = np.zeros(len(words) - size + 1, np.uint64)
     for k in range(size):
         total = total * FACTOR + own[k : k + len(total)]
     total = (total ^ total >> np.uint64(31)) * FACTOR
     at = chosen(total, apart)
-    letters = np.frombuffer(data, np.uint8)
+    pad = NONE * (apart - 1)
+    letters_of = (own % np.uint64(65535) + np.uint64(1)).astype("<u2").tobytes()
+    return total[at].view(np.int64), at, pad + letters_of + pad
+
+
+def word_places(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Where each of a text's words begins and ends, in code points."""
+    letters = np.frombuffer(text.encode(), np.uint8)
     inside = ~((letters == 32) | ((letters >= 9) & (letters <= 13)))
     edges = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False])).view(np.int8)))
     points = np.concatenate(([0], np.cumsum((letters & 0xC0) != 0x80)))
-    pad = bytes(apart - 1)
-    letters_of = (own % np.uint64(255) + np.uint64(1)).astype(np.uint8).tobytes()
-    return total[at].view(np.int64), at, points[edges[::2][at]], points[edges[1::2][at + size - 1]], pad + letters_of + pad
+    return points[edges[::2]], points[edges[1::2]]
 
 
 def windows(df: DataFrame, least: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, __key, windows, words, starts, ends, around): the chosen windows of every document of `least` words or more."""
-    names = [id_col, "__key", "windows", "words", "starts", "ends", "around"]
-    types = [pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+    """(id, __key, windows, words, around): the chosen windows of every document of `least` words or more."""
+    names = [id_col, "__key", "windows", "words", "around"]
+    types = [pa.int64(), pa.int32()]
     size, apart = window_size(least)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,18 +87,39 @@ def windows(df: DataFrame, least: int, id_col: str, text_col: str) -> DataFrame:
                 if own:
                     ends = pa.array(np.cumsum([0, *(len(found[k][0]) for k in own)]), pa.int32())
                     lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate([found[k][c] for k in own]), t)) for c, t in enumerate(types)]
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(own)), batch.column(1).take(pa.array(own)), *lists, pa.array([found[k][4] for k in own])], names)
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(own)), batch.column(1).take(pa.array(own)), *lists, pa.array([found[k][2] for k in own])], names)
 
     kind = df.schema[id_col].dataType.simpleString()
     text = text_of(text_col)
-    schema = f"`{id_col}` {kind}, __key long, windows array<long>, words array<int>, starts array<int>, ends array<int>, around binary"
+    schema = f"`{id_col}` {kind}, __key long, windows array<long>, words array<int>, around binary"
     return df.select(F.col(id_col), F.xxhash64(text).alias("__key"), text.alias("__text")).mapInArrow(run, schema)
 
 
+def places(df: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(__id, __of, __word, __start, __end): where the wanted (__id, __of, __word) begin and end in their texts, in code points."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole):
+                of, found = [], []
+                for k, (text, words) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
+                    starts, ends = word_places(text)
+                    of += [k] * len(words)
+                    found.append(np.array([words, starts[words], ends[words]]))
+                columns = [batch.column(c).take(pa.array(of, pa.int32())) for c in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*columns, *(pa.array(c, pa.int32()) for c in np.concatenate(found, axis=1))], ["__id", "__of", "__word", "__start", "__end"])
+
+    text = text_of(text_col)
+    texts = df.select(F.col(id_col).alias("__doc"), F.xxhash64(text).alias("__hash"), text.alias("__text"))
+    lists = wanted.groupBy("__id", "__of").agg(F.collect_set("__word").alias("__words"))
+    rows = texts.join(lists, F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__of"))).select("__id", "__of", "__text", "__words")
+    return rows.mapInArrow(run, f"__id {df.schema[id_col].dataType.simpleString()}, __of long, __word int, __start int, __end int").distinct()
+
+
 def shared_passages(df: DataFrame, least: int, id_col: str, text_col: str) -> DataFrame:
     """(id, line, start, end, n_words, kept_id, kept_start, class, __key) of the stretches of every document whose windows lie in
     passages of `least` words that an earlier one has too (of a smaller id; null ids come last). line is null; kept_id and kept_start
-    are the earliest place of the first window. Up to apart - 1 words at either end of a passage may lie outside its stretch.
+    are the earliest place of its first passage. A passage reaches as far as its kept occurrence has the same words.
 
     A window's contexts are compared with that of its earliest place; those that this leaves unmatched are compared with all others of
     the window, by each of their parts of apart - 1 words.
@@ -109,42 +137,57 @@ def shared_passages(df: DataFrame, least: int, id_col: str, text_col: str) -> Da
         own = texts.join(lists, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__of"))).withColumn("__at", F.explode("__ats"))
         value = lambda name: F.get(F.col(name), F.col("__at"))
         word = value("words")
-        context = F.concat(F.substring("around", word + 1, F.lit(apart - 1)), F.substring("around", word + size + apart, F.lit(apart - 1)))
+        side = F.lit(WIDTH * (apart - 1))
+        context = F.concat(F.substring("around", word * WIDTH + 1, side), F.substring("around", (word + size + apart - 1) * WIDTH + 1, side))
         place = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("__key").alias("key"))
-        rows = own.select(id_col, "__key", word.alias("word"), value("starts").alias("start"), value("ends").alias("end"), value("windows").alias("window"), context.alias("context"))
+        rows = own.select(id_col, "__key", word.alias("word"), value("windows").alias("window"), context.alias("context"))
         rows = keep(rows, "rows").withColumn("place", place)
-        contexts = keep(rows.groupBy("window", "context").agg(F.min(F.struct("place", "start")).alias("first"), F.max("place").alias("last")), "contexts")
-        earliest = contexts.groupBy("window").agg(F.min(F.struct("first", F.col("context").alias("other"))).alias("__e"))
-        part = lambda name, k: F.substring(F.col(name), k + 1, apart - 1)
+        contexts = rows.groupBy("window", "context").agg(F.min(F.struct("place", "word")).alias("__f"), F.max("place").alias("last"))
+        contexts = keep(contexts.select("window", "context", F.struct("__f.place", "__f.word", "context").alias("first"), "last"), "contexts")
+        earliest = contexts.groupBy("window").agg(F.min("first").alias("__e"))
+        bytes_of = lambda name, k, n: F.substring(F.col(name), k * WIDTH + 1, n * WIDTH)
+        is_word = lambda k: bytes_of("context", k, 1) != F.lit(NONE)
         same = F.lit(False)
-        for k in range(apart):  # a passage may begin k words into the context; bytes of words beyond the text are 0
-            whole = (F.substring("context", k + 1, 1) != F.lit(b"\0")) & (F.substring("context", k + apart - 1, 1) != F.lit(b"\0"))
-            same = same | ((part("context", k) == part("__e.other", k)) & whole)
+        for k in range(apart):  # a passage may begin k words into the context
+            same = same | ((bytes_of("context", k, apart - 1) == bytes_of("__e.context", k, apart - 1)) & is_word(k) & is_word(k + apart - 2))
         compared = keep(contexts.join(earliest, "window").withColumn("same", same), "compared")
         # what the earliest place leaves unmatched is compared with all other contexts of its window, whether those matched or not
-        others = compared.where(F.col("context") != F.col("__e.other"))
+        others = compared.where(F.col("context") != F.col("__e.context"))
         still = others.groupBy("window").agg(F.count("*").alias("__n"), F.bool_or(~F.col("same")).alias("__any")).where("__n > 1 AND __any")
         others = others.join(still.select("window"), "window").select("window", "context", "first", "same")
         grams = others.withColumn("__at", F.explode(F.sequence(F.lit(0), F.lit(apart - 1))))
-        grams = grams.withColumn("__part", F.substring(F.col("context"), F.col("__at") + 1, F.lit(apart - 1)))
-        grams = grams.where((F.substring("__part", 1, 1) != F.lit(b"\0")) & (F.substring("__part", -1, 1) != F.lit(b"\0")))
+        grams = grams.withColumn("__part", F.substring(F.col("context"), F.col("__at") * WIDTH + 1, side))
+        grams = grams.where((F.substring("__part", 1, WIDTH) != F.lit(NONE)) & (F.substring("__part", -WIDTH, WIDTH) != F.lit(NONE)))
         parts = grams.groupBy("window", "__at", "__part").agg(F.min("first").alias("keep"), F.count("*").alias("__n")).where("__n > 1").drop("__n")
         nearer = grams.where("NOT same").select("window", "context", "__at", "__part").join(parts, ["window", "__at", "__part"])
         nearer = nearer.groupBy("window", "context").agg(F.min("keep").alias("__nearer"))
         keeps = compared.join(nearer, ["window", "context"], "left")
-        keeps = keeps.withColumn("keep", F.when(F.col("same"), F.col("__e.first")).otherwise(F.coalesce("__nearer", "first")))
-        keeps = keep(keeps.where("keep.place != last").select("window", "context", "keep"), "keeps")
+        keeps = keeps.withColumn("keep", F.when(F.col("same"), F.col("__e")).otherwise(F.coalesce("__nearer", "first")))
+        before = after = F.lit(0)  # the words beside the window that the kept occurrence has too
+        for k in range(1, apart):
+            before += ((bytes_of("context", apart - 1 - k, k) == bytes_of("keep.context", apart - 1 - k, k)) & is_word(apart - 1 - k)).cast("int")
+            after += ((bytes_of("context", apart - 1, k) == bytes_of("keep.context", apart - 1, k)) & is_word(apart - 2 + k)).cast("int")
+        keeps = keeps.where("keep.place != last").select("window", "context", "keep.place", "keep.word", before.alias("before"), after.alias("after"))
+        keeps = keep(keeps.select("window", "context", F.struct("place", "word").alias("keep"), "before", "after"), "keeps")
         later = rows.join(keeps, ["window", "context"]).where("place != keep.place")
-        document = Window.partitionBy(id_col, "__key").orderBy("word")
-        before = F.lag("word").over(document)
-        later = later.withColumn("__new", (before.isNull() | (F.col("word") > before + size)).cast("int"))
+        later = later.withColumn("from", F.col("word") - F.col("before")).withColumn("to", F.col("word") + size + F.col("after"))
+        document = Window.partitionBy(id_col, "__key").orderBy("from", "to")
+        reached = F.max("to").over(document.rowsBetween(Window.unboundedPreceding, -1))
+        later = later.withColumn("__new", (reached.isNull() | (F.col("from") >= reached)).cast("int"))
         later = later.withColumn("__run", F.sum("__new").over(document.rowsBetween(Window.unboundedPreceding, 0)))
-        origin = F.struct("word", F.col("keep.place.id").alias("id"), F.col("keep.start").alias("start"), F.lower(F.lpad(F.hex("window"), 16, "0")).alias("class"))
-        runs = later.groupBy(id_col, "__key", "__run").agg(
-            F.min("start").alias("start"), F.max("end").alias("end"), (F.max("word") - F.min("word") + size).cast("int").alias("n_words"), F.min(origin).alias("__origin")
-        )
-        kept = [F.col("__origin.id").alias("kept_id"), F.col("__origin.start").alias("kept_start"), F.col("__origin.class").alias("class")]
-        return stored(runs.select(id_col, F.lit(None).cast("int").alias("line"), "start", "end", "n_words", *kept, "__key"), "runs")
+        origin = F.struct("from", F.col("keep.place").alias("place"), (F.col("keep.word") - F.col("before")).alias("word"), F.lower(F.lpad(F.hex("window"), 16, "0")).alias("class"))
+        runs = later.groupBy(id_col, "__key", "__run").agg(F.min("from").alias("from"), F.max("to").alias("to"), F.min(origin).alias("__o"))
+        runs = runs.select(id_col, "__key", "from", (F.col("to") - 1).alias("last"), F.col("__o.place.id").alias("kept_id"), F.col("__o.place.key").alias("__kept"), F.col("__o.word").alias("__first"), F.col("__o.class").alias("class"))
+        runs = keep(runs, "spans")
+        ends = ((id_col, "__key", "from", "__start", "start"), (id_col, "__key", "last", "__end", "end"), ("kept_id", "__kept", "__first", "__start", "kept_start"))
+        wanted = [runs.select(F.col(i).alias("__id"), F.col(key).alias("__of"), F.col(w).alias("__word")) for i, key, w, _, _ in ends]
+        found = keep(places(df, wanted[0].union(wanted[1]).union(wanted[2]).distinct(), id_col, text_col), "places")
+        out = runs
+        for i, key, w, edge, name in ends:
+            own = found.select("__id", "__of", "__word", F.col(edge).alias(name))
+            out = out.join(own, F.col(i).eqNullSafe(F.col("__id")) & (F.col(key) == F.col("__of")) & (F.col(w) == F.col("__word"))).drop("__id", "__of", "__word")
+        n_words = (F.col("last") - F.col("from") + 1).cast("int").alias("n_words")
+        return stored(out.select(id_col, F.lit(None).cast("int").alias("line"), "start", "end", n_words, "kept_id", "kept_start", "class", "__key"), "runs")
 
 
 def cut(text: str, spans: list[tuple[int, int]]) -> str:

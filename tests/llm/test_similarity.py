@@ -175,6 +175,26 @@ def test_op6_earlier_fragments_hide_no_passage(spark):
     assert {r.doc_id for r in found} == shared_later(texts, 50) == hidden
 
 
+def test_op6_passages_go_whole(spark):
+    rng = random.Random(10)
+    prose = lambda n: [f"{rng.choice('abcdé')}{rng.randrange(10**6)}" for _ in range(n)]
+    texts, left, at = {}, {}, {}
+    for _ in range(60):
+        passage = prose(rng.choice((50, 51, 66, 67, 90)))
+        for k in range(3):  # also at the beginning and the end of a text
+            before, after = prose(rng.choice((0, 40))), prose(rng.choice((0, 40)))
+            i = len(texts)
+            texts[i], at[i] = " ".join(before + passage + after), len(" ".join([*before, ""]))
+            left[i] = before + passage + after if k == 0 else before + after
+    df = documents(spark, list(texts.items()))
+    found = [r for r in substrings.repeats(df).collect() if r.line is None]
+    assert {r.doc_id for r in found} == {i for i in texts if i % 3}
+    for r in found:
+        assert (r.start, r.kept_id, r.kept_start) == (at[r.doc_id], r.doc_id - r.doc_id % 3, at[r.doc_id - r.doc_id % 3])
+        assert r.n_words == len(texts[r.doc_id][r.start : r.end].split()) >= 50
+    assert {r.doc_id: r.text.split() for r in substrings.cleaned(df).collect()} == left
+
+
 def test_op6_cut():
     from probalink.llm.passages import cut
 
