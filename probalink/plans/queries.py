@@ -302,3 +302,12 @@ def components_l17_a6_j10(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = s.table(spark, sf_dir, "lineitem").where("l_quantity > 49").select("l_orderkey", "l_suppkey")
     edges = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("a"), F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("b"))
     return graph.connected_components(edges)
+
+
+@query()
+def components_whole_l17_a6_j10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers and suppliers that lines of orders connect, over all orders and lines. Recursive SQL can't afford the whole graph."""
+    orders = s.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    lines = s.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
+    edges = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("a"), F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("b"))
+    return graph.connected_components(edges)
