@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from probalink.llm.common import stored
 
-#: Children of a node, and levels above the records: a file has up to FAN_OUT ** LEVELS records.
+#: Children of a node, and levels above the records. A root has all nodes below it as children: more than FAN_OUT if a file has more
+#: than FAN_OUT ** LEVELS records, as where an id repeats.
 FAN_OUT, LEVELS = 16, 3
 END = "\r\n\r\n"
 
@@ -70,9 +71,14 @@ def leaves(records: DataFrame) -> DataFrame:
     return own.select("file", "page_id", (F.row_number().over(order) - 1).cast("long").alias("number"), before.alias("offset"), "length", "hash")
 
 
-def parents(nodes: DataFrame) -> DataFrame:
+def parent(top: bool) -> Column:
+    """The number of a node's parent, which is the file's root if top."""
+    return F.lit(0).cast("long") if top else F.floor(F.col("number") / FAN_OUT)
+
+
+def parents(nodes: DataFrame, top: bool = False) -> DataFrame:
     """The level above: a node hashes its children's hashes in order and spans their offset ranges."""
-    grouped = nodes.groupBy("file", F.floor(F.col("number") / FAN_OUT).alias("number"))
+    grouped = nodes.withColumn("__parent", parent(top)).groupBy("file", F.col("__parent").alias("number"))
     children = F.transform(F.array_sort(F.collect_list(F.struct("number", "hash"))), lambda c: c["hash"])
     return grouped.agg(F.sha2(F.array_join(children, ""), 256).alias("hash"), F.min("offset").alias("offset"), F.sum("length").alias("length"))
 
@@ -80,8 +86,8 @@ def parents(nodes: DataFrame) -> DataFrame:
 def tree(leaf: DataFrame, levels: int = LEVELS) -> list[DataFrame]:
     """The levels from the records up to the roots, one a file, each written once."""
     found = [stored(leaf, "leaves")]
-    for _ in range(levels):
-        found.append(stored(parents(found[-1]), "nodes"))
+    for k in range(levels):
+        found.append(stored(parents(found[-1], k + 1 == levels), "nodes"))
     return found
 
 
@@ -91,11 +97,11 @@ def mismatches(left: list[DataFrame], right: list[DataFrame]) -> DataFrame:
     Roots are compared first; each lower level is compared only below nodes that differ.
     """
     differing = None
-    for a, b in zip(reversed(left), reversed(right)):
+    for depth, (a, b) in enumerate(zip(reversed(left), reversed(right))):
         a, b = (x.select("file", "number", F.col("hash").alias(n)) for x, n in ((a, "__a"), (b, "__b")))
         if differing is not None:
             below = differing.select("file", F.col("number").alias("__parent"))
-            a, b = (x.withColumn("__parent", F.floor(F.col("number") / FAN_OUT)).join(below, ["file", "__parent"], "left_semi").drop("__parent") for x in (a, b))
+            a, b = (x.withColumn("__parent", parent(depth == 1)).join(below, ["file", "__parent"], "left_semi").drop("__parent") for x in (a, b))
         differing = a.join(b, ["file", "number"], "full_outer").where("NOT (__a <=> __b)").select("file", "number")
     return differing
 

@@ -221,6 +221,19 @@ def test_op7_audit_and_files(spark, tmp_path):
     assert warc.audited(records.where("false"), records.where("false")).count() == 0
 
 
+def test_op7_one_root_for_a_file_of_many_records(spark):
+    pages = spark.range(5000).selectExpr("7L AS page_id", "concat('http://h/', id) AS url", "concat('<p>', id) AS html")
+    records = warc.records(pages)
+    broken = records.withColumn("record", F.when(F.col("record").endswith("<p>4321"), F.concat("record", F.lit("!"))).otherwise(F.col("record")))
+    found = warc.audited(records, broken).collect()
+    # the changed record's hash moves it in the order, and with it the records between its old and new places
+    assert len(found) == 5000 and len({r.number for r in found}) == 5000 and len({r.root for r in found}) == 1 and any(r.corrupt for r in found)
+    level = [r.hash for r in sorted(found, key=lambda r: r.number)]
+    for fan_out in (16, 16, len(level)):
+        level = [hashlib.sha256("".join(level[k : k + fan_out]).encode()).hexdigest() for k in range(0, len(level), fan_out)]
+    assert {r.root for r in found} == set(level)
+
+
 def exact(vectors, every, k):
     out = {}
     usable = {i: np.array(v, float) for i, v in vectors if i is not None and v and None not in v and np.isfinite(v).all() and np.any(v)}
