@@ -102,18 +102,19 @@ def nearest(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found by cosine for every row whose id is divisible by `every`.
 
-    Index rows are dealt by a hash of their id into blocks of about `block` rows, queries into groups of up to QUERIES, and each
+    Index rows are dealt by a hash of their id and vector into blocks of about `block` rows, queries into groups of up to QUERIES, and each
     block answers each group by itself, so no key is hot and no task grows with the table. Only the k best of a block and query go
-    on to be merged. Rows whose id repeats are the same vector: one is kept. Vectors of another length than a query's aren't
+    on to be merged. Rows that repeat an id and its vector are one; those of
+    an id with several vectors are candidates, and queries, of their own, and none of them is a neighbour of the others. Vectors of another length than a query's aren't
     comparable: each length is a space of its own. An empty table, or one without queries, gives an empty result.
     """
-    rows = usable(df, id_col, vector_col).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    rows = usable(df, id_col, vector_col).distinct()
     rows = rows.withColumn("dim", F.size("vector"))
     queries = rows.where(F.col("vec_id") % every == 0)
     total, asked = rows.count(), queries.count()
     blocks, groups = max(1, -(-total // block)), max(1, -(-asked // QUERIES))
-    index = rows.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks))).withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    asked_rows = queries.withColumn("group", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(groups)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    index = rows.withColumn("block", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(blocks))).withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    asked_rows = queries.withColumn("group", F.pmod(F.xxhash64("vec_id", "vector", F.lit(1)), F.lit(groups)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
 
     def answer(index_rows: pd.DataFrame, query_rows: pd.DataFrame) -> pd.DataFrame:
         names = ["query_id", "vec_id", "score"]

@@ -268,3 +268,11 @@ def test_op9_recall(spark):
     found = {(r.query_id, r.vec_id) for r in queries.op9_ann(spark, sf).collect()}
     hits = sum((q, i) in found for q, near in expected.items() for _, i in near)
     assert hits >= 0.9 * sum(map(len, expected.values()))
+
+
+def test_op9_ids_with_several_vectors(spark):
+    rows = [(50, [1.0, 0.0]), (50, [0.0, 1.0]), (7, [1.0, 0.1]), (7, [-1.0, 0.2]), (7, [-1.0, 0.2]), (8, [0.1, 1.0])]
+    found = [(r.query_id, r.rank, r.vec_id, round(r.score, 9)) for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()]
+    vectors = [(i, np.array(v)) for i, v in {(i, tuple(v)) for i, v in rows}]
+    scores = [(-round(float(q @ v / np.linalg.norm(q) / np.linalg.norm(v)), 9), i) for o, q in vectors if o == 50 for i, v in vectors if i != 50]
+    assert sorted(found) == [(50, k + 1, i, -score) for k, (score, i) in enumerate(sorted(scores)[:5])]
