@@ -2,9 +2,11 @@
 
 A document of up to WHOLE characters is encoded at once. A longer one is cut into chunks that overlap, each chunk is scanned by
 itself into pieces with their offsets, and neighbours are spliced at the first offset in the overlap where both begin a piece. Such
-a boundary is proven stable: a scan looks at most one character past a piece and never back, so every piece of a chunk but its last
-is what the scan of the whole text finds from the same start, and from a common boundary on both scans agree. Where an overlap holds
-no common boundary it is widened, up to the rest of the text.
+a boundary is proven stable. A scan never looks back, and it looks at most LOOK characters past the end of a piece: an apostrophe
+alone is a piece only if the two characters after it make no contraction, white space before a word ends one character before the
+space that tells, and any other run ends at the character that is no part of it. A piece of a chunk that ends LOOK characters or more before
+the chunk does is therefore what the scan of the whole text finds from the same start; where a proven boundary is also one of the next
+chunk, that chunk's scan from there on is the whole text's. An overlap without such a boundary is widened, up to the rest of the text.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from probalink.llm.common import in_arrow, text_of
 WHOLE = 1 << 15
 STEP = 1 << 14
 OVERLAP = 256
+#: Characters past a piece on which the pattern's choice of it depends.
+LOOK = 2
 
 
 def scanned(own: Encoder, text: str, start: int, end: int) -> tuple[dict[int, int], int]:
@@ -44,8 +48,7 @@ def spliced_count(own: Encoder, text: str, step: int = STEP, overlap: int = OVER
     while end < n:
         right_end = min(n, starts[j] + step + overlap)
         right, right_count = scanned(own, text, starts[j], right_end)
-        last = max(left)
-        common = next((p for p in right if p in left and begin <= p <= last), None)
+        common = next((p for p in right if p in left and begin <= p <= end - LOOK), None)
         if common is not None:
             total += left[common] - base
             left, count, base, begin, end = right, right_count, right[common], common, right_end
@@ -54,7 +57,7 @@ def spliced_count(own: Encoder, text: str, step: int = STEP, overlap: int = OVER
             end = min(n, begin + 2 * (end - begin))
             left, count = scanned(own, text, begin, end)
             base = 0
-            j = max(k for k in range(len(starts)) if starts[k] < end)
+            j = max(j, (end - overlap) // step)  # the last chunk that overlaps with it in full
     return total + count - base
 
 
@@ -70,8 +73,8 @@ def counts(own: Encoder, texts: list[str], whole: int = WHOLE, step: int = STEP,
 def token_counts(df: DataFrame, path: str, pattern: str, limit: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_bytes, n_tokens, over_limit) of every whole text.
 
-    Null and empty texts have 0 of both; null ids and repeated rows stay as they are. Special strings in a text count as the one
-    token that the vocabulary's library makes of them. Other columns are not read. No shuffle.
+    Null and empty texts have 0 of both; null ids and repeated rows stay as they are. An empty table gives an empty result. Special
+    strings in a text count as the one token that the vocabulary's library makes of them. Other columns are not read. No shuffle.
     """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -18,7 +18,7 @@ from tokenizers import Tokenizer
 from probalink.llm import bpe, packing, token_counts
 
 MULTI, JSON = P.path("byte_bpe_multi_50k.tiktoken"), P.path("byte_bpe_50k.json")
-LETTERS = ["a", "b", "é", " ", "  ", "\n", "\t", "'s", "'", "1", "23", "!", "###", " ", "the", "<|endoftext|>", "\x1c", "漢字", "😀", "ing", "x" * 40, "ab" * 30]
+LETTERS = ["a", "b", "é", " ", "  ", "\n", "\t", "'s", "'", "1", "23", "!", "###", " ", "the", "<|endoftext|>", "\x1c", "漢字", "😀", "ing", "x" * 40, "ab" * 30, "'ll", "'re", "'ve", "l", "r", "v"]
 
 
 @pytest.fixture(scope="module")
@@ -75,8 +75,14 @@ def test_op1_rows(spark, library):
 
 def test_splices_give_the_whole_count(library):
     own = bpe.encoder(JSON, P.PATTERN)
-    for t in texts(4, 800):
-        assert token_counts.counts(own, [t], whole=0, step=11, overlap=3) == [len(library[1].encode(t, add_special_tokens=False).ids)]
+    rng = random.Random(9)
+    dense = ["".join(rng.choices(["a", " ", "'ll", "'re", "'ve", "x" * 33, "the", "!", "1"], k=rng.randint(0, 40))) for _ in range(4000)]
+    some = texts(4, 800) + dense
+    right = [len(e.ids) for e in library[1].encode_batch(some, add_special_tokens=False)]
+    for step, overlap in ((7, 1), (11, 3), (16, 5), (5, 9)):
+        assert token_counts.counts(own, some, whole=0, step=step, overlap=overlap) == right
+    long = "".join(rng.choices(["ab'll ", "we've ", "'re", " ", "the ", "\n\n ", "1!", "don't "], k=500_000))
+    assert token_counts.counts(own, [long]) == [len(library[1].encode(long, add_special_tokens=False).ids)]
     for t in ("ab" * 3000, " " * 3000, PROSE * 30, "1" * 999 + " " + "x" * 999):
         assert token_counts.counts(own, [t], whole=10, step=100, overlap=5) == [len(library[1].encode(t, add_special_tokens=False).ids)]
 
@@ -85,6 +91,7 @@ def test_op10_rows(spark, library):
     found = token_counts.token_counts(clashing(documents(spark, ODD)), JSON, P.PATTERN).collect()
     expected = [(i, len((t or "").encode()), n := len(library[1].encode(t or "", add_special_tokens=False).ids), n > 1024) for i, t in ODD]
     assert sorted(map(tuple, found), key=repr) == sorted(expected, key=repr)
+    assert token_counts.token_counts(documents(spark, []), JSON, P.PATTERN).count() == 0
 
 
 def naive_packing(lengths, capacity):
