@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from probalink.operators.hot import FEW, hot_keys, joined
 from probalink.sources.storage import stored
 
 MOST_ROUNDS = 60
 
 
-def with_minimum(edges: DataFrame) -> DataFrame:
-    """Each edge (u, v) with the smallest v of its u. Aggregated before the join, whose hot keys adaptive execution splits."""
-    return edges.join(edges.groupBy("u").agg(F.min("v").alias("m")), "u")
+def with_minimum(edges: DataFrame, hot: Sequence[int] | None = None) -> DataFrame:
+    """Each edge (u, v) with m, the smallest v of its u. hot: the hot u, if they are known; edges of these aren't shuffled."""
+    return joined(edges, edges.groupBy("u").agg(F.min("v").alias("m")), ["u"], hot_keys(edges, "u") if hot is None else hot)
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -20,22 +23,30 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
 
     Edges may be empty, repeated, in either direction or from a node to itself; edges with a null end link nothing. Each round is
     written to the shared folder; the number of rounds grows with the logarithm of the longest path. Nothing is collected but the
-    count and a checksum of a round's edges. Raises if it doesn't converge.
+    count and a checksum of a round's edges, observed while they are written, and the hashes of hubs, of which there are at most SHARE. Raises
+    if it doesn't converge.
     """
+
+    def round_of(df: DataFrame) -> tuple[DataFrame, tuple]:
+        seen = Observation()
+        checksum = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
+        table = stored(df.observe(seen, F.count("*").alias("n"), checksum.alias("checksum")), "edges")
+        return table, (seen.get["n"], seen.get["checksum"])
+
     given = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u IS NOT NULL AND v IS NOT NULL")
-    current = stored(given.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct(), "edges")
-    state = None
+    current, now = round_of(given.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct())
     for _ in range(MOST_ROUNDS):
-        now = current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state or not now[0]:
-            nodes = current.select(F.col("u").alias("node"), F.col("v").alias("component"))
-            return nodes.union(current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
         state = now
         both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = with_minimum(both).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
-        down = with_minimum(large)
+        # an edge of large has one of its ends as u, so its hubs are among those of both
+        hubs = hot_keys(both, "u") if state[0] > FEW else []
+        large = with_minimum(both, hubs).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
+        down = with_minimum(large, hubs)
         small = down.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(down.select("u", F.col("m").alias("v"))).distinct()
-        current = stored(small, "edges")
+        current, now = round_of(small)
+        if now == state:
+            nodes = current.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            return nodes.union(current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
     raise RuntimeError(f"components did not converge in {MOST_ROUNDS} rounds")
 
 
