@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from probalink.sources.storage import scratch, stored
 
-__all__ = ["SLICE_BYTES", "SPACE", "in_arrow", "scratch", "slices", "stored", "table", "text_of"]
+__all__ = ["SLICE_BYTES", "SPACE", "fresh", "in_arrow", "scratch", "slices", "stored", "table", "text_of"]
 
 #: Bytes of strings and lists that a Python operator handles at once: bounds its memory when texts are long.
 SLICE_BYTES = 2_000_000
@@ -29,6 +29,14 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """name, or a longer one where df has a column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def slices(batch: pa.RecordBatch, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """A batch in parts of about most bytes of its strings and lists, a row at least."""
     size = np.zeros(batch.num_rows, np.int64)

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from probalink.llm.common import scratch, slices, stored, text_of
+from probalink.llm.components import hot_keys, joined
 
 #: An odd multiplier of the words' hashes in a window's.
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -125,14 +126,14 @@ def shared_passages(df: DataFrame, least: int, id_col: str, text_col: str) -> Da
     the window, by each of their parts of apart - 1 words.
 
     Windows are counted by their hashes alone; places and contexts follow only of those that two rows share. Equal windows of equal
-    contexts are one row before contexts are compared.
+    contexts are one row before contexts are compared. Rows of hot windows meet what is known about their window without a shuffle.
     """
     size, apart = window_size(least)
     with scratch(df.sparkSession, "passages") as keep:
         texts = keep(windows(df, least, id_col, text_col), "texts")
         each = texts.select(id_col, "__key", F.posexplode("windows").alias("__at", "window"))
         several = each.groupBy("window").agg(F.count("*").alias("__n")).where("__n > 1").select("window")
-        hits = keep(each.join(several, "window", "left_semi").select(F.col(id_col).alias("__id"), F.col("__key").alias("__of"), "__at"), "hits")
+        hits = keep(joined(each, several, ["window"], hot_keys(each, "window"), "left_semi").select(F.col(id_col).alias("__id"), F.col("__key").alias("__of"), "__at"), "hits")
         lists = hits.groupBy("__id", "__of").agg(F.collect_set("__at").alias("__ats"))
         own = texts.join(lists, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__of"))).withColumn("__at", F.explode("__ats"))
         value = lambda name: F.get(F.col(name), F.col("__at"))
@@ -150,16 +151,18 @@ def shared_passages(df: DataFrame, least: int, id_col: str, text_col: str) -> Da
         same = F.lit(False)
         for k in range(apart):  # a passage may begin k words into the context
             same = same | ((bytes_of("context", k, apart - 1) == bytes_of("__e.context", k, apart - 1)) & is_word(k) & is_word(k + apart - 2))
-        compared = keep(contexts.join(earliest, "window").withColumn("same", same), "compared")
+        common = hot_keys(contexts, "window")
+        compared = keep(joined(contexts, earliest, ["window"], common).withColumn("same", same), "compared")
         # what the earliest place leaves unmatched is compared with all other contexts of its window, whether those matched or not
         others = compared.where(F.col("context") != F.col("__e.context"))
         still = others.groupBy("window").agg(F.count("*").alias("__n"), F.bool_or(~F.col("same")).alias("__any")).where("__n > 1 AND __any")
-        others = others.join(still.select("window"), "window").select("window", "context", "first", "same")
+        others = keep(joined(others, still.select("window"), ["window"], common, "left_semi").select("window", "context", "first", "same"), "others")
         grams = others.withColumn("__at", F.explode(F.sequence(F.lit(0), F.lit(apart - 1))))
         grams = grams.withColumn("__part", F.substring(F.col("context"), F.col("__at") * WIDTH + 1, side))
         grams = grams.where((F.substring("__part", 1, WIDTH) != F.lit(NONE)) & (F.substring("__part", -WIDTH, WIDTH) != F.lit(NONE)))
         parts = grams.groupBy("window", "__at", "__part").agg(F.min("first").alias("keep"), F.count("*").alias("__n")).where("__n > 1").drop("__n")
-        nearer = grams.where("NOT same").select("window", "context", "__at", "__part").join(parts, ["window", "__at", "__part"])
+        part = ["window", "__at", "__part"]
+        nearer = joined(grams.where("NOT same").select("context", *part), parts, part, hot_keys(grams, *part))
         nearer = nearer.groupBy("window", "context").agg(F.min("keep").alias("__nearer"))
         keeps = compared.join(nearer, ["window", "context"], "left")
         keeps = keeps.withColumn("keep", F.when(F.col("same"), F.col("__e")).otherwise(F.coalesce("__nearer", "first")))
@@ -169,7 +172,7 @@ def shared_passages(df: DataFrame, least: int, id_col: str, text_col: str) -> Da
             after += ((bytes_of("context", apart - 1, k) == bytes_of("keep.context", apart - 1, k)) & is_word(apart - 2 + k)).cast("int")
         keeps = keeps.where("keep.place != last").select("window", "context", "keep.place", "keep.word", before.alias("before"), after.alias("after"))
         keeps = keep(keeps.select("window", "context", F.struct("place", "word").alias("keep"), "before", "after"), "keeps")
-        later = rows.join(keeps, ["window", "context"]).where("place != keep.place")
+        later = joined(rows, keeps, ["window", "context"], hot_keys(rows, "window", "context")).where("place != keep.place")
         later = later.withColumn("from", F.col("word") - F.col("before")).withColumn("to", F.col("word") + size + F.col("after"))
         document = Window.partitionBy(id_col, "__key").orderBy("from", "to")
         reached = F.max("to").over(document.rowsBetween(Window.unboundedPreceding, -1))

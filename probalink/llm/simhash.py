@@ -8,11 +8,11 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from probalink.llm.common import in_arrow, stored, text_of
-from probalink.llm.components import buckets, connected_components, with_minimum
+from probalink.llm.common import fresh, in_arrow, stored, text_of
+from probalink.llm.components import buckets, connected_components, hashed, hot_keys, joined, with_minimum
 
 #: A fingerprint has so many bits.
 BITS = 64
@@ -134,18 +134,23 @@ def links(fingerprints: DataFrame, radius: int = 4, most: int = 256) -> DataFram
     return near.union(starred.where("v != m").select(F.col("v").alias("a"), F.col("m").alias("b"))).distinct()
 
 
+def grouped(prints: DataFrame, least: Column, radius: int, most: int) -> DataFrame:
+    """(fingerprint, least): the minimum of `least` over all rows whose fingerprints links of up to `radius` bits reach."""
+    distinct = stored(prints.groupBy("fingerprint").agg(F.min(least).alias("__least")), "fingerprints")
+    linked = connected_components(links(distinct, radius, most)).withColumnRenamed("node", "fingerprint")
+    known = stored(distinct.join(linked, "fingerprint", "left").withColumn("component", F.coalesce("component", "fingerprint")), "grouped")
+    names = known.groupBy("component").agg(F.min("__least").alias("least"))
+    return joined(known, names, ["component"], hot_keys(known, "component")).select("fingerprint", "least")
+
+
 def with_components(prints: DataFrame, radius: int = 4, most: int = 256, id_col: str = "doc_id") -> DataFrame:
     """(id, fingerprint) rows with component_id, the smallest id that links of up to `radius` bits reach.
 
     Rows of one fingerprint, texts without words among them, are linked to each other. Null ids get a component but never name
     one (null, if no linked row has an id). An empty table gives an empty result.
     """
-    distinct = stored(prints.groupBy("fingerprint").agg(F.min(id_col).alias("__least")), "fingerprints")
-    joined = connected_components(links(distinct, radius, most)).withColumnRenamed("node", "fingerprint")
-    grouped = distinct.join(joined, "fingerprint", "left").withColumn("component", F.coalesce("component", "fingerprint"))
-    names = grouped.groupBy("component").agg(F.min("__least").alias("component_id"))
-    named = grouped.join(names, "component").select("fingerprint", "component_id")
-    return prints.join(named, "fingerprint")
+    found = grouped(prints, F.col(id_col), radius, most).withColumnRenamed("least", "component_id")
+    return joined(prints, found, ["fingerprint"], hot_keys(prints, "fingerprint"))
 
 
 def components(df: DataFrame, radius: int = 4, size: int = 4, most: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -154,10 +159,24 @@ def components(df: DataFrame, radius: int = 4, size: int = 4, most: int = 256, i
     return with_components(prints, radius, most, id_col).select(id_col, "fingerprint", "component_id")
 
 
-def one_of_each(df: DataFrame, radius: int = 4, id_col: str = "doc_id", text_col: str = "text", **given: int) -> DataFrame:
-    """The rows of df of which each component keeps the one with the smallest id (of rows that share it: one). Rows without an id
-    can't be told apart and all stay."""
-    kept = components(df, radius, id_col=id_col, text_col=text_col, **given).where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__kept")).distinct()
-    order = Window.partitionBy("__kept").orderBy(F.xxhash64(text_col), text_col)
-    first = df.join(kept, df[id_col] == kept["__kept"]).withColumn("__row", F.row_number().over(order)).where("__row = 1")
-    return first.select(*df.columns).union(df.where(F.col(id_col).isNull()))
+def one_of_each(df: DataFrame, radius: int = 4, size: int = 4, most: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of df of which each component keeps one: the one of the smallest id (null ids come last), and of its texts that of the
+    smallest hash.
+
+    Rows that share an id but belong to different components are told apart by their texts and stay, as rows without an id do. Rows
+    of one id and text are one document, of which one row stays, whichever it is. An empty table gives an empty result.
+    """
+    key = F.xxhash64(text_of(text_col))
+    name = F.coalesce(F.concat(F.lit("="), F.col(id_col).cast("string")), F.lit(""))  # so that null ids are equal to each other
+    rows = df.select(F.col(id_col).alias("__id"), name.alias("__name"), key.alias("__key"), text_of(text_col).alias("__text"))
+    prints = stored(with_fingerprints(rows, size, ("__id", "__name", "__key"), "__text"), "fingerprints")
+    place = F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("__key").alias("key"), F.col("__name").alias("name"))
+    own, own_key = fresh(df, "__name"), fresh(df, "__key")
+    kept = grouped(prints, place, radius, most).select(F.col("least.name").alias(own), F.col("least.key").alias(own_key)).distinct()
+    named = df.withColumns({own: name, own_key: key})
+    hot = hot_keys(prints, "__name", "__key")
+    is_hot = hashed(own, own_key).isin(hot) if hot else F.lit(False)
+    out = named.where(~is_hot).join(kept.where(~is_hot), [own, own_key], "left_semi").dropDuplicates([own, own_key])
+    if hot:
+        out = out.union(named.where(is_hot).join(F.broadcast(kept.where(is_hot)), [own, own_key], "left_semi").dropDuplicates([own, own_key]))
+    return out.drop(own, own_key)

@@ -67,7 +67,18 @@ def check_components(spark, most):
     assert found == {(i, f, least.get(reached[f])) for i, f in prints}
     kept = simhash.one_of_each(df)
     ids = [r.doc_id for r in kept.collect()]
-    assert kept.columns == df.columns and sorted(i for i in ids if i is not None) == sorted(set(least.values())) and ids.count(None) == 1
+    assert kept.columns == df.columns and sorted(i for i in ids if i is not None) == sorted(set(least.values())) and ids.count(None) == (None in least.values() or len(set(reached.values())) - len(least))
+
+
+def test_op8_one_of_each_keeps_distinct_texts(spark):
+    other, third = near_copies(90, 1)[0], near_copies(91, 1)[0]
+    rows = [(1, PROSE), (1, other), (2, PROSE), (None, PROSE), (None, third), (None, third), (None, None), (3, ""), (4, other + " x"), (5, None)]
+    df = clashing(documents(spark, rows)).withColumns({"__name": F.lit(1), "__key": F.lit(2), "__id": F.lit(3)})
+    found = simhash.one_of_each(df)
+    assert found.columns == df.columns and sorted(((r.doc_id, r.text) for r in found.collect()), key=repr) == sorted([(1, PROSE), (1, other), (None, third), (3, "")], key=repr)
+    many = documents(spark, [(7, PROSE)] * 6000 + [(k, f"{third} {k}") for k in range(100, 6000)])  # one row is half of the table
+    assert [r.doc_id for r in simhash.one_of_each(many).where("doc_id < 101").orderBy("doc_id").collect()] == [7, 100]
+    assert simhash.one_of_each(documents(spark, [])).count() == 0
 
 
 def test_op8_components(spark):
