@@ -42,14 +42,14 @@ def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "line", "start", "end", "n_words", F.col("kept_id").alias("kept_doc_id"), "kept_start", "class")
 
 
-#: The second replica of the audit's query: the pages with these remainders have a byte that differs.
-DAMAGED, DAMAGE = 211, 7
+#: The second replica of the audit's query: the pages of these remainders have a byte that differs, or are missing.
+DAMAGED, DAMAGE, LOST, LOSS = 211, 7, 307, 11
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     damaged = pages.withColumn("html", F.when(F.col("page_id") % DAMAGED == DAMAGE, F.concat(F.lit("?"), F.expr("substring(html, 2)"))).otherwise(F.col("html")))
-    return warc.audited(warc.records(pages), warc.records(damaged))
+    return warc.audited(warc.records(pages), warc.records(damaged.where(F.col("page_id") % LOST != LOSS)))
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,16 +78,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_counts": op10_token_counts,
 }
 LINE_END = "chr(13) || chr(10)"
+#: Both replicas are hashed, and their records compared by file, id and hash; the roots are those of the first, level by level.
 OP7_SQL = f"""WITH e AS (SELECT {LINE_END} AS e),
-r AS (SELECT page_id, page_id // 1024 AS file, 'WARC/1.0' || e || 'WARC-Type: response' || e || 'WARC-Target-URI: ' || coalesce(url, '') || e || 'WARC-Record-ID: <urn:page:' || page_id || '>' || e
-  || 'Content-Type: application/http; msgtype=response' || e || 'Content-Length: ' || strlen(body) || e || e || body AS record, page_id % {DAMAGED} = {DAMAGE} AS corrupt
-  FROM (SELECT *, 'HTTP/1.1 200 OK' || e || 'Content-Type: text/html; charset=utf-8' || e || e || coalesce(html, '') AS body FROM pages, e)),
-h AS (SELECT file, page_id, strlen(record) + 4 AS length, sha256(record) AS hash, corrupt FROM r),
-n AS (SELECT *, row_number() OVER w - 1 AS number, CAST(coalesce(sum(length) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset" FROM h WINDOW w AS (PARTITION BY file ORDER BY page_id, hash)),
-l1 AS (SELECT file, number // 16 AS number, sha256(string_agg(hash, '' ORDER BY number)) AS hash FROM n GROUP BY file, number // 16),
-l2 AS (SELECT file, number // 16 AS number, sha256(string_agg(hash, '' ORDER BY number)) AS hash FROM l1 GROUP BY file, number // 16),
-l3 AS (SELECT file, sha256(string_agg(hash, '' ORDER BY number)) AS root FROM l2 GROUP BY file)
-SELECT file, page_id, number, "offset", length, hash, root, corrupt FROM n JOIN l3 USING (file)"""
+p AS (SELECT 0 AS side, page_id, url, html FROM pages UNION ALL SELECT 1, page_id, url, CASE WHEN page_id % {DAMAGED} = {DAMAGE} THEN '?' || substr(html, 2) ELSE html END FROM pages WHERE page_id % {LOST} <> {LOSS}),
+r AS (SELECT side, page_id AS id, page_id // 1024 AS file, 'WARC/1.0' || e || 'WARC-Type: response' || e || 'WARC-Target-URI: ' || coalesce(url, '') || e || 'WARC-Record-ID: <urn:page:' || page_id || '>' || e
+  || 'Content-Type: application/http; msgtype=response' || e || 'Content-Length: ' || strlen(body) || e || e || body AS record
+  FROM (SELECT *, 'HTTP/1.1 200 OK' || e || 'Content-Type: text/html; charset=utf-8' || e || e || coalesce(html, '') AS body FROM p, e)),
+h AS (SELECT side, file, id, hash, substr(hash, 1, 3) AS bucket, unit, CAST(count(*) AS BIGINT) AS n FROM (SELECT *, sha256(record) AS hash, strlen(record) + 4 AS unit FROM r) GROUP BY ALL),
+l AS (SELECT *, CAST(sum(unit * n) OVER (PARTITION BY file, id, bucket ORDER BY hash) - unit * n AS BIGINT) AS o, unit * n AS len FROM h WHERE side = 0),
+b AS (SELECT *, CAST(sum(len) OVER (PARTITION BY file, id ORDER BY bucket) - len AS BIGINT) AS o FROM (SELECT file, id, bucket, sum(len) AS len, sha256(string_agg(o || ':' || o + len || ':' || hash, ',' ORDER BY o)) AS hash FROM l GROUP BY ALL)),
+i AS (SELECT *, CAST(sum(len) OVER (PARTITION BY file, id // 32 ORDER BY id) - len AS BIGINT) AS o FROM (SELECT file, id, sum(len) AS len, sha256(string_agg(o || ':' || CAST(o + len AS BIGINT) || ':' || hash, ',' ORDER BY o)) AS hash FROM b GROUP BY ALL)),
+g AS (SELECT *, CAST(sum(len) OVER (PARTITION BY file ORDER BY part) - len AS BIGINT) AS o FROM (SELECT file, id // 32 AS part, sum(len) AS len, sha256(string_agg(o || ':' || CAST(o + len AS BIGINT) || ':' || hash, ',' ORDER BY o)) AS hash FROM i GROUP BY ALL)),
+f AS (SELECT file, sha256(string_agg(o || ':' || CAST(o + len AS BIGINT) || ':' || hash, ',' ORDER BY o)) AS root FROM g GROUP BY file),
+c AS (SELECT file, id, hash, unit, unnest(range(n)) AS copy FROM h WHERE side = 0)
+SELECT file, id AS page_id, row_number() OVER w - 1 AS number, CAST(sum(c.unit) OVER w - c.unit AS BIGINT) AS "offset", c.unit AS length, hash, root, copy >= coalesce(o.n, 0) AS corrupt
+FROM c JOIN f USING (file) LEFT JOIN (SELECT * FROM h WHERE side = 1) o USING (file, id, hash) WINDOW w AS (PARTITION BY file ORDER BY id, hash, copy ROWS UNBOUNDED PRECEDING)"""
 OP9_SQL = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
 s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.v, c.v) / (sqrt(list_inner_product(q.v, q.v)) * sqrt(list_inner_product(c.v, c.v))) AS score FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5"""

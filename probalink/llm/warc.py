@@ -1,4 +1,10 @@
-"""WARC files of web pages, and the audit of their replicas by Merkle trees (operator 7)."""
+"""WARC files of web pages, and the audit of their replicas by Merkle trees (operator 7).
+
+The order of a file is that of its records' ids and then hashes. Its tree branches by that order: from the file to ranges of RANGE
+ids, to ids, to buckets of equal first digits of the hash (for ids that repeat), to records. A node hashes its children in order, each
+as the offset range that it takes in its parent and its own hash. So a node depends on what lies below it and on nothing beside it: a
+record that is missing, added or changed changes the nodes above it alone, and two replicas are compared branch by branch.
+"""
 
 from __future__ import annotations
 
@@ -10,9 +16,14 @@ from pyspark.sql import functions as F
 
 from probalink.llm.common import stored
 
-#: Children of a node, and levels above the records. A root has all nodes below it as children: more than FAN_OUT if a file has more
-#: than FAN_OUT ** LEVELS records, as where an id repeats.
-FAN_OUT, LEVELS = 16, 3
+#: Ids of a file and of a range, and the digits of a hash that name a bucket: a node has at most PER_FILE / RANGE, RANGE or 16 ** DIGITS
+#: children, and an id's records are dealt to as many buckets.
+PER_FILE, RANGE_BITS, DIGITS = 1024, 5, 3
+RANGE = 1 << RANGE_BITS
+#: The keys of a node, level by level from the records up. Null ids come after all others (none = 1).
+LEVELS = (("file", "none", "range", "id", "bucket", "hash"), ("file", "none", "range", "id", "bucket"), ("file", "none", "range", "id"), ("file", "none", "range"), ("file",))
+#: Copies of a record that are counted out at once.
+COPIES = 1 << 12
 END = "\r\n\r\n"
 
 
@@ -24,17 +35,18 @@ def record(url: Column, html: Column, number: Column) -> Column:
     return F.concat(*[F.lit(x) if isinstance(x, str) else x for x in head], body)
 
 
-def records(pages: DataFrame, per_file: int = FAN_OUT**LEVELS // 4, id_col: str = "page_id") -> DataFrame:
+def records(pages: DataFrame, per_file: int = PER_FILE, id_col: str = "page_id") -> DataFrame:
     """(file, id, record): pages as WARC records, `per_file` ids a file. Pages without an id go to files by a hash of their address
     and content, numbered from -1 down."""
     spread = -1 - F.pmod(F.xxhash64("url", "html"), F.lit(1 << 20))
-    file = F.coalesce(F.floor(F.col(id_col) / per_file), spread)
+    file = F.coalesce(F.expr(f"(`{id_col}` - pmod(`{id_col}`, {per_file})) div {per_file}"), spread)
     return pages.select(file.cast("long").alias("file"), F.col(id_col).alias("page_id"), record(F.col("url"), F.col("html"), F.col(id_col)).alias("record"))
 
 
 def write(records: DataFrame, path: str) -> None:
-    """Writes records as WARC files, ordered, a folder a file number. The separator of Spark's text files is a record's end."""
-    ordered = records.repartition("file").sortWithinPartitions("file", "page_id", "record")
+    """Writes records as WARC files, ordered, a folder a file number; a file of very many records is dealt to several parts. The
+    separator of Spark's text files is a record's end."""
+    ordered = records.repartitionByRange("file", "page_id", F.xxhash64("record")).sortWithinPartitions("file", "page_id", "record")
     ordered.select("file", F.col("record").alias("value")).write.option("lineSep", END).partitionBy("file").text(path)
 
 
@@ -60,60 +72,78 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def leaves(records: DataFrame) -> DataFrame:
-    """(file, page_id, number, offset, length, hash): each record's place in its file and its hash.
+    """The lowest level of a tree: (file, none, range, id, bucket, hash, unit, records, length), equal records as one row.
 
-    Records are hashed where they are read; only the hashes and lengths are shuffled, to be ordered within their file, whose size is
-    bounded.
+    Records are hashed where they are read, and counted before they are shuffled; unit is the length of one.
     """
-    own = records.select("file", "page_id", (F.octet_length("record") + len(END)).cast("long").alias("length"), F.sha2("record", 256).alias("hash"))
-    order = Window.partitionBy("file").orderBy(F.col("page_id").asc_nulls_last(), "hash")
-    before = F.coalesce(F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long")
-    return own.select("file", "page_id", (F.row_number().over(order) - 1).cast("long").alias("number"), before.alias("offset"), "length", "hash")
+    own = records.select("file", "page_id", (F.octet_length("record") + len(END)).cast("long").alias("unit"), F.sha2("record", 256).alias("hash"))
+    number = F.coalesce("page_id", F.lit(0)).cast("long")
+    keys = [F.col("page_id").isNull().cast("int").alias("none"), F.shiftright(number, RANGE_BITS).alias("range"), number.alias("id"), F.substring("hash", 1, DIGITS).alias("bucket")]
+    return own.groupBy("file", *keys, "hash", "unit").agg(F.count("*").alias("records")).withColumn("length", F.col("unit") * F.col("records"))
 
 
-def parent(top: bool) -> Column:
-    """The number of a node's parent, which is the file's root if top."""
-    return F.lit(0).cast("long") if top else F.floor(F.col("number") / FAN_OUT)
+def placed(nodes: DataFrame, keys: tuple[str, ...], above: tuple[str, ...]) -> DataFrame:
+    """nodes with number and offset: the records and bytes of their parent before them."""
+    before = Window.partitionBy(*above).orderBy(*keys[len(above) :]).rowsBetween(Window.unboundedPreceding, -1)
+    return nodes.withColumns({n: F.coalesce(F.sum(c).over(before), F.lit(0)).cast("long") for n, c in (("number", "records"), ("offset", "length"))})
 
 
-def parents(nodes: DataFrame, top: bool = False) -> DataFrame:
-    """The level above: a node hashes its children's hashes in order and spans their offset ranges."""
-    grouped = nodes.withColumn("__parent", parent(top)).groupBy("file", F.col("__parent").alias("number"))
-    children = F.transform(F.array_sort(F.collect_list(F.struct("number", "hash"))), lambda c: c["hash"])
-    return grouped.agg(F.sha2(F.array_join(children, ""), 256).alias("hash"), F.min("offset").alias("offset"), F.sum("length").alias("length"))
+def parents(nodes: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """The level above: a node hashes its children's offset ranges and hashes in order."""
+    child = F.struct("offset", F.concat_ws(":", F.col("offset").cast("string"), (F.col("offset") + F.col("length")).cast("string"), "hash").alias("range"))
+    inside = F.transform(F.array_sort(F.collect_list(child)), lambda c: c["range"])
+    return nodes.groupBy(*keys).agg(F.sha2(F.array_join(inside, ","), 256).alias("hash"), F.sum("records").alias("records"), F.sum("length").alias("length"))
 
 
-def tree(leaf: DataFrame, levels: int = LEVELS) -> list[DataFrame]:
-    """The levels from the records up to the roots, one a file, each written once."""
-    found = [stored(leaf, "leaves")]
-    for k in range(levels):
-        found.append(stored(parents(found[-1], k + 1 == levels), "nodes"))
-    return found
+def tree(leaf: DataFrame) -> list[DataFrame]:
+    """The levels of a tree from the records up to the roots, one a file, each written once. Every node but a root has its number and
+    offset within its parent."""
+    found, level = [], leaf
+    for own, above in zip(LEVELS, LEVELS[1:]):
+        found.append(stored(placed(level, own, above), "nodes"))
+        level = parents(found[-1], above)
+    return [*found, stored(level, "roots")]
 
 
 def mismatches(left: list[DataFrame], right: list[DataFrame]) -> DataFrame:
-    """(file, number) of the records that differ between two replicas, or that only one has.
+    """(file, none, range, id, bucket, hash, left, right): the records that differ in their number between two replicas.
 
     Roots are compared first; each lower level is compared only below nodes that differ.
     """
     differing = None
-    for depth, (a, b) in enumerate(zip(reversed(left), reversed(right))):
-        a, b = (x.select("file", "number", F.col("hash").alias(n)) for x, n in ((a, "__a"), (b, "__b")))
+    for keys, a, b in zip(reversed(LEVELS), reversed(left), reversed(right)):
+        value = F.col("records" if keys == LEVELS[0] else "hash")
+        a, b = (x.select(*keys, value.alias(n)) for x, n in ((a, "left"), (b, "right")))
         if differing is not None:
-            below = differing.select("file", F.col("number").alias("__parent"))
-            a, b = (x.withColumn("__parent", parent(depth == 1)).join(below, ["file", "__parent"], "left_semi").drop("__parent") for x in (a, b))
-        differing = a.join(b, ["file", "number"], "full_outer").where("NOT (__a <=> __b)").select("file", "number")
-    return differing
+            above = LEVELS[LEVELS.index(keys) + 1]
+            a, b = (x.join(differing, list(above), "left_semi") for x in (a, b))
+        unequal = a.join(b, list(keys), "full_outer").where("NOT (left <=> right)")
+        differing = stored(unequal if keys == LEVELS[0] else unequal.select(*keys), "differing")
+    return differing.withColumns({n: F.coalesce(n, F.lit(0)) for n in ("left", "right")})
 
 
 def audited(replica: DataFrame, other: DataFrame) -> DataFrame:
-    """(file, page_id, number, offset, length, hash, root, corrupt) of every record of a replica: corrupt where the other's differs.
+    """(file, page_id, number, offset, length, hash, root, corrupt) of every record of a replica: corrupt where the other has no equal
+    record of that id in that file.
 
-    An empty replica gives an empty result. Repeated records are records of their own; null addresses, contents and ids have their own
-    records too.
+    Repeated records are records of their own: of n copies here and m there, those after the first m are corrupt. What only the other
+    replica has changes the roots and is listed by `mismatches`, but is no row of this result. Null addresses, contents and ids have
+    their own records too; other columns than those of `records` are not read. An empty replica gives an empty result. A record may
+    be as long as a string can.
     """
     left, right = tree(leaves(replica)), tree(leaves(other))
-    roots = left[-1].select("file", F.col("hash").alias("root"))
-    bad = mismatches(left, right).withColumn("__bad", F.lit(True))
-    rows = left[0].join(roots, "file").join(bad, ["file", "number"], "left")
-    return rows.withColumn("corrupt", F.coalesce("__bad", F.lit(False))).drop("__bad")
+    rows = left[-1].select("file", F.col("hash").alias("root"), F.lit(0).cast("long").alias("number"), F.lit(0).cast("long").alias("offset"))
+    for keys, level in zip(LEVELS[-2::-1], left[-2::-1]):  # places in the file, from the roots down
+        below = level.select(*keys, *(["unit", "records"] if keys == LEVELS[0] else []), F.col("number").alias("__number"), F.col("offset").alias("__offset"))
+        rows = below.join(rows, list(LEVELS[LEVELS.index(keys) + 1]))
+        rows = rows.withColumns({"number": F.col("number") + F.col("__number"), "offset": F.col("offset") + F.col("__offset")}).drop("__number", "__offset")
+    bad = mismatches(left, right).select(*LEVELS[0], F.col("right").alias("__good"))
+    rows = rows.join(bad, list(LEVELS[0]), "left")
+    rows = rows.withColumn("__block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("records") - 1) / COPIES))))
+    last = F.least(F.lit(COPIES).cast("long"), F.col("records") - F.col("__block") * COPIES) - 1
+    rows = rows.withColumn("__copy", F.explode(F.sequence(F.lit(0).cast("long"), last))).withColumn("__copy", F.col("__copy") + F.col("__block") * COPIES)
+    corrupt = F.coalesce(F.col("__copy") >= F.col("__good"), F.lit(False))
+    return rows.select(
+        "file", F.when(F.col("none") == 0, F.col("id")).alias("page_id"), (F.col("number") + F.col("__copy")).alias("number"),
+        (F.col("offset") + F.col("__copy") * F.col("unit")).alias("offset"), F.col("unit").alias("length"), "hash", "root", corrupt.alias("corrupt"),
+    )

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import xxhash
@@ -213,36 +214,84 @@ def test_op6_cut():
     assert cut("a b\nc", [(2, 3)]) == "a\nc" and cut("a", [(0, 1)]) == "" and cut("a b c d", [(2, 5), (4, 5)]) == "a d"
 
 
-def test_op7_audit_and_files(spark, tmp_path):
-    rows = [(k, f"http://h/{k}", f"<p>é {k}</p>\r\n\r\n" * (k % 5)) for k in range(300)] + [(None, None, None), (None, "u", "x"), (5, "http://h/5", "again"), (6, None, None)]
+def digest(children):
+    """A node's hash from its children's (length, hash), in order."""
+    at, parts = 0, []
+    for length, own in children:
+        parts.append(f"{at}:{at + length}:{own}")
+        at += length
+    return at, hashlib.sha256(",".join(parts).encode()).hexdigest()
+
+
+def root_of(rows):
+    """The root of a file's (page_id, record) rows, branching from records up to the file."""
+    hashes = sorted(((i is None, i or 0, hashlib.sha256(r.encode()).hexdigest(), len(r.encode()) + 4) for i, r in rows))
+    level = [((none, i >> 5, i, h[:3], h), (size * n, h)) for (none, i, h, size), n in sorted(Counter(hashes).items())]
+    for depth in (4, 3, 2, 0):
+        grouped = {}
+        for key, node in level:
+            grouped.setdefault(key[:depth], []).append(node)
+        level = [(key, digest(children)) for key, children in grouped.items()]
+    return level[0][1][1]
+
+
+def check_audit(spark, first, second):
+    """The audit of (file, page_id, record) rows against plain Python."""
+    schema = "file long, page_id long, record string, number string, hash string, corrupt string, none int, id int, __x int"
+    made = [spark.createDataFrame([(*r, "x", "x", "x", 1, 1, 1) for r in rows], schema) for rows in (first, second)]
+    found = warc.audited(*made)
+    own, left = [], Counter(second)
+    for file in {f for f, _, _ in first}:
+        rows = sorted(((i is None, i or 0, hashlib.sha256(r.encode()).hexdigest(), i, r) for f, i, r in first if f == file))
+        root, offset, copies = root_of([(i, r) for _, _, _, i, r in rows]), 0, Counter()
+        for number, (_, _, h, i, r) in enumerate(rows):
+            size = len(r.encode()) + 4
+            own.append((file, i, number, offset, size, h, root, copies[i, r] >= left[file, i, r]))
+            copies[i, r] += 1
+            offset += size
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(own, key=repr)
+    return own
+
+
+def test_op7_audit_is_that_of_a_plain_tree(spark):
+    rng = random.Random(12)
+    rows = [(k // 100, k, f"é {k}") for k in range(300)] + [(-5, None, "x"), (-5, None, "y"), (-5, None, "x")] + [(1, 150, "again"), (1, 150, "again"), (2, 250, ""), (0, -3, "negative")]
+    rows += [(3, 333, f"many {rng.randrange(3000)}") for _ in range(5000)]
+    other = [r for r in rows if r[1] != 140 and r[2] != "y"]  # one missing in the middle, one without an id
+    other[7], other[-1] = (0, 7, "damaged"), (3, 333, "damaged")
+    other.remove((1, 150, "again"))
+    other += [(0, 55, "added"), (9, 900, "a file of its own")]
+    own = check_audit(spark, rows, other)
+    bad = [(i, h) for _, i, _, _, _, h, _, corrupt in own if corrupt]
+    assert len(bad) == 5 and {i for i, _ in bad} == {7, 140, 150, 333, None}  # damage stays where it is
+    check_audit(spark, other, rows)
+    assert not [r for r in check_audit(spark, rows[:200], rows[:200]) if r[-1]]
+    check_audit(spark, rows[:50], [])
+    check_audit(spark, [], rows[:50])
+
+
+def test_op7_copies_are_counted_out_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(warc, "COPIES", 7)
+    check_audit(spark, [(0, 1, "same")] * 50 + [(0, 2, "other")] * 7, [(0, 1, "same")] * 20 + [(0, 2, "other")] * 8)
+
+
+def test_op7_differing_branches_alone_are_compared(spark):
+    rows = [(k // 1024, k, f"r{k}") for k in range(4096)]
+    trees = []
+    for damage in (None, 2000):
+        records = spark.createDataFrame([(f, i, r + "!" * (i == damage)) for f, i, r in rows], "file long, page_id long, record string")
+        trees.append(warc.tree(warc.leaves(records)))
+    assert [r.id for r in warc.mismatches(*trees).collect()] == [2000, 2000] and [t.count() for t in trees[0]] == [4096, 4096, 4096, 128, 4]
+
+
+def test_op7_files(spark, tmp_path):
+    rows = [(k, f"http://h/{k}", f"<p>é {k}</p>\r\n\r\n" * (k % 5)) for k in range(300)] + [(None, None, None), (None, "u", "x"), (5, "http://h/5", "again"), (6, None, None), (-1, "n", "")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     records = warc.records(pages, per_file=100)
     warc.write(records, str(tmp_path / "warc"))
     again = warc.read(spark, str(tmp_path / "warc"))
     assert sorted(map(tuple, again.collect()), key=repr) == sorted(map(tuple, records.collect()), key=repr)
-    broken = again.withColumn("record", F.when(F.col("page_id").isin(7, 150), F.concat("record", F.lit("!"))).otherwise(F.col("record"))).where("page_id IS NULL OR page_id != 299")
-    found = warc.audited(records, broken)
-    assert sorted(r.page_id for r in found.where("corrupt").collect()) == [7, 150, 299] and found.count() == len(rows)
-    first = sorted((r for r in found.collect() if r.file == 0), key=lambda r: r.number)
-    assert [r.offset for r in first] == [sum(x.length for x in first[:k]) for k in range(len(first))]
-    level = [r.hash for r in first]
-    for _ in range(warc.LEVELS):
-        level = [hashlib.sha256("".join(level[k : k + 16]).encode()).hexdigest() for k in range(0, len(level), 16)]
-    assert {r.root for r in first} == set(level)
-    assert warc.audited(records.where("false"), records.where("false")).count() == 0
-
-
-def test_op7_one_root_for_a_file_of_many_records(spark):
-    pages = spark.range(5000).selectExpr("7L AS page_id", "concat('http://h/', id) AS url", "concat('<p>', id) AS html")
-    records = warc.records(pages)
-    broken = records.withColumn("record", F.when(F.col("record").endswith("<p>4321"), F.concat("record", F.lit("!"))).otherwise(F.col("record")))
-    found = warc.audited(records, broken).collect()
-    # the changed record's hash moves it in the order, and with it the records between its old and new places
-    assert len(found) == 5000 and len({r.number for r in found}) == 5000 and len({r.root for r in found}) == 1 and any(r.corrupt for r in found)
-    level = [r.hash for r in sorted(found, key=lambda r: r.number)]
-    for fan_out in (16, 16, len(level)):
-        level = [hashlib.sha256("".join(level[k : k + fan_out]).encode()).hexdigest() for k in range(0, len(level), fan_out)]
-    assert {r.root for r in found} == set(level)
+    assert {r.file for r in records.where("page_id >= 0").collect()} == {0, 1, 2}
 
 
 def exact(vectors, every, k):
