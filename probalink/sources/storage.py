@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +13,13 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the session's spark.checkpoint.dir, or in its warehouse where that isn't set (as in tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
+    """A fresh path in the session's spark.checkpoint.dir. A session on one machine may do without that setting and uses its
+    warehouse; on a cluster, whose machines need not share the warehouse, its absence is an error."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
     return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
@@ -35,12 +40,27 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return written(df, shared_path(df.sparkSession, name))
 
 
+class Scratch:
+    """Writes tables like `stored`, below one folder."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder = spark, shared_path(spark, name)
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        return written(df, f"{self.folder}/{name}")
+
+    def drop(self, *names: str) -> None:
+        """Deletes tables that nothing lazy reads any more; the whole folder, if none are named."""
+        for path in [f"{self.folder}/{name}" for name in names] or [self.folder]:
+            place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 @contextmanager
-def scratch(spark: SparkSession, name: str) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
-    """Gives a function like `stored`, whose tables are deleted when the block ends: nothing lazy may still read them then."""
-    folder = shared_path(spark, name)
+def scratch(spark: SparkSession, name: str) -> Iterator[Scratch]:
+    """Tables that are deleted when the block ends: nothing lazy may still read them then."""
+    keep = Scratch(spark, name)
     try:
-        yield lambda df, own: written(df, f"{folder}/{own}")
+        yield keep
     finally:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        keep.drop()
