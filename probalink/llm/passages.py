@@ -143,6 +143,7 @@ def shared_passages(df: DataFrame, least: int, id_col: str, text_col: str) -> Da
         place = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("__key").alias("key"))
         rows = own.select(id_col, "__key", word.alias("word"), value("windows").alias("window"), context.alias("context"))
         rows = keep(rows, "rows").withColumn("place", place)
+        keep.drop("texts", "hits")
         contexts = rows.groupBy("window", "context").agg(F.min(F.struct("place", "word")).alias("__f"), F.max("place").alias("last"))
         contexts = keep(contexts.select("window", "context", F.struct("__f.place", "__f.word", "context").alias("first"), "last"), "contexts")
         earliest = contexts.groupBy("window").agg(F.min("first").alias("__e"))
@@ -153,6 +154,7 @@ def shared_passages(df: DataFrame, least: int, id_col: str, text_col: str) -> Da
             same = same | ((bytes_of("context", k, apart - 1) == bytes_of("__e.context", k, apart - 1)) & is_word(k) & is_word(k + apart - 2))
         common = hot_keys(contexts, "window")
         compared = keep(joined(contexts, earliest, ["window"], common).withColumn("same", same), "compared")
+        keep.drop("contexts")
         # what the earliest place leaves unmatched is compared with all other contexts of its window, whether those matched or not
         others = compared.where(F.col("context") != F.col("__e.context"))
         still = others.groupBy("window").agg(F.count("*").alias("__n"), F.bool_or(~F.col("same")).alias("__any")).where("__n > 1 AND __any")
@@ -172,6 +174,7 @@ def shared_passages(df: DataFrame, least: int, id_col: str, text_col: str) -> Da
             after += ((bytes_of("context", apart - 1, k) == bytes_of("keep.context", apart - 1, k)) & is_word(apart - 2 + k)).cast("int")
         keeps = keeps.where("keep.place != last").select("window", "context", "keep.place", "keep.word", before.alias("before"), after.alias("after"))
         keeps = keep(keeps.select("window", "context", F.struct("place", "word").alias("keep"), "before", "after"), "keeps")
+        keep.drop("compared", "others")
         later = joined(rows, keeps, ["window", "context"], hot_keys(rows, "window", "context")).where("place != keep.place")
         later = later.withColumn("from", F.col("word") - F.col("before")).withColumn("to", F.col("word") + size + F.col("after"))
         document = Window.partitionBy(id_col, "__key").orderBy("from", "to")
@@ -182,6 +185,7 @@ def shared_passages(df: DataFrame, least: int, id_col: str, text_col: str) -> Da
         runs = later.groupBy(id_col, "__key", "__run").agg(F.min("from").alias("from"), F.max("to").alias("to"), F.min(origin).alias("__o"))
         runs = runs.select(id_col, "__key", "from", (F.col("to") - 1).alias("last"), F.col("__o.place.id").alias("kept_id"), F.col("__o.place.key").alias("__kept"), F.col("__o.word").alias("__first"), F.col("__o.class").alias("class"))
         runs = keep(runs, "spans")
+        keep.drop("rows", "keeps")
         ends = ((id_col, "__key", "from", "__start", "start"), (id_col, "__key", "last", "__end", "end"), ("kept_id", "__kept", "__first", "__start", "kept_start"))
         wanted = [runs.select(F.col(i).alias("__id"), F.col(key).alias("__of"), F.col(w).alias("__word")) for i, key, w, _, _ in ends]
         found = keep(places(df, wanted[0].union(wanted[1]).union(wanted[2]).distinct(), id_col, text_col), "places")

@@ -9,24 +9,26 @@ paragraphs; `passages` finds them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from itertools import accumulate
+from collections.abc import Iterator, Sequence
+from itertools import accumulate, groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from probalink.llm.common import slices, stored, text_of
-from probalink.llm.components import buckets, connected_components
+from probalink.llm.common import fresh, scratch, slices, stored, text_of
+from probalink.llm.components import connected_components, hot_keys, joined
 from probalink.llm.passages import shared_passages, without
+from probalink.sources.storage import Scratch
 
 SHINGLE = 5
 BANDS, ROWS = 16, 4
-#: Contents of a bucket that are compared in one list; larger buckets are compared block by block, so that a content of a bucket of n
-#: goes to n / MOST lists.
-MOST = 1024
+#: Contents of a bucket, and bytes of their words, that are compared in one list; larger buckets are dealt into blocks of that size, and
+#: every two blocks are a list, so that a content of a bucket of n goes to n / MOST lists.
+MOST, MOST_BYTES = 512, 4_000_000
 
 
 def multipliers(count: int, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -98,7 +100,7 @@ def paragraphs(df: DataFrame, least: int, id_col: str, text_col: str) -> DataFra
     return df.select(F.col(id_col), F.xxhash64(text).alias("__key"), text.alias("__text")).mapInArrow(run, schema)
 
 
-def similar_links(members: list[bytes], texts: list[str], similarity: float) -> list[tuple[bytes, bytes]]:
+def similar_links(members: Sequence[bytes], texts: Sequence[str], similarity: float) -> list[tuple[bytes, bytes]]:
     """Pairs that connect all members whose Jaccard similarity is at least `similarity`. Members that are connected already aren't
     compared again, so a group of copies takes about as many comparisons as it has members."""
     sets = [set(shingles(t.encode().split())) for t in texts]
@@ -115,31 +117,41 @@ def similar_links(members: list[bytes], texts: list[str], similarity: float) ->
     return links
 
 
-def content_links(contents: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): links between contents (content, bands) that verified similar; found has their words."""
-    keyed = contents.select("content", F.explode("bands").alias("key"))
-    small, large = buckets(keyed, "key", "content", MOST)
-    # a bucket of n is dealt into n / MOST blocks, and every pair of blocks is a list of its own
-    sized = large.join(large.groupBy("key").agg(F.count("*").alias("__n")), "key")
-    blocks = sized.withColumn("__blocks", F.ceil(F.col("__n") / F.lit(MOST)).cast("int"))
-    blocks = blocks.withColumn("__own", F.pmod(F.xxhash64("content"), F.col("__blocks")).cast("int"))
-    blocks = blocks.withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)))
-    pairs = blocks.groupBy("key", F.least("__own", "__other").alias("__i"), F.greatest("__own", "__other").alias("__j"))
-    lists = small.union(pairs.agg(F.array_sort(F.collect_set("content")).alias("members")).select("members").distinct())
-    lists = stored(lists.withColumn("list", F.xxhash64("members")), "lists")
-    wanted = lists.select("list", F.explode("members").alias("content"))
+def lists_of(contents: DataFrame) -> DataFrame:
+    """(list, content): contents (content, size, bands) that are to be compared with each other, each set of contents as one list
+    however many buckets have it.
+
+    Buckets are counted before they are dealt into blocks, and a list is known by its size and two sums of hashes: nothing is collected.
+    """
+    keyed = contents.select("content", "size", F.explode("bands").alias("key"))
+    shared = keyed.groupBy("key").agg(F.count("*").alias("__n"), F.sum("size").alias("__bytes")).where("__n > 1")
+    members = joined(keyed, shared, ["key"], hot_keys(keyed, "key"))
+    members = members.withColumn("__blocks", F.ceil(F.greatest(F.col("__n") / MOST, F.col("__bytes") / MOST_BYTES)).cast("int"))
+    own, other = F.pmod(F.xxhash64("content"), F.col("__blocks")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1))
+    members = members.withColumn("__own", own).withColumn("__other", other)
+    members = members.select("key", F.least("__own", "__other").alias("i"), F.greatest("__own", "__other").alias("j"), "content")
+    sums = [F.count("*").alias("n"), F.sum(F.xxhash64("content").cast("decimal(38,0)")).alias("x"), F.bit_xor(F.xxhash64("content", F.lit(1))).alias("y")]
+    lists = members.groupBy("key", "i", "j").agg(*sums).where("n > 1").groupBy("n", "x", "y").agg(F.min(F.struct("key", "i", "j")).alias("__k")).select("__k.*")
+    return members.join(lists, ["key", "i", "j"]).select(F.xxhash64("key", "i", "j").alias("list"), "content")
+
+
+def content_links(contents: DataFrame, found: DataFrame, similarity: float, keep: Scratch) -> DataFrame:
+    """(a, b): links between contents (content, size, bands) that verified similar; found has their words."""
+    wanted = keep(lists_of(contents), "lists")
     texts = found.join(wanted.select("content").distinct(), "content", "left_semi").groupBy("content").agg(F.min("words").alias("words"))
-    rows = wanted.join(texts, "content").groupBy("list").agg(F.collect_list(F.struct("content", "words")).alias("own"))
+    rows = wanted.join(texts, "content").select("list", "content", "words").repartition("list").sortWithinPartitions("list", "content")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            links = []
-            for own in batch.column(0):
-                own = sorted((m["content"], m["words"]) for m in own.as_py())
-                links += similar_links([c for c, _ in own], [w for _, w in own], similarity)
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.binary()) for k in (0, 1)], ["a", "b"])
+        def links() -> Iterator[list[tuple[bytes, bytes]]]:  # a list's rows follow each other, in one batch or more
+            each = (row for batch in batches for part in slices(batch) for row in zip(*(c.to_pylist() for c in part.columns)))
+            for _, own in groupby(each, key=itemgetter(0)):
+                _, members, words = zip(*own)
+                yield similar_links(members, words, similarity)
+
+        for found in links():
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.binary()) for k in (0, 1)], ["a", "b"])
 
-    return rows.select("own").mapInArrow(verify, "a binary, b binary").distinct()
+    return rows.mapInArrow(verify, "a binary, b binary").distinct()
 
 
 def repeats(df: DataFrame, least: int = 50, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -151,27 +163,31 @@ def repeats(df: DataFrame, least: int = 50, similarity: float = 0.8, id_col: str
     gives an empty result.
     """
     passages = shared_passages(df, least, id_col, text_col)
-    found = stored(paragraphs(df, least, id_col, text_col), "paragraphs")
-    places = found.select(id_col, "__key", "line", "start", "end", "n_words", "content", F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("__key").alias("key"), "start").alias("place"))
-    contents = stored(found.groupBy("content").agg(F.min("bands").alias("bands")), "contents")
-    joined = connected_components(content_links(contents, found, similarity)).select(F.col("node").alias("content"), F.col("component").alias("class"))
-    sums = places.groupBy("content").agg(F.min("place").alias("first"), F.max("place").alias("last"))
-    classes = sums.join(joined, "content", "left").withColumn("class", F.coalesce("class", "content"))
-    several = classes.groupBy("class").agg(F.min("first").alias("keep"), F.max("last").alias("last")).where("keep != last")
-    several = classes.select("content", "class").join(several.select("class", "keep"), "class")
-    gone = places.join(several, "content").where("place != keep")
-    gone = gone.select(id_col, "line", "start", "end", "n_words", F.col("keep.id").alias("kept_id"), F.col("keep.start").alias("kept_start"), F.lower(F.hex("class")).alias("class"), "__key").distinct()
-    return gone.union(passages)
+    with scratch(df.sparkSession, "paragraphs") as keep:
+        found = keep(paragraphs(df, least, id_col, text_col), "paragraphs")
+        first = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("__key").alias("key"), "start")
+        rows = found.withColumn("place", first).withColumn("size", F.octet_length("words"))
+        places = rows.select(id_col, "__key", "line", "start", "end", "n_words", "content", "place")
+        sums = [F.min("place").alias("first"), F.max("place").alias("last"), F.min("bands").alias("bands"), F.max("size").alias("size")]
+        contents = keep(rows.groupBy("content").agg(*sums), "contents")
+        linked = connected_components(content_links(contents, found, similarity, keep)).select(F.col("node").alias("content"), F.col("component").alias("class"))
+        classes = keep(contents.select("content", "first", "last").join(linked, "content", "left").withColumn("class", F.coalesce("class", "content")), "classes")
+        several = classes.groupBy("class").agg(F.min("first").alias("keep"), F.max("last").alias("last")).where("keep != last")
+        several = keep(joined(classes.select("content", "class"), several.select("class", "keep"), ["class"], hot_keys(classes, "class")), "several")
+        gone = joined(places, several, ["content"], hot_keys(places, "content")).where("place != keep")
+        gone = gone.select(id_col, "line", "start", "end", "n_words", F.col("keep.id").alias("kept_id"), F.col("keep.start").alias("kept_start"), F.lower(F.hex("class")).alias("class"), "__key").distinct()
+        return stored(gone.union(passages), "repeats")
 
 
 def cleaned(df: DataFrame, least: int = 50, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
     """df without what `repeats` finds; texts that lose nothing stay as they are. length_col is set where a text changes."""
     spans = F.collect_set(F.struct("start", "end"))
-    gone = repeats(df, least, similarity, id_col, text_col).groupBy(F.col(id_col).alias("__id"), F.col("__key").alias("__hash")).agg(spans.alias("__gone"))
-    key: Column = F.xxhash64(text_of(text_col))
-    rows = df.join(gone, df[id_col].eqNullSafe(gone["__id"]) & (key == gone["__hash"]), "left")
-    rows = rows.withColumn("__text", without(F.col(text_col), F.col("__gone.start"), F.col("__gone.end")))
-    columns = {n: F.col(n) for n in df.columns} | {text_col: F.col("__text").alias(text_col)}
+    own_id, own_key, own_gone, own_text = (fresh(df, f"__{n}") for n in ("id", "key", "gone", "text"))
+    gone = repeats(df, least, similarity, id_col, text_col).groupBy(F.col(id_col).alias(own_id), F.col("__key").alias(own_key)).agg(spans.alias(own_gone))
+    gone = stored(gone, "gone")  # so that both sides of the join are plain exchanges, which adaptive execution can split
+    rows = df.join(gone, df[id_col].eqNullSafe(gone[own_id]) & (F.xxhash64(text_of(text_col)) == gone[own_key]), "left")
+    rows = rows.withColumn(own_text, without(F.col(text_col), F.col(f"{own_gone}.start"), F.col(f"{own_gone}.end")))
+    columns = {n: F.col(n) for n in df.columns} | {text_col: F.col(own_text).alias(text_col)}
     if length_col in columns:
-        columns[length_col] = F.when(F.col("__gone").isNull(), F.col(length_col)).otherwise(F.length("__text")).cast(df.schema[length_col].dataType).alias(length_col)
+        columns[length_col] = F.when(F.col(own_gone).isNull(), F.col(length_col)).otherwise(F.length(own_text)).cast(df.schema[length_col].dataType).alias(length_col)
     return rows.select(*columns.values())

@@ -112,8 +112,9 @@ def test_op6_repeats(spark, monkeypatch):
     ] + [(30 + k, "\n".join([line(60, f"u{k}"), *near_copies("n", 20, 100)[k : k + 1]])) for k in range(20)]
     rng.shuffle(rows)
     df = clashing(documents(spark, rows))
-    for most in (64, 3):
+    for most, size in ((64, 10**6), (3, 10**6), (64, 2000)):
         monkeypatch.setattr(substrings, "MOST", most)
+        monkeypatch.setattr(substrings, "MOST_BYTES", size)
         found = substrings.repeats(df).where("line IS NOT NULL").collect()
         gone = {(r.doc_id, r.line) for r in found}
         assert {g for g in gone if g[0] < 30} == {(21, 0), (22, 1), (24, 0)} and {r.kept_id for r in found if r.doc_id < 30} == {20}
@@ -122,6 +123,8 @@ def test_op6_repeats(spark, monkeypatch):
         assert {g for g in gone if g[0] >= 30} == {(i, 1) for i, first in reached.items() if i != first}
     clean = {r.doc_id: r for r in substrings.cleaned(df).where("doc_id IS NOT NULL").collect()}
     assert clean[20].text == dict(rows)[20] and clean[21].text == line(80, 2) and clean[22].text == f"{line(70, 3)}\n{short}" and clean[23].text == line(90, 4)
+    odd = df.withColumns({n: F.lit("kept") for n in ("__id", "__key", "__gone", "__text")})
+    assert {(*r[-4:],) for r in substrings.cleaned(odd).collect()} == {("kept",) * 4}
     assert clean[21].n_chars == len(clean[21].text) and substrings.cleaned(df).columns == df.columns and substrings.cleaned(df).count() == len(rows)
     assert substrings.repeats(documents(spark, [])).count() == 0
 
