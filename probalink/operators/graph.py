@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from probalink.operators.hot import FEW, hot_keys, joined
-from probalink.sources.storage import stored
+from probalink.sources.storage import Scratch
 
 MOST_ROUNDS = 60
 
@@ -22,20 +22,24 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """(node, component) of every node that an edge joins to another: the smallest node that it reaches.
 
     Edges may be empty, repeated, in either direction or from a node to itself; edges with a null end link nothing. Each round is
-    written to the shared folder; the number of rounds grows with the logarithm of the longest path. Nothing is collected but the
+    written to the shared folder in place of the one before; the number of rounds grows with the logarithm of the longest path. Nothing is collected but the
     count and a checksum of a round's edges, observed while they are written, and the hashes of hubs, of which there are at most SHARE. Raises
     if it doesn't converge.
     """
 
-    def round_of(df: DataFrame) -> tuple[DataFrame, tuple]:
+    keep = Scratch(edges.sparkSession, "components")
+
+    def round_of(df: DataFrame, number: int) -> tuple[DataFrame, tuple]:
         seen = Observation()
         checksum = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-        table = stored(df.observe(seen, F.count("*").alias("n"), checksum.alias("checksum")), "edges")
+        table = keep(df.observe(seen, F.count("*").alias("n"), checksum.alias("checksum")), f"round-{number}")
+        if number:
+            keep.drop(f"round-{number - 1}")
         return table, (seen.get["n"], seen.get["checksum"])
 
     given = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u IS NOT NULL AND v IS NOT NULL")
-    current, now = round_of(given.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct())
-    for _ in range(MOST_ROUNDS):
+    current, now = round_of(given.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct(), 0)
+    for number in range(MOST_ROUNDS):
         state = now
         both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # an edge of large has one of its ends as u, so its hubs are among those of both
@@ -43,7 +47,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         large = with_minimum(both, hubs).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
         down = with_minimum(large, hubs)
         small = down.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(down.select("u", F.col("m").alias("v"))).distinct()
-        current, now = round_of(small)
+        current, now = round_of(small, number + 1)
         if now == state:
             nodes = current.select(F.col("u").alias("node"), F.col("v").alias("component"))
             return nodes.union(current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
