@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from probalink.llm.bpe import encoder
 from probalink.llm.common import slices, stored, text_of
 
-#: Parts into which the pieces of one length are dealt to be ranked; a length may be that of a third of all pieces.
-SALTS = 256
+#: Pieces of one length that are ranked in one task; a length of more is dealt into parts, by the pieces' places in the written table.
+PART = 1 << 20
 
 
 class Capacities:
@@ -147,35 +147,33 @@ def packed(
 
     A null or empty text is its end id alone. Rows that repeat, or lack an id, are documents of their own. An empty table gives an
     empty result. Other columns are not read. The pieces are written once to the shared folder, ranked by a shuffle on
-    (length, salt), and placed by the broadcast plan, whose size is bounded by `capacity` and not by the data.
+    (length, part), and placed by a plan whose size is bounded by `capacity` and not by the data. What comes to the driver are
+    the counts of lengths and of their parts of PART pieces.
     """
-    cut = pieces(df, path, pattern, capacity, end_id, keep_ids, id_col, text_col)
-    cut = stored(cut.withColumn("__salt", F.pmod(F.xxhash64(id_col, "piece", "ids_crc32"), F.lit(SALTS)).cast("int")), "pieces")
-    sizes = cut.groupBy("length", "__salt").agg(F.count("*").alias("__n"))
-    before = Window.partitionBy("length").orderBy("__salt").rowsBetween(Window.unboundedPreceding, -1)
-    counts = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).collect()  # at most capacity * SALTS rows
-    histogram: dict[int, int] = defaultdict(int)
-    firsts = np.zeros((capacity + 1, SALTS), np.int64)
-    for row in counts:
-        histogram[row["length"]] += row["__n"]
-        firsts[row["length"], row["__salt"]] = row["__before"]
-    runs = best_fit_decreasing(dict(histogram), capacity)
-    by_length = {}
-    for length in histogram:
-        own = [r for r in runs if r.length == length]
-        by_length[length] = np.array([[r.rank, r.each, r.sequence, r.offset] for r in own], np.int64).T
-    ranked = cut.withColumn("__rank", F.row_number().over(Window.partitionBy("length", "__salt").orderBy(id_col, "piece")))
+    cut = stored(pieces(df, path, pattern, capacity, end_id, keep_ids, id_col, text_col).withColumn("__row", F.monotonically_increasing_id()), "pieces")
+    histogram = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}
+    parts = F.array(*[F.lit(-(-histogram.get(n, 0) // PART) or 1) for n in range(capacity + 1)])
+    cut = cut.withColumn("__part", F.pmod(F.xxhash64("__row"), F.get(parts, F.col("length").cast("int"))).cast("int"))
+    firsts: dict[int, list[int]] = {n: [0] * (-(-many // PART) + 1) for n, many in histogram.items()}
+    for r in cut.groupBy("length", "__part").count().collect():
+        firsts[r["length"]][r["__part"] + 1] = r["count"]
+    before = {n: np.cumsum(own) for n, own in firsts.items()}
+    runs: dict[int, list[tuple[int, int, int, int]]] = defaultdict(list)
+    for r in best_fit_decreasing(histogram, capacity):
+        runs[r.length].append((r.rank, r.each, r.sequence, r.offset))
+    by_length = {n: np.array(own, np.int64).T for n, own in runs.items()}
+    ranked = cut.withColumn("__rank", F.row_number().over(Window.partitionBy("length", "__part").orderBy("__row")))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            length, salt, rank = (np.asarray(batch.column(n)) for n in ("length", "__salt", "__rank"))
-            rank = rank.astype(np.int64) - 1 + firsts[length, salt]
+            length, part, rank = (np.asarray(batch.column(n)) for n in ("length", "__part", "__rank"))
             sequence, offset = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64)
             for size in np.unique(length).tolist():
                 own = np.flatnonzero(length == size)
                 start, each, first, begin = by_length[size]
-                run = np.searchsorted(start, rank[own], side="right") - 1
-                k = rank[own] - start[run]
+                place_of = rank[own].astype(np.int64) - 1 + before[size][part[own]]
+                run = np.searchsorted(start, place_of, side="right") - 1
+                k = place_of - start[run]
                 sequence[own] = first[run] + k // each[run]
                 offset[own] = begin[run] + k % each[run] * size
             kept = [n for n in batch.schema.names if not n.startswith("__")]
