@@ -312,9 +312,9 @@ def test_op9_small_tables_and_odd_vectors(spark):
     rows = [(i, rng.normal(size=8).tolist()) for i in range(300)] + [(1000 + i, [1.0] * 8) for i in range(60)]
     rows += [(2000, None), (2001, []), (2002, [0.0] * 8), (2050, [float("nan")] * 8), (2100, [float("inf")] + [0.0] * 7), (None, [1.0] * 8), (2051, [None] * 8)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    for block in (4096, 50):
+    for block, size in ((4096, ann.QUERY_BYTES), (50, 200)):
         found = {}
-        for r in ann.nearest(clashing(df), block=block).orderBy("query_id", "rank").collect():
+        for r in ann.nearest(clashing(df), block=block, query_bytes=size).orderBy("query_id", "rank").collect():
             found.setdefault(r.query_id, []).append((round(-r.score, 9), r.vec_id))
         expected = exact(rows, 50, 5)
         assert found.keys() == expected.keys()
