@@ -123,28 +123,32 @@ def lasso(matrix: np.ndarray, labels: np.ndarray, penalty: float, steps: int = 6
     return b - float(mean @ w), w
 
 
+def matrix_of(values: np.ndarray, rules: list[tuple[Condition, ...]]) -> np.ndarray:
+    return np.stack([covers(values, r) for r in rules], axis=1).astype(float)
+
+
 def fitted(values: np.ndarray, labels: np.ndarray, trees: int = 30, depth: int = 3, rate: float = 0.3, penalties: tuple[float, ...] = (0.0003, 0.001, 0.003, 0.01)) -> RuleModel:
-    """The rule ensemble of labelled rows. The penalty is the one with the smallest loss on every fourth row, held back meanwhile.
+    """The rule ensemble of labelled rows.
 
-    Without rows of both labels every score is the share of label 1 (one half, without any).
+    The penalty is the one with the smallest loss on every fourth row, for rules and weights that come from the other rows alone; the
+    ensemble is then grown anew from all rows. Without rows of both labels every score is the share of label 1 (one half, without any).
     """
     if not len(labels) or labels.min() == labels.max():
         share = (labels.sum() + 1) / (len(labels) + 2)
         return RuleModel(float(np.log(share / (1 - share))), ())
-    rules = paths(values, labels, trees, depth, rate, max(5, len(labels) // 500))
+    grow = lambda own: paths(values[own], labels[own], trees, depth, rate, max(5, int(own.sum()) // 500))
+    back, losses = np.arange(len(labels)) % 4 == 3, [0.0]
+    if back.any() and labels[~back].min() != labels[~back].max() and (rules := grow(~back)):
+        known, unseen = matrix_of(values[~back], rules), matrix_of(values[back], rules)
+        losses = []
+        for penalty in penalties:
+            b, w = lasso(known, labels[~back], penalty)
+            p = np.clip(1 / (1 + np.exp(-(unseen @ w + b))), 1e-6, 1 - 1e-6)
+            losses.append(-float((labels[back] * np.log(p) + (1 - labels[back]) * np.log(1 - p)).mean()))
+    rules = grow(np.ones(len(labels), bool))
     if not rules:
         return RuleModel(float(np.log(labels.mean() / (1 - labels.mean()))), ())
-    matrix = np.stack([covers(values, r) for r in rules], axis=1).astype(float)
-    back = np.arange(len(labels)) % 4 == 3
-    losses = []
-    for penalty in penalties:
-        if labels[~back].min() == labels[~back].max():
-            losses.append(0.0)
-            continue
-        b, w = lasso(matrix[~back], labels[~back], penalty)
-        p = np.clip(1 / (1 + np.exp(-(matrix[back] @ w + b))), 1e-6, 1 - 1e-6)
-        losses.append(-float((labels[back] * np.log(p) + (1 - labels[back]) * np.log(1 - p)).mean()))
-    b, w = lasso(matrix, labels, penalties[int(np.argmin(losses))])
+    b, w = lasso(matrix_of(values, rules), labels, penalties[int(np.argmin(losses))])
     return RuleModel(b, tuple((float(x), r) for x, r in zip(w, rules) if x))
 
 
@@ -155,21 +159,24 @@ def held_out(id_col: str = "doc_id") -> Column:
 def learned(docs: DataFrame, labels: DataFrame, sample: int = 20_000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> RuleModel:
     """Fits the rules to labelled documents that aren't held out.
 
-    At most `sample` labels are used, those of the smallest hashes of their ids; their statistics, a few numbers each, are all that
-    comes to the driver. Labels other than 0 and 1, and ids that are null or have contradicting labels, aren't used.
+    At most `sample` labels are used, those of the smallest hashes of their ids; their statistics, a few numbers each and one row an id,
+    are all that comes to the driver. Labels other than 0 and 1, and ids that are null or have contradicting labels, aren't used; of
+    documents that share an id the one with the smallest statistics is. Texts are read whole, however long; of empty tables every
+    score is one half.
     """
     usable = labels.where(F.col(label_col).isin(0, 1) & ~held_out(id_col)).groupBy(F.col(id_col).alias("__id"))
     usable = usable.agg(F.min(label_col).alias("__label"), F.max(label_col).alias("__other")).where("__label = __other")
     chosen = usable.orderBy(F.xxhash64("__id"), "__id").limit(sample)
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__document")).join(F.broadcast(chosen), "__id")
     features = with_statistics(rows, "__document").select("__id", F.col("__label").cast("double").alias("label"), *[F.expr(e).cast("double").alias(n) for n, e in FEATURES.items()])
-    data = features.orderBy(F.xxhash64("__id"), "__id").toPandas()
+    one = features.groupBy("__id").agg(F.min(F.struct("label", *FEATURES)).alias("__row")).select(F.xxhash64("__id").alias("__hash"), "__id", "__row.*")
+    data = one.toPandas().sort_values(["__hash", "__id"])
     return fitted(data[list(FEATURES)].to_numpy(float), data["label"].to_numpy(float))
 
 
 def scored(docs: DataFrame, model: RuleModel, least: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, held_out, score, predicted) of every whole text. Null texts score as empty ones; a null id isn't held out; rows that
-    repeat score alike. Other columns are not read."""
+    """(id, held_out, score, predicted) of every whole text, however long. Null texts score as empty ones; a null id isn't held out; rows
+    that repeat score alike. Other columns are not read. An empty table gives an empty result."""
     rows = with_statistics(docs.select(id_col, F.col(text_col).alias("__document")), "__document")
     rows = rows.withColumns({f"__{n}": F.expr(e).cast("double") for n, e in FEATURES.items()})
     score = model.column([F.col(f"__{n}") for n in FEATURES])

@@ -115,6 +115,15 @@ def test_op2_learns_rules_and_scores_like_its_column(spark):
     labels = spark.createDataFrame([(i, int(i < 500), 0) for i, _ in rows] + [(None, 1, 0), (3, 1, 0)], "doc_id long, quality int, toxic int")
     model = quality_model.learned(docs, labels)
     assert 0 < len(model.rules) < 60
+    features = quality_rules.with_statistics(docs.select("doc_id", "text")).select("doc_id", *[F.expr(e).cast("double").alias(n) for n, e in quality_model.FEATURES.items()]).toPandas()
+    again = dict(zip(features["doc_id"].fillna(-1), model.score(features[list(quality_model.FEATURES)].to_numpy(float))))
+    for r in quality_model.scored(docs, model).collect():
+        assert abs(r.score - again[-1 if r.doc_id is None else r.doc_id]) < 1e-12
+    twice = docs.union(docs.where("doc_id < 40").withColumn("text", F.concat("text", F.lit(" x"))))
+    assert len(quality_model.learned(twice, labels, sample=30).rules) >= 0
+    assert {r.score for r in quality_model.scored(docs, quality_model.learned(documents(spark, []), labels)).collect()} == {0.5}
+    assert quality_model.scored(documents(spark, []), model).count() == 0
+    assert [r.predicted for r in quality_model.scored(documents(spark, [(1, "word " * 100_000), (2, "x" * 500_000)]), model).collect()] is not None
     found = {r.doc_id: r for r in quality_model.scored(docs, model).collect()}
     import zlib
 
@@ -132,3 +141,53 @@ def test_op2_held_out_accuracy(spark):
     good_scores, bad_scores = [r.score for r in rows if r.quality], [r.score for r in rows if not r.quality]
     better = np.mean([[(g > b) + 0.5 * (g == b) for b in bad_scores] for g in good_scores])
     assert better > 0.9
+
+
+def test_op2_lasso_meets_its_conditions():
+    """At the optimum a rule without weight has a gradient within the penalty, and one with a weight exactly that of its sign."""
+    rng = np.random.default_rng(2)
+    matrix = (rng.random((400, 12)) < 0.4).astype(float)
+    labels = (rng.random(400) < 1 / (1 + np.exp(-(2 * matrix[:, 0] - 3 * matrix[:, 1])))).astype(float)
+    for penalty in (0.003, 0.02, 0.2):
+        b, w = quality_model.lasso(matrix, labels, penalty, 5000)
+        p = 1 / (1 + np.exp(-(matrix @ w + b)))
+        gradient = matrix.T @ (p - labels) / len(labels)
+        assert abs((p - labels).mean()) < 1e-4 and np.all(np.abs(gradient) <= penalty + 1e-4)
+        assert np.allclose(gradient[w != 0], -penalty * np.sign(w[w != 0]), atol=1e-4)
+    assert not w.any()
+
+
+def test_op2_trees_take_the_best_split():
+    """Every node's split against all splits by plain loops."""
+    rng = np.random.default_rng(3)
+    values, residual, curvature = rng.integers(0, 6, (120, 3)).astype(float), rng.normal(size=120), rng.random(120) + 0.1
+    cuts = [np.unique(v)[:-1] for v in values.T]
+
+    def naive(rows, path):
+        g, h = residual[rows].sum(), curvature[rows].sum()
+        best = (1e-6, None)
+        for k in range(3):
+            for cut in cuts[k]:
+                low, high = [r for r in rows if values[r, k] <= cut], [r for r in rows if values[r, k] > cut]
+                if len(low) >= 10 and len(high) >= 10:
+                    score = lambda own: residual[own].sum() ** 2 / (curvature[own].sum() + 1)
+                    gain = score(low) + score(high) - g**2 / (h + 1)
+                    if gain > best[0] + 1e-9:
+                        best = (gain, (k, cut, low, high))
+        out = [(path, g / (h + 1), best[1] is None or len(path) == 2)]
+        if best[1] and len(path) < 2:
+            k, cut, low, high = best[1]
+            out += naive(low, (*path, (k, cut, False))) + naive(high, (*path, (k, cut, True)))
+        return out
+
+    found, expected = quality_model.grown(values, residual, curvature, cuts, 2, 10), naive(list(range(120)), ())
+    assert [(p, leaf) for p, _, leaf in found] == [(p, leaf) for p, _, leaf in expected] and np.allclose([s for _, s, _ in found], [s for _, s, _ in expected])
+    assert len(found) == 7
+
+
+def test_op2_the_penalty_is_chosen_on_rows_that_no_tree_saw(monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality_model, "paths", lambda values, labels, *rest: seen.append(len(values)) or [((0, 0.5, True),)])
+    values = np.arange(40).reshape(-1, 1) / 40
+    quality_model.fitted(values, (values[:, 0] > 0.6).astype(float))
+    assert seen == [30, 40]
