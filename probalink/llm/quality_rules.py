@@ -1,8 +1,9 @@
 """Quality rules as weak supervision (operator 5), by DataFrame functions only.
 
 Each rule votes a document good (1) or bad (-1), or abstains (0). Documents with the same votes are counted, and from these counts, at
-most 3 ** rules of them, expectation maximisation estimates how often each rule gives each vote to good and to bad documents. A
-document is kept if the posterior probability that it is good is high enough; no single rule has to pass.
+most 3 ** rules of them, expectation maximisation estimates how often each rule gives each vote to good documents, and how often to bad
+ones. A document is kept if the posterior probability that it is good is high enough; no single rule has to pass, and one that is
+hardly ever wrong about good documents may decide alone.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from probalink.llm.common import stored, text_of
+from probalink.llm.common import fresh, stored, text_of
 
 SPACES = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]"
@@ -27,27 +28,32 @@ WINDOW_WORDS = 5
 class Rule:
     """bad and good are conditions on the statistics; where neither holds (or one is null) the rule abstains.
 
-    accuracy is the share of its votes believed right before any are seen.
+    What is believed before any votes are seen: the shares of good and of bad documents that it votes bad, and that it votes good.
     """
 
     name: str
     bad: str
-    good: str
-    accuracy: float = 0.95
+    good: str = "false"
+    voted_bad: tuple[float, float] = (0.0005, 0.3)
+    voted_good: tuple[float, float] = (1e-6, 1e-6)
 
+    def believed(self, of: int) -> tuple[float, float, float]:
+        """The shares of VOTES among good documents (of = 0) or bad ones (1)."""
+        return self.voted_bad[of], 1 - self.voted_bad[of] - self.voted_good[of], self.voted_good[of]
 
-#: Thresholds are on shares of words or characters, so that a document's length doesn't matter. Every kind of junk is judged by two
-#: rules at least: a rule that nothing corroborates has an accuracy that votes alone can't estimate.
+
+#: Thresholds are on shares of words or characters, so that a document's length doesn't matter. Most rules are believed to be wrong about
+#: one good document in 2,000, so each decides alone; repeated words and lines occur in good documents too.
 RULES = (
-    Rule("symbols", "n_symbols > 0.2 * n_words", "false"),
-    Rule("letters", "n_others > 0.2 * word_chars", "n_others <= 0.1 * word_chars", 0.9),
-    Rule("columns", "n_bars > 0.2 * n_words", "false"),
-    Rule("capitals", "n_capitals > 0.3 * word_chars", "false"),
-    Rule("exclamations", "n_exclamations > 0.2 * n_words", "false"),
-    Rule("repetition", "n_repeat_words > 0.1 * n_words", "false"),
-    Rule("doubles", "n_doubles > 0.15 * n_words", "false"),
-    Rule("lines", "n_dup_lines > 0.2 * n_lines", "false"),
-    Rule("word_length", "word_chars > 12 * n_words OR word_chars < 2 * n_words", "false"),
+    Rule("symbols", "n_symbols > 0.2 * n_words"),
+    Rule("letters", "n_others > 0.2 * word_chars", "n_others <= 0.1 * word_chars", (0.005, 0.3), (0.9, 0.5)),
+    Rule("columns", "n_bars > 0.2 * n_words"),
+    Rule("capitals", "n_capitals > 0.3 * word_chars"),
+    Rule("exclamations", "n_exclamations > 0.2 * n_words"),
+    Rule("repetition", "n_repeat_words > 0.1 * n_words", voted_bad=(0.02, 0.3)),
+    Rule("doubles", "n_doubles > 0.15 * n_words", voted_bad=(0.005, 0.3)),
+    Rule("lines", "n_dup_lines > 0.2 * n_lines", voted_bad=(0.1, 0.2)),
+    Rule("word_length", "word_chars > 12 * n_words OR word_chars < 2 * n_words"),
 )
 
 
@@ -67,26 +73,28 @@ def with_statistics(df: DataFrame, text_col: str = "text", prefix: str = "") ->
     """df with the statistics of every whole text, each column's name after prefix. Null texts have no words and no lines."""
     text = text_of(text_col)
     lines = F.filter(F.split(text, "\n", -1), lambda line: line.rlike(WORD))
-    first = df.withColumns({"__text": text, "__flat": F.trim(F.regexp_replace(text, rf"{SPACES}{{2,}}|[\x09-\x0D]", " ")), "__lines": lines})
-    windows = F.regexp_extract_all(F.col("__flat"), F.lit(WINDOW), F.lit(1))
-    second = first.withColumns({"__windows": windows, "__chars": F.length(F.replace("__flat", F.lit(" ")))})
-    words = F.when(F.col("__flat") == "", 0).otherwise(F.length("__flat") - F.col("__chars") + 1)
-    repeated = F.when(F.size("__windows") == F.size(F.array_distinct("__windows")), 0).otherwise(repeated_words(F.col("__windows")))
-    count = lambda pattern: F.regexp_count(F.col("__flat"), F.lit(pattern))
+    own = {n: fresh(df, f"__{n}") for n in ("flat", "lines", "windows", "chars")}
+    flat, chars, all_lines, every = (F.col(own[n]) for n in ("flat", "chars", "lines", "windows"))
+    first = df.withColumns({own["flat"]: F.trim(F.regexp_replace(text, rf"{SPACES}{{2,}}|[\x09-\x0D]", " ")), own["lines"]: lines})
+    windows = F.regexp_extract_all(flat, F.lit(WINDOW), F.lit(1))
+    second = first.withColumns({own["windows"]: windows, own["chars"]: F.length(F.replace(flat, F.lit(" ")))})
+    words = F.when(flat == "", 0).otherwise(F.length(flat) - chars + 1)
+    repeated = F.when(F.size(every) == F.size(F.array_distinct(every)), 0).otherwise(repeated_words(every))
+    count = lambda pattern: F.regexp_count(flat, F.lit(pattern))
     found = {
         "n_words": words,
-        "word_chars": F.col("__chars"),
+        "word_chars": chars,
         "n_symbols": count(SYMBOLS),
-        "n_dup_lines": F.size("__lines") - F.size(F.array_distinct("__lines")),
+        "n_dup_lines": F.size(all_lines) - F.size(F.array_distinct(all_lines)),
         "n_repeat_words": repeated,
-        "n_lines": F.size("__lines"),
+        "n_lines": F.size(all_lines),
         "n_bars": count(r"\|"),
         "n_exclamations": count("!"),
         "n_capitals": count(r"\p{Lu}"),
         "n_others": count(r"[^\p{L}\p{N}\x20]"),
         "n_doubles": count(r"(?<![^ ])([^ ]++) (?=\1(?![^ ]))"),
     }
-    return second.withColumns({prefix + n: c.cast("long") for n, c in found.items()}).drop("__text", "__flat", "__lines", "__windows", "__chars")
+    return second.withColumns({prefix + n: c.cast("long") for n, c in found.items()}).drop(*own.values())
 
 
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_bars", "n_exclamations", "n_capitals", "n_others", "n_doubles")
@@ -104,52 +112,61 @@ def votes(rules: tuple[Rule, ...] = RULES, prefix: str = "") -> Column:
     return F.array(*map(own, rules))
 
 
+VOTES = (-1, 0, 1)
+
+
 @dataclass(frozen=True)
 class Estimate:
-    """The share of good documents, and the share of each rule's votes that are right."""
+    """The share of good documents, and how often each rule gives each of VOTES to good and to bad ones."""
 
     share: float
-    accuracies: tuple[float, ...]
+    good: tuple[tuple[float, ...], ...]
+    bad: tuple[tuple[float, ...], ...]
 
-    def weights(self) -> list[float]:
-        return [math.log(a / (1 - a)) for a in self.accuracies]
+    def weights(self) -> list[list[float]]:
+        """What each vote of each rule adds to the log odds that a document is good."""
+        return [[math.log(g / b) for g, b in zip(*rule)] for rule in zip(self.good, self.bad)]
+
+    def odds(self) -> float:
+        return math.log(self.share / (1 - self.share))
 
     def quality(self, pattern: tuple[int, ...]) -> float:
         """The probability that a document with these votes is good."""
-        odds = math.log(self.share / (1 - self.share)) + sum(w * v for w, v in zip(self.weights(), pattern))
-        return 1 / (1 + math.exp(-odds))
+        return 1 / (1 + math.exp(-self.odds() - sum(w[v + 1] for w, v in zip(self.weights(), pattern))))
 
     def posterior(self, pattern: Column) -> Column:
         """The same, of an array of votes."""
-        odds = F.lit(math.log(self.share / (1 - self.share)))
-        for k, weight in enumerate(self.weights()):
-            odds = odds + pattern[k] * F.lit(weight)
+        odds = F.lit(self.odds())
+        for k, own in enumerate(self.weights()):
+            odds = odds + F.get(F.array(*map(F.lit, own)), pattern[k] + 1)
         return 1 / (1 + F.exp(-odds))
 
 
-def estimated(counts: dict[tuple[int, ...], int], accuracies: tuple[float, ...], share: float = 0.8, belief: float = 0.1, rounds: int = 200) -> Estimate:
+def prior(rules: tuple[Rule, ...], share: float = 0.8) -> Estimate:
+    """What is believed before any votes are seen."""
+    return Estimate(share, tuple(r.believed(0) for r in rules), tuple(r.believed(1) for r in rules))
+
+
+def estimated(counts: dict[tuple[int, ...], int], believed: Estimate, belief: float = 1.0, rounds: int = 200) -> Estimate:
     """Expectation maximisation over counts of vote patterns.
 
-    A rule's vote is right with its accuracy, whatever the document's class, and abstaining tells nothing. Estimates start from
-    `share` and `accuracies`, and lean on them as on a further `belief` times the votes at hand, so that they come out alike for any
-    number of documents; they stand where there are no votes. The share of good documents is kept between one half and nine
-    tenths: where junk is rare, its votes still decide about it.
+    Given its class, a document's votes are independent, and every rule has its own shares of bad votes, abstentions and good votes
+    among the good and among the bad. Estimates start from what is believed, and lean on it as on a further `belief` times the documents at
+    hand, so that they come out alike for any number of documents; they stand where there are none.
     """
-    bounded = lambda x, low, high: min(high, max(low, x))
-    now, total, rules = Estimate(share, accuracies), sum(counts.values()), range(len(accuracies))
+    now, total, rules = believed, sum(counts.values()), range(len(believed.good))
     for _ in range(rounds if total else 0):
-        good, right, cast = 0.0, [0.0 for _ in rules], [0.0 for _ in rules]
+        mass = [0.0, 0.0]
+        votes = [[[0.0] * len(VOTES) for _ in rules] for _ in mass]
         for pattern, n in counts.items():
             p = now.quality(pattern)
-            good += n * p
-            for k, v in enumerate(pattern):
-                if v:
-                    cast[k] += n
-                    right[k] += n * (p if v > 0 else 1 - p)
-        # a rule that is wrong more often than right says nothing
-        own = tuple(bounded((right[k] / cast[k] + belief * accuracies[k]) / (1 + belief), 0.501, 0.999) if cast[k] else accuracies[k] for k in rules)
-        last, now = now, Estimate(bounded((good / total + belief * share) / (1 + belief), 0.5, 0.9), own)
-        if abs(last.share - now.share) + sum(abs(a - b) for a, b in zip(last.accuracies, now.accuracies)) < 1e-12:
+            for c, own in enumerate((n * (1 - p), n * p)):
+                mass[c] += own
+                for k, v in enumerate(pattern):
+                    votes[c][k][v + 1] += own
+        lean = lambda c, given: tuple(tuple((votes[c][k][v] + belief * mass[c] * given[k][v]) / (mass[c] * (1 + belief)) if mass[c] else given[k][v] for v in range(len(VOTES))) for k in rules)
+        last, now = now, Estimate((mass[1] + belief * total * believed.share) / (total * (1 + belief)), lean(1, believed.good), lean(0, believed.bad))
+        if abs(last.share - now.share) < 1e-12 and last.weights() == now.weights():
             break
     return now
 
@@ -157,21 +174,25 @@ def estimated(counts: dict[tuple[int, ...], int], accuracies: tuple[float, ...],
 def rated(df: DataFrame, keep: list[str], rules: tuple[Rule, ...] = RULES, least: float = 0.5, text_col: str = "text", prefix: str = "") -> DataFrame:
     """The columns named by keep, the statistics, base_failed, quality (the posterior of good) and kept.
 
-    base_failed: fewer than 10 words, or over a fifth of them in repeated windows. kept: not so, and quality of at least `least`.
-    Null and empty texts fail. Rows that repeat are rated alike; an empty table gives an empty result. Columns that keep names and
-    that clash with a new one need a prefix for the new ones. The rated rows are written once to the shared folder, between the
-    count of vote patterns and the verdict.
+    base_failed: fewer than 10 words, or over a fifth of them in repeated windows. kept: not so, and quality of at least `least`;
+    quality is estimated from the documents that aren't failed already. Null and empty texts fail. Rows that repeat are rated alike;
+    an empty table gives an empty result. Columns that keep names and that clash with a new one need a prefix for the new ones. The
+    rated rows are written once to the shared folder, between the count of vote patterns and the verdict.
     """
     rows = with_statistics(df.select(*dict.fromkeys([*keep, text_col])), text_col, prefix).select(*keep, *[prefix + n for n in STATISTICS])
     names = {n: prefix + n for n in ("votes", "base_failed", "quality", "kept")}
     rows = stored(rows.withColumn(names["votes"], votes(rules, prefix)), "rated")
-    counts = {tuple(r[0]): r[1] for r in rows.groupBy(names["votes"]).count().collect()}  # at most 3 ** rules of them
-    quality = estimated(dict(sorted(counts.items())), tuple(r.accuracy for r in rules)).posterior(F.col(names["votes"]))
     words, repeated = F.col(prefix + "n_words"), F.col(prefix + "n_repeat_words")
-    rows = rows.withColumns({names["base_failed"]: (words < 10) | (100 * repeated > 20 * words), names["quality"]: quality})
+    failed = (words < 10) | (100 * repeated > 20 * words)
+    counts = {tuple(r[0]): r[1] for r in rows.where(~failed).groupBy(names["votes"]).count().collect()}  # at most 3 ** rules of them
+    quality = estimated(dict(sorted(counts.items())), prior(rules)).posterior(F.col(names["votes"]))
+    rows = rows.withColumns({names["base_failed"]: failed, names["quality"]: quality})
     return rows.withColumn(names["kept"], ~F.col(names["base_failed"]) & (F.col(names["quality"]) >= least))
 
 
 def passing(df: DataFrame, rules: tuple[Rule, ...] = RULES, least: float = 0.5, text_col: str = "text") -> DataFrame:
-    """The rows of df that are kept, with its columns."""
-    return rated(df, df.columns, rules, least, text_col, "__rated_").where("__rated_kept").select(*df.columns)
+    """The rows of df that are kept, with its columns, whatever their names."""
+    prefix = "__rated_"
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix = f"_{prefix}"
+    return rated(df, df.columns, rules, least, text_col, prefix).where(f"{prefix}kept").select(*df.columns)

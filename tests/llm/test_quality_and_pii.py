@@ -57,11 +57,65 @@ def test_op5_verdicts_and_stage(spark):
     assert passing.columns == df.columns and {r.doc_id for r in passing.collect()} == kept
 
 
-def test_estimates_separate_corroborated_votes():
-    counts = {(-1, -1, 0): 10, (0, 0, 1): 80, (0, 0, 0): 10}
-    small, large = quality_rules.estimated(counts, (0.9,) * 3), quality_rules.estimated({k: 1000 * n for k, n in counts.items()}, (0.9,) * 3)
-    assert small.quality((-1, -1, 0)) < 0.1 < 0.9 < small.quality((0, 0, 1))
-    assert np.allclose(small.accuracies, large.accuracies) and quality_rules.estimated({}, (0.9,) * 3).accuracies == (0.9,) * 3
+def test_op5_columns_of_any_name_stay(spark):
+    df = documents(spark, [(1, good(1)), (2, junk(2))])
+    df = df.withColumns({n: F.lit("kept") for n in ("__text", "__flat", "__lines", "__windows", "__chars", "__rated_kept", "votes")})
+    found = quality_rules.passing(df)
+    assert found.columns == df.columns and [(r.doc_id, *r[-7:]) for r in found.collect()] == [(1, *["kept"] * 7)]
+    assert quality_rules.with_statistics(df).columns[: len(df.columns)] == df.columns
+
+
+def test_op5_one_kind_of_junk_is_rejected(spark):
+    loud = [good(700 + k).upper() for k in range(5)]
+    barred = [good(800 + k).replace(" ", " | ", 20) for k in range(2)]
+    long = [" ".join("x" * 20 + w for w in good(900 + k).split()) for k in range(3)]
+    rows = [*enumerate([good(k) for k in range(200)]), *enumerate([*loud, *barred, *long], 500)]
+    assert {r.doc_id for r in quality_rules.rated(documents(spark, rows), ["doc_id"]).where("kept").collect()} == set(range(200))
+
+
+def plain_estimate(patterns, believed, belief, rounds):
+    """Expectation maximisation, document by document."""
+    share, good_votes, bad_votes = believed.share, [list(v) for v in believed.good], [list(v) for v in believed.bad]
+    for _ in range(rounds):
+        good_weight = []
+        for pattern in patterns:
+            a, b = share, 1 - share
+            for k, v in enumerate(pattern):
+                a, b = a * good_votes[k][v + 1], b * bad_votes[k][v + 1]
+            good_weight.append(a / (a + b))
+        total, mass = len(patterns), sum(good_weight)
+        share = (mass + belief * total * believed.share) / (total + belief * total)
+        for own, weights, given in ((good_votes, good_weight, believed.good), (bad_votes, [1 - w for w in good_weight], believed.bad)):
+            for k in range(len(own)):
+                own[k] = [(sum(w for w, p in zip(weights, patterns) if p[k] == v) + belief * sum(weights) * given[k][v + 1]) / (sum(weights) * (1 + belief)) for v in (-1, 0, 1)]
+    return share, good_votes, bad_votes
+
+
+def test_op5_estimates_are_those_of_plain_expectation_maximisation():
+    rng = random.Random(5)
+    truth = [rng.random() < 0.7 for _ in range(400)]
+    patterns = [tuple(rng.choices((-1, 0, 1), ((1, 20, 10) if t else (9, 10, 2)))[0] for _ in range(4)) for t in truth]
+    believed = quality_rules.Estimate(0.8, ((0.05, 0.8, 0.15),) * 4, ((0.3, 0.6, 0.1),) * 4)
+    for belief, rounds in ((0.1, 1), (0.1, 7), (1.0, 30)):
+        found = quality_rules.estimated(dict(Counter(patterns)), believed, belief, rounds)
+        share, good_votes, bad_votes = plain_estimate(patterns, believed, belief, rounds)
+        assert np.isclose(found.share, share) and np.allclose(found.good, good_votes) and np.allclose(found.bad, bad_votes)
+    assert np.mean([(found.quality(p) >= 0.5) == t for p, t in zip(patterns, truth)]) > 0.9
+    more = quality_rules.estimated({k: 1000 * n for k, n in Counter(patterns).items()}, believed)
+    assert np.allclose(more.good, quality_rules.estimated(dict(Counter(patterns)), believed).good)
+    assert quality_rules.estimated({}, believed) == believed
+
+
+def test_op5_kept_is_the_posterior_of_the_votes(spark):
+    rows = [(k, good(k)) for k in range(60)] + [(500 + k, junk(k)) for k in range(20)] + [(None, None), (900, ""), (901, "a b " * 40)]
+    found = quality_rules.rated(documents(spark, rows), ["doc_id"]).collect()
+    patterns = [tuple(r.votes) for r in found if not r.base_failed]
+    share, good_votes, bad_votes = plain_estimate(patterns, quality_rules.prior(quality_rules.RULES), 1.0, 200)
+    for r in found:
+        a, b = share, 1 - share
+        for k, v in enumerate(r.votes):
+            a, b = a * good_votes[k][v + 1], b * bad_votes[k][v + 1]
+        assert abs(r.quality - a / (a + b)) < 1e-6 and r.kept == (not r.base_failed and r.quality >= 0.5)
 
 
 def luhn(number):
