@@ -161,6 +161,23 @@ def test_op3_added_spans_context_and_redaction(spark):
     clean = {r.doc_id: r for r in pii.redacted(df).collect()}
     assert clean[1].text == "Pay to bank account [IBAN] now." and clean[6].text == "mail é@x [EMAIL], [PHONE]!" and clean[6].n_chars == len(clean[6].text)
     assert clean[2].text == rows[1][1] and clean[7].text is None and pii.redacted(df).columns == df.columns
+    odd = df.withColumns({n: F.lit("kept") for n in ("__spans", "__base", "__text", "__email", "__iban")})
+    assert {tuple(r[-5:]) for r in pii.redacted(odd).collect()} == {("kept",) * 5} and pii.redacted(odd).columns == odd.columns
+    assert pii.redacted(documents(spark, [])).count() == pii.digests(documents(spark, [])).count() == 0
+
+
+def test_op3_words_beside_a_span_decide(spark):
+    iban, key, card = "GB82 WEST 1234 5698 7654 32", "token = 24be64439e3e49cf46b2d7c90f3602a3d0b907ff", "4539/5787/6362/1486"
+    cases = [
+        (f"{iban} it is", "iban", "0.7"), (f"my bank: {iban}", "iban", "1.0"), (f"an EXAMPLE {iban}", "", ""), (f"sample account {iban}", "iban", "0.7"), (f"{'z' * 60} {iban} {'z' * 60} example", "iban", "0.7"),
+        (key, "secret", "0.7"), (f"login {key}", "secret", "1.0"), (f"placeholder {key}", "", ""),
+        (card, "", ""), (f"visa {card}", "pan", "0.7"), (f"sample visa {card}", "", ""), (f"visa {card[:-1]}5", "", ""), (f"visard {card}", "", ""),
+        ("ssn 123-45-6789", "ssn", "0.7"), ("dummy ssn 123-45-6789", "", ""),
+        ("a@b.cd", "email", "0.7"), ("e-mail a@b.cd", "email", "1.0"), ("example a@b.cd", "email", "0.4"), ("version 1.2.3.4", "ip", "0.4"),
+    ]
+    found = {r.doc_id: r for r in pii.digests(documents(spark, [(k, text) for k, (text, _, _) in enumerate(cases)])).collect()}
+    for k, (text, kind, score) in enumerate(cases):
+        assert (found[k].spans.split(":")[0], found[k].scores) == (kind, score), text
 
 
 def test_op2_learns_rules_and_scores_like_its_column(spark):
