@@ -1,8 +1,16 @@
 from __future__ import annotations
 
+import random
+import re
+import zlib
+
 import duckdb
+import numpy as np
+import public_tokenizers as P
 from data import clashing, documents
+from pyspark.sql import functions as F
 from test_quality_and_pii import good, junk
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from probalink.llm import queries
@@ -41,3 +49,56 @@ def test_sql_of_this_subpackage(spark):
         found = [repr([plain(r[c]) for c in columns]) for r in df.collect()]
         expected = [repr([plain(r[other.columns.index(c)]) for c in columns]) for r in other.fetchall()]
         assert sorted(found) == sorted(expected), name
+
+
+def plain_words(text):
+    return (text or "").encode().lower().split()
+
+
+def plain_pipeline(rows):
+    """Which (id, text) rows stay after each of the first two stages, and the texts after the next two, by plain Python over small,
+    well-separated documents: passages repeat whole, near copies differ in one word of many, junk is unmistakable."""
+    kept = [(i, t) for i, t in rows if len(plain_words(t)) >= 10 and not any(c in (t or "") for c in "$|") and not (t or "").isupper()]
+    kept = sorted(set(kept), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    first = []
+    for i, t in kept:
+        if not any(len(set(plain_words(t)) ^ set(plain_words(o))) <= 4 for _, o in first):
+            first.append((i, t))
+    seen, cleaned = set(), []
+    for i, t in first:
+        lines = []
+        for line in t.split("\n"):
+            if len(plain_words(line)) < 50 or tuple(plain_words(line)) not in seen:
+                lines.append(line)
+            seen.add(tuple(plain_words(line)))
+        cleaned.append((i, "\n".join(lines)))
+    return first, [(i, re.sub(r"\S+@\S+\.[a-z]+", "[EMAIL]", t)) for i, t in cleaned]
+
+
+def test_run_is_that_of_a_plain_pipeline(spark, tmp_path):
+    rng = random.Random(3)
+    words = sorted({f"{a}{b}{c}" for a in "bdfgklmnprst" for b in "aeiou" for c in "bdfgklmnprst"})
+    prose = lambda n: " ".join(rng.choices(words, k=n))
+    passage, repeated = prose(60), prose(200)
+    rows = [(k, prose(rng.randrange(60, 250))) for k in range(60)]
+    rows += [(100, f"{prose(80)}\n{passage}\n{prose(70)}"), (101, f"{passage}\n{prose(90)}"), (102, f"{prose(100)} mail me@there.org {prose(100)}")]
+    rows += [(103, repeated), (104, repeated + " end"), (7, prose(150)), (7, repeated), (None, prose(120)), (None, repeated), (None, None), (105, ""), (106, "short")]
+    rows += [(110 + k, junk(k)) for k in range(9)] + [rows[3], rows[3], (120, prose(3000))]
+    documents(spark, rows).withColumns({"__text": F.lit("x"), "__id": F.lit(1), "sequence": F.lit(2)}).write.parquet(str(tmp_path / "documents.parquet"))
+    first, expected = plain_pipeline(rows)
+    assert {i for i, _ in first} == {*range(60), 100, 101, 102, 120, None} and len(first) == 67  # three texts have the id 7
+    pieces = {}
+    for r in corpus_pipeline.run(spark, str(tmp_path)).collect():
+        pieces.setdefault(r.doc_id, []).append(r)
+        assert len(r.token_ids) == r.length <= 1024 and zlib.crc32(np.array(r.token_ids, "<u4").tobytes()) == r.ids_crc32
+    library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    for i in {i for i, _ in expected}:
+        wanted = sorted([*library.encode(t, add_special_tokens=False).ids, 2] for j, t in expected if j == i)
+        own = sorted(pieces.pop(i), key=lambda r: r.piece)
+        if len(wanted) > 1:  # documents of one id: all of one piece here
+            assert sorted(r.token_ids for r in own) == wanted
+        else:
+            assert [x for r in own for x in r.token_ids] == wanted[0], i
+    assert not pieces
+    documents(spark, []).write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
