@@ -14,9 +14,9 @@ def dense_ids(df: DataFrame, order: Sequence[str | Column], column: str) -> Data
     """df with numbers 1 … n in the given order (which should be total).
 
     Rows are range-partitioned and sorted; each counts within its partition, and the partitions' sizes, one number a partition, give
-    the offsets.
+    the offsets. df is written first: choosing the ranges reads it once more.
     """
-    placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = stored(df, "numbered").repartitionByRange(*order).sortWithinPartitions(*order)
     placed = stored(placed.withColumns({"__part": F.spark_partition_id(), "__row": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}), "ordered")
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = placed.groupBy("__part").count().withColumn("__offset", F.coalesce(F.sum("count").over(before), F.lit(0))).select("__part", "__offset")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -56,48 +56,50 @@ def with_keys(df: DataFrame, fields: Fields) -> DataFrame:
     return rows.withColumn("name_token1", n.first_word(F.col("name_norm")))
 
 
-def long_keys(keyed: DataFrame, keys: tuple[str, ...], id_name: str) -> DataFrame:
-    """A row (id, key_type, key_value) for each key that a record has."""
-    entries = F.array(*[F.struct(F.lit(k).alias("key_type"), F.col(k).alias("key_value")) for k in keys])
-    rows = keyed.select(F.col("id").alias(id_name), F.explode(F.filter(entries, lambda e: e["key_value"].isNotNull())).alias("e"))
-    return rows.select(id_name, "e.key_type", "e.key_value")
+def long_keys(keyed: DataFrame, keys: tuple[str, ...], side: str, carried: Sequence[str] = ()) -> DataFrame:
+    """A row for each key that a record has: key_type (its place in keys), key_value, and the record's id, keys and carried columns
+    after the side's name."""
+    entries = F.array(*[F.struct(F.lit(n).alias("key_type"), F.col(k).alias("key_value")) for n, k in enumerate(keys)])
+    own = [F.col(c).alias(f"{side}_{c}") for c in dict.fromkeys(("id", *keys, *carried))]
+    rows = keyed.select(*own, F.explode(F.filter(entries, lambda e: e["key_value"].isNotNull())).alias("e"))
+    return rows.select("*", "e.key_type", "e.key_value").drop("e")
 
 
-def blocked(left: DataFrame, right: DataFrame, keys: tuple[str, ...] = KEYS, within: bool = False) -> DataFrame:
-    """(a_id, b_id), each pair once, of the records that share a key: one hash join over all keys instead of a disjunction.
+def blocked(left: DataFrame, right: DataFrame, keys: tuple[str, ...] = KEYS, within: bool = False, carried: Sequence[str] = ()) -> DataFrame:
+    """(a_id, b_id, keys and carried columns of both sides): each pair of records that share a key, once.
 
-    within: both are the same table, and only pairs with a_id < b_id count. The condition is part of the join.
+    One hash join over all keys instead of a disjunction. A pair comes from the first key that its records share, so none has to be
+    removed afterwards. within: both are the same table, and only pairs with a_id < b_id count. Ids are unique in a table.
     """
-    a, b = long_keys(left, keys, "a_id"), long_keys(right, keys, "b_id")
+    a, b = long_keys(left, keys, "a", carried), long_keys(right, keys, "b", carried)
     on = (a["key_type"] == b["key_type"]) & (a["key_value"] == b["key_value"])
+    for n, k in enumerate(keys):
+        on = on & ((a["key_type"] <= n) | ~F.coalesce(a[f"a_{k}"] == b[f"b_{k}"], F.lit(False)))
     if within:
         on = on & (a["a_id"] < b["b_id"])
-    return a.join(b, on).select("a_id", "b_id").distinct()
+    return a.join(b, on).drop("key_type", "key_value")
 
 
-def ranked(pairs: DataFrame, left: DataFrame, right: DataFrame, k: int, weights: Mapping[str, float] = WEIGHTS) -> DataFrame:
+def ranked(pairs: DataFrame, k: int, weights: Mapping[str, float] = WEIGHTS) -> DataFrame:
     """The k best partners of every left record, by similarity of names and equal keys; ties go to the lower id.
 
-    A pair without a usable name ranks by its keys. Only what ranking needs is joined to the pairs before they are cut.
+    pairs has both sides' name_norm and the keys of weights. A pair without a usable name ranks by its keys. Each task of the block
+    join keeps the k best it has of a record, and only these are shuffled.
     """
-    needed = ["name_norm", *weights]
-    side = lambda df, s: df.select(F.col("id").alias(f"{s}_id"), *[F.col(c).alias(f"__{s}_{c}") for c in needed])
-    rows = pairs.join(side(left, "a"), "a_id").join(side(right, "b"), "b_id")
-    rows = rows.withColumn("name_sim", n.name_sim(F.col("__a_name_norm"), F.col("__b_name_norm")))
-    equal: dict[str, Column] = {c: F.coalesce(F.col(f"__a_{c}") == F.col(f"__b_{c}"), F.lit(False)) for c in weights}
+    rows = pairs.withColumn("name_sim", n.name_sim(F.col("a_name_norm"), F.col("b_name_norm")))
+    equal: dict[str, Column] = {c: F.coalesce(F.col(f"a_{c}") == F.col(f"b_{c}"), F.lit(False)) for c in weights}
     score = F.coalesce("name_sim", F.lit(0.0))
     for c, weight in weights.items():
         score = score + F.when(equal[c], weight).otherwise(0.0)
-    rows = rows.withColumn("__score", score)
-    order = Window.partitionBy("a_id").orderBy(F.desc("__score"), "b_id")
     flags = {"vat_equal": "vat_digits", "domain_equal": "domain_root", "postcode_equal": "postcode_norm"}
-    best = rows.withColumn("candidate_rank", F.row_number().over(order)).where(F.col("candidate_rank") <= k)
-    return best.select("a_id", "b_id", "name_sim", *[equal[c].alias(f) for f, c in flags.items() if c in equal], "candidate_rank")
+    rows = rows.select("a_id", "b_id", "name_sim", *[equal[c].alias(f) for f, c in flags.items() if c in equal], score.alias("__score"))
+    order = Window.partitionBy("a_id").orderBy(F.desc("__score"), "b_id")
+    return rows.withColumn("candidate_rank", F.row_number().over(order)).where(F.col("candidate_rank") <= k).drop("__score")
 
 
 def candidates(left: DataFrame, right: DataFrame, k: int, kind: str, within: bool = False, keys: tuple[str, ...] = KEYS, weights: Mapping[str, float] = WEIGHTS) -> DataFrame:
     """Candidate pairs of one kind with both sides' fields."""
-    best = ranked(blocked(left, right, keys, within), left, right, k, weights)
+    best = ranked(blocked(left, right, keys, within, ("name_norm", *weights)), k, weights)
     side = lambda df, s: df.select(F.col("id").alias(f"{s}_id"), F.col("name").alias(f"{s}_name"), F.col("full_address").alias(f"{s}_address"), F.col("country").alias(f"{s}_country"), F.col("website").alias(f"{s}_website"), F.col("vat_id").alias(f"{s}_vat"))
     rows = best.join(side(left, "a"), "a_id").join(side(right, "b"), "b_id").withColumn("pair_kind", F.lit(kind))
     fields = ("name", "address", "country", "website", "vat")
@@ -105,7 +107,9 @@ def candidates(left: DataFrame, right: DataFrame, k: int, kind: str, within: boo
 
 
 def candidate_pairs(master: DataFrame, incoming: DataFrame, master_k: int = 5, dedup_k: int = 3, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    """All pairs to decide, numbered: every incoming record's best companies, then its best fellows. Both tables have keys."""
+    """All pairs to decide, numbered: every incoming record's best companies, then its best fellows. Both tables have keys, which are
+    written once."""
+    master, incoming = stored(master, "keys"), stored(incoming, "keys")
     to_master = candidates(incoming, master, master_k, "MASTER", keys=keys)
     to_fellow = candidates(incoming, incoming, dedup_k, "DEDUP", within=True, keys=keys)
     return dense_ids(to_master.unionByName(to_fellow), [F.desc("pair_kind"), "a_id", "candidate_rank"], "pair_id")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,17 +42,18 @@ def best_match(records: DataFrame, decisions: DataFrame) -> DataFrame:
 def clusters(best: DataFrame, decisions: DataFrame) -> DataFrame:
     """(matcher, incoming_id, cluster_id): records linked by a matching pair, or by the same company, for each matcher.
 
-    Companies are nodes beside the records, told apart by node_kind, and a cluster is named by its smallest record.
+    Companies are nodes beside the records, told apart by node_kind, and a cluster is named by its smallest record. Both matchers are
+    one graph, whose nodes are told apart by the matcher.
     """
-    out = []
+    node = lambda matcher, kind, c: F.struct(F.lit(matcher).alias("matcher"), F.lit(kind).alias("node_kind"), F.col(c).cast("string").alias("id"))
+    nodes, edges = [], []
     for matcher in MATCHERS:
         name = matcher.lower()
-        node = lambda kind, c: F.struct(F.lit(kind).alias("node_kind"), F.col(c).cast("string").alias("id"))
-        pairs = decisions.where("pair_kind = 'DEDUP'").where(f"{name}_match").select(node(0, "a_id").alias("a"), node(0, "b_id").alias("b"))
-        company = best.where(f"{name}_company_number IS NOT NULL").select(node(0, "incoming_id").alias("a"), node(1, f"{name}_company_number").alias("b"))
-        rows = graph.labelled(best.select(node(0, "incoming_id").alias("node")), pairs.union(company))
-        out.append(rows.where("node.node_kind = 0").select(F.lit(matcher).alias("matcher"), F.col("node.id").alias("incoming_id"), F.col("component.id").alias("cluster_id")))
-    return out[0].union(out[1])
+        nodes.append(best.select(node(matcher, 0, "incoming_id").alias("node")))
+        edges.append(decisions.where("pair_kind = 'DEDUP'").where(f"{name}_match").select(node(matcher, 0, "a_id").alias("a"), node(matcher, 0, "b_id").alias("b")))
+        edges.append(best.where(f"{name}_company_number IS NOT NULL").select(node(matcher, 0, "incoming_id").alias("a"), node(matcher, 1, f"{name}_company_number").alias("b")))
+    rows = graph.labelled(reduce(DataFrame.union, nodes), reduce(DataFrame.union, edges))
+    return rows.where("node.node_kind = 0").select("node.matcher", F.col("node.id").alias("incoming_id"), F.col("component.id").alias("cluster_id"))
 
 
 def match_results(records: DataFrame, master: DataFrame, best: DataFrame, decisions: DataFrame, grouped: DataFrame) -> DataFrame:

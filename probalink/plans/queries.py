@@ -95,7 +95,7 @@ def domain_root_l6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(s.with_ctes("blocks", "SELECT a_id, b_id FROM blocks WHERE pair_kind = 'MASTER'"))
 def blocking_l10_j1_u1_x1(spark: SparkSession, sf_dir: str) -> DataFrame:
     master, incoming = s.keys(spark, sf_dir)
-    return linkage.blocked(incoming, master)
+    return linkage.blocked(incoming, master).select("a_id", "b_id")
 
 
 def pairs_of(spark: SparkSession, sf_dir: str) -> DataFrame:

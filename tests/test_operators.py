@@ -122,8 +122,9 @@ def test_blocking_pairs_once_and_never_on_missing_keys(spark):
     rows = spark.createDataFrame([(1, "Acme Ltd", None), (2, "ACME LIMITED", "GB 1"), (3, "The Co", "1"), (4, "Ltd", None)], "id long, name string, vat string")
     fields = linkage.Fields("id", "name", ("none",), "none", "none", "none", "vat")
     keyed = linkage.with_keys(rows.withColumn("none", F.lit(None).cast("string")), fields)
-    assert sorted(map(tuple, linkage.blocked(keyed, keyed, within=True).collect())) == [(1, 2), (2, 3)]
-    best = linkage.ranked(linkage.blocked(keyed, keyed, within=True), keyed, keyed, 1).collect()
+    pairs = linkage.blocked(keyed, keyed, within=True, carried=("name_norm",))
+    assert sorted(map(tuple, pairs.select("a_id", "b_id").collect())) == [(1, 2), (2, 3)]
+    best = linkage.ranked(pairs, 1).collect()
     assert {(r.a_id, r.b_id, r.name_sim) for r in best} == {(1, 2, 1.0), (2, 3, None)}
 
 
