@@ -43,7 +43,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         state = now
         both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # an edge of large has one of its ends as u, so its hubs are among those of both
-        hubs = hot_keys(both, "u") if state[0] > FEW else []
+        hubs = hot_keys(both, "u") if 2 * state[0] > FEW else []
         large = with_minimum(both, hubs).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
         down = with_minimum(large, hubs)
         small = down.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(down.select("u", F.col("m").alias("v"))).distinct()
