@@ -37,25 +37,40 @@ def site(balance: str) -> Column:
     return F.concat(F.lit("s"), F.floor(F.abs(balance)).cast("string"), F.lit(".com"))
 
 
+def code(key: str) -> Column:
+    """A postcode of a number."""
+    return F.concat(F.lit("AB"), (F.col(key) % 90 + 10).cast("string"), F.lit(" "), (F.col(key) % 9).cast("string"), F.lit("CD"))
+
+
+def code_sql(key: str) -> str:
+    return f"'AB' || ({key} % 90 + 10) || ' ' || ({key} % 9) || 'CD'"
+
+
 def master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suppliers as registered companies."""
+    """Suppliers as registered companies; some lack a postcode, website or tax number."""
     rows = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
     key = number("s_suppkey")
     return rows.select(
         key.alias("company_number"), F.concat(F.replace("n_name", F.lit("_"), F.lit("")), F.lit(" "), key, F.lit(" Ltd.")).alias("company_name"),
         F.concat("n_name", F.lit(" Street "), F.col("s_suppkey").cast("string")).alias("address_line1"), F.lit(None).cast("string").alias("address_line2"), F.col("n_name").alias("post_town"),
-        F.lit("").alias("county"), F.lit(None).cast("string").alias("postcode"), F.col("n_name").alias("country"), F.concat(F.lit("www."), site("s_acctbal")).alias("website"), F.concat(F.lit("GB"), key).alias("vat_id"),
+        F.lit("").alias("county"), F.when(F.col("s_suppkey") % 4 != 0, code("s_suppkey")).alias("postcode"), F.col("n_name").alias("country"),
+        F.when(F.col("s_suppkey") % 6 != 0, F.concat(F.lit("www."), site("s_acctbal"))).alias("website"), F.when(F.col("s_suppkey") % 9 != 0, F.concat(F.lit("GB"), key)).alias("vat_id"),
     )
 
 
 def incoming(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers as incoming records."""
+    """Customers as incoming records. Postcodes are in their field, in the address, or nowhere; some records lack an address, website or
+    tax number, and some names are legal words alone."""
     rows = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     key = number("c_custkey")
+    number_of = F.col("c_custkey")
+    inside = F.when(number_of % 3 == 0, F.concat(F.lit(" "), code("c_custkey"))).otherwise("")
     return rows.select(
-        F.concat(F.lit("IN-"), key).alias("incoming_id"), F.col("c_mktsegment").alias("source_system"), F.concat(F.lower(F.replace("n_name", F.lit("_"), F.lit(""))), F.lit(" "), key).alias("record_name"),
-        F.concat("n_name", F.lit(" Street "), F.col("c_custkey").cast("string"), F.lit(", "), F.col("n_name")).alias("address"), F.lit(None).cast("string").alias("postcode"), F.col("n_name").alias("country"),
-        F.concat(F.lit("https://www."), site("c_acctbal"), F.lit("/contact")).alias("website"), F.concat(F.lit("GB"), key).alias("vat_id"),
+        F.concat(F.lit("IN-"), key).alias("incoming_id"), F.col("c_mktsegment").alias("source_system"),
+        F.when(number_of % 13 == 5, "The Company Ltd").otherwise(F.concat(F.lower(F.replace("n_name", F.lit("_"), F.lit(""))), F.lit(" "), key)).alias("record_name"),
+        F.when(number_of % 11 != 0, F.concat("n_name", F.lit(" Street "), number_of.cast("string"), F.lit(", "), F.col("n_name"), inside)).alias("address"),
+        F.when(number_of % 3 == 1, F.lower(F.replace(code("c_custkey"), F.lit(" "), F.lit("")))).alias("postcode"), F.col("n_name").alias("country"),
+        F.when(number_of % 5 != 0, F.concat(F.lit("https://www."), site("c_acctbal"), F.lit("/contact"))).alias("website"), F.when(number_of % 7 != 0, F.concat(F.lit("GB"), key)).alias("vat_id"),
     )
 
 
@@ -81,18 +96,21 @@ def domain_sql(address: str) -> str:
 #: Parts of one WITH clause, in order.
 CTES = {
     "master": """SELECT lpad(CAST(s_suppkey AS VARCHAR), 9, '0') AS company_number, replace(n_name, '_', '') || ' ' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0') || ' Ltd.' AS company_name,
-  n_name || ' Street ' || s_suppkey AS address_line1, n_name AS post_town, n_name AS country, 'www.s' || CAST(floor(abs(s_acctbal)) AS BIGINT) || '.com' AS website,
-  'GB' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0') AS vat_id FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
-    "incoming": """SELECT 'IN-' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS incoming_id, c_mktsegment AS source_system, lower(replace(n_name, '_', '')) || ' ' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS record_name,
-  n_name || ' Street ' || c_custkey || ', ' || n_name AS address, CAST(NULL AS VARCHAR) AS postcode, n_name AS country, 'https://www.s' || CAST(floor(abs(c_acctbal)) AS BIGINT) || '.com/contact' AS website,
-  'GB' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS vat_id FROM customer JOIN nation ON c_nationkey = n_nationkey""",
+  n_name || ' Street ' || s_suppkey AS address_line1, n_name AS post_town, CASE WHEN s_suppkey % 4 <> 0 THEN {supplier_code} END AS postcode, n_name AS country,
+  CASE WHEN s_suppkey % 6 <> 0 THEN 'www.s' || CAST(floor(abs(s_acctbal)) AS BIGINT) || '.com' END AS website, CASE WHEN s_suppkey % 9 <> 0 THEN 'GB' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0') END AS vat_id FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
+    "incoming": """SELECT 'IN-' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS incoming_id, c_mktsegment AS source_system,
+  CASE WHEN c_custkey % 13 = 5 THEN 'The Company Ltd' ELSE lower(replace(n_name, '_', '')) || ' ' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') END AS record_name,
+  CASE WHEN c_custkey % 11 <> 0 THEN n_name || ' Street ' || c_custkey || ', ' || n_name || CASE WHEN c_custkey % 3 = 0 THEN ' ' || {customer_code} ELSE '' END END AS address,
+  CASE WHEN c_custkey % 3 = 1 THEN lower(replace({customer_code}, ' ', '')) END AS postcode, n_name AS country,
+  CASE WHEN c_custkey % 5 <> 0 THEN 'https://www.s' || CAST(floor(abs(c_acctbal)) AS BIGINT) || '.com/contact' END AS website,
+  CASE WHEN c_custkey % 7 <> 0 THEN 'GB' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') END AS vat_id FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "truth": """SELECT 'IN-' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS incoming_id, c_mktsegment AS variation_type, lpad(CAST(s_suppkey AS VARCHAR), 9, '0') AS true_company_number,
   lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS entity_id FROM customer LEFT JOIN supplier ON c_custkey = s_suppkey""",
-    "named": """SELECT company_number AS id, company_name AS name, address_line1 AS first_line, address_line1 || ', ' || post_town AS full_address, country, website, vat_id, 1 AS side FROM master
-  UNION ALL SELECT incoming_id, record_name, address, address, country, website, vat_id, 0 FROM incoming""",
+    "named": """SELECT company_number AS id, company_name AS name, address_line1 AS first_line, concat_ws(', ', address_line1, post_town, postcode) AS full_address, postcode, country, website, vat_id, 1 AS side FROM master
+  UNION ALL SELECT incoming_id, record_name, address, nullif(concat_ws(', ', address, postcode), ''), postcode, country, website, vat_id, 0 FROM incoming""",
     "keyed": r"""SELECT *, nullif(split_part(name_norm, ' ', 1), '') AS name_token1 FROM (SELECT *,
   nullif(array_to_string(list_filter(string_split(regexp_replace(translate(replace(upper(name), '&', ' AND '), '.''', ''), '[^\p{L}\p{N}]', ' ', 'g'), ' '), lambda w: w NOT IN ('', {legal})), ' '), '') AS name_norm,
-  nullif(regexp_extract(upper(first_line), '\b[A-Z]{1,2}[0-9][A-Z0-9]? ?[0-9][A-Z]{2}\b'), '') AS postcode_norm,
+  coalesce(replace(upper(postcode), ' ', ''), CASE WHEN side = 0 THEN nullif(replace(regexp_extract(upper(first_line), '\b[A-Z]{1,2}[0-9][A-Z0-9]? ?[0-9][A-Z]{2}\b'), ' ', ''), '') END) AS postcode_norm,
   nullif(substr(regexp_replace(upper(first_line), '[^A-Z0-9]', '', 'g'), 1, 12), '') AS address_key,
   nullif(regexp_replace(vat_id, '[^0-9]', '', 'g'), '') AS vat_digits,
   {domain} AS domain_root FROM named)""",
@@ -110,11 +128,10 @@ CTES = {
     coalesce(a.address_key = b.address_key, FALSE) AS address_equal, a.name AS a_name, a.full_address AS a_address, a.country AS a_country, a.website AS a_website, a.vat_id AS a_vat,
     b.name AS b_name, b.full_address AS b_address, b.country AS b_country, b.website AS b_website, b.vat_id AS b_vat
     FROM blocks JOIN keyed a ON a.id = a_id AND a.side = 0 JOIN keyed b ON b.id = b_id AND b.side = CASE WHEN pair_kind = 'MASTER' THEN 1 ELSE 0 END)) WHERE candidate_rank <= CASE WHEN pair_kind = 'MASTER' THEN 5 ELSE 3 END""",
-    "likeness": """SELECT *, 1 - CAST(levenshtein(upper(a_name), upper(b_name)) AS DOUBLE) / greatest(length(a_name), length(b_name), 1) AS p_name,
-  CASE WHEN upper(a_address) = upper(b_address) THEN CAST(1 AS DOUBLE) ELSE 0 END AS p_address, CASE WHEN upper(a_website) = upper(b_website) THEN CAST(1 AS DOUBLE) ELSE 0 END AS p_website,
-  CASE WHEN upper(a_vat) = upper(b_vat) THEN CAST(1 AS DOUBLE) ELSE 0 END AS p_vat FROM pairs""",
+    "likeness": """SELECT *, 1 - CAST(levenshtein(upper(a_name), upper(b_name)) AS DOUBLE) / greatest(length(a_name), length(b_name), 1) AS p_name, {likeness} FROM pairs""",
     "decisions": """SELECT *, coalesce(p_same >= 0.5, FALSE) AS model_match, vat_equal OR domain_equal OR coalesce(name_sim >= 0.85, FALSE) AS baseline_match FROM
-  (SELECT *, (CAST(4 AS DOUBLE) * p_name + p_address + CAST(2 AS DOUBLE) * p_website + CAST(3 AS DOUBLE) * p_vat) / CAST(10 AS DOUBLE) AS p_same FROM likeness)""",
+  (SELECT *, (CAST(4 AS DOUBLE) * p_name + coalesce(p_address, 0) + CAST(2 AS DOUBLE) * coalesce(p_website, 0) + CAST(3 AS DOUBLE) * coalesce(p_vat, 0)) /
+    (CAST(4 AS DOUBLE) + CASE WHEN p_address IS NULL THEN 0 ELSE 1 END + CASE WHEN p_website IS NULL THEN 0 ELSE 2 END + CASE WHEN p_vat IS NULL THEN 0 ELSE 3 END) AS p_same FROM likeness)""",
     "best": """SELECT incoming_id, m.b_id AS model_company_number, m.p_same AS model_p_same, r.b_id AS baseline_company_number FROM incoming
   LEFT JOIN (SELECT * FROM decisions WHERE pair_kind = 'MASTER' AND model_match QUALIFY row_number() OVER (PARTITION BY a_id ORDER BY p_same DESC, b_id) = 1) m ON m.a_id = incoming_id
   LEFT JOIN (SELECT * FROM decisions WHERE pair_kind = 'MASTER' AND baseline_match QUALIFY row_number() OVER (PARTITION BY a_id ORDER BY vat_equal DESC, domain_equal DESC, name_sim DESC NULLS LAST, b_id) = 1) r ON r.a_id = incoming_id""",
@@ -135,6 +152,10 @@ CTES = {
 }
 
 
+CTES["master"] = CTES["master"].replace("{supplier_code}", code_sql("s_suppkey"))
+CTES["incoming"] = CTES["incoming"].replace("{customer_code}", code_sql("c_custkey"))
+#: A field is compared only where both records have it.
+CTES["likeness"] = CTES["likeness"].replace("{likeness}", ", ".join(f"CASE WHEN upper(a_{f}) = upper(b_{f}) THEN CAST(1 AS DOUBLE) WHEN upper(a_{f}) <> upper(b_{f}) THEN CAST(0 AS DOUBLE) END AS p_{f}" for f in ("address", "website", "vat")))
 CTES["keyed"] = CTES["keyed"].replace("{legal}", ", ".join(f"'{w}'" for w in LEGAL_WORDS)).replace("{domain}", domain_sql("website"))
 
 
