@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from probalink.sources.storage import stored
+from probalink.operators.hot import hot_keys, joined
+from probalink.sources.storage import Scratch, stored
 
 
 def dense_ids(df: DataFrame, order: Sequence[str | Column], column: str) -> DataFrame:
@@ -30,22 +31,21 @@ def evenly(df: DataFrame, instances: int, key: str | None = None) -> DataFrame:
     return df.repartitionById(instances, F.coalesce(F.pmod(F.col(key), F.lit(instances)), F.lit(0)).cast("int"))
 
 
-def unique_assignment(choices: DataFrame, owner: str, order: str, rank: str, value: str, most_rounds: int = 1000) -> DataFrame:
+def unique_assignment(owners: DataFrame, owner: str, order: str, offer: Callable[[Column], Column], value: str, most_rounds: int = 1000) -> DataFrame:
     """(owner, value): each owner's first choice that no owner before it (by order) takes; owners left without one are absent.
 
     Deferred acceptance: every owner without a value proposes its next choice, and each value keeps the earliest of its proposers. The
-    outcome is that of serving the owners one after another. choices has a row (owner, order, rank, value) for each choice.
+    outcome is that of serving the owners one after another. offer(n) is an owner's choice number n, from 0 on, and null when it
+    has no more. Raises if `most_rounds` don't do.
     """
-    choices = stored(choices.select(owner, order, rank, value).where(F.col(value).isNotNull()), "choices")
-    state = choices.groupBy(owner, order).agg(F.min(rank).alias("__at"))
-    for _ in range(most_rounds):
-        proposals = choices.join(state, [owner, order]).where(F.col(rank) == F.col("__at"))
+    keep = Scratch(owners.sparkSession, "assignment")
+    state = owners.withColumn("__at", F.lit(0))
+    for number in range(most_rounds):
+        proposals = keep(state.withColumn(value, offer(F.col("__at"))).where(F.col(value).isNotNull()), f"proposals-{number}")
         winners = proposals.groupBy(value).agg(F.min(F.struct(order, owner)).alias("__best"))
-        judged = proposals.join(winners, value).withColumn("__won", F.struct(order, owner) == F.col("__best"))
-        judged = stored(judged.select(owner, order, value, "__at", "__won"), "judged")
-        losers = judged.where("NOT __won")
-        if losers.isEmpty():
+        judged = keep(joined(proposals, winners, [value], hot_keys(proposals, value)).withColumn("__won", F.struct(order, owner) == F.col("__best")), f"judged-{number}")
+        keep.drop(f"proposals-{number}", *[f"judged-{number - 1}"] * (number > 0))
+        if judged.where("NOT __won").isEmpty():
             return judged.select(owner, value)
-        following = choices.join(losers.select(owner, order, "__at"), [owner, order]).where(F.col(rank) > F.col("__at")).groupBy(owner, order).agg(F.min(rank).alias("__at"))
-        state = stored(judged.where("__won").select(owner, order, "__at").unionByName(following), "state")
+        state = judged.withColumn("__at", F.col("__at") + F.when(F.col("__won"), 0).otherwise(1)).drop(value, "__best", "__won")
     raise RuntimeError(f"no stable assignment in {most_rounds} rounds")

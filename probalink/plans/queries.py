@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -12,7 +11,6 @@ from pyspark.sql import functions as F
 from probalink.functions import hashing, normalize
 from probalink.operators import decide, graph, ids, linkage, resolve
 from probalink.plans import standins as s
-from probalink.sources import generate
 from probalink.sources import tables as t
 from probalink.sources.storage import stored
 
@@ -248,15 +246,6 @@ def merge_s11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.merged(s.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus"), updates, "o_orderkey", ["o_totalprice", "o_orderstatus"])
 
 
-@query()
-def unique_keys_g1_g2_g3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Serving companies one after another has no plain SQL: the tests compare it with that loop."""
-    companies = s.table(spark, sf_dir, "part").select(s.number("p_partkey").alias("company_number"), F.upper("p_name").alias("company_name"), F.col("p_brand").alias("post_town"), F.col("p_partkey").alias("position"))
-    return generate.with_website(generate.with_vat(companies)).select("company_number", "vat_id", "website")
-
-
-
-
 # ---- relational and scalar operators
 
 
@@ -318,18 +307,11 @@ def scalars_f1_f14_f18(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("""WITH RECURSIVE e AS (SELECT DISTINCT o_custkey AS x, l_suppkey AS y FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE l_quantity > 49 AND o_totalprice > 450000), b AS (SELECT 'c' || x AS x, 's' || y AS y FROM e UNION SELECT 's' || y, 'c' || x FROM e),
-r AS (SELECT x, x AS y FROM b UNION SELECT r.x, b.y FROM r JOIN b ON b.x = r.y) SELECT x AS node, min(y) AS component FROM r GROUP BY x""")
+@query("""WITH RECURSIVE e AS (SELECT DISTINCT 'c' || o_custkey AS x, 's' || l_suppkey AS y FROM orders JOIN lineitem ON o_orderkey = l_orderkey), b AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+r(node, component) USING KEY (node) AS (SELECT DISTINCT x, x FROM b UNION (SELECT DISTINCT ON (u.node) u.node, v.component FROM recurring.r u JOIN b ON b.x = u.node JOIN r v ON v.node = b.y AND v.component < u.component ORDER BY u.node, v.component))
+SELECT node, component FROM r""")
 def components_l17_a6_j10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = s.table(spark, sf_dir, "orders").where("o_totalprice > 450000").select("o_orderkey", "o_custkey")
-    lines = s.table(spark, sf_dir, "lineitem").where("l_quantity > 49").select("l_orderkey", "l_suppkey")
-    edges = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("a"), F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("b"))
-    return graph.connected_components(edges)
-
-
-@query()
-def components_whole_l17_a6_j10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers and suppliers that lines of orders connect, over all orders and lines. Recursive SQL can't afford the whole graph."""
+    """Customers and suppliers that lines of orders connect, over all orders and lines."""
     orders = s.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     lines = s.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
     edges = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("a"), F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("b"))

@@ -13,17 +13,17 @@ from probalink.sources.storage import stored
 SITE_LEGAL_WORDS = ("LTD", "LIMITED", "PLC", "LLP", "LP", "CIC", "CO", "COMPANY", "THE")
 ENDINGS = (".co.uk",) * 6 + (".com",) * 3 + (".uk",)
 VAT_SHARE, SITE_SHARE = 65, 70
-#: Salts and counters that are offered to a company before it goes without.
-SALTS, COUNTERS = 50, 1000
+#: Numbers that are put behind a website's name before a company goes without one: 2 to COUNTERS - 1.
+COUNTERS = 1000
 
 
 def with_vat(companies: DataFrame, order: str = "position") -> DataFrame:
-    """companies with vat_id: GB and nine digits of a salted hash for 65 % of them, unique, earlier companies first."""
+    """companies with vat_id: GB and nine digits of a salted hash for 65 % of them, unique, earlier companies first. No company
+    goes without: salts are tried until one gives a free number."""
     number = F.col("company_number")
-    chosen = companies.where(hashing.md5_mod(100, F.lit("vat"), number) < VAT_SHARE)
-    salts = chosen.select("company_number", order, F.explode(F.sequence(F.lit(0), F.lit(SALTS))).alias("rank"))
-    offers = salts.withColumn("digits", F.lpad(hashing.md5_mod(10**9, F.lit("vat"), number, F.col("rank").cast("string")).cast("string"), 9, "0"))
-    given = unique_assignment(offers, "company_number", order, "rank", "digits")
+    chosen = companies.where(hashing.md5_mod(100, F.lit("vat"), number) < VAT_SHARE).select("company_number", order)
+    offer = lambda salt: F.lpad(hashing.md5_mod(10**9, F.lit("vat"), number, salt.cast("string")).cast("string"), 9, "0")
+    given = unique_assignment(chosen, "company_number", order, offer, "digits")
     return companies.join(given, "company_number", "left").withColumn("vat_id", F.concat(F.lit("GB"), "digits")).drop("digits")
 
 
@@ -35,10 +35,9 @@ def with_website(companies: DataFrame, order: str = "position") -> DataFrame:
     ending = F.array(*map(F.lit, ENDINGS))[hashing.md5_mod(len(ENDINGS), F.lit("tld"), number).cast("int")]
     chosen = companies.where(hashing.md5_mod(100, F.lit("web"), number) < SITE_SHARE).select("company_number", order, root.alias("root"), ending.alias("ending"), "post_town")
     town = F.concat("root", F.lit("-"), F.regexp_replace(F.lower(F.coalesce("post_town", F.lit(""))), "[^a-z]", ""))
-    names = F.concat(F.array("root", town), F.transform(F.sequence(F.lit(2), F.lit(COUNTERS - 1)), lambda k: F.concat("root", k.cast("string"))))
-    offers = chosen.where(F.length("root") >= 3).select("company_number", order, "ending", F.posexplode(names).alias("rank", "name"))
-    offers = offers.select("company_number", order, "rank", F.concat("name", "ending").alias("domain"))
-    given = unique_assignment(offers, "company_number", order, "rank", "domain")
+    chosen = chosen.where(F.length("root") >= 3).select("company_number", order, "root", town.alias("town"), "ending")
+    name = lambda n: F.when(n == 0, F.col("root")).when(n == 1, F.col("town")).when(n < COUNTERS, F.concat("root", n.cast("string")))
+    given = unique_assignment(chosen, "company_number", order, lambda n: F.concat(name(n), "ending"), "domain", COUNTERS + 1)
     return companies.join(given, "company_number", "left").withColumn("website", F.concat(F.lit("www."), "domain")).drop("domain")
 
 
@@ -59,12 +58,12 @@ def incoming(master: DataFrame, held_out: DataFrame, translations: DataFrame, se
     Records beyond `total` are left out; too few, or a translation whose company is missing, is an error.
     """
     wanted = translations.select("company_number", "language", "translated_name")
-    missing = wanted.join(master, "company_number", "left_anti").select("company_number").collect()
+    missing = wanted.join(master, "company_number", "left_anti").select("company_number").orderBy("company_number").limit(20).collect()
     if missing:
-        raise ValueError(f"translations of companies that aren't in the register: {sorted(r[0] for r in missing)}")
+        raise ValueError(f"translations of companies that aren't in the register, the first of them: {[r[0] for r in missing]}")
     empty = [F.lit(None).cast("string").alias(n) for n in ("language", "translated_name")]
-    translated = master.join(F.broadcast(wanted), "company_number").withColumn("kind", F.lit("TRANSLATION"))
-    others = base(master).join(F.broadcast(wanted), "company_number", "left_anti")
+    translated = master.join(wanted, "company_number").withColumn("kind", F.lit("TRANSLATION"))
+    others = base(master).join(wanted, "company_number", "left_anti")
     varied = hashing.hash_sample(others, "company_number", seed, sampled).select("*", *empty, F.lit(None).cast("string").alias("kind"))
     outside = hashing.hash_sample(base(held_out), "company_number", seed, sampled_out).select("*", *empty, F.lit("NO_MATCH").alias("kind"))
     rows = vary.varied(translated.unionByName(varied).unionByName(outside), seed)

@@ -138,8 +138,8 @@ def test_ids(spark):
 def test_unique_assignment_serves_in_order(spark):
     rng = random.Random(7)
     wishes = [[rng.randrange(40) for _ in range(rng.randint(0, 6))] for _ in range(60)]
-    rows = [(f"o{i}", i, r, f"v{v}") for i, own in enumerate(wishes) for r, v in enumerate(own)]
-    found = {r.owner: r.value for r in ids.unique_assignment(spark.createDataFrame(rows, "owner string, position int, rank int, value string"), "owner", "position", "rank", "value").collect()}
+    owners = spark.createDataFrame([(f"o{i}", i, [f"v{v}" for v in own]) for i, own in enumerate(wishes)], "owner string, position int, wishes array<string>")
+    found = {r.owner: r.value for r in ids.unique_assignment(owners, "owner", "position", lambda n: F.get("wishes", n), "value").collect()}
     taken, expected = set(), {}
     for i, own in enumerate(wishes):
         for v in own:

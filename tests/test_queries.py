@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__
-from probalink.plans import queries as plans
+from probalink.plans import more, queries as plans  # noqa: F401
 
 DATA = "/root/testdata/sf0.001"
 
@@ -41,7 +41,7 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_components_of_the_whole_graph(spark, duck, tmp_path):
     def found(sf):
-        rows = plans.QUERIES["components_whole_l17_a6_j10"](spark, sf).collect()
+        rows = plans.QUERIES["components_l17_a6_j10"](spark, sf).collect()
         assert len({r.node for r in rows}) == len(rows)
         return {r.node: r.component for r in rows}
 
