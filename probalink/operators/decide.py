@@ -7,6 +7,7 @@ import datetime
 import hashlib
 import json
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from typing import Any, Protocol
 
@@ -24,6 +25,8 @@ from probalink.sources.tables import merged
 MESSAGE = 1900
 #: Calls in flight in one task; tasks times this is what the model sees.
 IN_FLIGHT = 16
+#: Documents that the table function asks about at once.
+SLICE = 1024
 
 
 @dataclass(frozen=True)
@@ -68,11 +71,24 @@ class Answers:
 
 
 class Model(Protocol):
-    """Answers all questions about one state. Pickled to the workers, where one client serves a partition."""
+    """Answers all questions about one state. Pickled to the workers, where one client serves a partition: a model that has
+    `opened` and `closed` is opened before a task's first question and closed after its last, also where one fails."""
 
     async def answer(self, state: State, questions: Questions) -> Answers: ...
 
 
+@contextmanager
+def client(model: Model) -> Iterator[asyncio.Runner]:
+    """A runner for one task's questions, within which the model is open."""
+    with asyncio.Runner() as runner:
+        if hasattr(model, "opened"):
+            runner.run(model.opened())
+        try:
+            yield runner
+        finally:
+            if hasattr(model, "closed"):
+                runner.run(model.closed())
+
 
 def fields(**types: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(n, t) for n, t in types.items()])
@@ -216,7 +232,7 @@ def decided(
     arrow_answer = pa_type(ANSWER)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with asyncio.Runner() as runner:
+        with client(model) as runner:
             for batch in batches:
                 for part in (batch.slice(k, 1024) for k in range(0, batch.num_rows, 1024)):
                     states: list[State | None] = []
@@ -353,7 +369,7 @@ def register(spark: SparkSession, model: Model, questions: Questions = TICKET_QU
     `classify_batch(TABLE(SELECT id, document …) PARTITION BY …)` rows with an error column."""
     @F.pandas_udf("string")
     def classify(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        with asyncio.Runner() as runner:
+        with client(model) as runner:
             for batch in batches:
                 states = [None if x is None else {"document": x} for x in batch]
                 out = []
@@ -366,17 +382,29 @@ def register(spark: SparkSession, model: Model, questions: Questions = TICKET_QU
     spark.udf.register("classify", classify.asNondeterministic())
 
     class ClassifyBatch:
+        """Asks in slices, so that a partition of any size passes through in bounded memory."""
+
         def __init__(self) -> None:
             self.rows: list[tuple[Any, Any]] = []
+            self.client = client(model)
+            self.runner = self.client.__enter__()
 
-        def eval(self, row: Any) -> None:
+        def eval(self, row: Any) -> Iterator[tuple]:
             self.rows.append((row["id"], row["document"]))
+            if len(self.rows) >= SLICE:
+                yield from self.answers()
 
-        def terminate(self) -> Iterator[tuple]:
+        def answers(self) -> Iterator[tuple]:
             states = [None if d is None else {"document": d} for _, d in self.rows]
-            for (key, _), (answer, error) in zip(self.rows, asyncio.run(asked(model, states, questions, in_flight, "null document"))):
+            found = self.runner.run(asked(model, states, questions, in_flight, "null document"))
+            for (key, _), (answer, error) in zip(self.rows, found):
                 tone, urgency = (answer["choices"]["tone"], answer["scales"]["urgency"]) if answer else ({}, {})
                 yield str(key), answer and answer["yes"]["billing"], tone.get("choice"), tone.get("confidence"), urgency.get("score"), urgency.get("confidence"), error
+            self.rows = []
+
+        def terminate(self) -> Iterator[tuple]:
+            yield from self.answers()
+            self.client.__exit__(None, None, None)
 
     kind = "id STRING, billing DOUBLE, tone STRING, tone_confidence DOUBLE, urgency DOUBLE, urgency_confidence DOUBLE, error STRING"
     spark.udtf.register("classify_batch", F.udtf(ClassifyBatch, returnType=kind))
@@ -387,15 +415,17 @@ def register(spark: SparkSession, model: Model, questions: Questions = TICKET_QU
 PAIR_FIELDS = ("name", "address", "country", "website", "vat_id")
 PAIR_QUESTIONS: dict[str, Question] = {
     "same": YesNo(
-        "Are `record_a` and `record_b` one registered company?",
-        "They are one legal entity, however its name is spelt, shortened, translated or given a legal form, and however its address, website or tax number is written.",
-        "They are two legal entities, also where names resemble each other or one owns the other. A shared address proves nothing: many companies are registered at one.",
+        "Would both records belong in one customer account?",
+        "Yes where they stand for a single legal person. Spelling, language, abbreviations, legal form, layout of addresses and notation of numbers do not count.",
+        "No where two legal persons are meant, be they relatives, namesakes or neighbours. An office address may serve thousands of firms, so by itself it says nothing.",
     ),
-    "name": YesNo("Do both names mean the same company, apart from spelling, abbreviation, translation and legal form?"),
-    "address": YesNo("Are both addresses the same premises, however they are written?"),
-    "website": YesNo("Do both websites belong to one domain?"),
-    "vat_id": YesNo("Are both tax numbers the same one, apart from spacing, punctuation and country prefix?"),
+    "name": YesNo("Taken alone, do the two names denote one firm? Ignore how they are spelt, shortened, translated or ended."),
+    "address": YesNo("Taken alone, do the two addresses lead to one building? Ignore how they are written."),
+    "website": YesNo("Taken alone, are the two web or mail addresses on one registered domain?"),
+    "vat_id": YesNo("Taken alone, do the two tax numbers have equal digits? Ignore blanks, marks and the country's letters."),
 }
+#: The same as a scale, for a review of pairs that are neither.
+PAIR_SCALE: dict[str, Question] = {"relation": Scale("How are the two records related?", ("different firms", "related firms", "one firm"))}
 #: Columns of a score, by the question that gives them.
 PAIR_SCORES = {"p_same": "same", "p_name": "name", "p_address": "address", "p_website": "website", "p_vat": "vat_id"}
 
@@ -425,6 +455,14 @@ def ask_pairs(pairs: DataFrame, model: Model, instances: int | None = None) -> D
     return found.select("pair_id", *[F.col("answer.yes")[q].alias(p) for p, q in PAIR_SCORES.items()], "error")
 
 
+def relate_pairs(pairs: DataFrame, model: Model, instances: int | None = None) -> DataFrame:
+    """(pair_id, relation, relation_confidence, error): the pairs on the three levels of PAIR_SCALE, from 0 (different) to 2 (one firm)."""
+    reads = [f"{s}_{c}" for s in "ab" for c in ("name", "address", "country", "website", "vat")]
+    found = decided(pairs, model, PAIR_SCALE, PairState(), reads, ["pair_id"], instances)
+    relation = F.col("answer.scales")["relation"]
+    return found.select("pair_id", relation["score"].alias("relation"), relation["confidence"].alias("relation_confidence"), "error")
+
+
 def score_pairs(pairs: DataFrame, model: Model, retry: Model | None = None, instances: int | None = None) -> DataFrame:
     """Scores of all pairs, written once; those that failed are asked once more and merged in, which clears their errors."""
     scores = stored(ask_pairs(pairs, model, instances), "pair_scores")

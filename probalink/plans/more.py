@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from probalink.functions import hashing, normalize, vary
-from probalink.operators import decide
+from probalink.operators import decide, linkage
 from probalink.plans import standins as s
-from probalink.plans.queries import MD5_MOD_SQL, TICKET_MODEL, TICKETS_SQL, query
+from probalink.plans.queries import MD5_MOD_SQL, TICKET_MODEL, TICKETS_SQL, query, share_sql
 from probalink.sources import generate
 from probalink.sources import tables as t
 from probalink.sources.storage import shared_path, stored
@@ -125,6 +125,30 @@ def classify_table_u2_u9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(spark.sql("SELECT * FROM classify_batch(TABLE(SELECT id, document, part FROM tickets_in_parts) PARTITION BY part)"), "answers")
 
 
+# ---- pairs on a scale
+
+LEVELS = decide.PAIR_SCALE["relation"].levels
+PAIR_MODEL = decide.HashModel(("record_a", "record_b"))
+
+
+def record_sql(side: str) -> str:
+    """A record as Python writes a dictionary of its texts, without those that are null."""
+    fields = zip(decide.PAIR_FIELDS, ("name", "address", "country", "website", "vat"))
+    return "'{' || concat_ws(', ', " + ", ".join(f"'''{f}'': ''' || {side}_{c} || ''''" for f, c in fields) + ") || '}'"
+
+
+WEIGHTS_SQL = ", ".join(share_sql("'How are the two records related?'", f"'{level}'", "state") + f" + CAST(1e-9 AS DOUBLE) AS w{k}" for k, level in enumerate(LEVELS))
+
+
+@query(s.with_ctes("pairs", f"""SELECT pair_id, CAST(0 AS DOUBLE) * (w0 / (w0 + w1 + w2)) + CAST(1 AS DOUBLE) * (w1 / (w0 + w1 + w2)) + CAST(2 AS DOUBLE) * (w2 / (w0 + w1 + w2)) AS relation,
+greatest(w0 / (w0 + w1 + w2), w1 / (w0 + w1 + w2), w2 / (w0 + w1 + w2)) AS relation_confidence, CAST(NULL AS VARCHAR) AS error
+FROM (SELECT pair_id, {WEIGHTS_SQL} FROM (SELECT pair_id, {record_sql("a")} || '|' || {record_sql("b")} AS state FROM pairs))"""))
+def pair_scale_l25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs on three levels, by a model that hashes all that it is told about both records."""
+    pairs = linkage.candidate_pairs(*s.keys(spark, sf_dir))
+    return decide.relate_pairs(stored(pairs, "pairs"), PAIR_MODEL)
+
+
 # ---- generators
 
 UNIQUE_COMPANIES = "SELECT lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS number, upper(p_name) AS name, p_brand AS town, row_number() OVER (ORDER BY p_partkey) AS position FROM part"

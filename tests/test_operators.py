@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import os
 import random
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -200,3 +202,30 @@ def test_generated_records_and_their_resolution(spark):
 def test_storage(spark):
     df = stored(spark.range(3), "x")
     assert sorted(r.id for r in df.collect()) == [0, 1, 2]
+
+
+class Opened:
+    """A model that answers only while it is open, and writes down when it was opened and closed."""
+
+    def __init__(self, log):
+        self.log, self.open = log, False
+
+    async def opened(self):
+        self.open = True
+        open(f"{self.log}/opened-{os.getpid()}-{uuid.uuid4().hex}", "w").close()
+
+    async def closed(self):
+        self.open = False
+        open(f"{self.log}/closed-{os.getpid()}-{uuid.uuid4().hex}", "w").close()
+
+    async def answer(self, state, questions):
+        assert self.open
+        return decide.Answers("m", yes={name: 0.5 for name in questions})
+
+
+def test_a_model_is_opened_and_closed_once_a_task(spark, tmp_path):
+    rows = spark.range(100).selectExpr("id", "concat('d', id) AS document").repartition(3)
+    found = decide.decided(rows, Opened(str(tmp_path)), {"q": decide.YesNo("?")}, decide.Flat("document"), ["document"], ["id"]).collect()
+    assert len(found) == 100 and not any(r.error for r in found)
+    names = [n.split("-")[0] for n in os.listdir(tmp_path)]
+    assert names.count("opened") == names.count("closed") == 3
