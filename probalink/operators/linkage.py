@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -92,9 +93,41 @@ def ranked(pairs: DataFrame, k: int, weights: Mapping[str, float] = WEIGHTS) ->
     for c, weight in weights.items():
         score = score + F.when(equal[c], weight).otherwise(0.0)
     flags = {"vat_equal": "vat_digits", "domain_equal": "domain_root", "postcode_equal": "postcode_norm"}
-    rows = rows.select("a_id", "b_id", "name_sim", *[equal[c].alias(f) for f, c in flags.items() if c in equal], score.alias("__score"))
-    order = Window.partitionBy("a_id").orderBy(F.desc("__score"), "b_id")
-    return rows.withColumn("candidate_rank", F.row_number().over(order)).where(F.col("candidate_rank") <= k).drop("__score")
+    return best_of(rows.select("a_id", "b_id", "name_sim", *[equal[c].alias(f) for f, c in flags.items() if c in equal], score.alias("__score")), "__score", k).drop("__score")
+
+
+def best_of(pairs: DataFrame, score: str, k: int) -> DataFrame:
+    """The k pairs of the highest score of every left record, with candidate_rank."""
+    order = Window.partitionBy("a_id").orderBy(F.desc(score), "b_id")
+    return pairs.withColumn("candidate_rank", F.row_number().over(order)).where(F.col("candidate_rank") <= k)
+
+
+def directions(size: int, tables: int, bits: int, seed: int = 1) -> list[list[list[int]]]:
+    """Random directions of 1 and -1, `bits` of them for each table."""
+    rng = random.Random(seed)
+    return [[rng.choices((1, -1), k=size) for _ in range(bits)] for _ in range(tables)]
+
+
+def dot(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
+
+
+def with_signatures(df: DataFrame, vector: str, size: int, tables: int = 4, bits: int = 6) -> DataFrame:
+    """df with signature_0 …: blocking keys for texts that no spelling connects, from embeddings of `size` components. A signature is
+    the sides of `bits` random directions that the embedding lies on. Null embeddings, and those of other lengths, have none."""
+    values = F.col(vector).cast("array<double>")
+    side = lambda way: F.when(dot(values, F.array(*[F.lit(float(x)) for x in way])) > 0, "1").otherwise("0")
+    own = [F.when(F.size(values) == size, F.concat(*map(side, ways))) for ways in directions(size, tables, bits)]
+    return df.withColumns({f"signature_{n}": c for n, c in enumerate(own)})
+
+
+def embedding_candidates(left: DataFrame, right: DataFrame, vector: str, k: int, tables: int = 4, within: bool = False) -> DataFrame:
+    """(a_id, b_id, cosine, candidate_rank): for every left record the k records of the nearest embeddings among those that share a
+    signature with it. Both have id, the embedding and its signatures. A pair without a cosine isn't a candidate."""
+    pairs = blocked(left, right, tuple(f"signature_{n}" for n in range(tables)), within, (vector,))
+    a, b = (F.col(f"{s}_{vector}").cast("array<double>") for s in "ab")
+    rows = pairs.select("a_id", "b_id", (dot(a, b) / F.nullif(F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)), F.lit(0.0))).alias("cosine"))
+    return best_of(rows.where("cosine IS NOT NULL"), "cosine", k)
 
 
 def candidates(left: DataFrame, right: DataFrame, k: int, kind: str, within: bool = False, keys: tuple[str, ...] = KEYS, weights: Mapping[str, float] = WEIGHTS) -> DataFrame:

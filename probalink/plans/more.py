@@ -149,6 +149,46 @@ def pair_scale_l25(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decide.relate_pairs(stored(pairs, "pairs"), PAIR_MODEL)
 
 
+# ---- candidates by embeddings
+
+SIZE, TABLES, BITS = 64, 4, 6
+SIGNATURES_SQL = ", ".join(
+    " || ".join(f"CASE WHEN list_inner_product(v, [{', '.join(f'CAST({x} AS DOUBLE)' for x in way)}]) > 0 THEN '1' ELSE '0' END" for way in ways) + f" AS signature_{n}" for n, ways in enumerate(linkage.directions(SIZE, TABLES, BITS))
+)
+NEAR_SQL = f"""WITH e AS (SELECT vec_id AS id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings), g AS (SELECT *, {SIGNATURES_SQL} FROM e WHERE len(v) = {SIZE}),
+p AS ({" UNION ".join(f"SELECT a.id AS a_id, b.id AS b_id FROM g a JOIN g b ON a.signature_{n} = b.signature_{n} AND a.id < b.id" for n in range(TABLES))})
+SELECT a_id, b_id, round(cosine, 9) AS cosine, CAST(candidate_rank AS INTEGER) AS candidate_rank FROM (SELECT *, row_number() OVER (PARTITION BY a_id ORDER BY cosine DESC, b_id) AS candidate_rank FROM
+  (SELECT a_id, b_id, list_inner_product(a.v, b.v) / (sqrt(list_inner_product(a.v, a.v)) * sqrt(list_inner_product(b.v, b.v))) AS cosine FROM p JOIN e a ON a.id = a_id JOIN e b ON b.id = b_id)) WHERE candidate_rank <= 3"""
+
+
+@query(NEAR_SQL)
+def embedding_candidates_l26(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = linkage.with_signatures(s.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding"), "embedding", SIZE, TABLES, BITS)
+    rows = stored(rows, "signatures")
+    return linkage.embedding_candidates(rows, rows, "embedding", 3, TABLES, within=True).withColumn("cosine", F.round("cosine", 9))
+
+
+# ---- scripts
+
+SCRIPT = """
+CREATE OR REPLACE TEMP VIEW script_suppliers AS
+  SELECT s_suppkey, s_acctbal / 2 AS half, '/' AS slash FROM parquet.`{tables}/supplier.parquet`
+/
+CREATE OR REPLACE TEMP VIEW script_rich AS SELECT * FROM script_suppliers WHERE half >= :least
+/
+
+/
+SELECT s_suppkey, half, slash FROM script_rich
+/
+"""
+
+
+@query("SELECT s_suppkey, s_acctbal / 2 AS half, '/' AS slash FROM supplier WHERE s_acctbal / 2 >= 1000")
+def script_s13_s17_s18(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The result of a script's last statement; its parameters are bound, its folder is put in."""
+    return stored(t.run_script(spark, SCRIPT.replace("{tables}", sf_dir), {"least": 1000.0}), "script")
+
+
 # ---- generators
 
 UNIQUE_COMPANIES = "SELECT lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS number, upper(p_name) AS name, p_brand AS town, row_number() OVER (ORDER BY p_partkey) AS position FROM part"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from typing import Any
 
@@ -74,12 +75,18 @@ def create_schema(spark: SparkSession, name: str) -> None:
 
 
 def replace_table(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as table `name`, replacing an older one; df may read the older one (it is written aside first)."""
-    spark, aside = df.sparkSession, f"{name}__new"
+    """Writes df as table `name`, replacing an older one; df may read the older one (it is written aside first).
+
+    A run that ends between the steps leaves the older table, as name or name__old, or the new one: never neither.
+    """
+    spark, aside, old = df.sparkSession, f"{name}__new", f"{name}__old"
     spark.sql(f"DROP TABLE IF EXISTS {aside}")
     df.write.format("parquet").saveAsTable(aside)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {aside} RENAME TO {name.split('.')[-1] if '.' not in name else name}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
     return spark.table(name)
 
 
@@ -104,6 +111,20 @@ def with_row_id(files: DataFrame, column: str = "row_id") -> DataFrame:
     return files.select("*", F.concat_ws("#", F.col("_metadata.file_path"), F.col("_metadata.row_index").cast("string")).alias(column))
 
 
+def run_script(spark: SparkSession, script: str, args: Mapping[str, Any] | None = None) -> DataFrame | None:
+    """Runs the statements of a script one after another and returns the result of the last (None, if there are none).
+
+    A statement may have several lines and ends at a line that holds only a slash. args are bound to the markers (:name) of those
+    statements that have them, so values never become part of the text.
+    """
+    result = None
+    for statement in re.split(r"(?m)^[ \t]*/[ \t]*$", script):
+        if statement.strip():
+            used = {n: v for n, v in (args or {}).items() if re.search(rf":{n}\b", statement)}
+            result = spark.sql(statement, args=used) if used else spark.sql(statement)
+    return result
+
+
 def scalar(df: DataFrame) -> Any:
     """The single value of a one-row result."""
     return df.first()[0]

@@ -5,6 +5,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from probalink.__main__ import main
 from probalink.operators import decide
 from probalink.sources import tables
 from probalink.streaming.incremental import score_stream
@@ -51,6 +52,21 @@ def test_tables_are_replaced_and_dropped(spark):
     assert not spark.catalog.tableExists("scores")
 
 
+def test_scripts(spark, tmp_path, capsys):
+    script = "CREATE OR REPLACE TEMP VIEW one AS\nSELECT 1 AS a, 'x/y' AS b\n/\n  /  \nSELECT a, b, :v AS c FROM one\n/\n"
+    assert tuple(tables.run_script(spark, script, {"v": "it's; -- :a", "unused": 1}).first()) == (1, "x/y", "it's; -- :a")
+    assert tables.run_script(spark, "/\n/") is None
+    (tmp_path / "s.sql").write_text("SELECT :v AS v, '{tables}' AS t\n/")
+    main([str(tmp_path / "s.sql"), "--tables", "here", "--set", "v=a=b", "--out", str(tmp_path / "out"), "--format", "json"])
+    assert tuple(spark.read.json(str(tmp_path / "out")).select("v", "t").first()) == ("a=b", "here")
+    main(["top_k_w1_x3", "--tables", "/root/testdata/sf0.001", "--out", str(tmp_path / "rows")])
+    assert spark.read.parquet(str(tmp_path / "rows")).count() > 0
+    main(["list"])
+    assert "top_k_w1_x3" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        main(["no_such_query"])
+
+
 def test_secret(monkeypatch):
     monkeypatch.setenv("A_KEY", "v")
     assert tables.secret("A_KEY") == "v"
