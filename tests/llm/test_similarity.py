@@ -339,3 +339,34 @@ def test_op9_ids_with_several_vectors(spark):
     vectors = [(i, np.array(v)) for i, v in {(i, tuple(v)) for i, v in rows}]
     scores = [(-round(float(q @ v / np.linalg.norm(q) / np.linalg.norm(v)), 9), i) for o, q in vectors if o == 50 for i, v in vectors if i != 50]
     assert sorted(found) == [(50, k + 1, i, -score) for k, (score, i) in enumerate(sorted(scores)[:5])]
+
+
+def test_op9_recall_of_real_neighbours(spark):
+    """Clusters whose members are near each other, over several blocks and groups of queries."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(600, 32))
+    vectors = centres[np.arange(6000) % 600] + rng.normal(size=(6000, 32)) * rng.choice([0.05, 0.2, 0.4], size=(6000, 1))
+    found = {(r.query_id, r.vec_id) for r in ann.nearest(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>"), block=1000, query_bytes=10_000).collect()}
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    hits = 0
+    for q in range(0, 6000, 50):
+        score = unit @ unit[q]
+        score[q] = -2
+        hits += sum((q, i) in found for i in np.argsort(-score)[:5].tolist())
+    assert len(found) == 600 and hits >= 0.9 * 600
+
+
+def test_op9_windows_leave_most_of_a_block_of_clusters_unseen():
+    rng = np.random.default_rng(8)
+    vectors = np.repeat(rng.normal(size=(100, 32)), 20, axis=0) + rng.normal(size=(2000, 32)) * 0.1
+    search = ann.Search()
+    order, arrays = search.arrays(vectors)
+    best = ann.Best(np.array([0]), vectors[:1], search)
+    seen = []
+    real = ann.np.lexsort
+    ann.np.lexsort = lambda keys: seen.append(len(keys[0])) or real(keys)
+    try:
+        best.look(np.arange(2000), vectors, order, arrays)
+    finally:
+        ann.np.lexsort = real
+    assert set(best.found[0].tolist()) <= set(range(20)) and max(seen) < 500
