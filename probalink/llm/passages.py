@@ -36,33 +36,40 @@ def window_size(least: int) -> tuple[int, int]:
     return size, max(1, least - size + 1)
 
 
-def chosen(hashes: np.ndarray, apart: int) -> np.ndarray:
-    """The places of the smallest (leftmost, if tied) of every `apart` neighbours."""
-    count = max(1, len(hashes) - apart + 1)
+def leftmost_minima(hashes: np.ndarray, apart: int) -> np.ndarray:
+    """For each place from which there are `apart` neighbours, the place of the smallest (leftmost, if tied) of them."""
+    count = max(0, len(hashes) - apart + 1)
     least, place = hashes[:count].copy(), np.arange(count)
-    for k in range(1, min(apart, len(hashes))):
+    for k in range(1, apart):
         other = hashes[k : k + count]
-        smaller = other < least
+        smaller = np.flatnonzero(other < least)
         least[smaller] = other[smaller]
-        place[smaller] = np.flatnonzero(smaller) + k
-    return np.unique(place)
-
-
-def windows_of(text: str, size: int, apart: int) -> tuple[np.ndarray, np.ndarray, bytes]:
-    """(hashes, first words) of a text's chosen windows, and WIDTH bytes for each of its words between apart - 1 empty ones on both
-    sides."""
-    words = text.encode().lower().split()
-    if len(words) < size + apart - 1:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), b""
-    own = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-    total = np.zeros(len(words) - size + 1, np.uint64)
+        place[smaller] = smaller + k
+    return place
+
+
+def windows_of(texts: list[str], size: int, apart: int) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """The chosen windows of texts, many at once: which texts have any, where each text's begin among all (and the end), their hashes
+    and first words, and for each text WIDTH bytes for each of its words between apart - 1 empty ones on both sides."""
+    words = [t.encode().lower().split() for t in texts]
+    own = [k for k, w in enumerate(words) if len(w) >= size + apart - 1]
+    if not own:
+        return [], np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), []
+    first = np.cumsum([0, *(len(words[k]) for k in own)])
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w) for k in own for w in words[k]), np.uint64, first[-1])
+    total = np.zeros(len(hashes) - size + 1, np.uint64)
     for k in range(size):
-        total = total * FACTOR + own[k : k + len(total)]
+        total = total * FACTOR + hashes[k : k + len(total)]
     total = (total ^ total >> np.uint64(31)) * FACTOR
-    at = chosen(total, apart)
+    place = leftmost_minima(total, apart)
+    groups = np.diff(first) - (size + apart - 2)  # windows whose neighbours all lie in the same text
+    inside = np.arange(groups.sum()) + np.repeat(first[:-1] - np.cumsum(groups) + groups, groups)
+    at = np.unique(place[inside])
+    ends = np.searchsorted(at, first)
     pad = NONE * (apart - 1)
-    letters_of = (own % np.uint64(65535) + np.uint64(1)).astype("<u2").tobytes()
-    return total[at].view(np.int64), at, pad + letters_of + pad
+    letters_of = (hashes % np.uint64(65535) + np.uint64(1)).astype("<u2")
+    around = [pad + letters_of[i:j].tobytes() + pad for i, j in zip(first, first[1:])]
+    return own, ends, total[at].view(np.int64), at - np.repeat(first[:-1], np.diff(ends)), around
 
 
 def word_places(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -83,12 +90,10 @@ def windows(df: DataFrame, least: int, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole):
-                found = [windows_of(text.as_py(), size, apart) for text in batch.column(2)]
-                own = [k for k, f in enumerate(found) if len(f[0])]
+                own, ends, *found, around = windows_of(batch.column(2).to_pylist(), size, apart)
                 if own:
-                    ends = pa.array(np.cumsum([0, *(len(found[k][0]) for k in own)]), pa.int32())
-                    lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate([found[k][c] for k in own]), t)) for c, t in enumerate(types)]
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(own)), batch.column(1).take(pa.array(own)), *lists, pa.array([found[k][2] for k in own])], names)
+                    lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, t)) for values, t in zip(found, types)]
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(own)), batch.column(1).take(pa.array(own)), *lists, pa.array(around)], names)
 
     kind = df.schema[id_col].dataType.simpleString()
     text = text_of(text_col)

@@ -9,7 +9,7 @@ import xxhash
 from data import ODD, PROSE, clashing, documents
 from pyspark.sql import functions as F
 
-from probalink.llm import ann, queries, simhash, substrings, warc
+from probalink.llm import ann, passages, queries, simhash, substrings, warc
 
 
 def fingerprint(text):
@@ -210,6 +210,25 @@ def test_op6_passages_go_whole(spark):
     assert {r.doc_id: r.text.split() for r in substrings.cleaned(df).collect()} == left
 
 
+def test_op6_windows_are_those_of_each_text_alone():
+    rng = random.Random(14)
+    size, apart = passages.window_size(50)
+    texts = [" ".join(rng.choices(["a", "b", "cé", "Dd"], k=rng.choice((0, 3, 49, 50, 51, 66, 200)))) for _ in range(60)]
+    own, ends, hashes, words, around = passages.windows_of(texts, size, apart)
+    assert own == [k for k, t in enumerate(texts) if len(t.split()) >= 50]
+    by_content = {}
+    for n, k in enumerate(own):
+        found = words[ends[n] : ends[n + 1]].tolist()
+        lower = texts[k].lower().split()
+        alone = passages.windows_of([texts[k]], size, apart)
+        assert found == alone[3].tolist() and hashes[ends[n] : ends[n + 1]].tolist() == alone[2].tolist() and around[n] == alone[4][0]
+        for at, h in zip(found, alone[2].tolist()):
+            assert by_content.setdefault(tuple(lower[at : at + size]), h) == h
+        every = [passages.windows_of([" ".join(lower[i : i + size + apart - 1])], size, apart)[3][0] + i for i in range(len(lower) - size - apart + 2)]
+        assert sorted(set(every)) == found  # of any neighbours the one of the smallest hash
+    assert passages.windows_of([], size, apart)[0] == [] == passages.windows_of(["", "a b"], size, apart)[0]
+
+
 def test_op6_cut():
     from probalink.llm.passages import cut
 
