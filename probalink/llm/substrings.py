@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from probalink.llm.common import fresh, scratch, slices, stored, text_of
 from probalink.llm.components import connected_components, hot_keys, joined
-from probalink.llm.passages import shared_passages, without
+from probalink.llm.passages import FACTOR, shared_passages, without
 from probalink.sources.storage import Scratch
 
 SHINGLE = 5
@@ -45,13 +45,24 @@ def shingles(words: list[bytes], size: int = SHINGLE) -> list[bytes]:
     return [joined[a : b - 1] for a, b in zip([0, *ends], ends[size - 1 :])]
 
 
+def shingle_hashes(paragraphs: list[list[bytes]], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """A hash, made from those of its words, of every run of `size` words of each paragraph, and where each paragraph's begin. One
+    of fewer words is filled up with empty ones."""
+    words = [w if len(w) >= size else [*w, *[b""] * (size - len(w))] for w in paragraphs]
+    first = np.cumsum([0, *map(len, words)])
+    own = np.fromiter((xxhash.xxh64_intdigest(w) for each in words for w in each), np.uint64, first[-1])
+    total = np.zeros(len(own) - size + 1, np.uint64)
+    for k in range(size):
+        total = total * FACTOR + own[k : k + len(total)]
+    many = np.diff(first) - size + 1
+    starts = np.cumsum(many) - many
+    inside = np.arange(many.sum()) + np.repeat(first[:-1] - starts, many)
+    return ((total ^ total >> np.uint64(31)) * FACTOR)[inside], starts
+
+
 def bands(paragraphs: list[list[bytes]], count: int = BANDS, rows: int = ROWS) -> np.ndarray:
     """A key for each paragraph and band."""
-    starts, hashes = [], []
-    for words in paragraphs:
-        starts.append(len(hashes))
-        hashes += map(xxhash.xxh64_intdigest, shingles(words))
-    values = np.array(hashes, np.uint64)
+    values, starts = shingle_hashes(paragraphs)
     a, b = multipliers(count * rows)
     mixed = np.empty((len(paragraphs), count * rows), np.uint64)
     for k in range(count * rows):

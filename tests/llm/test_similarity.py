@@ -210,6 +210,25 @@ def test_op6_passages_go_whole(spark):
     assert {r.doc_id: r.text.split() for r in substrings.cleaned(df).collect()} == left
 
 
+def test_op6_bands_find_similar_paragraphs():
+    rng = random.Random(15)
+    words = [f"w{k}".encode() for k in range(3000)]
+    found, compared = 0, 0
+    for _ in range(400):
+        base = rng.choices(words, k=100)
+        near = list(base)
+        near[rng.randrange(100)] = b"other"  # five shingles of 96 differ, or fewer
+        more = [*near[:40], b"added", *near[40:]]
+        a, b = ({bytes(x) for x in substrings.shingles(own)} for own in (base, more))
+        if len(a & b) >= 0.8 * len(a | b):
+            keys = substrings.bands([base, more])
+            compared += 1
+            found += bool((keys[0] == keys[1]).any())
+    assert compared > 350 and found >= 0.99 * compared
+    values, starts = substrings.shingle_hashes([[b"a"], [b"a", b"b", b"c", b"d", b"e", b"f"], [b"a", b"b", b"c", b"d", b"e"]])
+    assert len(values) == 4 and starts.tolist() == [0, 1, 3] and values[1] == values[3] and len(set(values.tolist())) == 3
+
+
 def test_op6_windows_are_those_of_each_text_alone():
     rng = random.Random(14)
     size, apart = passages.window_size(50)
