@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from probalink.functions import normalize as n
-from probalink.operators.ids import dense_ids
+from probalink.operators.ids import dense_ids, evenly
 from probalink.sources.storage import stored
 
 #: Blocking keys: the columns that make two records a candidate where one of them is equal.
@@ -141,8 +141,9 @@ def candidates(left: DataFrame, right: DataFrame, k: int, kind: str, within: boo
 
 def candidate_pairs(master: DataFrame, incoming: DataFrame, master_k: int = 5, dedup_k: int = 3, keys: tuple[str, ...] = KEYS) -> DataFrame:
     """All pairs to decide, numbered: every incoming record's best companies, then its best fellows. Both tables have keys, which are
-    written once."""
-    master, incoming = stored(master, "keys"), stored(incoming, "keys")
+    written once, in as many files as there are cores: a block makes far more work than its records have bytes."""
+    cores = incoming.sparkSession.sparkContext.defaultParallelism
+    master, incoming = stored(evenly(master, cores), "keys"), stored(evenly(incoming, cores), "keys")
     to_master = candidates(incoming, master, master_k, "MASTER", keys=keys)
     to_fellow = candidates(incoming, incoming, dedup_k, "DEDUP", within=True, keys=keys)
     return dense_ids(to_master.unionByName(to_fellow), [F.desc("pair_kind"), "a_id", "candidate_rank"], "pair_id")

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Has Spark remove a write's shuffle files when it ends: what is read again is the written table.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: The paths that this process has given out.
+MADE: list[str] = []
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -20,7 +22,19 @@ def shared_path(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
-    return f"{folder}/{name}-{uuid.uuid4().hex}"
+    MADE.append(f"{folder}/{name}-{uuid.uuid4().hex}")
+    return MADE[-1]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def clear(spark: SparkSession) -> None:
+    """Deletes all tables that `stored` and `scratch` have written in this process: once no result that reads them is needed."""
+    while MADE:
+        remove(spark, MADE.pop())
 
 
 def written(df: DataFrame, path: str) -> DataFrame:
@@ -52,8 +66,7 @@ class Scratch:
     def drop(self, *names: str) -> None:
         """Deletes tables that nothing lazy reads any more; the whole folder, if none are named."""
         for path in [f"{self.folder}/{name}" for name in names] or [self.folder]:
-            place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+            remove(self.spark, path)
 
 
 @contextmanager

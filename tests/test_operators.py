@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from probalink.functions import vary
 from probalink.operators import decide, graph, ids, linkage, resolve
-from probalink.sources import generate, tables
+from probalink.sources import generate, storage, tables
 from probalink.sources.storage import stored
 
 PAIR = "pair_id long, a_name string, a_address string, a_country string, a_website string, a_vat string, b_name string, b_address string, b_country string, b_website string, b_vat string"
@@ -202,6 +202,10 @@ def test_generated_records_and_their_resolution(spark):
 def test_storage(spark):
     df = stored(spark.range(3), "x")
     assert sorted(r.id for r in df.collect()) == [0, 1, 2]
+    path = next(p for p in storage.MADE if "/x-" in p)
+    assert os.path.exists(path)
+    storage.clear(spark)
+    assert not os.path.exists(path) and not storage.MADE
 
 
 class Opened:
