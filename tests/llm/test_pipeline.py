@@ -10,6 +10,7 @@ import public_tokenizers as P
 from data import clashing, documents
 from pyspark.sql import functions as F
 from test_quality_and_pii import good, junk
+from test_tokens import naive_packing
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -87,18 +88,21 @@ def test_run_is_that_of_a_plain_pipeline(spark, tmp_path):
     documents(spark, rows).withColumns({"__text": F.lit("x"), "__id": F.lit(1), "sequence": F.lit(2)}).write.parquet(str(tmp_path / "documents.parquet"))
     first, expected = plain_pipeline(rows)
     assert {i for i, _ in first} == {*range(60), 100, 101, 102, 120, None} and len(first) == 67  # three texts have the id 7
-    pieces = {}
-    for r in corpus_pipeline.run(spark, str(tmp_path)).collect():
-        pieces.setdefault(r.doc_id, []).append(r)
-        assert len(r.token_ids) == r.length <= 1024 and zlib.crc32(np.array(r.token_ids, "<u4").tobytes()) == r.ids_crc32
     library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    for i in {i for i, _ in expected}:
-        wanted = sorted([*library.encode(t, add_special_tokens=False).ids, 2] for j, t in expected if j == i)
-        own = sorted(pieces.pop(i), key=lambda r: r.piece)
-        if len(wanted) > 1:  # documents of one id: all of one piece here
-            assert sorted(r.token_ids for r in own) == wanted
-        else:
-            assert [x for r in own for x in r.token_ids] == wanted[0], i
-    assert not pieces
+    wanted = []
+    for i, text in expected:
+        ids = [*library.encode(text, add_special_tokens=False).ids, 2]
+        edges = [0, *range(len(ids) % 1024 or 1024, len(ids) + 1, 1024)]
+        wanted += [(i, k, start, end - start, zlib.crc32(np.array(ids[start:end], "<u4").tobytes())) for k, (start, end) in enumerate(zip(edges, edges[1:]))]
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    found = [(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows]
+    assert sorted(found, key=repr) == sorted(wanted, key=repr)
+    sequences = {}
+    for r in rows:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.offset + r.length))
+    for own in sequences.values():
+        own.sort()
+        assert own[0][0] == 0 and own[-1][1] <= 1024 and all(a[1] == b[0] for a, b in zip(own, own[1:]))
+    assert len(sequences) == len(naive_packing([length for _, _, _, length, _ in wanted], 1024))
     documents(spark, []).write.parquet(str(tmp_path / "none" / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
