@@ -342,8 +342,8 @@ def ragged(ids: np.ndarray, ends: np.ndarray) -> pa.ListArray:
 def with_ids(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, token_ids): the token ids of every whole text.
 
-    Null and empty texts have no ids; null ids and repeated rows stay, each row by itself. Other columns are not read. Texts of
-    any length are encoded whole. No shuffle: each row is encoded where it is read.
+    Null and empty texts have no ids; null ids and repeated rows stay, each row by itself. An empty table gives an empty result. Other
+    columns are not read. Texts of any length are encoded whole. No shuffle: each row is encoded where it is read.
     """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
