@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +28,16 @@ def hot_keys(df: DataFrame, *keys: str) -> list[int]:
     return [item["item"] for item in found["top"] if item["count"] > found["n"] / SHARE] if found["n"] > FEW else []
 
 
+def parted(df: DataFrame, keys: Sequence[str], hot: Sequence[int]) -> tuple[DataFrame, DataFrame]:
+    """The rows of df whose keys aren't hot, and those whose keys are, told apart by joins with the broadcast hashes: as parts of the
+    plan itself a thousand of them would be written into each of its descriptions, which the driver keeps."""
+    name = "__hot"
+    while name in df.columns:
+        name = f"_{name}"
+    table = F.broadcast(df.sparkSession.createDataFrame(pa.table({name: pa.array(hot, pa.int64())})))
+    return tuple(df.join(table, hashed(*keys) == F.col(name), how) for how in ("left_anti", "left_semi"))
+
+
 def joined(left: DataFrame, right: DataFrame, keys: Sequence[str], hot: Sequence[int], how: str = "inner", null_safe: bool = False) -> DataFrame:
     """left.join(right, keys, how) for a right that has each key once, its columns after those of left.
 
@@ -43,5 +54,5 @@ def joined(left: DataFrame, right: DataFrame, keys: Sequence[str], hot: Sequence
 
     if not hot:
         return plain(left, right)
-    is_hot = hashed(*keys).isin(list(hot))
-    return plain(left.where(~is_hot), right.where(~is_hot)).unionByName(plain(left.where(is_hot), F.broadcast(right.where(is_hot))))
+    cold, warm = parted(left, keys, hot)
+    return plain(cold, right).unionByName(plain(warm, F.broadcast(parted(right, keys, hot)[1])))
