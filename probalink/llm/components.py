@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from probalink.operators.graph import connected_components, with_minimum
-from probalink.operators.hot import hashed, hot_keys, joined
+from probalink.operators.hot import hot_keys, joined, parted
 
-__all__ = ["buckets", "connected_components", "hashed", "hot_keys", "joined", "with_minimum"]
+__all__ = ["buckets", "connected_components", "hot_keys", "joined", "parted", "with_minimum"]
 
 
 def buckets(keyed: DataFrame, key: str, member: str, most: int) -> tuple[DataFrame, DataFrame]:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from probalink.llm.common import scratch, slices, stored, text_of
-from probalink.llm.components import hashed, hot_keys, joined
+from probalink.llm.components import hot_keys, joined, parted
 
 #: An odd multiplier of the words' hashes in a window's.
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -170,7 +170,7 @@ def shared_passages(df: DataFrame, least: int, id_col: str, text_col: str) -> Da
         parts = grams.groupBy("window", "__at", "__part").agg(F.min("first").alias("keep"), F.count("*").alias("__n")).where("__n > 1").drop("__n")
         part = ["window", "__at", "__part"]
         wide = hot_keys(others, "window")  # a hot part is one of a hot window, as all windows have about as many parts a context
-        frequent = hot_keys(grams.where(hashed("window").isin(wide)), *part) if wide else []
+        frequent = hot_keys(parted(grams, ["window"], wide)[1], *part) if wide else []
         nearer = joined(grams.where("NOT same").select("context", *part), parts, part, frequent)
         nearer = nearer.groupBy("window", "context").agg(F.min("keep").alias("__nearer"))
         keeps = compared.join(nearer, ["window", "context"], "left")

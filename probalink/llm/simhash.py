@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from probalink.llm.common import fresh, in_arrow, stored, text_of
-from probalink.llm.components import buckets, connected_components, hashed, hot_keys, joined, with_minimum
+from probalink.llm.components import buckets, connected_components, hot_keys, joined, parted, with_minimum
 
 #: A fingerprint has so many bits.
 BITS = 64
@@ -175,8 +175,9 @@ def one_of_each(df: DataFrame, radius: int = 4, size: int = 4, most: int = 256,
     kept = grouped(prints, place, radius, most).select(F.col("least.name").alias(own), F.col("least.key").alias(own_key)).distinct()
     named = df.withColumns({own: name, own_key: key})
     hot = hot_keys(prints, "__name", "__key")
-    is_hot = hashed(own, own_key).isin(hot) if hot else F.lit(False)
-    out = named.where(~is_hot).join(kept.where(~is_hot), [own, own_key], "left_semi").dropDuplicates([own, own_key])
+    keys = [own, own_key]
+    cold, warm = parted(named, keys, hot) if hot else (named, None)
+    out = cold.join(kept, keys, "left_semi").dropDuplicates(keys)
     if hot:
-        out = out.union(named.where(is_hot).join(F.broadcast(kept.where(is_hot)), [own, own_key], "left_semi").dropDuplicates([own, own_key]))
+        out = out.union(warm.join(F.broadcast(parted(kept, keys, hot)[1]), keys, "left_semi").dropDuplicates(keys))
     return out.drop(own, own_key)
