@@ -45,9 +45,10 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         # an edge of large has one of its ends as u, so its hubs are among those of both
         hubs = hot_keys(both, "u") if 2 * state[0] > FEW else []
         large = with_minimum(both, hubs).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
-        down = with_minimum(large, hubs)
-        small = down.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(down.select("u", F.col("m").alias("v"))).distinct()
-        current, now = round_of(small, number + 1)
+        down = with_minimum(keep(large, f"large-{number}"), hubs)  # written, as the plan of the next step holds it several times
+        ends = F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v"))))
+        current, now = round_of(down.select(ends.alias("e")).select("e.u", "e.v").where("u != v").distinct(), number + 1)
+        keep.drop(f"large-{number}")
         if now == state:
             nodes = current.select(F.col("u").alias("node"), F.col("v").alias("component"))
             return nodes.union(current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
