@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 #: A key is hot with more than one of SHARE rows, so that there are at most SHARE hot keys; TRACKED bounds what the sketch of a task holds.
 SHARE, TRACKED = 1000, 1 << 13
-#: Rows up to which a table isn't looked through: a task takes so many of one key without being noticed.
-FEW = 5_000
+#: Rows up to which a table isn't looked through: one task takes so many narrow rows of a key in a second, and a pass and the joins of
+#: parts would cost as much, and memory of the driver's for their plans.
+FEW = 250_000
 
 
 def hashed(*keys: str) -> Column:

@@ -2,11 +2,18 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from probalink.operators import graph, hot
 
 
+@pytest.fixture(autouse=True)
+def small_tables_count(monkeypatch):
+    for module in (hot, graph):
+        monkeypatch.setattr(module, "FEW", 5_000)
+
+
 def skewed(spark, n=20_000):
     """Rows of which key 7 has a third, null a tenth, and the rest few each."""
     rng = random.Random(4)
