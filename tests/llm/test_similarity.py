@@ -10,6 +10,7 @@ from data import ODD, PROSE, clashing, documents
 from pyspark.sql import functions as F
 
 from probalink.llm import ann, passages, queries, simhash, substrings, warc
+from probalink.operators import hot
 
 
 def fingerprint(text):
@@ -71,7 +72,8 @@ def check_components(spark, most):
     assert kept.columns == df.columns and sorted(i for i in ids if i is not None) == sorted(set(least.values())) and ids.count(None) == (None in least.values() or len(set(reached.values())) - len(least))
 
 
-def test_op8_one_of_each_keeps_distinct_texts(spark):
+def test_op8_one_of_each_keeps_distinct_texts(spark, monkeypatch):
+    monkeypatch.setattr(hot, "FEW", 5_000)
     other, third = near_copies(90, 1)[0], near_copies(91, 1)[0]
     rows = [(1, PROSE), (1, other), (2, PROSE), (None, PROSE), (None, third), (None, third), (None, None), (3, ""), (4, other + " x"), (5, None)]
     df = clashing(documents(spark, rows)).withColumns({"__name": F.lit(1), "__key": F.lit(2), "__id": F.lit(3)})
