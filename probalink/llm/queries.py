@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from probalink.llm import ann, bpe, packing, pii, quality_model, quality_rules, simhash, substrings, token_counts, warc
+from probalink.llm import alignment, ann, bpe, packing, pii, prefix_trie, quality_model, quality_rules, simhash, substrings, token_counts, warc
 from probalink.llm.common import table
 
 PATTERN = public_tokenizers.PATTERN
@@ -65,6 +65,14 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), PATTERN)
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), PATTERN)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(prefix_trie.branched(prefix_trie.turn_arrays(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality_model": op2_quality_model,
@@ -76,6 +84,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_ann": op9_ann,
     "op10_token_counts": op10_token_counts,
+    "op11_alignment": op11_alignment,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 LINE_END = "chr(13) || chr(10)"
 #: Both replicas are hashed, and their records compared by file, id and hash; the roots are those of the first, level by level.
@@ -96,5 +106,18 @@ FROM c JOIN f USING (file) LEFT JOIN (SELECT * FROM h WHERE side = 1) o USING (f
 OP9_SQL = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
 s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.v, c.v) / (sqrt(list_inner_product(q.v, q.v)) * sqrt(list_inner_product(c.v, c.v))) AS score FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5"""
+#: CRC-32 bit by bit; every prefix of every conversation as a list, grouped.
+OP12_SQL = r"""WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text)) AS turns FROM t GROUP BY conv_id),
+h AS (SELECT *, CAST(xor(4294967295, list_reduce(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+  lambda crc, x: list_reduce([0, 1, 2, 3, 4, 5, 6, 7], lambda v, i: xor(v >> 1, (v & 1) * 3988292384), xor(crc, x)), CAST(4294967295 AS BIGINT))) % 4 AS INTEGER) AS h FROM own),
+r AS (SELECT h.conv_id, coalesce(b.turns[1:h.h], []) || h.turns[h.h + 1:] AS turns FROM h LEFT JOIN own b ON b.conv_id = h.conv_id - h.conv_id % 20),
+p AS (SELECT conv_id, turns[1:d] AS prefix, d, d = len(turns) AS ends FROM (SELECT *, unnest(range(len(turns) + 1)) AS d FROM r)),
+n AS (SELECT prefix, d, min(conv_id) AS conv_id, count(*) AS n, coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '') AS ends FROM p GROUP BY prefix, d),
+k AS (SELECT n.*, coalesce(c.children, 0) AS children, CASE WHEN d = 0 THEN 0 ELSE (n.n - 1) * len(regexp_extract_all(prefix[d].text, '[^\x20\x09-\x0D]+')) END AS saved
+  FROM n LEFT JOIN (SELECT prefix[1:d - 1] AS prefix, d - 1 AS d, count(*) AS children FROM n WHERE d > 0 GROUP BY ALL) c USING (prefix, d)),
+s AS (SELECT prefix[1:a] AS prefix, a AS d, sum(CASE WHEN children = 0 THEN 1 ELSE 0 END) AS leaves, sum(saved) AS saved FROM (SELECT *, unnest(range(d + 1)) AS a FROM k) GROUP BY ALL)
+SELECT k.conv_id, k.d AS depth, u.conv_id AS parent_conv_id, k.n AS n_convs, k.children AS n_children, CAST(s.leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, sha256(k.ends) AS ends_sha256
+FROM k JOIN s USING (prefix, d) LEFT JOIN n u ON u.d = k.d - 1 AND u.prefix = k.prefix[1:k.d - 1]"""
 #: The others have no SQL: DuckDB has neither their tokenizers, nor XXH64, look-behind in patterns, or what their methods estimate.
-SQL: dict[str, str] = {"op7_warc": OP7_SQL, "op9_ann": OP9_SQL}
+SQL: dict[str, str] = {"op7_warc": OP7_SQL, "op9_ann": OP9_SQL, "op12_prefix_trie": OP12_SQL}
