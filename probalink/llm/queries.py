@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from probalink.llm import alignment, ann, bpe, packing, pii, prefix_trie, quality_model, quality_rules, simhash, substrings, token_counts, warc
+from probalink.llm import alignment, ann, bpe, decontaminate, packing, pii, prefix_trie, quality_model, quality_rules, simhash, substrings, token_counts, warc
 from probalink.llm.common import table
 
 PATTERN = public_tokenizers.PATTERN
@@ -73,6 +73,11 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(prefix_trie.branched(prefix_trie.turn_arrays(table(spark, sf_dir, "conversations"))))
 
 
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality_model": op2_quality_model,
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_counts": op10_token_counts,
     "op11_alignment": op11_alignment,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_decontaminate": op13_decontaminate,
 }
 LINE_END = "chr(13) || chr(10)"
 #: Both replicas are hashed, and their records compared by file, id and hash; the roots are those of the first, level by level.
@@ -119,5 +125,15 @@ k AS (SELECT n.*, coalesce(c.children, 0) AS children, CASE WHEN d = 0 THEN 0 EL
 s AS (SELECT prefix[1:a] AS prefix, a AS d, sum(CASE WHEN children = 0 THEN 1 ELSE 0 END) AS leaves, sum(saved) AS saved FROM (SELECT *, unnest(range(d + 1)) AS a FROM k) GROUP BY ALL)
 SELECT k.conv_id, k.d AS depth, u.conv_id AS parent_conv_id, k.n AS n_convs, k.children AS n_children, CAST(s.leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, sha256(k.ends) AS ends_sha256
 FROM k JOIN s USING (prefix, d) LEFT JOIN n u ON u.d = k.d - 1 AND u.prefix = k.prefix[1:k.d - 1]"""
+#: Windows as strings of their words, joined by equality for each length that occurs.
+OP13_SQL = r"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (SELECT DISTINCT item, n, array_to_string(w[k:k + n - 1], ' ') AS win FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS k FROM (SELECT item, w, least(10, len(w)) AS n FROM b WHERE len(w) > 0))),
+dw AS (SELECT r, k, n, array_to_string(w[k:k + n - 1], ' ') AS win FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, (SELECT DISTINCT n FROM bw))),
+o AS (SELECT r, k, n, item FROM dw JOIN bw USING (n, win)),
+h AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS p FROM (SELECT DISTINCT r, k, n FROM o)) GROUP BY r),
+i AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM o) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (r) LEFT JOIN i USING (r)"""
 #: The others have no SQL: DuckDB has neither their tokenizers, nor XXH64, look-behind in patterns, or what their methods estimate.
-SQL: dict[str, str] = {"op7_warc": OP7_SQL, "op9_ann": OP9_SQL, "op12_prefix_trie": OP12_SQL}
+SQL: dict[str, str] = {"op7_warc": OP7_SQL, "op9_ann": OP9_SQL, "op12_prefix_trie": OP12_SQL, "op13_decontaminate": OP13_SQL}
