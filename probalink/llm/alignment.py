@@ -34,6 +34,8 @@ REMEMBERED, CHUNK = 300_000, 64
 #: Pairs that are broadcast at most, and the entries after which a task sends its counts of pairs on.
 HOT, FLUSHED = 1 << 18, 1 << 21
 SPACE_MARK = "▁"
+#: How events write ids.
+NARROW, WIDE = np.dtype("<u2"), np.dtype("<u4")
 
 
 class PieceEncoder:
@@ -115,12 +117,17 @@ def lengths_of(path_a: str, path_b: str, pattern: str) -> tuple[np.ndarray, np.n
     return out, np.array([len(x) for x in b], np.int64)
 
 
+def written_as(*lengths: np.ndarray) -> np.dtype:
+    """The type in which events write the ids of vocabularies of these sizes."""
+    return NARROW if max(map(len, lengths)) <= 1 << 16 else WIDE
+
+
 def end_events(df: DataFrame, path_a: str, path_b: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(__row, id, side, start, ids): rows of up to EVENTS token ends of side 0 (A) or 1 (B), with the offset where the first token
     begins in a space and the text. A text without tokens is one row without ends."""
     names = ["__row", id_col, "side", "start", "ids"]
 
-    def side_of(side: int, batch: pa.RecordBatch, ids: np.ndarray, ends: np.ndarray, length: np.ndarray) -> pa.RecordBatch:
+    def side_of(side: int, batch: pa.RecordBatch, ids: np.ndarray, ends: np.ndarray, length: np.ndarray, kind: np.dtype) -> pa.RecordBatch:
         n = np.diff(ends)
         blocks = np.maximum(-(-n // EVENTS), 1 - side)  # side 0 has a row for every text
         of = np.repeat(np.arange(len(n)), blocks)
@@ -128,8 +135,8 @@ def end_events(df: DataFrame, path_a: str, path_b: str, pattern: str, id_col: st
         first = ends[:-1][of] + number * EVENTS
         size = np.minimum(EVENTS, ends[1:][of] - first)
         bytes_before = np.concatenate([[0], np.cumsum(length[ids])])
-        offsets = np.concatenate([[0], np.cumsum(4 * size)])  # blocks follow each other as the ids do
-        packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(of), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(ids.astype("<u4"))])
+        offsets = np.concatenate([[0], np.cumsum(kind.itemsize * size)])  # blocks follow each other as the ids do
+        packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(of), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(ids.astype(kind))])
         take = pa.array(of, pa.int64())
         start = bytes_before[first] - bytes_before[ends[:-1][of]]
         return pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(np.full(len(of), side, np.int8)), pa.array(start), packed.cast(pa.binary())], names)
@@ -137,6 +144,7 @@ def end_events(df: DataFrame, path_a: str, path_b: str, pattern: str, id_col: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = encoder(path_a, pattern), piece_encoder(path_b)
         of_a, of_b = lengths_of(path_a, path_b, pattern)
+        kind = written_as(of_a, of_b)
         for whole in batches:
             for batch in slices(whole):
                 text = batch.column(2)
@@ -149,7 +157,7 @@ def end_events(df: DataFrame, path_a: str, path_b: str, pattern: str, id_col: st
                     n[full] = np.diff(ends) * right
                     if not right.all():
                         ids = ids[np.repeat(right, np.diff(ends))]
-                    yield side_of(side, batch, ids, np.concatenate([[0], np.cumsum(n)]), length)
+                    yield side_of(side, batch, ids, np.concatenate([[0], np.cumsum(n)]), length, kind)
 
     kind = df.schema[id_col].dataType.simpleString()
     numbered = df.select(F.monotonically_increasing_id().alias("__row"), F.col(id_col), text_of(text_col).alias("__text"))
@@ -244,7 +252,7 @@ def swept(events: DataFrame, path_a: str, path_b: str, pattern: str, id_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of_a, of_b = lengths_of(path_a, path_b, pattern)
-        sweep = Sweep(of_a, of_b)
+        sweep, kind = Sweep(of_a, of_b), written_as(of_a, of_b)
         current: Open | None = None
 
         def rows(docs: list[Open], taken: list[tuple[np.ndarray, np.ndarray]], last: bool) -> pa.RecordBatch:
@@ -270,8 +278,8 @@ def swept(events: DataFrame, path_a: str, path_b: str, pattern: str, id_col: str
         for whole in batches:
             kinds = [f.type for f in whole.schema]
             for batch in slices(whole):
-                ids = np.frombuffer(b"".join(batch.column(4).to_pylist()), "<u4")
-                ends = np.cumsum(np.asarray(pc.binary_length(batch.column(4)), np.int64)) // 4
+                ids = np.frombuffer(b"".join(batch.column(4).to_pylist()), kind).astype(np.uint32)
+                ends = np.cumsum(np.asarray(pc.binary_length(batch.column(4)), np.int64)) // kind.itemsize
                 row, side = np.asarray(batch.column(0)), np.asarray(batch.column(2))
                 docs: list[Open] = []
                 names_of = batch.column(1).to_pylist()
