@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -17,6 +16,8 @@ from probalink.sources.storage import stored
 KEYS = ("vat_digits", "domain_root", "postcode_norm", "address_key", "name_token1")
 #: What equal keys add to the similarity of the names when candidates are ranked.
 WEIGHTS = {"vat_digits": 1.0, "domain_root": 1.0, "postcode_norm": 0.5, "address_key": 0.5}
+#: Pairs of a block beyond which it is cut, the records on a cell's side, and the cut blocks at most that are broadcast.
+TASK_PAIRS, CELL_SIDE, MOST_CUT = 1_000_000, 512, 50_000
 
 
 @dataclass(frozen=True)
@@ -66,34 +67,80 @@ def long_keys(keyed: DataFrame, keys: tuple[str, ...], side: str, carried: Seque
     return rows.select("*", "e.key_type", "e.key_value").drop("e")
 
 
-def blocked(left: DataFrame, right: DataFrame, keys: tuple[str, ...] = KEYS, within: bool = False, carried: Sequence[str] = ()) -> DataFrame:
+def cut_blocks(left: DataFrame, right: DataFrame, task: int, side: int) -> DataFrame:
+    """(key_type, key_value, l_parts, r_parts): the blocks of long-form keys that make more than `task` pairs, each to be cut into cells
+    of about side * side pairs. `task` is doubled until at most MOST_CUT blocks are left, so that the table may be broadcast."""
+    n = lambda df, name: df.groupBy("key_type", "key_value").agg(F.count("*").alias(name))
+    sizes = n(left, "l").join(n(right, "r"), ["key_type", "key_value"]).withColumn("pairs", F.col("l") * F.col("r"))
+    large = stored(sizes.where(F.col("pairs") > task), "large-blocks")
+    while large.where(F.col("pairs") > task).count() > MOST_CUT:
+        task *= 2
+    parts = lambda c: F.ceil(F.col(c) / side).cast("int").alias(f"{c}_parts")
+    return large.where(F.col("pairs") > task).select("key_type", "key_value", parts("l"), parts("r"))
+
+
+def in_cells(rows: DataFrame, cut: DataFrame, own: str, other: str, id_col: str) -> DataFrame:
+    """Long-form keys with the cells (l, r) of their block that a row is in: one part of its own side, and every part of the other."""
+    parts = lambda c: F.coalesce(f"{c}_parts", F.lit(1))
+    dealt = rows.join(F.broadcast(cut), ["key_type", "key_value"], "left").withColumn(own, F.pmod(F.xxhash64(id_col), parts(own)).cast("int"))
+    return dealt.withColumn(other, F.explode(F.sequence(F.lit(0), parts(other) - 1))).drop("l_parts", "r_parts")
+
+
+def blocked(left: DataFrame, right: DataFrame, keys: tuple[str, ...] = KEYS, within: bool = False, carried: Sequence[str] = (), task: int = TASK_PAIRS, side: int = CELL_SIDE) -> DataFrame:
     """(a_id, b_id, keys and carried columns of both sides): each pair of records that share a key, once.
 
-    One hash join over all keys instead of a disjunction. A pair comes from the first key that its records share, so none has to be
+    One equi-join over all keys instead of a disjunction. A pair comes from the first key that its records share, so none has to be
     removed afterwards. within: both are the same table, and only pairs with a_id < b_id count. Ids are unique in a table.
+    Blocks of more than `task` pairs are cut into cells, pairs of a part of the left records and one of the right ones, which the
+    join deals out like keys: no task gets a whole large block.
     """
-    a, b = long_keys(left, keys, "a", carried), long_keys(right, keys, "b", carried)
-    on = (a["key_type"] == b["key_type"]) & (a["key_value"] == b["key_value"])
+    narrow = lambda df: long_keys(df, keys, "x").select("key_type", "key_value")
+    cut = cut_blocks(narrow(left), narrow(right), task, side)
+    a, b = in_cells(long_keys(left, keys, "a", carried), cut, "l", "r", "a_id"), in_cells(long_keys(right, keys, "b", carried), cut, "r", "l", "b_id")
+    on = F.lit(True)
+    for c in ("key_type", "key_value", "l", "r"):
+        on = on & (a[c] == b[c])
     for n, k in enumerate(keys):
         on = on & ((a["key_type"] <= n) | ~F.coalesce(a[f"a_{k}"] == b[f"b_{k}"], F.lit(False)))
     if within:
         on = on & (a["a_id"] < b["b_id"])
-    return a.join(b, on).drop("key_type", "key_value")
+    return a.join(b, on).drop("key_type", "key_value", "l", "r")
+
+
+def pair_similarity() -> Column:
+    """name_sim of a pair's name_norm. Names that begin with the same word are compared from there on: what strings share at their begin
+    changes no edit distance, and most pairs of a block share their first word."""
+    a, b = F.col("a_name_norm"), F.col("b_name_norm")
+    rest = lambda s: F.expr(f"substring({s}_name_norm, length({s}_name_token1) + 1)")
+    edits = F.when(F.col("a_name_token1") == F.col("b_name_token1"), F.levenshtein(rest("a"), rest("b"))).otherwise(F.levenshtein(a, b))
+    return 1 - edits.cast("double") / F.greatest(F.length(a), F.length(b), F.lit(1))
+
+
+FLAGS = {"vat_equal": "vat_digits", "domain_equal": "domain_root", "postcode_equal": "postcode_norm"}
 
 
-def ranked(pairs: DataFrame, k: int, weights: Mapping[str, float] = WEIGHTS) -> DataFrame:
-    """The k best partners of every left record, by similarity of names and equal keys; ties go to the lower id.
+def best_partners(left: DataFrame, right: DataFrame, k: int, weights: Mapping[str, float] = WEIGHTS, keys: tuple[str, ...] = KEYS, within: bool = False, also: DataFrame | None = None) -> DataFrame:
+    """(a_id, b_id, name_sim, …_equal, candidate_rank): the k best partners of every left record among those that share a key with it, by
+    the similarity of names and what equal keys add; ties go to the lower id. A pair without a usable name ranks by its keys.
 
-    pairs has both sides' name_norm and the keys of weights. A pair without a usable name ranks by its keys. Each task of the block
-    join keeps the k best it has of a record, and only these are shuffled.
+    Each task of the join keeps the k best that it has of a record, and only these are shuffled. also: more pairs (a_id, b_id), each
+    once, such as those of near embeddings; those that share a key are there anyway.
     """
-    rows = pairs.withColumn("name_sim", n.name_sim(F.col("a_name_norm"), F.col("b_name_norm")))
+    columns = tuple(dict.fromkeys(("name_norm", "name_token1", *weights)))
+    pairs = blocked(left, right, keys, within, columns)
+    if also is not None:
+        own = lambda df, s: df.select(*[F.col(c).alias(f"{s}_{c}") for c in dict.fromkeys(("id", *keys, *columns))])
+        apart = (F.col("a_id") < F.col("b_id")) if within else F.lit(True)
+        for c in keys:
+            apart = apart & ~F.coalesce(F.col(f"a_{c}") == F.col(f"b_{c}"), F.lit(False))
+        pairs = pairs.unionByName(also.select("a_id", "b_id").join(own(left, "a"), "a_id").join(own(right, "b"), "b_id").where(apart))
+    rows = pairs.withColumn("name_sim", pair_similarity())
     equal: dict[str, Column] = {c: F.coalesce(F.col(f"a_{c}") == F.col(f"b_{c}"), F.lit(False)) for c in weights}
     score = F.coalesce("name_sim", F.lit(0.0))
     for c, weight in weights.items():
         score = score + F.when(equal[c], weight).otherwise(0.0)
-    flags = {"vat_equal": "vat_digits", "domain_equal": "domain_root", "postcode_equal": "postcode_norm"}
-    return best_of(rows.select("a_id", "b_id", "name_sim", *[equal[c].alias(f) for f, c in flags.items() if c in equal], score.alias("__score")), "__score", k).drop("__score")
+    kept = [equal[c].alias(f) for f, c in FLAGS.items() if c in equal]
+    return best_of(rows.select("a_id", "b_id", "name_sim", *kept, score.alias("__score")), "__score", k).drop("__score")
 
 
 def best_of(pairs: DataFrame, score: str, k: int) -> DataFrame:
@@ -102,50 +149,27 @@ def best_of(pairs: DataFrame, score: str, k: int) -> DataFrame:
     return pairs.withColumn("candidate_rank", F.row_number().over(order)).where(F.col("candidate_rank") <= k)
 
 
-def directions(size: int, tables: int, bits: int, seed: int = 1) -> list[list[list[int]]]:
-    """Random directions of 1 and -1, `bits` of them for each table."""
-    rng = random.Random(seed)
-    return [[rng.choices((1, -1), k=size) for _ in range(bits)] for _ in range(tables)]
-
-
-def dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
-
-
-def with_signatures(df: DataFrame, vector: str, size: int, tables: int = 4, bits: int = 6) -> DataFrame:
-    """df with signature_0 …: blocking keys for texts that no spelling connects, from embeddings of `size` components. A signature is
-    the sides of `bits` random directions that the embedding lies on. Null embeddings, and those of other lengths, have none."""
-    values = F.col(vector).cast("array<double>")
-    side = lambda way: F.when(dot(values, F.array(*[F.lit(float(x)) for x in way])) > 0, "1").otherwise("0")
-    own = [F.when(F.size(values) == size, F.concat(*map(side, ways))) for ways in directions(size, tables, bits)]
-    return df.withColumns({f"signature_{n}": c for n, c in enumerate(own)})
-
-
-def embedding_candidates(left: DataFrame, right: DataFrame, vector: str, k: int, tables: int = 4, within: bool = False) -> DataFrame:
-    """(a_id, b_id, cosine, candidate_rank): for every left record the k records of the nearest embeddings among those that share a
-    signature with it. Both have id, the embedding and its signatures. A pair without a cosine isn't a candidate."""
-    pairs = blocked(left, right, tuple(f"signature_{n}" for n in range(tables)), within, (vector,))
-    a, b = (F.col(f"{s}_{vector}").cast("array<double>") for s in "ab")
-    rows = pairs.select("a_id", "b_id", (dot(a, b) / F.nullif(F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)), F.lit(0.0))).alias("cosine"))
-    return best_of(rows.where("cosine IS NOT NULL"), "cosine", k)
-
-
-def candidates(left: DataFrame, right: DataFrame, k: int, kind: str, within: bool = False, keys: tuple[str, ...] = KEYS, weights: Mapping[str, float] = WEIGHTS) -> DataFrame:
-    """Candidate pairs of one kind with both sides' fields."""
-    best = ranked(blocked(left, right, keys, within, ("name_norm", *weights)), k, weights)
+def candidates(
+    left: DataFrame, right: DataFrame, k: int, kind: str, within: bool = False, keys: tuple[str, ...] = KEYS, weights: Mapping[str, float] = WEIGHTS, also: DataFrame | None = None
+) -> DataFrame:
+    """Candidate pairs of one kind with both sides' fields. also: pairs (a_id, b_id) to rank beside those that share a key."""
+    best = best_partners(left, right, k, weights, keys, within, also)
     side = lambda df, s: df.select(F.col("id").alias(f"{s}_id"), F.col("name").alias(f"{s}_name"), F.col("full_address").alias(f"{s}_address"), F.col("country").alias(f"{s}_country"), F.col("website").alias(f"{s}_website"), F.col("vat_id").alias(f"{s}_vat"))
     rows = best.join(side(left, "a"), "a_id").join(side(right, "b"), "b_id").withColumn("pair_kind", F.lit(kind))
     fields = ("name", "address", "country", "website", "vat")
     return rows.select("pair_kind", "a_id", "b_id", "name_sim", "vat_equal", "domain_equal", "postcode_equal", "candidate_rank", *[f"a_{f}" for f in fields], *[f"b_{f}" for f in fields])
 
 
-def candidate_pairs(master: DataFrame, incoming: DataFrame, master_k: int = 5, dedup_k: int = 3, keys: tuple[str, ...] = KEYS) -> DataFrame:
+def candidate_pairs(
+    master: DataFrame, incoming: DataFrame, master_k: int = 5, dedup_k: int = 3, keys: tuple[str, ...] = KEYS, also_master: DataFrame | None = None, also_dedup: DataFrame | None = None
+) -> DataFrame:
     """All pairs to decide, numbered: every incoming record's best companies, then its best fellows. Both tables have keys, which are
-    written once, in as many files as there are cores: a block makes far more work than its records have bytes."""
+    written once, in as many files as there are cores: a block makes far more work than its records have bytes. also_…: pairs that no
+    key connects, such as those of `neighbours.nearest`, each once."""
     cores = incoming.sparkSession.sparkContext.defaultParallelism
     master, incoming = stored(evenly(master, cores), "keys"), stored(evenly(incoming, cores), "keys")
-    to_master = candidates(incoming, master, master_k, "MASTER", keys=keys)
-    to_fellow = candidates(incoming, incoming, dedup_k, "DEDUP", within=True, keys=keys)
+    to_master = candidates(incoming, master, master_k, "MASTER", keys=keys, also=also_master)
+    to_fellow = candidates(incoming, incoming, dedup_k, "DEDUP", within=True, keys=keys, also=also_dedup)
     return dense_ids(to_master.unionByName(to_fellow), [F.desc("pair_kind"), "a_id", "candidate_rank"], "pair_id")
 
 

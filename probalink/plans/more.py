@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from probalink.functions import hashing, normalize, vary
-from probalink.operators import decide, linkage
+from probalink.operators import decide, linkage, neighbours
 from probalink.plans import standins as s
 from probalink.plans.queries import MD5_MOD_SQL, TICKET_MODEL, TICKETS_SQL, query, share_sql
 from probalink.sources import generate
@@ -151,21 +151,33 @@ def pair_scale_l25(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- candidates by embeddings
 
-SIZE, TABLES, BITS = 64, 4, 6
-SIGNATURES_SQL = ", ".join(
-    " || ".join(f"CASE WHEN list_inner_product(v, [{', '.join(f'CAST({x} AS DOUBLE)' for x in way)}]) > 0 THEN '1' ELSE '0' END" for way in ways) + f" AS signature_{n}" for n, ways in enumerate(linkage.directions(SIZE, TABLES, BITS))
-)
-NEAR_SQL = f"""WITH e AS (SELECT vec_id AS id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings), g AS (SELECT *, {SIGNATURES_SQL} FROM e WHERE len(v) = {SIZE}),
-p AS ({" UNION ".join(f"SELECT a.id AS a_id, b.id AS b_id FROM g a JOIN g b ON a.signature_{n} = b.signature_{n} AND a.id < b.id" for n in range(TABLES))})
-SELECT a_id, b_id, round(cosine, 9) AS cosine, CAST(candidate_rank AS INTEGER) AS candidate_rank FROM (SELECT *, row_number() OVER (PARTITION BY a_id ORDER BY cosine DESC, b_id) AS candidate_rank FROM
-  (SELECT a_id, b_id, list_inner_product(a.v, b.v) / (sqrt(list_inner_product(a.v, a.v)) * sqrt(list_inner_product(b.v, b.v))) AS cosine FROM p JOIN e a ON a.id = a_id JOIN e b ON b.id = b_id)) WHERE candidate_rank <= 3"""
+#: Vectors with five slightly turned copies each: neighbours that exist at every size of the table.
+TURNED_SQL = """SELECT vec_id * 6 + c AS id, list_transform(embedding, lambda x, i: CAST(x AS DOUBLE) + c * CAST(0.01 AS DOUBLE) * CAST((vec_id * 7 + i * 13 + c * 5) % 11 - 5 AS DOUBLE) / CAST(5 AS DOUBLE)) AS v
+  FROM embeddings, (SELECT unnest([0, 1, 2, 3, 4, 5]) AS c) WHERE len(embedding) = 64"""
 
 
-@query(NEAR_SQL)
+def nearest_sql(vectors: str) -> str:
+    """The three nearest of a greater id, by all pairs."""
+    return f"""WITH e AS ({vectors}), u AS (SELECT id, v, sqrt(list_inner_product(v, v)) AS n FROM e),
+p AS (SELECT a.id AS a_id, b.id AS b_id, list_inner_product(a.v, b.v) / (a.n * b.n) AS cosine FROM u a JOIN u b ON a.id < b.id)
+SELECT a_id, b_id, round(cosine, 9) AS cosine, CAST(candidate_rank AS INTEGER) AS candidate_rank FROM (SELECT *, row_number() OVER (PARTITION BY a_id ORDER BY cosine DESC, b_id) AS candidate_rank FROM p) WHERE candidate_rank <= 3"""
+
+
+@query(nearest_sql("SELECT vec_id AS id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings WHERE len(embedding) = 64"))
 def embedding_candidates_l26(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = linkage.with_signatures(s.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding"), "embedding", SIZE, TABLES, BITS)
-    rows = stored(rows, "signatures")
-    return linkage.embedding_candidates(rows, rows, "embedding", 3, TABLES, within=True).withColumn("cosine", F.round("cosine", 9))
+    """The nearest fellows of every vector."""
+    rows = s.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    return neighbours.nearest(rows, rows, "embedding", 3, 64, within=True).withColumn("cosine", F.round("cosine", 9))
+
+
+@query(f"SELECT a_id, b_id, cosine, candidate_rank FROM ({nearest_sql(TURNED_SQL)}) WHERE cosine >= 0.9")
+def embedding_copies_l26(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fellows that are a turned copy, found in the windows of sorted signatures."""
+    turn = lambda x, i: x.cast("double") + F.col("c") * F.lit(0.01) * (F.pmod(F.col("vec_id") * 7 + (i + 1) * 13 + F.col("c") * 5, F.lit(11)) - 5).cast("double") / F.lit(5.0)
+    copies = s.table(spark, sf_dir, "embeddings").withColumn("c", F.explode(F.array(*map(F.lit, range(6)))))
+    rows = copies.select((F.col("vec_id") * 6 + F.col("c")).alias("id"), F.transform("embedding", turn).alias("v"))
+    found = neighbours.nearest(rows, rows, "v", 3, 64, within=True, least=0.9, probes=2)
+    return found.withColumn("cosine", F.round("cosine", 9))
 
 
 # ---- scripts

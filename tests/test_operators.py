@@ -126,7 +126,7 @@ def test_blocking_pairs_once_and_never_on_missing_keys(spark):
     keyed = linkage.with_keys(rows.withColumn("none", F.lit(None).cast("string")), fields)
     pairs = linkage.blocked(keyed, keyed, within=True, carried=("name_norm",))
     assert sorted(map(tuple, pairs.select("a_id", "b_id").collect())) == [(1, 2), (2, 3)]
-    best = linkage.ranked(pairs, 1).collect()
+    best = linkage.best_partners(keyed, keyed, 1, within=True).collect()
     assert {(r.a_id, r.b_id, r.name_sim) for r in best} == {(1, 2, 1.0), (2, 3, None)}
 
 
