@@ -17,9 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from probalink.operators.hot import hot_keys, joined
 from probalink.operators.ids import evenly
 from probalink.sources.storage import stored
 from probalink.sources.tables import merged
+from probalink.sources.versions import Conflict, VersionedTable
 
 #: Characters of a message that an error keeps.
 MESSAGE = 1900
@@ -333,6 +335,42 @@ def distinct_scored(df: DataFrame, question: str, model: Model, columns: Sequenc
     return df.join(right, condition, "left").select(*df.columns, "p_true", "error")
 
 
+def asked_before(model: Model, questions: Questions) -> str:
+    """What an answer depends on besides the state: the model, by its name and settings, and the questions."""
+    return f"{type(model).__module__}.{type(model).__qualname__}|{model!r}|{ {k: repr(q) for k, q in sorted(questions.items())} }"
+
+
+def cached_answers(
+    df: DataFrame, model: Model, questions: Questions, state: Callable[[dict[str, Any]], State | None], columns: Sequence[str], cache: VersionedTable, version: str | None = None, instances: int | None = None
+) -> DataFrame:
+    """df with answer and error, asking only what the cache doesn't know.
+
+    An answer is kept under a hash of the state's columns (null and empty differ), the questions, and `version`, which names the
+    model and what it depends on (if None, its class and its repr, which must then tell all that). Each state is asked
+    once, however many rows have it; answers are added to the cache in one step after all of them are there, so a task that is repeated
+    asks again but adds nothing twice. Failures aren't kept: the next run asks them again. Of two runs at once that add to a
+    cache, the later one adds to what the earlier one left.
+    """
+    spark = df.sparkSession
+    about = F.lit(hashlib.sha256((version or asked_before(model, questions)).encode() + repr(sorted(questions.items())).encode()).hexdigest())
+    text = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    rows = stored(df.withColumn("__key", F.sha2(F.concat(about, text), 256)), "keyed")
+    known = cache.read().select("key", "answer") if cache.versions() else spark.createDataFrame([], T.StructType([T.StructField("key", STRING), T.StructField("answer", ANSWER)]))
+    new = rows.select(F.col("__key").alias("key"), *columns).dropDuplicates(["key"]).join(known, "key", "left_anti")
+    found = stored(decided(new, model, questions, state, columns, ["key"], instances), "answers")
+    fresh = found.where("error IS NULL").select("key", "answer")
+    if not fresh.isEmpty():
+        while True:
+            try:
+                cache.append(fresh.join(cache.read(), "key", "left_anti") if cache.versions() else fresh)
+                break
+            except Conflict:
+                continue
+    every = known.select(F.col("key").alias("__key"), "answer", F.lit(None).cast("string").alias("error")).unionByName(found.withColumnRenamed("key", "__key"))
+    answers = every.join(rows.select("__key").distinct(), "__key", "left_semi")
+    return joined(rows, answers, ["__key"], hot_keys(rows, "__key")).drop("__key")
+
+
 # ---- documents: the fixed three questions, in a batch or for SQL
 
 TICKET_QUESTIONS: dict[str, Question] = {

@@ -14,6 +14,7 @@ from probalink.plans.queries import MD5_MOD_SQL, TICKET_MODEL, TICKETS_SQL, quer
 from probalink.sources import generate
 from probalink.sources import tables as t
 from probalink.sources.storage import shared_path, stored
+from probalink.sources.versions import VersionedTable
 
 # ---- files
 
@@ -65,20 +66,26 @@ def translations_s2_s5(spark: SparkSession, sf_dir: str) -> DataFrame:
     names.write.csv(path, header=True, escape='"')
     kind = "company_number STRING, registered_name STRING, language STRING, translated_name STRING"
     own = t.from_rows(spark, [("1", "A", "fr", "Société"), {"company_number": "2", "registered_name": "B", "language": "es", "translated_name": None}], kind)
-    return spark.read.csv(path, header=True, schema=kind, escape='"').withColumn("origin", F.lit("file")).unionByName(own.withColumn("origin", F.lit("rows")))
+    return t.append(t.read_translations(spark, path).withColumn("origin", F.lit("file")), own.withColumn("origin", F.lit("rows")))
+
+
+SCHEMA = "probalink_tables"
 
 
 @query("SELECT o_orderkey, o_totalprice, o_orderstatus, total FROM orders, (SELECT count(*) AS total FROM orders WHERE o_totalprice > 1000) WHERE o_totalprice > 1000 AND o_orderstatus = 'F' AND o_totalprice <= 200000")
 def tables_s6_s7_s9_s12_s14_p10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table that replaces itself, read through a view by a statement with bound values, and dropped at last."""
-    name = f"orders_{uuid.uuid4().hex}"
+    t.create_schema(spark, SCHEMA)
+    t.create_schema(spark, SCHEMA)  # a second time changes nothing
+    name = f"{SCHEMA}.orders_{uuid.uuid4().hex}"
+    view = name.replace(".", "_")
     t.replace_table(s.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus"), name)
     t.replace_table(spark.table(name).where("o_totalprice > 1000"), name)
     total = t.scalar(spark.table(name).agg(F.count("*")))
-    spark.table(name).createOrReplaceTempView(f"{name}_v")
-    sql = f"SELECT o_orderkey, o_totalprice, o_orderstatus, CAST(:total AS BIGINT) AS total FROM {name}_v WHERE o_orderstatus = :status AND o_totalprice <= :most"
+    spark.table(name).createOrReplaceTempView(view)
+    sql = f"SELECT o_orderkey, o_totalprice, o_orderstatus, CAST(:total AS BIGINT) AS total FROM {view} WHERE o_orderstatus = :status AND o_totalprice <= :most"
     found = stored(spark.sql(sql, args={"total": total, "status": "F", "most": 200000.0}), "view")
-    spark.catalog.dropTempView(f"{name}_v")
+    spark.catalog.dropTempView(view)
     t.drop_table(spark, name)
     return found
 
@@ -93,6 +100,37 @@ def cast_join_j4_s8_f12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("o_orderkey", "o_totalprice", F.round(F.col("o_totalprice").cast("decimal(18,2)") / 7, 3).cast("decimal(18,3)").alias("seventh"))
 
 
+VERSIONS_SQL = """WITH first AS (SELECT o_orderkey, CAST(o_totalprice AS DOUBLE) AS price, o_orderstatus AS status FROM orders WHERE o_orderkey % 10 <> 0),
+second AS (SELECT o_orderkey, CASE WHEN o_orderkey % 100 = 3 THEN CASE WHEN o_orderkey % 200 = 3 THEN price + 1 END ELSE price END AS price, status FROM first),
+third AS (SELECT * FROM second UNION ALL SELECT o_orderkey, CAST(o_totalprice AS DOUBLE), o_orderstatus FROM orders WHERE o_orderkey % 10 = 0)
+SELECT 1 AS version, * FROM first UNION ALL SELECT 2, * FROM second UNION ALL SELECT 3, * FROM third"""
+
+
+@query(VERSIONS_SQL)
+def versions_s7_s10_s11_s19(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a table that is replaced, merged into and added to; each version as it was."""
+    orders = s.table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_totalprice").cast("double").alias("price"), F.col("o_orderstatus").alias("status"))
+    table = VersionedTable(spark, shared_path(spark, "orders"))
+    key = F.col("o_orderkey")
+    table.replace(orders.where(key % 10 != 0).repartitionByRange(4, "o_orderkey"), required=("o_orderkey",))
+    updates = orders.where(key % 100 == 3).select("o_orderkey", F.when(key % 200 == 3, F.col("price") + 1).alias("price"))
+    table.merge(updates, "o_orderkey", ["price"])
+    table.append(orders.where(key % 10 == 0).select("status", "price", "o_orderkey"))
+    found = None
+    for n in table.versions():
+        one = table.read(n).withColumn("version", F.lit(n))
+        found = one if found is None else t.append(found, one)
+    return found
+
+
+@query("SELECT l_orderkey, l_linenumber, CAST(row_number() OVER (PARTITION BY l_orderkey, l_linenumber) AS BIGINT) AS occurrence, CAST(1 AS BIGINT) AS rows_of_id FROM lineitem")
+def content_ids_s8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines by what they hold of their order and place, which isn't unique: every one gets an id of its own."""
+    rows = stored(t.with_content_id(s.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")), "ids")
+    per = rows.groupBy("row_id").agg(F.count("*").alias("rows_of_id"))
+    return rows.join(per, "row_id").select("l_orderkey", "l_linenumber", F.element_at(F.split("row_id", "#"), 2).cast("long").alias("occurrence"), "rows_of_id")
+
+
 # ---- SQL surface of documents
 
 LITERAL = "My bill is wrong"
@@ -125,6 +163,24 @@ def classify_table_u2_u9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(spark.sql("SELECT * FROM classify_batch(TABLE(SELECT id, document, part FROM tickets_in_parts) PARTITION BY part)"), "answers")
 
 
+KEPT_SQL = f"""SELECT conv_id, turn, {share_sql("'Is this ticket about billing?'", 'text')} AS billing, asked_first, asked_then FROM conversations,
+  (SELECT count(DISTINCT text) FILTER (conv_id % 2 = 0) AS asked_first, count(DISTINCT text) - count(DISTINCT text) FILTER (conv_id % 2 = 0) AS asked_then FROM conversations)"""
+
+
+@query(KEPT_SQL)
+def kept_answers_u3_u9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the tickets are asked about, then all: the second time only about texts that are new."""
+    rows = s.table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    cache = VersionedTable(spark, shared_path(spark, "answers"))
+    questions = {"billing": decide.TICKET_QUESTIONS["billing"]}
+    ask = lambda df: decide.cached_answers(df, TICKET_MODEL, questions, decide.Flat("text"), ["text"], cache)
+    ask(rows.where("conv_id % 2 = 0"))
+    first = cache.read().count()
+    found = ask(rows)
+    then = cache.read().count() - first
+    return found.select("conv_id", "turn", F.col("answer.yes")["billing"].alias("billing"), F.lit(first).cast("long").alias("asked_first"), F.lit(then).cast("long").alias("asked_then"))
+
+
 # ---- pairs on a scale
 
 LEVELS = decide.PAIR_SCALE["relation"].levels

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import os
 import re
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from probalink.functions.normalize import filled
+from probalink.sources.storage import stored
 
 # The register's headers and the columns they become.
 REGISTER_COLUMNS = {
@@ -45,19 +47,20 @@ def read_register(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_translations(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, header=True, schema="company_number STRING, registered_name STRING, language STRING, translated_name STRING")
+    """Translations in CSV; a quote inside a quoted cell is doubled."""
+    return spark.read.csv(path, header=True, escape='"', schema="company_number STRING, registered_name STRING, language STRING, translated_name STRING")
 
 
 def read_invoices(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
     """Invoices in CSV; with infer, columns and types as the file has them, names in lower case."""
     if infer:
-        raw = spark.read.csv(path, header=True, inferSchema=True)
+        raw = spark.read.csv(path, header=True, escape='"', inferSchema=True)
         return raw.toDF(*[c.lower() for c in raw.columns])
-    return spark.read.csv(path, header=True, schema=INVOICE_SCHEMA, enforceSchema=True)
+    return spark.read.csv(path, header=True, escape='"', schema=INVOICE_SCHEMA, enforceSchema=True)
 
 
 def write_csv(df: DataFrame, path: str, columns: Sequence[str]) -> None:
-    df.select(*columns).write.mode("overwrite").csv(path, header=True)
+    df.select(*columns).write.mode("overwrite").csv(path, header=True, escape='"')
 
 
 def from_rows(spark: SparkSession, rows: Iterable[Sequence[Any] | Mapping[str, Any]], schema: str | T.StructType) -> DataFrame:
@@ -66,8 +69,11 @@ def from_rows(spark: SparkSession, rows: Iterable[Sequence[Any] | Mapping[str, A
 
 
 def required(df: DataFrame, *columns: str) -> DataFrame:
-    """df, failing at the first row where one of the columns is null."""
-    return df.withColumns({c: F.when(F.col(c).isNull(), F.raise_error(F.lit(f"{c} is null")).cast(df.schema[c].dataType)).otherwise(F.col(c)) for c in columns})
+    """df, failing at the first row where one of the columns is null, whatever is read of it: the check is a filter, which no choice of
+    columns removes and a count runs too."""
+    for c in columns:
+        df = df.where(F.when(F.col(c).isNotNull(), True).otherwise(F.raise_error(F.lit(f"{c} is null")).cast("boolean")))
+    return df
 
 
 def create_schema(spark: SparkSession, name: str) -> None:
@@ -75,23 +81,42 @@ def create_schema(spark: SparkSession, name: str) -> None:
 
 
 def replace_table(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as table `name`, replacing an older one; df may read the older one (it is written aside first).
+    """Writes df as table `name`, replacing an older one; df may read the older one.
 
-    A run that ends between the steps leaves the older table, as name or name__old, or the new one: never neither.
+    The rows go to a folder of their own, and the catalogue's entry for the table is pointed to it in one step: at any time the table has
+    the old rows or the new ones. The folder before the last is deleted, so that a statement that runs meanwhile can end. A
+    table whose columns change is the exception: its entry is dropped and made anew.
     """
-    spark, aside, old = df.sparkSession, f"{name}__new", f"{name}__old"
-    spark.sql(f"DROP TABLE IF EXISTS {aside}")
-    df.write.format("parquet").saveAsTable(aside)
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    spark = df.sparkSession
+    # Spark's own names for a table's folder are those of managed tables; these stand beside them
+    home = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_tables/{name}"
+    folder = f"{home}/{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    columns = lambda kind: [(f.name.lower(), f.dataType.simpleString()) for f in kind]
+    before = None
     if spark.catalog.tableExists(name):
-        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
+        before = scalar(spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").select("data_type"))
+        if columns(spark.table(name).schema) == columns(df.schema):
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+        else:
+            spark.sql(f"DROP TABLE {name}")
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, folder, "parquet", schema=df.schema)
+    spark.catalog.refreshTable(name)
+    place = spark._jvm.org.apache.hadoop.fs.Path(home)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    kept = {folder.rpartition("/")[2], (before or "").rstrip("/").rpartition("/")[2]}
+    for old in files.listStatus(place):
+        if old.getPath().getName() not in kept:
+            files.delete(old.getPath(), True)
     return spark.table(name)
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
+    """Drops a table and, if `replace_table` has made it, its folders."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_tables/{name}")
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def append(table: DataFrame, more: DataFrame) -> DataFrame:
@@ -111,6 +136,22 @@ def with_row_id(files: DataFrame, column: str = "row_id") -> DataFrame:
     return files.select("*", F.concat_ws("#", F.col("_metadata.file_path"), F.col("_metadata.row_index").cast("string")).alias(column))
 
 
+def with_content_id(df: DataFrame, column: str = "row_id", columns: Sequence[str] | None = None) -> DataFrame:
+    """df with an id that names a row by its content, all of its columns or those given: their SHA-256, and which of the rows of equal
+    content it is, from 1 on. The ids are the same for whatever files hold the rows, in whatever order; a null differs from an empty
+    text. Rows of equal content, however many, are counted within parts of the table, whose counts are then added up.
+    """
+    own = list(columns or df.columns)
+    content = F.sha2(F.to_json(F.struct(*own), {"ignoreNullFields": "false"}), 256)
+    rows = stored(df.withColumns({"__content": content, "__part": F.spark_partition_id()}), "contents")
+    counts = rows.groupBy("__content", "__part").agg(F.count("*").alias("__n"))
+    earlier = Window.partitionBy("__content").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row a part
+    offsets = counts.select("__content", "__part", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    within = F.row_number().over(Window.partitionBy("__content", "__part").orderBy(F.lit(0)))
+    numbered = rows.withColumn("__number", within).join(offsets, ["__content", "__part"])
+    return numbered.select(*df.columns, F.concat_ws("#", "__content", (F.col("__before") + F.col("__number")).cast("string")).alias(column))
+
+
 def run_script(spark: SparkSession, script: str, args: Mapping[str, Any] | None = None) -> DataFrame | None:
     """Runs the statements of a script one after another and returns the result of the last (None, if there are none).
 
