@@ -6,6 +6,7 @@ import asyncio
 import datetime
 import hashlib
 import json
+import random
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -27,6 +28,8 @@ from probalink.sources.versions import Conflict, VersionedTable
 MESSAGE = 1900
 #: Calls in flight in one task; tasks times this is what the model sees.
 IN_FLIGHT = 16
+#: Times that a call is made again when the model is overloaded, and the longest wait between them in seconds.
+PATIENCE, LONGEST_WAIT = 30, 5.0
 #: Documents that the table function asks about at once.
 SLICE = 1024
 
@@ -194,18 +197,62 @@ def packed(answers: Answers) -> dict[str, Any]:
     return {"model": answers.model, "request_id": answers.request_id, "usage": usage, "yes": answers.yes, "choices": answers.choices, "scales": answers.scales}
 
 
-async def asked(model: Model, states: list[State | None], questions: Questions | Callable[[State], Questions], in_flight: int, missing: str) -> list[tuple[dict | None, str | None]]:
-    """An answer or an error for each state, in order."""
-    gate = asyncio.Semaphore(in_flight)
+class Overloaded(RuntimeError):
+    """A model raises it for a call that it can't take now: the call is made again, and fewer are made at once."""
+
+
+async def gate_of(most: int) -> Gate:
+    """A gate of the running loop, which all calls of a task go through."""
+    return Gate(most)
+
+
+class Gate:
+    """How many calls of a task may be in flight: halved when the model is overloaded, one more for every `limit` calls that succeed."""
+
+    def __init__(self, most: int):
+        self.most, self.limit, self.inside = most, float(most), 0
+        self.free = asyncio.Condition()
+
+    async def __aenter__(self) -> None:
+        async with self.free:
+            await self.free.wait_for(lambda: self.inside < int(self.limit))
+            self.inside += 1
+
+    async def __aexit__(self, *_: object) -> None:
+        async with self.free:
+            self.inside -= 1
+            self.free.notify(2)
+
+    def widen(self) -> None:
+        self.limit = min(self.most, self.limit + 1 / self.limit)
+
+    def narrow(self) -> None:
+        self.limit = max(1.0, self.limit / 2)
+
+
+async def asked(
+    model: Model, states: list[State | None], questions: Questions | Callable[[State], Questions], in_flight: int | Gate, missing: str
+) -> list[tuple[dict | None, str | None]]:
+    """An answer or an error for each state, in order. A call that finds the model overloaded waits, longer each time, and is made again up to
+    PATIENCE times."""
+    gate = in_flight if isinstance(in_flight, Gate) else Gate(in_flight)
 
     async def one(state: State | None) -> tuple[dict | None, str | None]:
         if state is None:
             return None, missing
-        async with gate:
-            try:
-                return packed(await model.answer(state, questions(state) if callable(questions) else questions)), None
-            except Exception as e:  # noqa: BLE001  whatever a row meets is its own error
-                return None, f"{type(e).__name__}: {str(e)[:MESSAGE]}"
+        for attempt in range(PATIENCE + 1):
+            async with gate:
+                try:
+                    found = packed(await model.answer(state, questions(state) if callable(questions) else questions))
+                    gate.widen()
+                    return found, None
+                except Overloaded as e:
+                    gate.narrow()
+                    error = e
+                except Exception as e:  # noqa: BLE001  whatever a row meets is its own error
+                    return None, f"{type(e).__name__}: {str(e)[:MESSAGE]}"
+            await asyncio.sleep(min(LONGEST_WAIT, 0.01 * 2**attempt) * (0.5 + random.random()))
+        return None, f"{type(error).__name__}: {str(error)[:MESSAGE]}"
 
     return await asyncio.gather(*map(one, states))
 
@@ -225,7 +272,8 @@ def decided(
 
     state makes what the model sees from the columns named by reads, or None for a row that can't be asked (its error is `missing`).
     A row's failure is its own: answer is null, error says what happened, the rest goes on. `instances` caps the tasks that ask at
-    once. Columns pass through, so answers need no join back. Rows are asked where the plan is run: write the result once (see
+    once; a task has up to in_flight calls open, and fewer while the model says that it is overloaded, so that all tasks together
+    settle at what it can take. Columns pass through, so answers need no join back. Rows are asked where the plan is run: write the result once (see
     `scores`) and read that, as another run would ask again.
     """
     columns = list(dict.fromkeys([*keep, *reads]))
@@ -235,12 +283,13 @@ def decided(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with client(model) as runner:
+            gate = runner.run(gate_of(in_flight))
             for batch in batches:
                 for part in (batch.slice(k, 1024) for k in range(0, batch.num_rows, 1024)):
                     states: list[State | None] = []
                     for row in part.select(list(reads)).to_pylist():
                         states.append(state({k: plain(v) for k, v in row.items()}))
-                    answers = runner.run(asked(model, states, questions, in_flight, missing))
+                    answers = runner.run(asked(model, states, questions, gate, missing))
                     own = [pa.array([mapped(a) for a, _ in answers], arrow_answer), pa.array([e for _, e in answers], pa.string())]
                     yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *own], [*keep, "answer", "error"])
 

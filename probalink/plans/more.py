@@ -345,6 +345,70 @@ def varied_records_g5_g12_l3_l6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts
 
 
+def near(share: Column, expected: float, by: float) -> Column:
+    return F.abs(share - expected) <= by
+
+
+#: What made records must show, each broken by a variation that returns what it is given.
+FORMS = (
+    "spelling changes names", "spelling keeps first letters", "spelling stays near", "legal forms change", "legal forms are listed", "trading names lose their form", "trading names lose generic words",
+    "own names are titled at times", "titles capitalise each run", "street words are short", "postcodes are squeezed, lowered, moved or kept", "websites have all forms", "websites keep their host",
+    "tax numbers have all forms", "tax numbers keep their digits", "kinds have their shares", "copies have their shares",
+)
+
+
+@query(f"SELECT unnest([{', '.join(f"'{f}'" for f in FORMS)}]) AS form, TRUE AS holds, count(*) AS companies FROM customer")
+def varied_forms_g5_g12_f19_f20(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether records made of all companies show the forms and shares that their kinds promise."""
+    base = companies(spark, sf_dir)
+    kinds = base.withColumn("kind", F.explode(F.array(*map(F.lit, KINDS)))).withColumns({"language": F.when(F.col("kind") == "TRANSLATION", "de"), "translated_name": F.when(F.col("kind") == "TRANSLATION", "Nordverkehr GmbH")})
+    c = base.select(F.col("company_number").alias("entity_id"), *[F.col(n).alias(f"c_{n}") for n in ("company_name", "website", "vat_id", "postcode")])
+    made = stored(vary.varied(kinds, "42").join(c, "entity_id"), "varied")
+    free = vary.varied(base.withColumns({n: F.lit(None).cast("string") for n in ("kind", "language", "translated_name")}), "43")
+    kind, name, upper = F.col("variation_type"), F.col("record_name"), F.upper("record_name")
+    of = lambda *k: kind.isin(*k)
+    share = lambda rows, holds: F.avg(F.when(rows, holds.cast("double")))
+    always = lambda rows, holds: F.coalesce(F.bool_and(F.when(rows, holds)), F.lit(False))
+    stem = F.regexp_replace("c_company_name", " LIMITED$", "")
+    ending = F.trim(F.substr(upper, F.length(stem) + 1))
+    host, digits = F.regexp_replace("c_website", "^www[.]", ""), F.regexp_replace("c_vat_id", "[^0-9]", "")
+    site_forms = {f.replace("{host}", "H").replace("{upper}", "H") for f in vary.WEBSITE_FORMS}
+    site_form = F.replace(F.replace("website", host, F.lit("H")), F.upper(host), F.lit("H"))
+    tax_form = F.regexp_replace("vat_id", "[0-9]", "9")
+    tax_forms = {f.format(a="999", b="9999", c="99") for f in vary.VAT_FORMS}
+    form_of_code = F.when(F.col("postcode").isNull() & F.col("address").endswith(F.col("c_postcode")), "moved").when(F.col("postcode") == F.col("c_postcode"), "kept").when(F.col("postcode") == F.lower("c_postcode"), "lowered").when(F.col("postcode") == F.replace("c_postcode", F.lit(" "), F.lit("")), "squeezed")
+    codes = {"squeezed": 0.35, "lowered": 0.15, "moved": 0.25, "kept": 0.25}
+    every = lambda shares, rows, form: [near(share(rows, F.coalesce(form == f, F.lit(False))), s, 0.1) for f, s in shares.items()]
+    whole = lambda parts: F.coalesce(F.least(*[p.cast("int") for p in parts]) == 1, F.lit(False))
+    even = lambda forms: {f: 1 / len(forms) for f in sorted(forms)}
+    holds = {
+        "spelling changes names": share(of("SPELLING"), upper != F.col("c_company_name")) > 0.9,
+        "spelling keeps first letters": always(of("SPELLING"), (F.substring(upper, 1, 1) == F.substring("c_company_name", 1, 1)) & (upper != "")) & (share(of("SPELLING"), upper == F.col("c_company_name")) < 0.1),
+        "spelling stays near": always(of("SPELLING"), F.levenshtein(upper, F.col("c_company_name")) <= 10) & near(share(of("SPELLING"), F.levenshtein(upper, F.col("c_company_name")).between(1, 2)), 0.45, 0.35),
+        "legal forms change": near(share(of("LEGAL_SUFFIX"), ending == "LIMITED"), 0.0, 0.1),
+        "legal forms are listed": always(of("LEGAL_SUFFIX"), upper.startswith(stem) & ending.isin("LTD", "LTD.", "", "LIMITED COMPANY")),
+        "trading names lose their form": always(of("DOMAIN", "VAT"), ~upper.endswith("LIMITED") & (name != upper)),
+        "trading names lose generic words": near(share(of("DOMAIN", "VAT"), ~upper.endswith("SERVICES")), 0.6, 0.12),
+        "own names are titled at times": near(share(of("NO_MATCH", "ADDRESS"), name != upper), 0.5, 0.12),
+        "titles capitalise each run": always(of("DOMAIN", "VAT"), name == F.initcap(name)) & always(of("TRANSLATION"), F.col("address").rlike("High Road, [A-Z]")),
+        "street words are short": always(of("ADDRESS", "MIXED"), F.lower("address").rlike("\\bhigh rd\\b") & ~F.lower("address").contains("road")),
+        "postcodes are squeezed, lowered, moved or kept": whole(every(codes, of("ADDRESS", "MIXED"), form_of_code)),
+        "websites have all forms": whole(every(even(site_forms), of("DOMAIN"), site_form)),
+        "websites keep their host": always(of("DOMAIN"), F.lower("website").contains(host)) & (share(of("DOMAIN"), F.col("website") == F.col("c_website")) < 0.1),
+        "tax numbers have all forms": whole(every({f: s * len(vary.VAT_FORMS) / len(tax_forms) for f, s in even(vary.VAT_FORMS).items() for f in [f.format(a="999", b="9999", c="99")]}, of("VAT"), tax_form)),
+        "tax numbers keep their digits": always(of("VAT"), F.regexp_replace("vat_id", "[^0-9]", "") == digits) & (share(of("VAT"), F.col("vat_id") == F.col("c_vat_id")) < 0.5),
+    }
+    total = sum(vary.KIND_WEIGHTS.values())
+    first = F.col("copy") == 0
+    per = free.groupBy("entity_id").agg(F.count("*").alias("n"))
+    copies = per.agg(whole([near(F.avg((F.col("n") == k + 1).cast("double")), s, 0.1) for k, s in enumerate(vary.COPIES)]).alias("holds"))
+    kinds_free = free.where(first).agg(whole([near(F.avg((kind == k).cast("double")), w / total, 0.08) for k, w in vary.KIND_WEIGHTS.items()]).alias("holds"))
+    row = made.agg(*[h.alias(f"h{n}") for n, h in enumerate(holds.values())])
+    found = row.select(F.explode(F.array(*[F.struct(F.lit(f).alias("form"), F.coalesce(f"h{n}", F.lit(False)).alias("holds")) for n, f in enumerate(holds)])).alias("x")).select("x.*")
+    found = found.unionByName(kinds_free.withColumn("form", F.lit("kinds have their shares"))).unionByName(copies.withColumn("form", F.lit("copies have their shares")))
+    return found.join(F.broadcast(base.agg(F.count("*").alias("companies"))))
+
+
 @query("""SELECT * FROM (VALUES ('records', 100), ('ids', 100), ('NO_MATCH', 10), ('TRANSLATION', 8), ('without a company', 10), ('repeats counted', 0)) x(measure, n)""")
 def quotas_g13_g14(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A data set of 100 records with its answer key, by its quotas."""

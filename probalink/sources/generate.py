@@ -27,8 +27,9 @@ def with_vat(companies: DataFrame, order: str = "position") -> DataFrame:
     return companies.join(given, "company_number", "left").withColumn("vat_id", F.concat(F.lit("GB"), "digits")).drop("digits")
 
 
-def with_website(companies: DataFrame, order: str = "position") -> DataFrame:
-    """companies with website: a unique domain of the name for 70 % of them; a taken one gets the town, then a counter."""
+def with_website(companies: DataFrame, order: str = "position", rounds: list[int] | None = None) -> DataFrame:
+    """companies with website: a unique domain of the name for 70 % of them; a taken one gets the town, then a counter. Counters are
+    dealt out at once among those of one name and ending, so the rounds are few however many want a name; they are noted in `rounds`."""
     number = F.col("company_number")
     words = F.split(F.regexp_replace(F.replace(F.upper("company_name"), F.lit("&"), F.lit(" AND ")), "[^A-Z0-9 ]", ""), " ")
     root = F.substring(F.lower(F.array_join(F.filter(words, lambda w: (w != "") & ~w.isin(*SITE_LEGAL_WORDS)), "")), 1, 40)
@@ -37,7 +38,8 @@ def with_website(companies: DataFrame, order: str = "position") -> DataFrame:
     town = F.concat("root", F.lit("-"), F.regexp_replace(F.lower(F.coalesce("post_town", F.lit(""))), "[^a-z]", ""))
     chosen = chosen.where(F.length("root") >= 3).select("company_number", order, "root", town.alias("town"), "ending")
     name = lambda n: F.when(n == 0, F.col("root")).when(n == 1, F.col("town")).when(n < COUNTERS, F.concat("root", n.cast("string")))
-    given = unique_assignment(chosen, "company_number", order, lambda n: F.concat(name(n), "ending"), "domain", COUNTERS + 1)
+    chosen = chosen.withColumn("__alike", F.concat_ws("|", "root", "ending"))
+    given = unique_assignment(chosen, "company_number", order, lambda n: F.concat(name(n), "ending"), "domain", COUNTERS + 1, "__alike", 2, rounds)
     return companies.join(given, "company_number", "left").withColumn("website", F.concat(F.lit("www."), "domain")).drop("domain")
 
 

@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import asyncio
+import fcntl
 import os
 import random
 import uuid
+from dataclasses import dataclass
 
 import pytest
 from pyspark.sql import functions as F
@@ -233,3 +236,110 @@ def test_a_model_is_opened_and_closed_once_a_task(spark, tmp_path):
     assert len(found) == 100 and not any(r.error for r in found)
     names = [n.split("-")[0] for n in os.listdir(tmp_path)]
     assert names.count("opened") == names.count("closed") == 3
+
+
+@dataclass
+class Limited:
+    """Takes `most` calls at once from all processes together, which a locked file counts."""
+
+    path: str
+    most: int = 64
+
+    def count(self, change):
+        with open(self.path, "r+") as file:
+            fcntl.flock(file, fcntl.LOCK_EX)
+            now, peak, refused = map(int, file.read().split())
+            if change > 0 and now >= self.most:
+                change, refused = 0, refused + 1
+            else:
+                peak = max(peak, now + change)
+            file.seek(0)
+            file.write(f"{now + change} {peak} {refused}".ljust(60))
+            return change != 0
+
+    async def answer(self, state, questions):
+        if not self.count(1):
+            raise decide.Overloaded("too many calls")
+        await asyncio.sleep(0.02)
+        self.count(-1)
+        return await decide.HashModel(("document",)).answer(state, questions)
+
+
+def test_tasks_settle_at_what_the_model_takes(spark, tmp_path):
+    """Eight tasks of sixteen calls against a model that takes 64 at once, or 5: every row gets its answer."""
+    for most in (64, 5):
+        path = tmp_path / f"calls-{most}"
+        path.write_text("0 0 0".ljust(60))
+        rows = spark.range(1500 if most > 5 else 200).select("id", F.col("id").cast("string").alias("document"))
+        found = decide.classify_batch(rows, Limited(str(path), most), in_flight=16, instances=8).collect()
+        assert len(found) == (1500 if most > 5 else 200) and all(r.error is None and r.billing is not None for r in found)
+        now, peak, refused = map(int, path.read_text().split())
+        assert now == 0 and peak <= most and refused > 0
+
+
+def test_a_model_that_stays_overloaded_is_an_error_of_the_row(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(decide, "PATIENCE", 1)
+    path = tmp_path / "calls"
+    path.write_text("0 0 0".ljust(60))
+    with asyncio.Runner() as runner:
+        found = runner.run(decide.asked(Limited(str(path), 0), [{"document": "x"}, None], {}, 4, "null document"))
+    assert found == [(None, "Overloaded: too many calls"), (None, "null document")]
+
+
+def test_one_name_for_a_thousand_takes_few_rounds(spark):
+    """Companies of one name, and a few whose name is that with a counter: the same websites as serving them one after another."""
+    rng = random.Random(3)
+    towns = ["Leeds", "York", "Bath", None]
+    rows = [(f"{i:05}", "THE ACME COMPANY LTD" if i % 400 else f"ACME {rng.choice([7, 40])}", rng.choice(towns), i) for i in range(1600)]
+    df = spark.createDataFrame(rows, "company_number string, company_name string, post_town string, position int")
+    rounds = []
+    found = {r.company_number: r.website for r in generate.with_website(df, rounds=rounds).collect()}
+    plainly = {r.company_number: r.website for r in served(df).collect()}
+    assert found == plainly and len(rounds) <= 8 and len({w for w in found.values() if w}) == sum(w is not None for w in found.values()) > 900
+    rounds.clear()
+    generate.with_website(df.where("company_name LIKE 'THE%'"), rounds=rounds).count()
+    assert len(rounds) <= 5
+
+
+def served(df):
+    """with_website by offers alone, one after another on the driver."""
+    taken = set()
+    out = []
+    alone = dict(lonely(df))
+    for r in sorted(df.collect(), key=lambda r: r.position):
+        given = alone.get(r.company_number)
+        if given:
+            root, ending = given.removeprefix("www.").split(".", 1)
+            town = "".join(c for c in (r.post_town or "").lower() if "a" <= c <= "z")
+            for name in (root, f"{root}-{town}", *(f"{root}{k}" for k in range(2, generate.COUNTERS))):
+                if f"{name}.{ending}" not in taken:
+                    taken.add(f"{name}.{ending}")
+                    out.append((r.company_number, f"www.{name}.{ending}"))
+                    break
+    return df.select("company_number").join(df.sparkSession.createDataFrame(out, "company_number string, website string"), "company_number", "left")
+
+
+def lonely(df):
+    """(company_number, website) that each company would have if no other wanted one."""
+    import hashlib
+
+    mod = lambda m, *parts: int(hashlib.md5("|".join(parts).encode()).hexdigest(), 16) % m
+    for r in df.collect():
+        if mod(100, "web", r.company_number) < generate.SITE_SHARE:
+            words = [w for w in r.company_name.split() if w not in generate.SITE_LEGAL_WORDS]
+            yield r.company_number, f"www.{''.join(words).lower()[:40]}{generate.ENDINGS[mod(len(generate.ENDINGS), 'tld', r.company_number)]}"
+
+
+def test_forms_fail_for_variations_that_change_nothing(spark, monkeypatch):
+    from probalink.plans import more
+
+    def unchanged(companies, seed):
+        kind = F.coalesce("kind", F.lit("SPELLING"))
+        return companies.select(
+            F.lit("orders").alias("source_system"), F.col("company_name").alias("record_name"), F.col("address_line1").alias("address"), "postcode", "country", "website", "vat_id",
+            kind.alias("variation_type"), F.col("company_number").alias("true_company_number"), F.col("company_number").alias("entity_id"), F.lit(0).alias("copy"),
+        )
+
+    monkeypatch.setattr(more.vary, "varied", unchanged)
+    rows = more.varied_forms_g5_g12_f19_f20(spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == len(more.FORMS) and not any(r.holds for r in rows)
