@@ -113,6 +113,8 @@ def votes(rules: tuple[Rule, ...] = RULES, prefix: str = "") -> Column:
 
 
 VOTES = (-1, 0, 1)
+#: Times its believed share that a rule may be estimated to vote good documents bad.
+WRONG = 10.0
 
 
 @dataclass(frozen=True)
@@ -147,12 +149,19 @@ def prior(rules: tuple[Rule, ...], share: float = 0.8) -> Estimate:
     return Estimate(share, tuple(r.believed(0) for r in rules), tuple(r.believed(1) for r in rules))
 
 
+def held_back(rates: tuple[float, ...], most: float) -> tuple[float, ...]:
+    """The shares of VOTES with that of bad votes at most `most`, the others in proportion."""
+    return rates if rates[0] <= most else (most, *(r * (1 - most) / (1 - rates[0]) for r in rates[1:]))
+
+
 def estimated(counts: dict[tuple[int, ...], int], believed: Estimate, belief: float = 1.0, rounds: int = 200) -> Estimate:
     """Expectation maximisation over counts of vote patterns.
 
     Given its class, a document's votes are independent, and every rule has its own shares of bad votes, abstentions and good votes
     among the good and among the bad. Estimates start from what is believed, and lean on it as on a further `belief` times the documents at
-    hand, so that they come out alike for any number of documents; they stand where there are none.
+    hand, so that they come out alike for any number of documents; they stand where there are none. No rule is taken to vote good
+    documents bad more than WRONG times as often as believed: else junk of one kind, which one rule alone sees, would count as a usual
+    kind of good document once there is enough of it.
     """
     now, total, rules = believed, sum(counts.values()), range(len(believed.good))
     for _ in range(rounds if total else 0):
@@ -165,7 +174,8 @@ def estimated(counts: dict[tuple[int, ...], int], believed: Estimate, belief: fl
                 for k, v in enumerate(pattern):
                     votes[c][k][v + 1] += own
         lean = lambda c, given: tuple(tuple((votes[c][k][v] + belief * mass[c] * given[k][v]) / (mass[c] * (1 + belief)) if mass[c] else given[k][v] for v in range(len(VOTES))) for k in rules)
-        last, now = now, Estimate((mass[1] + belief * total * believed.share) / (total * (1 + belief)), lean(1, believed.good), lean(0, believed.bad))
+        usual = tuple(held_back(own, min(1.0, WRONG * given[0])) for own, given in zip(lean(1, believed.good), believed.good))
+        last, now = now, Estimate((mass[1] + belief * total * believed.share) / (total * (1 + belief)), usual, lean(0, believed.bad))
         if abs(last.share - now.share) < 1e-12 and last.weights() == now.weights():
             break
     return now

@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 from data import ODD, PROSE, clashing, documents
 from pyspark.sql import functions as F
 
@@ -73,6 +74,21 @@ def test_op5_one_kind_of_junk_is_rejected(spark):
     assert {r.doc_id for r in quality_rules.rated(documents(spark, rows), ["doc_id"]).where("kept").collect()} == set(range(200))
 
 
+@pytest.mark.parametrize("share", [0.01, 0.05, 0.1, 0.3])
+@pytest.mark.parametrize("kind", ["loud", "barred", "long", "shouted"])
+def test_op5_one_kind_of_junk_is_rejected_however_much_there_is(kind, share):
+    """Of 10,000 documents, the share that one rule alone calls bad."""
+    rule = {"loud": "capitals", "barred": "columns", "long": "word_length", "shouted": "exclamations"}[kind]
+    names = [r.name for r in quality_rules.RULES]
+    letters = names.index("letters")
+    clean = tuple(int(k == letters) for k in range(len(names)))
+    bad = tuple(-1 if n == rule else v for n, v in zip(names, clean))
+    lines = tuple(-1 if n == "lines" else v for n, v in zip(names, clean))
+    n = int(10_000 * share)
+    found = quality_rules.estimated({clean: 9_000 - n, bad: n, lines: 1_000}, quality_rules.prior(quality_rules.RULES))
+    assert found.quality(bad) < 0.3 and found.quality(clean) > 0.9 and found.quality(lines) > 0.5
+
+
 def plain_estimate(patterns, believed, belief, rounds):
     """Expectation maximisation, document by document."""
     share, good_votes, bad_votes = believed.share, [list(v) for v in believed.good], [list(v) for v in believed.bad]
