@@ -29,8 +29,8 @@ from probalink.llm.common import slices, stored, text_of
 
 #: Ends in one row of events; ends of one document and side that the sweep holds before it lets the closed groups go.
 EVENTS, HELD = 8192, 1 << 19
-#: Chunks whose pieces are remembered, and the characters of the longest.
-REMEMBERED, CHUNK = 300_000, 64
+#: Chunks whose pieces are remembered of each tokenizer, as a process holds both, and the characters of the longest.
+REMEMBERED, CHUNK = 120_000, 64
 #: Pairs that are broadcast at most, and the entries after which a task sends its counts of pairs on.
 HOT, FLUSHED = 1 << 18, 1 << 21
 SPACE_MARK = "▁"
@@ -143,6 +143,7 @@ def end_events(df: DataFrame, path_a: str, path_b: str, pattern: str, id_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = encoder(path_a, pattern), piece_encoder(path_b)
+        a.remembered = REMEMBERED
         of_a, of_b = lengths_of(path_a, path_b, pattern)
         kind = written_as(of_a, of_b)
         for whole in batches:
