@@ -41,7 +41,7 @@ def test_sql_of_this_subpackage(spark):
     sf = "/root/testdata/sf0.001"
     for name, sql in queries.SQL.items():
         connection = duckdb.connect()
-        for table in ("documents", "pages", "labels", "embeddings"):
+        for table in ("documents", "pages", "labels", "embeddings", "benchmark", "conversations"):
             connection.sql(f"CREATE VIEW {table} AS SELECT * FROM '{sf}/{table}.parquet'")
         df, other = queries.QUERIES[name](spark, sf), connection.sql(sql)
         columns = sorted(df.columns)
