@@ -10,20 +10,20 @@ each such step; a piece finds its run, and so its sequence and place, by its len
 from __future__ import annotations
 
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from probalink.llm.bpe import encoder
 from probalink.llm.common import slices, stored, text_of
 
-#: Pieces of one length that are ranked in one task; a length of more is dealt into parts, by the pieces' places in the written table.
-PART = 1 << 20
+#: Counts of the pieces of one length in one written partition that are broadcast at most; more are joined by a shuffle.
+SENT = 1 << 20
 
 
 class Capacities:
@@ -106,16 +106,17 @@ def best_fit_decreasing(histogram: dict[int, int], capacity: int) -> list[Run]:
 
 
 def pieces(df: DataFrame, path: str, pattern: str, capacity: int, end_id: int, keep_ids: bool, id_col: str, text_col: str) -> DataFrame:
-    """The pieces of every document's ids (then end_id): of `capacity` tokens, the first shorter where they don't come out even."""
-    names = [id_col, "piece", "start", "length", "ids_crc32", *["token_ids"] * keep_ids]
+    """The pieces of every document's ids (then end_id): of `capacity` tokens, the first shorter where they don't come out even. __rank
+    counts the pieces of the same length that the task has made before."""
+    names = [id_col, "piece", "start", "length", "ids_crc32", "__rank", *["token_ids"] * keep_ids]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, end = encoder(path, pattern), np.array([end_id], "<u4").tobytes()
+        own, end, made = encoder(path, pattern), np.array([end_id], "<u4").tobytes(), Counter()
         for whole in batches:
             for batch in slices(whole):
                 ids, ends = own.encode_batch(batch.column(1))
                 buffer, ends = ids.tobytes(), (4 * ends).tolist()
-                of, number, start, length, crc, kept = [], [], [], [], [], []
+                of, number, start, length, crc, rank, kept = [], [], [], [], [], [], []
                 for k, (a, b) in enumerate(zip(ends, ends[1:])):
                     document = buffer[a:b] + end
                     n = len(document) // 4
@@ -127,58 +128,62 @@ def pieces(df: DataFrame, path: str, pattern: str, capacity: int, end_id: int, k
                         start.append(at)
                         length.append(size)
                         crc.append(zlib.crc32(data))
+                        rank.append(made[size])
+                        made[size] += 1
                         if keep_ids:
                             kept.append(np.frombuffer(data, np.int32))
                         at, size = at + size, capacity
-                columns = [batch.column(0).take(pa.array(of, pa.int64())), pa.array(number, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))]
+                columns = [batch.column(0).take(pa.array(of, pa.int64())), pa.array(number, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc, rank))]
                 if keep_ids:
                     columns.append(pa.array(kept, pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     kind = df.schema[id_col].dataType.simpleString()
-    schema = f"`{id_col}` {kind}, piece int, start long, length long, ids_crc32 long" + ", token_ids array<int>" * keep_ids
+    schema = f"`{id_col}` {kind}, piece int, start long, length long, ids_crc32 long, __rank long" + ", token_ids array<int>" * keep_ids
     return df.select(F.col(id_col), text_of(text_col).alias("__text")).mapInArrow(run, schema)
 
 
+def placing(runs: list[Run]) -> Column:
+    """(sequence_id, offset) of a piece by its length and its rank among all of that length."""
+    of: dict[int, list[tuple[int, int, int, int]]] = defaultdict(list)
+    for r in runs:
+        of[r.length].append((r.rank, r.each, r.sequence, r.offset))
+    by_length = {n: np.array(own, np.int64).T for n, own in of.items()}
+
+    @F.arrow_udf("struct<sequence_id: long, offset: long>")
+    def place(lengths: pa.Array, ranks: pa.Array) -> pa.Array:
+        length, rank = np.asarray(lengths), np.asarray(ranks)
+        sequence, offset = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64)
+        for size in np.unique(length).tolist():
+            own = np.flatnonzero(length == size)
+            start, each, first, begin = by_length[size]
+            run = np.searchsorted(start, rank[own], side="right") - 1
+            k = rank[own] - start[run]
+            sequence[own] = first[run] + k // each[run]
+            offset[own] = begin[run] + k % each[run] * size
+        return pa.StructArray.from_arrays([pa.array(sequence), pa.array(offset)], ["sequence_id", "offset"])
+
+    return place("length", F.col("__before") + F.col("__rank"))
+
+
 def packed(
     df: DataFrame, path: str, pattern: str, capacity: int = 1024, end_id: int = 2, keep_ids: bool = False, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """(id, piece, start, length, ids_crc32[, token_ids], sequence_id, offset): all documents in as few sequences as best fit makes.
 
     A null or empty text is its end id alone. Rows that repeat, or lack an id, are documents of their own. An empty table gives an
-    empty result. Other columns are not read. The pieces are written once to the shared folder, ranked by a shuffle on
-    (length, part), and placed by a plan whose size is bounded by `capacity` and not by the data. What comes to the driver are
-    the counts of lengths and of their parts of PART pieces.
+    empty result. Other columns are not read. The pieces are written once to the shared folder, each with its rank among those of its
+    length in its partition; what partitions before hold of a length, at most `capacity` counts a partition, makes these ranks those
+    among all pieces. So no piece is shuffled: the counts are broadcast, up to SENT of them, and only beyond joined by a shuffle.
+    Pieces are placed by a plan whose size is bounded by `capacity` and not by the data. What comes to the driver are the counts of lengths.
     """
-    cut = stored(pieces(df, path, pattern, capacity, end_id, keep_ids, id_col, text_col).withColumn("__row", F.monotonically_increasing_id()), "pieces")
-    histogram = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}
-    parts = F.array(*[F.lit(-(-histogram.get(n, 0) // PART) or 1) for n in range(capacity + 1)])
-    cut = cut.withColumn("__part", F.pmod(F.xxhash64("__row"), F.get(parts, F.col("length").cast("int"))).cast("int"))
-    firsts: dict[int, list[int]] = {n: [0] * (-(-many // PART) + 1) for n, many in histogram.items()}
-    for r in cut.groupBy("length", "__part").count().collect():
-        firsts[r["length"]][r["__part"] + 1] = r["count"]
-    before = {n: np.cumsum(own) for n, own in firsts.items()}
-    runs: dict[int, list[tuple[int, int, int, int]]] = defaultdict(list)
-    for r in best_fit_decreasing(histogram, capacity):
-        runs[r.length].append((r.rank, r.each, r.sequence, r.offset))
-    by_length = {n: np.array(own, np.int64).T for n, own in runs.items()}
-    ranked = cut.withColumn("__rank", F.row_number().over(Window.partitionBy("length", "__part").orderBy("__row")))
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            length, part, rank = (np.asarray(batch.column(n)) for n in ("length", "__part", "__rank"))
-            sequence, offset = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64)
-            for size in np.unique(length).tolist():
-                own = np.flatnonzero(length == size)
-                start, each, first, begin = by_length[size]
-                place_of = rank[own].astype(np.int64) - 1 + before[size][part[own]]
-                run = np.searchsorted(start, place_of, side="right") - 1
-                k = place_of - start[run]
-                sequence[own] = first[run] + k // each[run]
-                offset[own] = begin[run] + k % each[run] * size
-            kept = [n for n in batch.schema.names if not n.startswith("__")]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), pa.array(sequence), pa.array(offset)], [*kept, "sequence_id", "offset"])
-
-    kept = [f for f in cut.schema.fields if not f.name.startswith("__")]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", sequence_id long, offset long"
-    return ranked.mapInArrow(place, schema)
+    cut = stored(pieces(df, path, pattern, capacity, end_id, keep_ids, id_col, text_col).withColumn("__part", F.spark_partition_id()), "pieces")
+    counts = stored(cut.groupBy("__part", "length").agg(F.count("*").alias("n")), "piece-counts")
+    histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    earlier = Window.partitionBy("length").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    key = (F.col("__part").cast("long") * (capacity + 1) + F.col("length")).alias("__key")
+    before = counts.select(key, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__before"))
+    few = counts.count() <= SENT
+    ranked = cut.withColumn("__key", key).join(F.broadcast(before) if few else before, "__key")
+    placed = ranked.withColumn("__place", placing(best_fit_decreasing(histogram, capacity)))
+    return placed.select(*[c for c in cut.columns if not c.startswith("__")], "__place.sequence_id", "__place.offset")

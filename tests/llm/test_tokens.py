@@ -122,9 +122,9 @@ def test_plan_is_best_fit_decreasing(lengths, capacity):
     assert counts == histogram and sorted(rooms.values()) == naive_packing(lengths, capacity)
 
 
-@pytest.mark.parametrize("part", [packing.PART, 7])
-def test_op4_rows(spark, library, monkeypatch, part):
-    monkeypatch.setattr(packing, "PART", part)
+@pytest.mark.parametrize("sent", [packing.SENT, 7])
+def test_op4_rows(spark, library, monkeypatch, sent):
+    monkeypatch.setattr(packing, "SENT", sent)
     rng = random.Random(5)
     more = [(100 + k, " ".join(rng.choices(PROSE.split(), k=rng.randint(0, 900)))) for k in range(120)]
     rows = packing.packed(clashing(documents(spark, ODD + more)), JSON, P.PATTERN, keep_ids=True).collect()
