@@ -32,8 +32,8 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def into_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The place of every piece of every document in sequences of 1024 tokens."""
-    return packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    """Every piece of every document with its token ids and its place in sequences of 1024 tokens."""
+    return packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, keep_ids=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -93,9 +93,9 @@ def test_run_is_that_of_a_plain_pipeline(spark, tmp_path):
     for i, text in expected:
         ids = [*library.encode(text, add_special_tokens=False).ids, 2]
         edges = [0, *range(len(ids) % 1024 or 1024, len(ids) + 1, 1024)]
-        wanted += [(i, k, start, end - start, zlib.crc32(np.array(ids[start:end], "<u4").tobytes())) for k, (start, end) in enumerate(zip(edges, edges[1:]))]
+        wanted += [(i, k, start, end - start, zlib.crc32(np.array(ids[start:end], "<u4").tobytes()), ids[start:end]) for k, (start, end) in enumerate(zip(edges, edges[1:]))]
     rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
-    found = [(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows]
+    found = [(r.doc_id, r.piece, r.start, r.length, r.ids_crc32, list(r.token_ids)) for r in rows]
     assert sorted(found, key=repr) == sorted(wanted, key=repr)
     sequences = {}
     for r in rows:
@@ -103,6 +103,6 @@ def test_run_is_that_of_a_plain_pipeline(spark, tmp_path):
     for own in sequences.values():
         own.sort()
         assert own[0][0] == 0 and own[-1][1] <= 1024 and all(a[1] == b[0] for a, b in zip(own, own[1:]))
-    assert len(sequences) == len(naive_packing([length for _, _, _, length, _ in wanted], 1024))
+    assert len(sequences) == len(naive_packing([w[3] for w in wanted], 1024))
     documents(spark, []).write.parquet(str(tmp_path / "none" / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
