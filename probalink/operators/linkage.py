@@ -119,12 +119,12 @@ def pair_similarity() -> Column:
 FLAGS = {"vat_equal": "vat_digits", "domain_equal": "domain_root", "postcode_equal": "postcode_norm"}
 
 
-def best_partners(left: DataFrame, right: DataFrame, k: int, weights: Mapping[str, float] = WEIGHTS, keys: tuple[str, ...] = KEYS, within: bool = False, also: DataFrame | None = None) -> DataFrame:
-    """(a_id, b_id, name_sim, …_equal, candidate_rank): the k best partners of every left record among those that share a key with it, by
+def best_partners(left: DataFrame, right: DataFrame, k: int, weights: Mapping[str, float] = WEIGHTS, keys: tuple[str, ...] = KEYS, within: bool = False, also: DataFrame | None = None, score: str | None = None) -> DataFrame:
+    """(a_id, b_id, name_sim, …_equal[, score], candidate_rank): the k best partners of every left record among those that share a key with it, by
     the similarity of names and what equal keys add; ties go to the lower id. A pair without a usable name ranks by its keys.
 
     Each task of the join keeps the k best that it has of a record, and only these are shuffled. also: more pairs (a_id, b_id), each
-    once, such as those of near embeddings; those that share a key are there anyway.
+    once, such as those of near embeddings; those that share a key are there anyway. score: the name of a column for what pairs are ranked by.
     """
     columns = tuple(dict.fromkeys(("name_norm", "name_token1", *weights)))
     pairs = blocked(left, right, keys, within, columns)
@@ -136,11 +136,12 @@ def best_partners(left: DataFrame, right: DataFrame, k: int, weights: Mapping[st
         pairs = pairs.unionByName(also.select("a_id", "b_id").join(own(left, "a"), "a_id").join(own(right, "b"), "b_id").where(apart))
     rows = pairs.withColumn("name_sim", pair_similarity())
     equal: dict[str, Column] = {c: F.coalesce(F.col(f"a_{c}") == F.col(f"b_{c}"), F.lit(False)) for c in weights}
-    score = F.coalesce("name_sim", F.lit(0.0))
+    total = F.coalesce("name_sim", F.lit(0.0))
     for c, weight in weights.items():
-        score = score + F.when(equal[c], weight).otherwise(0.0)
+        total = total + F.when(equal[c], weight).otherwise(0.0)
     kept = [equal[c].alias(f) for f, c in FLAGS.items() if c in equal]
-    return best_of(rows.select("a_id", "b_id", "name_sim", *kept, score.alias("__score")), "__score", k).drop("__score")
+    best = best_of(rows.select("a_id", "b_id", "name_sim", *kept, total.alias("__score")), "__score", k)
+    return best.withColumnRenamed("__score", score) if score else best.drop("__score")
 
 
 def best_of(pairs: DataFrame, score: str, k: int) -> DataFrame:

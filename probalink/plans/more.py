@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from probalink.functions import hashing, normalize, vary
 from probalink.operators import decide, linkage, neighbours
+from probalink.operators.refresh import KeptClusters
 from probalink.plans import standins as s
 from probalink.plans.queries import MD5_MOD_SQL, TICKET_MODEL, TICKETS_SQL, query, share_sql
 from probalink.sources import generate
@@ -429,3 +430,17 @@ def quotas_g13_g14(spark: SparkSession, sf_dir: str) -> DataFrame:
         one = df.select(F.lit(name).alias("measure"), F.col("count").cast("int").alias("n"))
         out = one if out is None else out.unionByName(one)
     return out
+
+
+@query(s.with_ctes("decisions", """, two AS (SELECT a_id AS x, b_id AS y FROM decisions WHERE pair_kind = 'DEDUP' AND baseline_match UNION SELECT b_id, a_id FROM decisions WHERE pair_kind = 'DEDUP' AND baseline_match),
+met AS (SELECT incoming_id AS x, incoming_id AS y FROM incoming UNION SELECT met.x, two.y FROM met JOIN two ON two.x = met.y) SELECT x AS id, min(y) AS component FROM met GROUP BY x""").replace("\n, two", ",\ntwo"))
+def refreshed_clusters_u11_l12_l17(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of all incoming records, kept from a table that lacked a tenth of them, had other values in a tenth, and held records that are gone."""
+    rows = linkage.with_keys(s.incoming(spark, sf_dir), linkage.INCOMING)
+    digit = F.substring("id", -1, 1)
+    other = rows.where(digit == "4").withColumns({"domain_root": F.lit("shared.com"), "vat_digits": F.lit(None).cast("string")})
+    removed = rows.where(digit == "5").withColumns({"id": F.concat(F.lit("A"), "id"), "name_norm": F.concat("name_norm", F.lit("S"))})
+    alike = lambda pairs: pairs.withColumn("linked", F.col("vat_equal") | F.col("domain_equal") | F.coalesce(F.col("name_sim") >= 0.85, F.lit(False)))
+    kept = KeptClusters(spark, shared_path(spark, "clusters"), alike)
+    kept.refresh(rows.where(~digit.isin("3", "4")).unionByName(other).unionByName(removed))
+    return kept.refresh(rows)
