@@ -1,10 +1,12 @@
 """Removal of passages that repeat across documents (operator 6).
 
-A paragraph is a line of a text with `least` words or more. Equal paragraphs (of the same lower-cased words) are one content, and
+A paragraph is a line of a text with `least` words or more, or a run of shorter lines that have as many together. Such a run is also cut
+into pieces of `least` words or more at words that their neighbourhood alone chooses, so that runs which are alike in a part have equal
+pieces there. Pieces are compared with pieces only, so that nothing is compared with what it is a part of. Equal paragraphs, and equal pieces (of the same lower-cased words), are one content, and
 contents are compared by MinHash over their five-word shingles: BANDS bands of ROWS rows each, by which a pair of similarity 0.8 shares a
 bucket with probability 0.9998. Contents that collide are verified by their exact Jaccard similarity, and the links' connected components
-are the classes of which all but the first occurrence go. Passages inside lines that differ otherwise, or across lines, are no
-paragraphs; `passages` finds them.
+are the classes of which all but the first occurrence go. Passages inside paragraphs that differ otherwise are
+none; `passages` finds them.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 
 from probalink.llm.common import fresh, scratch, slices, stored, text_of
 from probalink.llm.components import connected_components, hot_keys, joined
-from probalink.llm.passages import FACTOR, shared_passages, without
+from probalink.llm.passages import FACTOR, leftmost_minima, shared_passages, without, word_places
 from probalink.sources.storage import Scratch
 
 SHINGLE = 5
@@ -78,31 +80,96 @@ def bands(paragraphs: list[list[bytes]], count: int = BANDS, rows: int = ROWS) -
     return out.view(np.int64)
 
 
+def lines_and_runs(text: str, least: int) -> tuple[list[tuple[int, int, int, list[bytes]]], list[tuple[int, int, int, list[bytes]]]]:
+    """(line, start, end, lower-cased words) of each line of `least` words or more, and of each longest run of shorter lines that have as
+    many together. A run begins and ends where its lines do."""
+    lines: list[tuple[int, int, int, list[bytes]]] = []
+    runs: list[tuple[int, int, int, list[bytes]]] = []
+
+    def end_run(number: int, start: int, end: int) -> None:
+        if end - start >= 2 * least - 1:
+            words = text[start:end].encode().lower().split()
+            if len(words) >= least:
+                runs.append((number, start, end, words))
+
+    at = run_line = run_at = 0
+    for number, line in enumerate(text.split("\n")):
+        after = at + len(line) + 1
+        if len(line) >= 2 * least - 1:
+            words = line.encode().lower().split()
+            if len(words) >= least:
+                end_run(run_line, run_at, at - 1)
+                lines.append((number, at, after - 1, words))
+                run_line, run_at = number + 1, after
+        at = after
+    end_run(run_line, run_at, at - 1)
+    return lines, runs
+
+
+def pieces_of(runs: list[list[bytes]], least: int) -> list[list[int]]:
+    """Where each run's pieces begin, and its end: all of `least` words or more.
+
+    A piece begins at a word whose hash, made from it and the word before, is the smallest of those of least - 1 words on both sides
+    (the leftmost, if tied). A change of a word moves only the begins that are as near to it.
+    """
+    first = np.cumsum([0, *(len(w) for w in runs)])
+    own = np.fromiter((xxhash.xxh64_intdigest(w) for each in runs for w in each), np.uint64, first[-1])
+    pairs = np.roll(own, 1) * FACTOR + own
+    pairs = (pairs ^ pairs >> np.uint64(31)) * FACTOR
+    gap = least - 1  # so many of the largest hash lie between two runs, which therefore don't see each other
+    spread = np.full(len(own) + gap * (len(runs) + 1), np.iinfo(np.uint64).max, np.uint64)
+    shift = np.repeat(np.arange(1, len(runs) + 1) * gap, np.diff(first))
+    spread[np.arange(len(own)) + shift] = pairs
+    spread[first[:-1] + np.arange(1, len(runs) + 1) * gap] = np.iinfo(np.uint64).max  # a run's first word has none before it
+    smallest = leftmost_minima(spread, 2 * gap + 1)
+    chosen = np.flatnonzero(smallest[np.arange(len(own)) + shift - gap] == np.arange(len(own)) + shift)
+    out = []
+    for a, b in zip(first, first[1:]):
+        cuts = chosen[np.searchsorted(chosen, a + least) : np.searchsorted(chosen, b - least, "right")] - a
+        out.append([0, *cuts.tolist(), int(b - a)])
+    return out
+
+
+#: What the contents of runs and of pieces end with, after their hash, and what changes the bands of pieces, which meet pieces only.
+LINE, RUN, PIECE = b"", b"r", b"p"
+#: Bytes of the hash, with which a line's content ends.
+CONTENT = 16
+PIECE_BANDS = 0x5851F42D4C957F2D
+
+
 def paragraphs(df: DataFrame, least: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, __key, line, start, end, n_words, content, words, bands): the paragraphs of every document, places in code points."""
+    """(id, __key, line, start, end, n_words, content, words, bands): the paragraphs and pieces of every document, places in code points;
+    line is that of the first word."""
     names = [id_col, "__key", "line", "start", "end", "n_words", "content", "words", "bands"]
 
+    def of_texts(texts: list[str]) -> Iterator[tuple[int, tuple[int, int, int, int], list[bytes], bytes]]:
+        """(number of the text, place, words, kind) of all paragraphs, then of all pieces."""
+        of_runs = []
+        for k, text in enumerate(texts):
+            lines, runs = lines_and_runs(text, least)
+            of_runs += [(k, text, *run) for run in runs]
+            for kind, those in ((LINE, lines), (RUN, runs)):
+                for line, start, end, words in those:
+                    yield k, (line, start, end, len(words)), words, kind
+        for (k, text, line, start, end, words), edges in zip(of_runs, pieces_of([r[-1] for r in of_runs], least)):
+            if len(edges) > 2:
+                starts, ends = word_places(text[start:end])
+                for a, b in zip(edges, edges[1:]):
+                    at = start + int(starts[a])
+                    yield k, (line + text.count("\n", start, at), at, start + int(ends[b - 1]), b - a), words[a:b], PIECE
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole):
-                of, places, own = [], [], []
-                for k, text in enumerate(batch.column(2).to_pylist()):
-                    at = 0
-                    for number, line in enumerate(text.split("\n")):
-                        if len(line) >= 2 * least - 1:
-                            words = line.encode().lower().split()
-                            if len(words) >= least:
-                                of.append(k)
-                                places.append((number, at, at + len(line), len(words)))
-                                own.append(words)
-                        at += len(line) + 1
-                if not own:
+                found = list(of_texts(batch.column(2).to_pylist()))
+                if not found:
                     continue
+                of, places, own, kinds = zip(*found)
                 joined = [b" ".join(w) for w in own]
-                keys = bands(own)
+                keys = bands(own) ^ np.where([k == PIECE for k in kinds], PIECE_BANDS, 0)[:, None]
                 columns = [batch.column(0).take(pa.array(of)), batch.column(1).take(pa.array(of)), *(pa.array(x, pa.int32()) for x in zip(*places))]
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, BANDS), pa.int32()), pa.array(keys.ravel()))
-                columns += [pa.array([xxhash.xxh3_128_digest(j) for j in joined]), pa.array([j.decode() for j in joined]), lists]
+                columns += [pa.array([xxhash.xxh3_128_digest(j) + k for j, k in zip(joined, kinds)]), pa.array([j.decode() for j in joined]), lists]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     kind = df.schema[id_col].dataType.simpleString()
@@ -113,15 +180,27 @@ def paragraphs(df: DataFrame, least: int, id_col: str, text_col: str) -> DataFra
 
 def similar_links(members: Sequence[bytes], texts: Sequence[str], similarity: float) -> list[tuple[bytes, bytes]]:
     """Pairs that connect all members whose Jaccard similarity is at least `similarity`. Members that are connected already aren't
-    compared again, so a group of copies takes about as many comparisons as it has members."""
-    sets = [set(shingles(t.encode().split())) for t in texts]
+    compared again, so a group of copies takes about as many comparisons as it has members.
+
+    The ends of runs and pieces are no paragraph's: of these, one that goes on for more than SHINGLE words where the other has ended
+    is no copy of it (what they have verbatim goes as a shared passage, and the rest stays)."""
+    sets, ends = [], []
+    for t in texts:
+        own = shingles(t.encode().split())
+        sets.append(set(own))
+        ends.append((own[: SHINGLE + 1], own[-SHINGLE - 1 :]))
     group, links = np.arange(len(members)), []
+
+    def ends_meet(i: int, j: int) -> bool:
+        lines = len(members[i]) == len(members[j]) == CONTENT
+        return lines or not any(sets[b].isdisjoint(end) for a, b in ((i, j), (j, i)) for end in ends[a])
+
     for i, own in enumerate(sets):
         others = np.flatnonzero(group[:i] != group[i])
         while len(others):
             j, others = int(others[0]), others[1:]
             small, large = sorted((len(own), len(sets[j])))
-            if small >= similarity * large and len(own & sets[j]) >= similarity * len(own | sets[j]):
+            if small >= similarity * large and len(own & sets[j]) >= similarity * len(own | sets[j]) and ends_meet(i, j):
                 links.append((members[i], members[j]))
                 group[group == group[j]] = group[i]
                 others = others[group[others] != group[i]]
@@ -168,9 +247,9 @@ def content_links(contents: DataFrame, found: DataFrame, similarity: float, keep
 def repeats(df: DataFrame, least: int = 50, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, line, start, end, n_words, kept_id, kept_start, class, __key) of every paragraph and shared passage to remove.
 
-    Of each class of paragraphs the occurrence of the smallest id, and there the first, stays (ids that are null come last). A passage
+    Of each class of paragraphs or of pieces the occurrence of the smallest id, and there the first, stays (ids that are null come last). A passage
     of `least` words or more that an earlier document has too is found however it lies in its lines (see `shared_passages`); its line
-    is null, and it may overlap paragraphs. Null and empty texts have no paragraphs. Rows that repeat an id and a text are one document. An empty table
+    is null, and it may overlap paragraphs, as the pieces of a run of lines overlap it. Null and empty texts have no paragraphs. Rows that repeat an id and a text are one document. An empty table
     gives an empty result.
     """
     passages = shared_passages(df, least, id_col, text_col)

@@ -250,6 +250,86 @@ def test_op6_windows_are_those_of_each_text_alone():
     assert passages.windows_of([], size, apart)[0] == [] == passages.windows_of(["", "a b"], size, apart)[0]
 
 
+def wrapped(words, width):
+    return "\n".join(" ".join(words[k : k + width]) for k in range(0, len(words), width))
+
+
+def edited(rng, words, rate):
+    """A copy of which words are replaced, left out or added, each as often."""
+    out = []
+    for w in words:
+        kind = rng.randrange(3) if rng.random() < rate else None
+        out += [w] if kind is None else [] if kind == 1 else [f"x{rng.randrange(10**6)}"] if kind == 0 else [w, f"y{rng.randrange(10**6)}"]
+    return out
+
+
+def test_op6_pieces_are_cut_by_their_content():
+    rng = random.Random(21)
+    vocabulary = [f"w{k}".encode() for k in range(300)]
+    runs = [rng.choices(vocabulary, k=rng.choice((50, 60, 99, 100, 101, 150, 400, 1500))) for _ in range(80)] + [[b"same"] * 500]
+    mask = (1 << 64) - 1
+    factor = int(passages.FACTOR)
+
+    def hash_of(run, i):
+        x = (xxhash.xxh64_intdigest(run[i - 1]) * factor + xxhash.xxh64_intdigest(run[i])) & mask
+        return ((x ^ x >> 31) * factor) & mask
+
+    for run, edges in zip(runs, substrings.pieces_of(runs, 50)):
+        own = [mask, *(hash_of(run, i) for i in range(1, len(run)))]
+        cuts = [i for i in range(50, len(run) - 49) if all(own[i] < x for x in own[i - 49 : i]) and all(own[i] <= x for x in own[i + 1 : i + 50])]
+        assert edges == [0, *cuts, len(run)] and all(b - a >= 50 for a, b in zip(edges, edges[1:]))
+        assert substrings.pieces_of([run], 50) == [edges]
+    assert substrings.pieces_of([], 50) == [] and sum(len(e) > 3 for e in substrings.pieces_of(runs, 50)) > 10
+
+
+def test_op6_lines_and_runs():
+    long, short = " ".join(["é"] * 50), " ".join(["b"] * 30)
+    text = f"{short}\n\n{short}\n{long}\n{short}\n{long}\n\n{short}\n{short}\n"
+    lines, runs = substrings.lines_and_runs(text, 50)
+    assert [(n, text[a:b]) for n, a, b, _ in lines] == [(3, long), (5, long)]
+    assert [(n, text[a:b]) for n, a, b, _ in runs] == [(0, f"{short}\n\n{short}"), (6, f"\n{short}\n{short}\n")]
+    assert substrings.lines_and_runs("", 50) == ([], []) and substrings.lines_and_runs("\n" * 300, 50) == ([], [])
+
+
+def test_op6_near_copies_across_short_lines(spark):
+    rng = random.Random(22)
+    prose = lambda n: [f"{rng.choice('abcdé')}{rng.randrange(3000)}" for _ in range(n)]
+    base = prose(400)
+    every = [f"x{k}" if k % 48 == 24 else w for k, w in enumerate(base)]
+    texts = {0: wrapped(base, 10), 1: wrapped(every, 10)}
+    similar, passage = set(), {}
+    for _ in range(150):  # copies with edits, wrapped at another width
+        own = prose(rng.choice((80, 150, 300, 600)))
+        other = edited(rng, own, rng.choice((0.01, 0.015, 0.02)))
+        i = len(texts)
+        texts |= {i: wrapped(own, rng.randrange(5, 20)), i + 1: wrapped(other, rng.randrange(5, 20))}
+        a, b = (set(substrings.shingles([w.encode() for w in x])) for x in (own, other))
+        if len(a & b) >= 0.8 * len(a | b):
+            similar.add(i + 1)
+    for _ in range(40):  # clean texts, and lines of fewer than 50 words together
+        texts[len(texts)] = wrapped(prose(rng.choice((20, 45, 300))), 9)
+    for _ in range(20):  # a near copy of some 300 words within texts that differ otherwise
+        own = prose(300)
+        i = len(texts)
+        texts |= {i + k: wrapped(prose(200) + (edited(rng, own, 0.012) if k else own) + prose(200), 11) for k in range(2)}
+        passage[i + 1] = i
+    found = substrings.repeats(documents(spark, list(texts.items()))).collect()
+    gone = {r.doc_id for r in found}
+    assert len(similar) > 90 and 1 in gone and len(gone & similar) >= 0.9 * len(similar)
+    assert len(gone & set(passage)) >= 0.9 * len(passage)
+    assert all(r.kept_id < r.doc_id for r in found)  # the texts that come first lose nothing, nor do clean ones
+    partner = dict(passage) | {i: i - 1 for i in range(1, 302, 2)}
+    for r in found:
+        assert partner[r.doc_id] == r.kept_id
+        if r.line is not None:
+            part = texts[r.doc_id][r.start : r.end]
+            assert len(part.split()) == r.n_words >= 50 and texts[r.doc_id].count("\n", 0, r.start) == r.line
+    whole = [r for r in found if r.doc_id == 1 and r.line == 0 and r.end == len(texts[1])]
+    assert len(whole) == 1 and whole[0].kept_start == 0
+    clean = {r.doc_id: r.text for r in substrings.cleaned(documents(spark, list(texts.items()))).collect()}
+    assert clean[1] == "" and all(clean[i] == t for i, t in texts.items() if i not in gone)
+
+
 def test_op6_cut():
     from probalink.llm.passages import cut
 
