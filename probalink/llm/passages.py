@@ -10,6 +10,7 @@ different words have the same bytes once in 65,535), and it reaches as far as th
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -36,6 +37,12 @@ def window_size(least: int) -> tuple[int, int]:
     return size, max(1, least - size + 1)
 
 
+def word_hashes(texts: list[list[bytes]]) -> np.ndarray:
+    """XXH64 of the words of all texts, one after another; a word is hashed once."""
+    known = {w: xxhash.xxh64_intdigest(w) for w in set(chain.from_iterable(texts))}
+    return np.fromiter(map(known.__getitem__, chain.from_iterable(texts)), np.uint64, sum(map(len, texts)))
+
+
 def leftmost_minima(hashes: np.ndarray, apart: int) -> np.ndarray:
     """For each place from which there are `apart` neighbours, the place of the smallest (leftmost, if tied) of them."""
     count = max(0, len(hashes) - apart + 1)
@@ -56,7 +63,7 @@ def windows_of(texts: list[str], size: int, apart: int) -> tuple[list[int], np.n
     if not own:
         return [], np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), []
     first = np.cumsum([0, *(len(words[k]) for k in own)])
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w) for k in own for w in words[k]), np.uint64, first[-1])
+    hashes = word_hashes([words[k] for k in own])
     total = np.zeros(len(hashes) - size + 1, np.uint64)
     for k in range(size):
         total = total * FACTOR + hashes[k : k + len(total)]

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from probalink.llm.common import fresh, scratch, slices, stored, text_of
 from probalink.llm.components import connected_components, hot_keys, joined
-from probalink.llm.passages import FACTOR, leftmost_minima, shared_passages, without, word_places
+from probalink.llm.passages import FACTOR, leftmost_minima, shared_passages, without, word_hashes, word_places
 from probalink.sources.storage import Scratch
 
 SHINGLE = 5
@@ -52,7 +52,7 @@ def shingle_hashes(paragraphs: list[list[bytes]], size: int = SHINGLE) -> tuple[
     of fewer words is filled up with empty ones."""
     words = [w if len(w) >= size else [*w, *[b""] * (size - len(w))] for w in paragraphs]
     first = np.cumsum([0, *map(len, words)])
-    own = np.fromiter((xxhash.xxh64_intdigest(w) for each in words for w in each), np.uint64, first[-1])
+    own = word_hashes(words)
     total = np.zeros(len(own) - size + 1, np.uint64)
     for k in range(size):
         total = total * FACTOR + own[k : k + len(total)]
@@ -113,7 +113,7 @@ def pieces_of(runs: list[list[bytes]], least: int) -> list[list[int]]:
     (the leftmost, if tied). A change of a word moves only the begins that are as near to it.
     """
     first = np.cumsum([0, *(len(w) for w in runs)])
-    own = np.fromiter((xxhash.xxh64_intdigest(w) for each in runs for w in each), np.uint64, first[-1])
+    own = word_hashes(runs)
     pairs = np.roll(own, 1) * FACTOR + own
     pairs = (pairs ^ pairs >> np.uint64(31)) * FACTOR
     gap = least - 1  # so many of the largest hash lie between two runs, which therefore don't see each other
