@@ -170,7 +170,21 @@ def shared_passages(df: DataFrame, least: int, id_col: str, text_col: str) -> Da
         # what the earliest place leaves unmatched is compared with all other contexts of its window, whether those matched or not
         others = compared.where(F.col("context") != F.col("__e.context"))
         still = others.groupBy("window").agg(F.count("*").alias("__n"), F.bool_or(~F.col("same")).alias("__any")).where("__n > 1 AND __any")
-        others = keep(joined(others, still.select("window"), ["window"], common, "left_semi").select("window", "context", "first", "same"), "others")
+        # Two contexts that have more words in common than either has with the earliest place's differ from that by the same word at the
+        # same place, before or after the window. Contexts without such a partner, of which one is unmatched, have no part to find.
+        before = after = F.lit(0)
+        for k in range(1, apart):
+            before += ((bytes_of("context", apart - 1 - k, k) == bytes_of("__e.context", apart - 1 - k, k)) & is_word(apart - 1 - k)).cast("int")
+            after += ((bytes_of("context", apart - 1, k) == bytes_of("__e.context", apart - 1, k)) & is_word(apart - 2 + k)).cast("int")
+        differs = [F.struct((-1 - n).alias("at") if sign < 0 else n.alias("at"), F.substring("context", at * WIDTH + 1, WIDTH).alias("word")) for sign, n, at in ((-1, before, apart - 2 - before), (1, after, apart - 1 + after))]
+        inside = [n < apart - 1 for n in (before, after)]
+        others = joined(others, still.select("window"), ["window"], common, "left_semi")
+        others = keep(others.select("window", "context", "first", "same", *(F.when(i, d).alias(name) for i, d, name in zip(inside, differs, ("left", "right")))), "others")
+        sides = [others.select("window", "context", "same", F.col(f"{n}.at").alias("at"), F.col(f"{n}.word").alias("word")) for n in ("left", "right")]
+        sides = sides[0].union(sides[1]).where(F.col("word") != F.lit(NONE))
+        shared = sides.groupBy("window", "at", "word").agg(F.count("*").alias("__n"), F.bool_or(~F.col("same")).alias("__any")).where("__n > 1 AND __any")
+        partners = sides.join(shared, ["window", "at", "word"], "left_semi").select("window", "context").distinct()
+        others = keep(others.select("window", "context", "first", "same").join(partners, ["window", "context"], "left_semi"), "partners")
         grams = others.withColumn("__at", F.explode(F.sequence(F.lit(0), F.lit(apart - 1))))
         grams = grams.withColumn("__part", F.substring(F.col("context"), F.col("__at") * WIDTH + 1, side))
         grams = grams.where((F.substring("__part", 1, WIDTH) != F.lit(NONE)) & (F.substring("__part", -WIDTH, WIDTH) != F.lit(NONE)))
@@ -188,7 +202,7 @@ def shared_passages(df: DataFrame, least: int, id_col: str, text_col: str) -> Da
             after += ((bytes_of("context", apart - 1, k) == bytes_of("keep.context", apart - 1, k)) & is_word(apart - 2 + k)).cast("int")
         keeps = keeps.where("keep.place != last").select("window", "context", "keep.place", "keep.word", before.alias("before"), after.alias("after"))
         keeps = keep(keeps.select("window", "context", F.struct("place", "word").alias("keep"), "before", "after"), "keeps")
-        keep.drop("compared", "others")
+        keep.drop("compared", "others", "partners")
         later = joined(rows, keeps, ["window", "context"], hot_keys(rows, "window", "context")).where("place != keep.place")
         later = later.withColumn("from", F.col("word") - F.col("before")).withColumn("to", F.col("word") + size + F.col("after"))
         document = Window.partitionBy(id_col, "__key").orderBy("from", "to")
