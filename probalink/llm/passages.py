@@ -9,7 +9,8 @@ different words have the same bytes once in 65,535), and it reaches as far as th
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -28,6 +29,8 @@ FACTOR = np.uint64(0x9E3779B97F4A7C15)
 WIDTH = 2
 NONE = bytes(WIDTH)
 EDGES = " \t\n\x0b\f\r"
+#: Contexts of a window up to which one task looks for those that share a part; the parts of more are dealt out as rows.
+TOGETHER = 4096
 
 
 def window_size(least: int) -> tuple[int, int]:
@@ -38,16 +41,34 @@ def window_size(least: int) -> tuple[int, int]:
 
 def leftmost_minima(hashes: np.ndarray, apart: int) -> np.ndarray:
     """For each place from which there are `apart` neighbours, the place of the smallest (leftmost, if tied) of them."""
-    count = max(0, len(hashes) - apart + 1)
-    least, place = hashes[:count].copy(), np.arange(count)
-    for k in range(1, apart):
-        other = hashes[k : k + count]
-        smaller = np.flatnonzero(other < least)
-        least[smaller] = other[smaller]
-        place[smaller] = smaller + k
+    least, place, width = hashes, np.arange(len(hashes)), 1
+    if len(hashes) < apart:
+        return place[:0]
+    while width < apart:  # the smallest of two overlapping stretches of `width` is that of both
+        step = min(width, apart - width)
+        place = np.where(least[step:] < least[:-step], place[step:], place[:-step])
+        least = np.minimum(least[step:], least[:-step])
+        width += step
     return place
 
 
+def run_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
+    """The hash of every run of `size` words, of their hashes h: the sum of h * FACTOR ** (words that follow), from sums of half as many."""
+    total, width = hashes, 1
+    for bit in bin(size)[3:]:
+        total = total[:-width] * np.uint64(pow(int(FACTOR), width, 1 << 64)) + total[width:]
+        width *= 2
+        if bit == "1":
+            total = total[:-1] * FACTOR + hashes[width:]
+            width += 1
+    return (total ^ total >> np.uint64(31)) * FACTOR
+
+
+def word_hashes(texts: Iterable[list[bytes]], count: int) -> np.ndarray:
+    """The hashes of all `count` words of texts."""
+    return np.fromiter(map(xxhash.xxh64_intdigest, chain.from_iterable(texts)), np.uint64, count)
+
+
 def windows_of(texts: list[str], size: int, apart: int) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
     """The chosen windows of texts, many at once: which texts have any, where each text's begin among all (and the end), their hashes
     and first words, and for each text WIDTH bytes for each of its words between apart - 1 empty ones on both sides."""
@@ -56,11 +77,8 @@ def windows_of(texts: list[str], size: int, apart: int) -> tuple[list[int], np.n
     if not own:
         return [], np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), []
     first = np.cumsum([0, *(len(words[k]) for k in own)])
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w) for k in own for w in words[k]), np.uint64, first[-1])
-    total = np.zeros(len(hashes) - size + 1, np.uint64)
-    for k in range(size):
-        total = total * FACTOR + hashes[k : k + len(total)]
-    total = (total ^ total >> np.uint64(31)) * FACTOR
+    hashes = word_hashes((words[k] for k in own), first[-1])
+    total = run_hashes(hashes, size)
     place = leftmost_minima(total, apart)
     groups = np.diff(first) - (size + apart - 2)  # windows whose neighbours all lie in the same text
     inside = np.arange(groups.sum()) + np.repeat(first[:-1] - np.cumsum(groups) + groups, groups)
@@ -101,6 +119,48 @@ def windows(df: DataFrame, least: int, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col), F.xxhash64(text).alias("__key"), text.alias("__text")).mapInArrow(run, schema)
 
 
+def nearest(others: DataFrame, side: int) -> DataFrame:
+    """(window, context, __nearer): for each context that isn't same, the smallest `first` of those of its window that share `side`
+    bytes of it at the same place, itself included. No window of others (window, context, first, same) has more than TOGETHER."""
+
+    def part(rows: pa.RecordBatch) -> pa.RecordBatch:  # whole windows, the contexts of each in the order of their first
+        own, near, last, seen = [], [], None, []
+        for row, (window, context, same) in enumerate(zip(*(rows.column(k).to_pylist() for k in (0, 1, 3)))):
+            if window != last:
+                last, seen = window, [{} for _ in range(0, side + 1, WIDTH)]
+            at = row
+            for k, parts in enumerate(seen):
+                found = context[k * WIDTH : k * WIDTH + side]
+                if found[:WIDTH] != NONE and found[-WIDTH:] != NONE:
+                    at = min(at, parts.setdefault(found, row))
+            if not same:
+                own.append(row)
+                near.append(at)
+        own, near = pa.array(own, pa.int64()), pa.array(near, pa.int64())
+        return pa.RecordBatch.from_arrays([rows.column(0).take(own), rows.column(1).take(own), rows.column(2).take(near)], ["window", "context", "__nearer"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: list[pa.RecordBatch] = []  # of the window that may go on
+        for batch in batches:
+            if batch.num_rows:
+                windows = batch.column(0).to_numpy()
+                start = int(np.searchsorted(windows, windows[-1]))
+                if rest and (start or rest[0].column(0)[0].as_py() != windows[0]):
+                    yield part(whole([*rest, batch.slice(0, start)]))
+                    rest = []
+                elif start:
+                    yield part(batch.slice(0, start))
+                rest.append(batch.slice(start))
+        if rest:
+            yield part(whole(rest))
+
+    def whole(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+        return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
+
+    rows = others.select("window", "context", "first", "same").repartition("window").sortWithinPartitions("window", "first")
+    return rows.mapInArrow(run, others.select("window", "context", F.col("first").alias("__nearer")).schema)
+
+
 def places(df: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(__id, __of, __word, __start, __end): where the wanted (__id, __of, __word) begin and end in their texts, in code points."""
 
@@ -128,7 +188,7 @@ def shared_passages(df: DataFrame, least: int, id_col: str, text_col: str) -> Da
     are the earliest place of its first passage. A passage reaches as far as its kept occurrence has the same words.
 
     A window's contexts are compared with that of its earliest place; those that this leaves unmatched are compared with all others of
-    the window, by each of their parts of apart - 1 words.
+    the window, by each of their parts of apart - 1 words: by one task, up to TOGETHER contexts of a window, and else as rows.
 
     Windows are counted by their hashes alone; places and contexts follow only of those that two rows share. Equal windows of equal
     contexts are one row before contexts are compared. Rows of hot windows meet what is known about their window without a shuffle.
@@ -163,16 +223,19 @@ def shared_passages(df: DataFrame, least: int, id_col: str, text_col: str) -> Da
         # what the earliest place leaves unmatched is compared with all other contexts of its window, whether those matched or not
         others = compared.where(F.col("context") != F.col("__e.context"))
         still = others.groupBy("window").agg(F.count("*").alias("__n"), F.bool_or(~F.col("same")).alias("__any")).where("__n > 1 AND __any")
-        others = keep(joined(others, still.select("window"), ["window"], common, "left_semi").select("window", "context", "first", "same"), "others")
-        grams = others.withColumn("__at", F.explode(F.sequence(F.lit(0), F.lit(apart - 1))))
-        grams = grams.withColumn("__part", F.substring(F.col("context"), F.col("__at") * WIDTH + 1, side))
-        grams = grams.where((F.substring("__part", 1, WIDTH) != F.lit(NONE)) & (F.substring("__part", -WIDTH, WIDTH) != F.lit(NONE)))
-        parts = grams.groupBy("window", "__at", "__part").agg(F.min("first").alias("keep"), F.count("*").alias("__n")).where("__n > 1").drop("__n")
-        part = ["window", "__at", "__part"]
-        wide = hot_keys(others, "window")  # a hot part is one of a hot window, as all windows have about as many parts a context
-        frequent = hot_keys(parted(grams, ["window"], wide)[1], *part) if wide else []
-        nearer = joined(grams.where("NOT same").select("context", *part), parts, part, frequent)
-        nearer = nearer.groupBy("window", "context").agg(F.min("keep").alias("__nearer"))
+        others = keep(joined(others, still.select("window", "__n"), ["window"], common).select("window", "context", "first", "same", "__n"), "others")
+        nearer = nearest(others.where(F.col("__n") <= TOGETHER), WIDTH * (apart - 1))
+        large = others.where(F.col("__n") > TOGETHER).drop("__n")
+        if not large.isEmpty():
+            grams = large.withColumn("__at", F.explode(F.sequence(F.lit(0), F.lit(apart - 1))))
+            grams = grams.withColumn("__part", F.substring(F.col("context"), F.col("__at") * WIDTH + 1, side))
+            grams = grams.where((F.substring("__part", 1, WIDTH) != F.lit(NONE)) & (F.substring("__part", -WIDTH, WIDTH) != F.lit(NONE)))
+            parts = grams.groupBy("window", "__at", "__part").agg(F.min("first").alias("keep"), F.count("*").alias("__n")).where("__n > 1").drop("__n")
+            part = ["window", "__at", "__part"]
+            wide = hot_keys(large, "window")  # a hot part is one of a hot window, as all windows have about as many parts a context
+            frequent = hot_keys(parted(grams, ["window"], wide)[1], *part) if wide else []
+            shared = joined(grams.where("NOT same").select("context", *part), parts, part, frequent)
+            nearer = nearer.union(shared.groupBy("window", "context").agg(F.min("keep").alias("__nearer")))
         keeps = compared.join(nearer, ["window", "context"], "left")
         keeps = keeps.withColumn("keep", F.when(F.col("same"), F.col("__e")).otherwise(F.coalesce("__nearer", "first")))
         before = after = F.lit(0)  # the words beside the window that the kept occurrence has too

@@ -23,11 +23,13 @@ from pyspark.sql import functions as F
 
 from probalink.llm.common import fresh, scratch, slices, stored, text_of
 from probalink.llm.components import connected_components, hot_keys, joined
-from probalink.llm.passages import FACTOR, leftmost_minima, shared_passages, without, word_places
+from probalink.llm.passages import FACTOR, leftmost_minima, run_hashes, shared_passages, without, word_hashes, word_places
 from probalink.sources.storage import Scratch
 
 SHINGLE = 5
 BANDS, ROWS = 16, 4
+#: Hashes of shingles that are mixed at once, so that they stay in a core's cache.
+BLOCK = 1 << 15
 #: Contents of a bucket, and bytes of their words, that are compared in one list; larger buckets are dealt into blocks of that size, and
 #: every two blocks are a list, so that a content of a bucket of n goes to n / MOST lists.
 MOST, MOST_BYTES = 512, 4_000_000
@@ -52,29 +54,33 @@ def shingle_hashes(paragraphs: list[list[bytes]], size: int = SHINGLE) -> tuple[
     of fewer words is filled up with empty ones."""
     words = [w if len(w) >= size else [*w, *[b""] * (size - len(w))] for w in paragraphs]
     first = np.cumsum([0, *map(len, words)])
-    own = np.fromiter((xxhash.xxh64_intdigest(w) for each in words for w in each), np.uint64, first[-1])
-    total = np.zeros(len(own) - size + 1, np.uint64)
-    for k in range(size):
-        total = total * FACTOR + own[k : k + len(total)]
+    own = run_hashes(word_hashes(words, first[-1]), size)
     many = np.diff(first) - size + 1
     starts = np.cumsum(many) - many
     inside = np.arange(many.sum()) + np.repeat(first[:-1] - starts, many)
-    return ((total ^ total >> np.uint64(31)) * FACTOR)[inside], starts
+    return own[inside], starts
 
 
 def bands(paragraphs: list[list[bytes]], count: int = BANDS, rows: int = ROWS) -> np.ndarray:
     """A key for each paragraph and band."""
     values, starts = shingle_hashes(paragraphs)
     a, b = multipliers(count * rows)
-    mixed = np.empty((len(paragraphs), count * rows), np.uint64)
-    for k in range(count * rows):
-        mixed[:, k] = np.minimum.reduceat(values * a[k] + b[k] >> np.uint64(16), starts)
+    mixed = np.empty((count * rows, len(paragraphs)), np.uint64)
+    blocks = [0, *(np.flatnonzero(np.diff(starts // BLOCK)) + 1).tolist(), len(paragraphs)]
+    for i, j in zip(blocks, blocks[1:]):
+        own = values[starts[i] : starts[j] if j < len(starts) else None]
+        product = np.empty_like(own)
+        for k in range(count * rows):
+            np.multiply(own, a[k], out=product)
+            np.add(product, b[k], out=product)
+            np.minimum.reduceat(product, starts[i:j] - starts[i], out=mixed[k, i:j])
+    mixed >>= np.uint64(16)
     out = np.empty((len(paragraphs), count), np.uint64)
     x, y = multipliers(count, 6)
     for band in range(count):
         key = np.full(len(paragraphs), band + 1, np.uint64)
         for k in range(band * rows, (band + 1) * rows):
-            key = (key ^ mixed[:, k]) * x[band] + y[band]
+            key = (key ^ mixed[k]) * x[band] + y[band]
             key ^= key >> np.uint64(29)
         out[:, band] = key
     return out.view(np.int64)
@@ -113,7 +119,7 @@ def pieces_of(runs: list[list[bytes]], least: int) -> list[list[int]]:
     (the leftmost, if tied). A change of a word moves only the begins that are as near to it.
     """
     first = np.cumsum([0, *(len(w) for w in runs)])
-    own = np.fromiter((xxhash.xxh64_intdigest(w) for each in runs for w in each), np.uint64, first[-1])
+    own = word_hashes(runs, first[-1])
     pairs = np.roll(own, 1) * FACTOR + own
     pairs = (pairs ^ pairs >> np.uint64(31)) * FACTOR
     gap = least - 1  # so many of the largest hash lie between two runs, which therefore don't see each other
@@ -200,36 +206,38 @@ def similar_links(members: Sequence[bytes], texts: Sequence[str], similarity: fl
         while len(others):
             j, others = int(others[0]), others[1:]
             small, large = sorted((len(own), len(sets[j])))
-            if small >= similarity * large and len(own & sets[j]) >= similarity * len(own | sets[j]) and ends_meet(i, j):
+            if small >= similarity * large and (both := len(own & sets[j])) >= similarity * (small + large - both) and ends_meet(i, j):
                 links.append((members[i], members[j]))
                 group[group == group[j]] = group[i]
                 others = others[group[others] != group[i]]
     return links
 
 
-def lists_of(contents: DataFrame) -> DataFrame:
-    """(list, content): contents (content, size, bands) that are to be compared with each other, each set of contents as one list
-    however many buckets have it.
+def lists_of(contents: DataFrame, keep: Scratch) -> DataFrame:
+    """(list, member): contents (content, size, bands) that are to be compared with each other, each set of contents as one list
+    however many buckets have it. A member is a content's hash; contents of one hash are members together, which compares them once more.
 
     Buckets are counted before they are dealt into blocks, and a list is known by its size and two sums of hashes: nothing is collected.
     """
-    keyed = contents.select("content", "size", F.explode("bands").alias("key"))
+    keyed = contents.select(F.xxhash64("content").alias("member"), "size", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("__n"), F.sum("size").alias("__bytes")).where("__n > 1")
     members = joined(keyed, shared, ["key"], hot_keys(keyed, "key"))
     members = members.withColumn("__blocks", F.ceil(F.greatest(F.col("__n") / MOST, F.col("__bytes") / MOST_BYTES)).cast("int"))
-    own, other = F.pmod(F.xxhash64("content"), F.col("__blocks")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1))
+    own, other = F.pmod("member", F.col("__blocks")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1))
     members = members.withColumn("__own", own).withColumn("__other", other)
-    members = members.select("key", F.least("__own", "__other").alias("i"), F.greatest("__own", "__other").alias("j"), "content")
-    sums = [F.count("*").alias("n"), F.sum(F.xxhash64("content").cast("decimal(38,0)")).alias("x"), F.bit_xor(F.xxhash64("content", F.lit(1))).alias("y")]
+    members = keep(members.select("key", F.least("__own", "__other").alias("i"), F.greatest("__own", "__other").alias("j"), "member"), "members")
+    sums = [F.count("*").alias("n"), F.sum(F.col("member").cast("decimal(38,0)")).alias("x"), F.bit_xor(F.xxhash64("member", F.lit(1))).alias("y")]
     lists = members.groupBy("key", "i", "j").agg(*sums).where("n > 1").groupBy("n", "x", "y").agg(F.min(F.struct("key", "i", "j")).alias("__k")).select("__k.*")
-    return members.join(lists, ["key", "i", "j"]).select(F.xxhash64("key", "i", "j").alias("list"), "content")
+    return members.join(lists, ["key", "i", "j"]).select(F.xxhash64("key", "i", "j").alias("list"), "member")
 
 
 def content_links(contents: DataFrame, found: DataFrame, similarity: float, keep: Scratch) -> DataFrame:
     """(a, b): links between contents (content, size, bands) that verified similar; found has their words."""
-    wanted = keep(lists_of(contents), "lists")
-    texts = found.join(wanted.select("content").distinct(), "content", "left_semi").groupBy("content").agg(F.min("words").alias("words"))
-    rows = wanted.join(texts, "content").select("list", "content", "words").repartition("list").sortWithinPartitions("list", "content")
+    wanted = keep(lists_of(contents, keep), "lists")
+    keep.drop("members")
+    texts = found.select(F.xxhash64("content").alias("member"), "content", "words").join(wanted.select("member").distinct(), "member", "left_semi")
+    texts = texts.groupBy("member", "content").agg(F.min("words").alias("words"))
+    rows = wanted.join(texts, "member").select("list", "content", "words").repartition("list").sortWithinPartitions("list", "content")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def links() -> Iterator[list[tuple[bytes, bytes]]]:  # a list's rows follow each other, in one batch or more

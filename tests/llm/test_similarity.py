@@ -192,6 +192,52 @@ def test_op6_earlier_fragments_hide_no_passage(spark):
     assert {r.doc_id for r in found} == shared_later(texts, 50) == hidden
 
 
+def test_op6_contexts_of_a_window_are_no_rows_for_each_part(spark, monkeypatch):
+    rng = random.Random(11)
+    prose = lambda n: [f"{rng.choice('abcd')}{rng.randrange(10**6)}" for _ in range(n)]
+    texts = {}
+    for many in (3, 5, 40):  # fragments of a passage, each with a neighbourhood that others share in part or not at all
+        left, window, right = prose(16), prose(34), prose(16)
+        for _ in range(many):
+            a, b = rng.randrange(17), rng.randrange(17)
+            texts[len(texts)] = " ".join(prose(46 - a) + left[16 - a :] + window + right[:b] + prose(46 - b))
+    df = documents(spark, list(texts.items()))
+    with monkeypatch.context() as m:
+        m.setattr(passages.F, "sequence", None)  # which rows for each part would take
+        few = passages.shared_passages(df, 50, "doc_id", "text").collect()
+    assert {r.doc_id for r in few} == shared_later(texts, 50) != set()
+    for together in (0, 4):  # as rows: all windows, or the larger ones
+        monkeypatch.setattr(passages, "TOGETHER", together)
+        assert Counter(passages.shared_passages(df, 50, "doc_id", "text").collect()) == Counter(few)
+
+
+def test_op6_nearest_contexts_across_batches(spark):
+    rng = random.Random(12)
+    rows = [(w, bytes(rng.choice((0, 1, 1, 1, 2)) for _ in range(8)), k, rng.random() < 0.3) for w in range(60) for k in range(rng.choice((1, 2, 9, 40)))]
+    rng.shuffle(rows)
+    parts = lambda c: {(k, c[k : k + 4]) for k in (0, 2, 4) if c[k : k + 2] != b"\0\0" != c[k + 2 : k + 4]}
+    expected = {(w, k, min(j for v, d, j, _ in rows if v == w and (j == k or parts(c) & parts(d)))) for w, c, k, same in rows if not same}
+    others = spark.createDataFrame([(w, c, (k, c), same) for w, c, k, same in rows], "window long, context binary, first struct<k: int, context: binary>, same boolean")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        found = passages.nearest(others.withColumn("context", F.concat("context", F.lit(b"."), F.col("first.k").cast("string").cast("binary"))), 4).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert {(r.window, int(bytes(r.context)[9:]), r["__nearer"].k) for r in found} == expected and len(found) == len(expected)
+
+
+def test_op6_hashes_and_minima_are_those_of_plain_loops():
+    rng = np.random.default_rng(13)
+    hashes = rng.integers(0, 50, 300).astype(np.uint64)
+    factor = int(passages.FACTOR)
+    for size in (1, 2, 3, 5, 34, 99, 300):
+        minima = passages.leftmost_minima(hashes, size).tolist()
+        assert minima == [i + int(np.argmin(hashes[i : i + size])) for i in range(301 - size)]
+        sums = [sum(int(h) * factor ** (size - 1 - k) for k, h in enumerate(hashes[i : i + size])) % 2**64 for i in range(301 - size)]
+        assert passages.run_hashes(hashes, size).tolist() == [(x ^ x >> 31) * factor % 2**64 for x in sums]
+    assert len(passages.leftmost_minima(hashes[:3], 4)) == 0
+
+
 def test_op6_passages_go_whole(spark):
     rng = random.Random(10)
     prose = lambda n: [f"{rng.choice('abcdé')}{rng.randrange(10**6)}" for _ in range(n)]
