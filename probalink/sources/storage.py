@@ -43,7 +43,7 @@ def written(df: DataFrame, path: str) -> DataFrame:
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:
-        df.select("*").write.parquet(path)  # a plan made under this setting
+        df.select("*").write.option("compression", "zstd").parquet(path)  # a plan made under this setting
     finally:
         spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

@@ -84,3 +84,14 @@ def test_stream_asks_each_key_once(spark, tmp_path):
         score_stream(stream, score, "id", str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
     found = spark.read.parquet(str(tmp_path / "out")).select("id").collect()
     assert sorted(r.id for r in found) == [1, 2, 3]
+
+
+def test_stored_tables_are_written_small(spark):
+    import pyarrow.parquet as pq
+
+    from probalink.sources import storage
+
+    df = storage.stored(spark.range(1000).selectExpr("id", "repeat('some words ', 50) AS text"), "small")
+    files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in df.inputFiles()]
+    assert {m.row_group(g).column(c).compression for m in files for g in range(m.num_row_groups) for c in range(2)} == {"ZSTD"}
+    assert df.count() == 1000 and df.where("text = repeat('some words ', 50)").count() == 1000
