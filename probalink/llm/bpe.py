@@ -188,29 +188,31 @@ class Encoder:
     def learn(self, pieces: Iterable[str]) -> dict[str, bytes]:
         """The ids of pieces (matches of the pattern) as little-endian unsigned 32-bit numbers; remembers those of short ones."""
         found: dict[str, bytes] = {}
-        by_width: dict[int, list[tuple[str, bytes]]] = {}
+        known, rank_of = self.pieces, self.ranks.get
+        by_length: list[list[str]] = [[] for _ in range(SHORT + 1)]
         for piece in set(pieces):
-            known = self.pieces.get(piece)
-            if known is not None:
-                found[piece] = known
-                continue
-            raw = piece.encode()
-            whole = self.ranks.get(raw)
-            if whole is not None:
-                found[piece] = whole.to_bytes(4, "little")
-            elif len(raw) > SHORT:
-                found[piece] = np.array(self.merge(raw), "<u4").tobytes()
-                continue
-            else:
-                by_width.setdefault(1 << (len(raw) - 1).bit_length(), []).append((piece, raw))
-                continue
-            self.pieces[piece] = found[piece]
-        if len(self.pieces) > self.remembered:
-            self.pieces.clear()
-        for width, group in by_width.items():
-            new = dict(zip([p for p, _ in group], self.merged_rows([raw for _, raw in group], width)))
-            found |= new
-            self.pieces |= new
+            ids = known.get(piece)
+            if ids is None:
+                raw = piece.encode()
+                whole = rank_of(raw)
+                if whole is not None:
+                    known[piece] = ids = whole.to_bytes(4, "little")
+                elif len(raw) > SHORT:
+                    ids = np.array(self.merge(raw), "<u4").tobytes()
+                else:
+                    by_length[len(raw)].append(piece)
+                    continue
+            found[piece] = ids
+        if len(known) > self.remembered:
+            known.clear()
+        width = 1
+        while width <= SHORT:  # pieces of one width, the next power of two, are merged together
+            group = [p for own in by_length[width // 2 + 1 : width + 1] for p in own]
+            if group:
+                new = dict(zip(group, self.merged_rows([p.encode() for p in group], width)))
+                found |= new
+                known |= new
+            width *= 2
         return found
 
     def encode_texts(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -237,8 +239,12 @@ class Encoder:
         used = np.zeros(len(distinct), bool)
         used[index[later]] = True
         found = [known.get(c) if u else b"" for c, u in zip(distinct, used.tolist())]
-        missing = [k for k, ids in enumerate(found) if ids is None and distinct[k] and not distinct[k][-1].isspace()]
-        odd = np.array([ids is None and (not c or c[-1].isspace()) for c, ids in zip(distinct, found)], bool)
+        missing, odd = [], np.zeros(len(distinct), bool)
+        for k in [k for k, ids in enumerate(found) if ids is None]:
+            if distinct[k] and not distinct[k][-1].isspace():
+                missing.append(k)
+            else:
+                odd[k] = True
         heads = flat.take(pa.array(starts[:-1])).to_pylist()
         alone = np.zeros(len(texts), bool)
         if odd.any():
@@ -257,7 +263,9 @@ class Encoder:
             parts.append(ids_of[piece])
         if parts:
             found[next(chunks)] = b"".join(parts)
-        known |= {c: ids for c, ids in zip(map(distinct.__getitem__, missing), map(found.__getitem__, missing)) if len(c) <= 64}
+        for k in missing:
+            if len(distinct[k]) <= 64:
+                known[distinct[k]] = found[k]
         found = [ids or b"" for ids in found]
         # the first chunk of a text, or a text that goes as a whole, is an entry of its own
         first = {k: b"".join([ids_of[p] for p in own]) for k, own in special.items()}

@@ -143,3 +143,12 @@ def test_op4_rows(spark, library, monkeypatch, sent):
         assert [p[0] for p in own] == list(range(len(own))) and [p[1] for p in own] == [sum(q[2] for q in own[:k]) for k in range(len(own))] and all(p[2] == 1024 for p in own[1:])
     assert by_document[2] == [(0, 0, 1, [2])] and len(by_document[9]) == 2
     assert packing.packed(documents(spark, []), JSON, P.PATTERN).count() == 0
+
+
+def test_pieces_of_every_length_are_those_of_trees_of_their_own():
+    own = bpe.Encoder(bpe.read_json(JSON)[0], P.PATTERN)
+    rng = random.Random(3)
+    pieces = ["".join(rng.choice("abeinorst") for _ in range(n)) for n in range(1, 41) for _ in range(20)]
+    found = own.learn(pieces)
+    assert {p: np.frombuffer(found[p], "<u4").tolist() for p in pieces} == {p: own.merge(p.encode()) for p in pieces}
+    assert own.learn(pieces) == found
