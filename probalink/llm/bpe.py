@@ -6,7 +6,8 @@ three positions (the merged pair, the swallowed neighbour and the pair to the le
 root. Short pieces go through such trees many at once, a row of a matrix each (`merged_rows`); a long piece has a tree of its own,
 whose leaves are blocks of LEAF positions (`PairRanks`).
 
-Encodings of pieces, and of whole space-delimited chunks, are remembered in bounded tables: texts repeat words.
+Texts are cut into the matches of the pattern all at once, by comparing the kinds of neighbouring characters (`matches`), and each
+distinct piece of a slice is encoded once. Encodings of short pieces are remembered in a bounded table: texts repeat words.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from __future__ import annotations
 import base64
 import functools
 import json
+import sys
 from collections.abc import Iterable
 
 import numpy as np
@@ -28,9 +30,54 @@ from probalink.llm.common import in_arrow, text_of
 LEAF = 32
 #: Pieces of more bytes get a tree of their own.
 SHORT = 32
-#: Entries after which a table of remembered encodings starts anew.
+#: Entries after which the table of remembered encodings starts anew.
 REMEMBERED = 500_000
 NO_RANK = 1 << 25
+#: The pattern that `matches` knows.
+RUNS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+@functools.cache
+def kinds() -> np.ndarray:
+    """Of every code point: white space 0, letter 1, number 2, anything else 3."""
+    points = "".join(map(chr, [*range(0xD800), *range(0xE000, sys.maxunicode + 1)]))
+    out = np.full(sys.maxunicode + 1, 3, np.uint8)
+    for kind, of in enumerate((r"\s", r"\p{L}", r"\p{N}")):
+        out[np.frombuffer("".join(regex.findall(of, points)).encode("utf-32-le"), "<u4")] = kind
+    return out
+
+
+def matches(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Where the matches of RUNS begin in the UTF-8 bytes of texts that begin and end at bounds.
+
+    A match is a run of characters of one kind, except that the last character of white space before another kind goes to the run
+    behind it if it is a space, and else stands alone, and that an apostrophe at the begin of a match goes to the letters of a contraction.
+    """
+    if not len(data):
+        return np.zeros(0, np.int64)
+    kind, high = kinds()[data], data >= 0x80
+    if high.any():
+        points = np.frombuffer(data[high].tobytes().decode().encode("utf-32-le"), "<u4")
+        kind[high] = np.repeat(kinds()[points], 2 + (points >= 0x800) + (points >= 0x10000))
+    first = np.zeros(len(data) + 1, bool)
+    first[bounds] = True
+    first = first[:-1]
+    cut = first.copy()
+    cut[1:] |= kind[1:] != kind[:-1]
+    last = np.flatnonzero((kind[:-1] == 0) & (kind[1:] != 0) & ~first[1:])  # the last byte of white space
+    cut[last[data[last] == 32] + 1] = False
+    for _ in range(2):  # to the first byte of its character
+        last = last - ((data[last] & 0xC0) == 0x80)
+    cut[last] = True
+    mark = np.flatnonzero((data[:-1] == 39) & cut[:-1] & ~first[1:])
+    more = mark[mark + 2 < len(data)]
+    more = more[~first[more + 2]]
+    one = mark[np.isin(data[mark + 1], list(b"stmd"))]
+    two = more[np.isin(data[more + 1].astype(np.int64) * 256 + data[more + 2], [int.from_bytes(x) for x in (b"re", b"ve", b"ll")])]
+    cut[np.concatenate([one, two]) + 1] = False
+    ends = np.concatenate([one + 2, two + 3])
+    cut[ends[ends < len(data)]] = True
+    return np.flatnonzero(cut)
 
 
 class PairRanks:
@@ -77,8 +124,7 @@ class Encoder:
         self.special = special or {}
         self.at_special = regex.compile("(" + "|".join(regex.escape(s) for s in self.special) + ")") if self.special else None
         self.bytes_of = {rank: piece for piece, rank in ranks.items()} | {i: s.encode() for s, i in self.special.items()}
-        self.pieces: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        self.pieces: dict[bytes, bytes] = {}
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         pairs = {(ranks[t[:k]] << 20) + ranks[t[k:]]: rank for t, rank in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks}
         self.pair_keys = np.array(sorted(pairs), np.int64)
@@ -185,102 +231,59 @@ class Encoder:
             i = after[i]
         return ids
 
-    def learn(self, pieces: Iterable[str]) -> dict[str, bytes]:
+    def codes(self, pieces: list[bytes]) -> list[bytes]:
         """The ids of pieces (matches of the pattern) as little-endian unsigned 32-bit numbers; remembers those of short ones."""
-        found: dict[str, bytes] = {}
         known, rank_of = self.pieces, self.ranks.get
-        by_length: list[list[str]] = [[] for _ in range(SHORT + 1)]
-        for piece in set(pieces):
-            ids = known.get(piece)
-            if ids is None:
-                raw = piece.encode()
-                whole = rank_of(raw)
-                if whole is not None:
-                    known[piece] = ids = whole.to_bytes(4, "little")
-                elif len(raw) > SHORT:
-                    ids = np.array(self.merge(raw), "<u4").tobytes()
-                else:
-                    by_length[len(raw)].append(piece)
-                    continue
-            found[piece] = ids
         if len(known) > self.remembered:
             known.clear()
-        width = 1
-        while width <= SHORT:  # pieces of one width, the next power of two, are merged together
-            group = [p for own in by_length[width // 2 + 1 : width + 1] for p in own]
-            if group:
-                new = dict(zip(group, self.merged_rows([p.encode() for p in group], width)))
-                found |= new
-                known |= new
-            width *= 2
+        found = list(map(known.get, pieces))
+        by_width: list[list[int]] = [[] for _ in range(SHORT.bit_length())]  # pieces of one width, a power of two, are merged together
+        for k in [k for k, ids in enumerate(found) if ids is None]:
+            piece = pieces[k]
+            whole = rank_of(piece)
+            if whole is not None:
+                known[piece] = found[k] = whole.to_bytes(4, "little")
+            elif len(piece) > SHORT:
+                found[k] = np.array(self.merge(piece), "<u4").tobytes()
+            else:
+                by_width[(len(piece) - 1).bit_length()].append(k)
+        for power, own in enumerate(by_width):
+            if own:
+                group = [pieces[k] for k in own]
+                new = self.merged_rows(group, 1 << power)
+                known.update(zip(group, new))
+                for k, ids in zip(own, new):
+                    found[k] = ids
         return found
 
-    def encode_texts(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of whole texts without special strings: all ids in one array, and where each text's begin and end in it.
+    def learn(self, pieces: Iterable[str]) -> dict[str, bytes]:
+        """The ids of each of pieces, as codes gives them."""
+        distinct = list(set(pieces))
+        return dict(zip(distinct, self.codes([p.encode() for p in distinct])))
+
+    def cut(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The matches of the pattern in all texts, and where each text's begin and end among them."""
+        if self.pattern.pattern != RUNS:
+            found = [self.pattern.findall(t) for t in texts.to_pylist()]
+            return pa.array([p for own in found for p in own], pa.large_string()), np.cumsum([0, *map(len, found)])
+        texts = texts.cast(pa.large_string())
+        bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = (texts.buffers()[2] or pa.py_buffer(b"")).slice(bounds[0], bounds[-1] - bounds[0])
+        bounds = bounds - bounds[0]
+        begins = matches(np.frombuffer(data, np.uint8), bounds)
+        pieces = pa.LargeStringArray.from_buffers(len(begins), pa.py_buffer(np.append(begins, bounds[-1])), data)
+        return pieces, np.searchsorted(begins, bounds)
 
-        No match of the pattern goes on from a character that isn't white space into a white-space character, and none looks
-        back, so a text may be cut before every such space and each chunk encoded, and remembered, by itself. A text where a chunk
-        is empty or ends in white space has a space that isn't such a place, and goes through the pattern as a whole.
-        """
-        if len(self.chunks) > self.remembered:
-            self.chunks.clear()
-        known = self.chunks
+    def encode_texts(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of whole texts without special strings: all ids in one array, and where each text's begin and end in it."""
         texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
         if not len(texts):
             return np.zeros(0, np.uint32), np.zeros(1, np.int64)
-        split = pc.split_pattern(texts.cast(pa.large_string()), " ")
-        starts = np.asarray(split.offsets, np.int64)
-        starts, flat = starts - starts[0], split.flatten()
-        coded = flat.dictionary_encode()
-        index = np.asarray(coded.indices, np.int64)
-        distinct = coded.dictionary.to_pylist()
-        later = np.ones(len(index), bool)
-        later[starts[:-1]] = False
-        used = np.zeros(len(distinct), bool)
-        used[index[later]] = True
-        found = [known.get(c) if u else b"" for c, u in zip(distinct, used.tolist())]
-        missing, odd = [], np.zeros(len(distinct), bool)
-        for k in [k for k, ids in enumerate(found) if ids is None]:
-            if distinct[k] and not distinct[k][-1].isspace():
-                missing.append(k)
-            else:
-                odd[k] = True
-        heads = flat.take(pa.array(starts[:-1])).to_pylist()
-        alone = np.zeros(len(texts), bool)
-        if odd.any():
-            alone[np.searchsorted(starts, np.flatnonzero(odd[index] & later), side="right") - 1] = True
-        several = np.diff(starts) > 1
-        special = {k: self.pattern.findall(texts[k].as_py() if alone[k] or (several[k] and h[-1].isspace()) else h) for k, h in enumerate(heads) if alone[k] or h}
-        for k in special:
-            alone[k] |= bool(several[k] and heads[k] and heads[k][-1].isspace())
-        pieces = self.pattern.findall("".join([f" {distinct[k]}" for k in missing]))  # a chunk begins where a piece begins with its space
-        ids_of = self.learn([*pieces, *(p for own in special.values() for p in own)])
-        chunks, parts = iter(missing), []
-        for piece in pieces:
-            if piece[0] == " " and parts:
-                found[next(chunks)] = b"".join(parts)
-                parts = []
-            parts.append(ids_of[piece])
-        if parts:
-            found[next(chunks)] = b"".join(parts)
-        for k in missing:
-            if len(distinct[k]) <= 64:
-                known[distinct[k]] = found[k]
-        found = [ids or b"" for ids in found]
-        # the first chunk of a text, or a text that goes as a whole, is an entry of its own
-        first = {k: b"".join([ids_of[p] for p in own]) for k, own in special.items()}
-        pool = [*found, *first.values(), b""]
-        index[starts[:-1]] = len(pool) - 1
-        index[starts[np.fromiter(first, np.int64, len(first))]] = len(found) + np.arange(len(first))
-        if alone.any():
-            index[np.repeat(alone, np.diff(starts)) & later] = len(pool) - 1
-        lengths = np.array([len(ids) >> 2 for ids in pool], np.int64)
-        begins = np.cumsum(lengths) - lengths
-        each = lengths[index]
-        ends = np.cumsum(each)
-        total = int(ends[-1])
-        at = np.repeat(begins[index] - ends + each, each) + np.arange(total)
-        return np.frombuffer(b"".join(pool), "<u4")[at], np.concatenate([[0], ends])[starts]
+        pieces, starts = self.cut(texts)
+        coded = pieces.dictionary_encode()
+        codes = pa.array(self.codes(coded.dictionary.cast(pa.large_binary()).to_pylist()), pa.large_binary()).take(coded.indices)
+        ends = np.frombuffer(codes.buffers()[1], np.int64)[: len(codes) + 1] >> 2
+        return np.frombuffer(codes.buffers()[2] or b"", "<u4", ends[-1]), ends[starts]
 
     def encode_batch(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """As encode_texts, with special strings as their ids."""

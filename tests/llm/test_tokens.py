@@ -1,13 +1,16 @@
 from __future__ import annotations
 
 import base64
+import cProfile
 import hashlib
+import pstats
 import random
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from data import ODD, PROSE, clashing, documents
@@ -152,3 +155,37 @@ def test_pieces_of_every_length_are_those_of_trees_of_their_own():
     found = own.learn(pieces)
     assert {p: np.frombuffer(found[p], "<u4").tolist() for p in pieces} == {p: own.merge(p.encode()) for p in pieces}
     assert own.learn(pieces) == found
+
+
+def test_cuts_are_the_matches_of_the_pattern():
+    own = bpe.encoder(JSON, P.PATTERN)
+    assert P.PATTERN == bpe.RUNS
+    rng = random.Random(11)
+    near = ["'", "s", "t", "re", "r", "ve", "l", "ll", "S", " ", "\n", "\t", "\x85", "\xa0", "\u2003", "\u3000", "\u0300", "é", "漢", "😀", "𝟙", "٣", "²", "!", "1", "\0", "\x1c"]
+    some = ["".join(rng.choices(near, k=rng.randint(0, 12))) for _ in range(30_000)]
+    some += ["".join(chr(c) for c in range(k, k + 64) for _ in (0, rng.randint(0, 1))) for k in range(0, 0x30000, 64) if not 0xD800 <= k < 0xE000]
+    for first, last in ((0, len(some)), (17, 9_000), (5, 5)):  # also slices of an array
+        pieces, starts = own.cut(pa.array(some).slice(first, last - first))
+        pieces = pieces.to_pylist()
+        assert [pieces[a:b] for a, b in zip(starts, starts[1:])] == [own.pattern.findall(t) for t in some[first:last]]
+    for none in ([""], ["", ""], ["", "a", ""]):
+        ids, ends = own.encode_batch(none)
+        assert ends.tolist() == [0, *np.cumsum([len(t) for t in none])] and len(ids) == ends[-1]
+
+
+def test_other_patterns_are_searched():
+    pattern = r"\p{L}{1,3}|[^\p{L}]"
+    ranks = bpe.read_ranks(MULTI)
+    own, right = bpe.Encoder(ranks, pattern), tiktoken.Encoding("other", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    assert [own.encode(t) for t in texts(6, 200)] == [right.encode_ordinary(t) for t in texts(6, 200)]
+
+
+def test_no_step_for_each_word_that_repeats_its_pieces():
+    """Chunks between spaces all differ, but consist of few pieces: the encoder may take steps for each piece, not for each chunk."""
+    words = [a + b for a in "bcdfghklmn" for b in ("ana", "olo", "ete", "iri", "uku")]
+    text = " ".join(f"{a}.\n{b}{end}" for a in words for b in words for end in ",;!")
+    own = bpe.Encoder(bpe.read_json(JSON)[0], P.PATTERN)
+    profile = cProfile.Profile()
+    ids, _ = profile.runcall(own.encode_texts, [text])
+    assert own.decode(ids.tolist()) == text.encode()
+    assert pstats.Stats(profile).total_calls < text.count(" ")
