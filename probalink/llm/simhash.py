@@ -130,7 +130,7 @@ def links(fingerprints: DataFrame, radius: int = 4, most: int = 256) -> DataFram
     masks_near = [m - (1 << BITS) if m >> (BITS - 1) else m for m in ball(radius // 2)]
     centres = stored(large.select("fingerprint").distinct(), "large")
     centres = centres.select("fingerprint", F.explode(F.lit(masks_near)).alias("__flip")).select("fingerprint", F.col("fingerprint").bitwiseXOR(F.col("__flip")).alias("u"))
-    starred = with_minimum(centres.select("u", F.col("fingerprint").alias("v")))
+    starred = with_minimum(centres.select("u", F.col("fingerprint").alias("v")), grown=True)
     return near.union(starred.where("v != m").select(F.col("v").alias("a"), F.col("m").alias("b"))).distinct()
 
 

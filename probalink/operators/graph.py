@@ -13,9 +13,9 @@ from probalink.sources.storage import Scratch
 MOST_ROUNDS = 60
 
 
-def with_minimum(edges: DataFrame, hot: Sequence[int] | None = None) -> DataFrame:
-    """Each edge (u, v) with m, the smallest v of its u. hot: the hot u, if they are known; edges of these aren't shuffled."""
-    return joined(edges, edges.groupBy("u").agg(F.min("v").alias("m")), ["u"], hot_keys(edges, "u") if hot is None else hot)
+def with_minimum(edges: DataFrame, hot: Sequence[int] | None = None, grown: bool = False) -> DataFrame:
+    """Each edge (u, v) with m, the smallest v of its u. hot: the hot u, if they are known; edges of these aren't shuffled. grown: see `joined`."""
+    return joined(edges, edges.groupBy("u").agg(F.min("v").alias("m")), ["u"], hot_keys(edges, "u") if hot is None else hot, grown=grown)
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -43,9 +43,10 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         state = now
         both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # an edge of large has one of its ends as u, so its hubs are among those of both
-        hubs = hot_keys(both, "u") if 2 * state[0] > FEW else []
-        large = with_minimum(both, hubs).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
-        down = with_minimum(keep(large, f"large-{number}"), hubs)  # written, as the plan of the next step holds it several times
+        many = 2 * state[0] > FEW  # and then not to be broadcast, however small the files are that hold them
+        hubs = hot_keys(both, "u") if many else []
+        large = with_minimum(both, hubs, many).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
+        down = with_minimum(keep(large, f"large-{number}"), hubs, many)  # written, as the plan of the next step holds it several times
         ends = F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v"))))
         current, now = round_of(down.select(ends.alias("e")).select("e.u", "e.v").where("u != v").distinct(), number + 1)
         keep.drop(f"large-{number}")

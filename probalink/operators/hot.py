@@ -39,14 +39,16 @@ def parted(df: DataFrame, keys: Sequence[str], hot: Sequence[int]) -> tuple[Data
     return tuple(df.join(table, hashed(*keys) == F.col(name), how) for how in ("left_anti", "left_semi"))
 
 
-def joined(left: DataFrame, right: DataFrame, keys: Sequence[str], hot: Sequence[int], how: str = "inner", null_safe: bool = False) -> DataFrame:
+def joined(left: DataFrame, right: DataFrame, keys: Sequence[str], hot: Sequence[int], how: str = "inner", null_safe: bool = False, grown: bool = False) -> DataFrame:
     """left.join(right, keys, how) for a right that has each key once, its columns after those of left.
 
     Rows of hot keys aren't shuffled: their partners, as many as there are hot keys, are broadcast. The rest is joined as usual, with
-    no key that one task couldn't take. null_safe: null keys are equal.
+    no key that one task couldn't take. null_safe: null keys are equal. grown: right has more rows than Spark thinks, as what is made of
+    exploded rows has, whose number it takes for that before the explode: it is sorted, not broadcast through the driver.
     """
 
-    def plain(a: DataFrame, b: DataFrame) -> DataFrame:
+    def plain(a: DataFrame, b: DataFrame, grown: bool = False) -> DataFrame:
+        b = b.hint("merge") if grown else b
         if not null_safe:
             return a.join(b, list(keys), how)
         b = b.withColumnsRenamed({k: f"__right_{k}" for k in keys})
@@ -54,6 +56,6 @@ def joined(left: DataFrame, right: DataFrame, keys: Sequence[str], hot: Sequence
         return a.join(b, condition, how).drop(*[f"__right_{k}" for k in keys])
 
     if not hot:
-        return plain(left, right)
+        return plain(left, right, grown)
     cold, warm = parted(left, keys, hot)
-    return plain(cold, right).unionByName(plain(warm, F.broadcast(parted(right, keys, hot)[1])))
+    return plain(cold, right, grown).unionByName(plain(warm, F.broadcast(parted(right, keys, hot)[1])))

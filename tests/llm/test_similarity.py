@@ -92,6 +92,14 @@ def test_op8_large_buckets_lose_no_link(spark):
     check_components(spark, 1)
 
 
+def test_op8_exploded_rows_are_not_broadcast(spark):
+    """A few large buckets fill a small file, but their balls are 2,081 times as many rows, and buckets 31 times."""
+    prints = simhash.stored(spark.range(500).select(F.col("id").alias("fingerprint")), "prints")
+    for most in (4, 256):
+        plan = simhash.links(prints, most=most)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+
+
 def test_op8_fingerprint_is_the_shingles_xxhash64(spark):
     assert spark.sql("SELECT xxhash64('a b c d')").first()[0] % (1 << 64) == xxhash.xxh64_intdigest(b"a b c d", 42)
     assert queries.op8_simhash(spark, "/root/testdata/sf0.001").where("length(fingerprint) = 16").count() == 200
