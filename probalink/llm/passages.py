@@ -198,7 +198,7 @@ def shared_passages(df: DataFrame, least: int, id_col: str, text_col: str) -> Da
         texts = keep(windows(df, least, id_col, text_col), "texts")
         each = texts.select(id_col, "__key", F.posexplode("windows").alias("__at", "window"))
         several = each.groupBy("window").agg(F.count("*").alias("__n")).where("__n > 1").select("window")
-        hits = keep(joined(each, several, ["window"], hot_keys(each, "window"), "left_semi").select(F.col(id_col).alias("__id"), F.col("__key").alias("__of"), "__at"), "hits")
+        hits = keep(joined(each, several, ["window"], hot_keys(each, "window"), "left_semi", grown=True).select(F.col(id_col).alias("__id"), F.col("__key").alias("__of"), "__at"), "hits")
         lists = hits.groupBy("__id", "__of").agg(F.collect_set("__at").alias("__ats"))
         own = texts.join(lists, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__of"))).withColumn("__at", F.explode("__ats"))
         value = lambda name: F.get(F.col(name), F.col("__at"))
@@ -234,7 +234,7 @@ def shared_passages(df: DataFrame, least: int, id_col: str, text_col: str) -> Da
             part = ["window", "__at", "__part"]
             wide = hot_keys(large, "window")  # a hot part is one of a hot window, as all windows have about as many parts a context
             frequent = hot_keys(parted(grams, ["window"], wide)[1], *part) if wide else []
-            shared = joined(grams.where("NOT same").select("context", *part), parts, part, frequent)
+            shared = joined(grams.where("NOT same").select("context", *part), parts, part, frequent, grown=True)
             nearer = nearer.union(shared.groupBy("window", "context").agg(F.min("keep").alias("__nearer")))
         keeps = compared.join(nearer, ["window", "context"], "left")
         keeps = keeps.withColumn("keep", F.when(F.col("same"), F.col("__e")).otherwise(F.coalesce("__nearer", "first")))

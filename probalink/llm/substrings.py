@@ -221,7 +221,7 @@ def lists_of(contents: DataFrame, keep: Scratch) -> DataFrame:
     """
     keyed = contents.select(F.xxhash64("content").alias("member"), "size", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("__n"), F.sum("size").alias("__bytes")).where("__n > 1")
-    members = joined(keyed, shared, ["key"], hot_keys(keyed, "key"))
+    members = joined(keyed, shared, ["key"], hot_keys(keyed, "key"), grown=True)
     members = members.withColumn("__blocks", F.ceil(F.greatest(F.col("__n") / MOST, F.col("__bytes") / MOST_BYTES)).cast("int"))
     own, other = F.pmod("member", F.col("__blocks")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1))
     members = members.withColumn("__own", own).withColumn("__other", other)
