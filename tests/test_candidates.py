@@ -90,6 +90,34 @@ def test_best_partners_are_those_of_all_pairs(spark):
     assert sorted((r.a_id, r.b_id, r.name_sim, r.candidate_rank) for r in found.collect()) == sorted(expected)
 
 
+@pytest.mark.parametrize("within", [True, False])
+def test_large_blocks_are_searched_for_alike_names(spark, monkeypatch, within):
+    """The best partners are those of all pairs, without a row for each pair of a large block."""
+    monkeypatch.setattr(linkage, "FEW_PAIRS", 0)
+    monkeypatch.setattr(linkage, "CELL_LEFT", 50)
+    monkeypatch.setattr(linkage, "CELL_RIGHT", 40)
+
+    def table(n, seed):
+        rng = random.Random(seed)
+        digits = lambda n: "".join(rng.choice("0123") for _ in range(n))
+        name = lambda: rng.choice([None, "The Ltd", f"north {digits(5)}", f"north {digits(rng.randint(1, 60))}", f"south {digits(4)}", digits(80)])
+        rows = [(f"{seed}{k:04}", name(), rng.choice([None, "1", "2", digits(5)]), rng.choice([None, "AB1", "AB2", "AB3"]), rng.choice(["North Road", "South Road", None])) for k in range(n)]
+        df = spark.createDataFrame(rows, "id string, name string, vat string, code string, address string").withColumn("none", F.lit(None).cast("string"))
+        return linkage.with_keys(df, linkage.Fields("id", "name", ("address",), "code", "none", "none", "vat")).cache()
+
+    left = table(240, 1)
+    right = left if within else table(180, 2)
+    rows = lambda task: sorted(map(tuple, linkage.best_partners(left, right, 3, within=within, task=task, score="score").collect()), key=repr)
+    whole = rows(10**9)
+    asked = []
+    real = linkage.blocked
+    monkeypatch.setattr(linkage, "blocked", lambda *a, **b: asked.append(real(*a, **b)) or asked[-1])
+    for task in (3000, 300):
+        assert rows(task) == whole and len(whole) > 400
+    all_pairs = real(left, right, within=within).count()
+    assert asked[0].count() < 0.8 * all_pairs and asked[1].count() < 0.2 * all_pairs
+
+
 def exact(ids, v, k, within=True):
     u = v / np.linalg.norm(v, axis=1)[:, None]
     cosine = u @ u.T
