@@ -163,6 +163,20 @@ def test_neighbours_reach_the_recall_or_say_so(spark, monkeypatch):
         neighbours.nearest(df, df, "e", 3, 24, within=True, tables=2, probes=1)
 
 
+@pytest.mark.parametrize("within", [True, False])
+def test_all_vectors_are_compared_where_windows_find_too_few(spark, monkeypatch, within):
+    """Random vectors, more than windows of MOST_PROBES cover: all exact neighbours, a group and slices of it at a time."""
+    for name, value in (("MOST_PROBES", 1), ("GROUP", 300), ("SLICE", 100)):
+        monkeypatch.setattr(neighbours, name, value)
+    v = np.random.default_rng(8).standard_normal((900, 24))
+    df = vectors(spark, v)
+    found = neighbours.nearest(df, df, "e", 3, 24, within=within, tables=2, probes=1, every=True).collect()
+    own = {}
+    for r in sorted(found, key=lambda r: r.candidate_rank):
+        own.setdefault(r.a_id, []).append(r.b_id)
+    assert {a: b for a, b in exact(range(900), v, 3, within).items() if b} == own
+
+
 def test_neighbours_of_two_tables(spark):
     rng = np.random.default_rng(7)
     v = np.concatenate([rng.standard_normal((60, 8)), np.ones((50, 8))])
