@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from probalink.functions import hashing, normalize, vary
@@ -127,9 +127,10 @@ def versions_s7_s10_s11_s19(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT l_orderkey, l_linenumber, CAST(row_number() OVER (PARTITION BY l_orderkey, l_linenumber) AS BIGINT) AS occurrence, CAST(1 AS BIGINT) AS rows_of_id FROM lineitem")
 def content_ids_s8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines by what they hold of their order and place, which isn't unique: every one gets an id of its own."""
-    rows = stored(t.with_content_id(s.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")), "ids")
-    per = rows.groupBy("row_id").agg(F.count("*").alias("rows_of_id"))
-    return rows.join(per, "row_id").select("l_orderkey", "l_linenumber", F.element_at(F.split("row_id", "#"), 2).cast("long").alias("occurrence"), "rows_of_id")
+    rows = t.with_content_id(s.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"))
+    part = lambda n: F.element_at(F.split("row_id", "#"), n)
+    rows = rows.select("l_orderkey", "l_linenumber", F.unhex(part(1)).alias("content"), part(2).cast("long").alias("occurrence"))  # the id, in half its bytes
+    return rows.select("l_orderkey", "l_linenumber", "occurrence", F.count("*").over(Window.partitionBy("content", "occurrence")).alias("rows_of_id"))
 
 
 # ---- SQL surface of documents

@@ -139,17 +139,19 @@ def with_row_id(files: DataFrame, column: str = "row_id") -> DataFrame:
 def with_content_id(df: DataFrame, column: str = "row_id", columns: Sequence[str] | None = None) -> DataFrame:
     """df with an id that names a row by its content, all of its columns or those given: their SHA-256, and which of the rows of equal
     content it is, from 1 on. The ids are the same for whatever files hold the rows, in whatever order; a null differs from an empty
-    text. Rows of equal content, however many, are counted within parts of the table, whose counts are then added up.
+    text. Rows of equal content, however many, are counted within parts of the table, whose counts are then added up. Hashes aren't
+    written with the rows but made where they are read, and dealt out as 32 bytes; only parts that come after others of their content are joined.
     """
     own = list(columns or df.columns)
-    content = F.sha2(F.to_json(F.struct(*own), {"ignoreNullFields": "false"}), 256)
-    rows = stored(df.withColumns({"__content": content, "__part": F.spark_partition_id()}), "contents")
+    content = F.unhex(F.sha2(F.to_json(F.struct(*own), {"ignoreNullFields": "false"}), 256))
+    rows = stored(df.withColumn("__part", F.spark_partition_id()), "contents").withColumn("__content", content)
     counts = rows.groupBy("__content", "__part").agg(F.count("*").alias("__n"))
     earlier = Window.partitionBy("__content").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row a part
-    offsets = counts.select("__content", "__part", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    offsets = stored(counts.select("__content", "__part", F.sum("__n").over(earlier).alias("__before")).where("__before > 0"), "offsets")  # and its shuffles go
     within = F.row_number().over(Window.partitionBy("__content", "__part").orderBy(F.lit(0)))
-    numbered = rows.withColumn("__number", within).join(offsets, ["__content", "__part"])
-    return numbered.select(*df.columns, F.concat_ws("#", "__content", (F.col("__before") + F.col("__number")).cast("string")).alias(column))
+    numbered = rows.withColumn("__number", within).join(offsets, ["__content", "__part"], "left")
+    number = F.coalesce("__before", F.lit(0)) + F.col("__number")
+    return numbered.select(*df.columns, F.concat_ws("#", F.lower(F.hex("__content")), number.cast("string")).alias(column))
 
 
 def run_script(spark: SparkSession, script: str, args: Mapping[str, Any] | None = None) -> DataFrame | None:

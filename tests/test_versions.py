@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from probalink.operators import decide
 from probalink.sources import tables
+from probalink.sources.storage import stored
 from probalink.sources.versions import Conflict, VersionedTable
 
 
@@ -158,3 +159,12 @@ def test_answers_are_kept(spark, tmp_path):
     assert len(os.listdir(calls)) == 10 and cache.read().count() == 9
     ask([(1, "t1")], questions={"billing": decide.YesNo("Another?")}).collect()
     assert len(os.listdir(calls)) == 11  # another question is another answer
+
+
+def test_content_ids_write_no_hashes(spark, tmp_path, monkeypatch):
+    """What is written beside the rows doesn't grow with them where contents are unique."""
+    written = []
+    monkeypatch.setattr(tables, "stored", lambda df, name: written.append(stored(df, name)) or written[-1])
+    ids = tables.with_content_id(spark.range(500).select("id", F.lit("x").alias("x")).repartition(3))
+    assert ids.select("row_id").distinct().count() == 500 and ids.where("row_id RLIKE '^[0-9a-f]{64}#1$'").count() == 500
+    assert written[0].columns == ["id", "x", "__part"] and all(df.count() == 0 for df in written[1:])
